@@ -1,0 +1,69 @@
+"""Store survey XML flattening (built-in from_xml), edge cases pinned."""
+
+from decimal import Decimal
+
+import pytest
+
+from landfall.domains import sales
+
+FULL = ("<StoreSurvey><AnnualRevenue>80000.00</AnnualRevenue><AnnualSales>800000</AnnualSales>"
+        "<BankName>United Security</BankName><Brands>2</Brands><BusinessType>BM</BusinessType>"
+        "<Internet>ISDN</Internet><NumberEmployees>13</NumberEmployees><Specialty>Mountain"
+        "</Specialty><SquareFeet>7000</SquareFeet><YearOpened>1970</YearOpened></StoreSurvey>")
+NAMESPACED = FULL.replace("<StoreSurvey>", '<StoreSurvey xmlns="urn:example:survey">')
+PARTIAL = "<StoreSurvey><BankName>Primary</BankName><SquareFeet>100</SquareFeet></StoreSurvey>"
+WRONG_TYPE = FULL.replace("<NumberEmployees>13", "<NumberEmployees>many")
+
+
+@pytest.fixture(scope="module")
+def parsed(spark):
+    df = spark.createDataFrame(
+        [(1, "A", FULL), (2, "B", NAMESPACED), (3, "C", PARTIAL), (4, "D", None),
+         (5, "E", "<StoreSurvey><oops"), (6, "F", WRONG_TYPE)],
+        "BusinessEntityID int, Name string, Demographics string")
+    out = sales.transform_store_demographics(df)
+    return out, {r["BusinessEntityID"]: r for r in out.collect()}
+
+
+def test_columns(parsed):
+    out, _ = parsed
+    assert out.columns == ["BusinessEntityID", "AnnualRevenue", "AnnualSales", "BankName",
+                           "Brands", "BusinessType", "Internet", "number_of_employees",
+                           "Specialty", "SquareFeet", "YearOpened"]
+    assert out.schema["AnnualRevenue"].dataType.simpleString() == "decimal(18,2)"
+
+
+def test_complete_and_default_namespace(parsed):
+    _, r = parsed
+    for k in (1, 2):
+        assert r[k]["AnnualRevenue"] == Decimal("80000.00")
+        assert r[k]["number_of_employees"] == 13 and r[k]["YearOpened"] == 1970
+
+
+def test_missing_fields_are_null(parsed):
+    _, r = parsed
+    assert r[3]["BankName"] == "Primary" and r[3]["SquareFeet"] == 100
+    assert r[3]["AnnualSales"] is None
+
+
+def test_null_and_malformed_documents(parsed):
+    _, r = parsed
+    for k in (4, 5):
+        assert all(r[k][c] is None for c in r[k].asDict() if c != "BusinessEntityID")
+
+
+def test_wrong_typed_field(parsed):
+    _, r = parsed
+    assert r[6]["number_of_employees"] is None
+    assert r[6]["AnnualRevenue"] == Decimal("80000.00")  # fields before it survive
+
+
+def test_stores_drop_the_document(spark):
+    df = spark.createDataFrame([(1, "A", FULL)], "BusinessEntityID int, Name string, Demographics string")
+    assert sales.transform_stores(df).columns == ["BusinessEntityID", "Name"]
+
+
+def test_routes_cover_every_seed():
+    seeded = {(r[0], r[1]) for r in sales.SEED_ROWS}
+    assert seeded == set(sales.ROUTES)
+    assert sum(len(v) for v in sales.ROUTES.values()) == 20
