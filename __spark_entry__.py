@@ -233,9 +233,11 @@ def q_load_empty_batch(spark, d):
 
 
 def _counted_changes(spark, d):
+    """The change batch, staged once (one pass gives the rows and their count),
+    as the load step does before an upsert."""
     orders = _read(spark, d, "orders")
-    s = _changes(orders)
-    return orders, s, s.count()
+    s, n = stage_batch(_changes(orders))
+    return orders, s, n
 
 
 def q_upsert_single_key(spark, d):
@@ -265,8 +267,9 @@ def q_upsert_composite_key(spark, d):
     new_lines = (t.join(changed.where(F.col("o_custkey") < 50).select("l_orderkey"),
                         "l_orderkey", "left_semi")
                   .select("l_orderkey", (F.col("l_linenumber") + 100).alias("l_linenumber"), "n"))
-    s = hit.select("l_orderkey", "l_linenumber", (-F.col("n")).alias("n")).unionByName(new_lines)
-    return upsert(t, s, ["l_orderkey", "l_linenumber"], source_rows=s.count())
+    s, n = stage_batch(hit.select("l_orderkey", "l_linenumber", (-F.col("n")).alias("n"))
+                          .unionByName(new_lines))
+    return upsert(t, s, ["l_orderkey", "l_linenumber"], source_rows=n)
 
 
 def q_merge_action_counts(spark, d):

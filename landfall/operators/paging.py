@@ -100,9 +100,11 @@ def _deep_page(df: DataFrame, cols: list[Column], offset: int, length: int) -> D
     if not starts:
         return df.limit(0)
     pos = F.element_at(F.array(*[F.lit(s) for s in starts]), F.col("_pid") + 1) + F.col("_row")
+    # the page holds at most ``length`` rows: one task orders it
     return (ranked.withColumn("_pos", pos)
                   .where((F.col("_pos") >= offset) & (F.col("_pos") < offset + length))
-                  .orderBy("_pos")
+                  .repartition(1)
+                  .sortWithinPartitions("_pos")
                   .select(*names))
 
 

@@ -75,18 +75,21 @@ def broadcast_budget(spark) -> int:
     return int(spark.conf.get(CONF_BROADCAST_BYTES, str(DEFAULT_BROADCAST_BYTES)))
 
 
+def fits_broadcast(df: DataFrame, n_rows: int | None) -> bool:
+    """True when ``df`` (``n_rows`` rows, exact) is within the broadcast budget."""
+    if n_rows is None:
+        return False
+    budget = broadcast_budget(df.sparkSession)
+    if n_rows * _ROW_OVERHEAD > budget:  # too big before looking at the fields
+        return False
+    return key_bytes(df, n_rows) <= budget
+
+
 def small_side(df: DataFrame, n_rows: int | None) -> DataFrame:
     """Broadcast ``df`` only when its exact row count is known and its
     measured size is within the budget; otherwise leave the choice to the
     planner (sort-merge, or AQE's runtime conversion from measured sizes)."""
-    if n_rows is None:
-        return df
-    budget = broadcast_budget(df.sparkSession)
-    if n_rows * _ROW_OVERHEAD > budget:  # too big before looking at the fields
-        return df
-    if key_bytes(df, n_rows) <= budget:
-        return F.broadcast(df)
-    return df
+    return F.broadcast(df) if fits_broadcast(df, n_rows) else df
 
 
 def normalize_keys(source: DataFrame, keys: Keys) -> tuple[DataFrame, list[str]]:
@@ -153,15 +156,17 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Keys, *,
     t_types = {f.name.lower(): f.dataType for f in target.schema.fields}
     src = source.select(*[F.col(k).cast(t_types[k.lower()]).alias(k) for k in keys])
     nulls = any_null(keys)
-    probe = small_side(src.where(~nulls), source_rows)
+    probe = src.where(~nulls)
+    # matched keys are a subset of the batch keys: the batch's measured size
+    # bounds both broadcasts
+    small = fits_broadcast(probe, source_rows)
     matched = (target.select(*keys)
-                     .join(probe, keys, "left_semi")
+                     .join(F.broadcast(probe) if small else probe, keys, "left_semi")
                      .distinct()
                      .withColumn("_hit", F.lit(True)))
-    keyed = (src.where(~nulls)
-                .join(matched, keys, "left")
-                .select(*keys, F.when(F.col("_hit"), F.lit("update"))
-                                .otherwise(F.lit("insert")).alias("action")))
+    keyed = (probe.join(F.broadcast(matched) if small else matched, keys, "left")
+                  .select(*keys, F.when(F.col("_hit"), F.lit("update"))
+                                  .otherwise(F.lit("insert")).alias("action")))
     null_keyed = src.where(nulls).select(*keys, F.lit("insert").alias("action"))
     return keyed.unionByName(null_keyed)
 
