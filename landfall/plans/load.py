@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.upsert import normalize_keys, upsert
 from ..operators.validate import assert_unique
-from ..sources.tables import stage_batch, table_exists, write_snapshot
+from ..sources.tables import (register_snapshot, snapshot_path, stage_batch, table_exists,
+                              write_batch, write_snapshot)
 
 
 @dataclass(frozen=True)
@@ -34,16 +35,26 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
               check_unique: bool = True) -> LoadResult:
     if batch is None:
         raise ValueError("Data not extracted")
-    staged, n = stage_batch(batch)
-    if n == 0:
-        return LoadResult(target, "skipped", 0)
     if table_exists(spark, target):
+        staged, n = stage_batch(batch)
+        if n == 0:
+            return LoadResult(target, "skipped", 0)
         merged = upsert(spark.table(target), staged, keys, source_rows=n,
                         check_unique=check_unique)
         write_snapshot(spark, merged, target, root)
         return LoadResult(target, "merged", n)
+    # First load: the batch is written once, straight into the first snapshot
+    # folder (no second copy); the table is registered only if it has rows
+    # and its key holds.
+    path = snapshot_path(spark, target, root)
+    staged, n = write_batch(batch, path)
+    if n == 0:
+        return LoadResult(target, "skipped", 0)
     staged, key_list = normalize_keys(staged, keys)
     if check_unique:
         assert_unique(staged, key_list, what=f"first load of {target}")
-    write_snapshot(spark, staged, target, root)
+    if isinstance(keys, Mapping):
+        write_snapshot(spark, staged, target, root)
+    else:
+        register_snapshot(spark, target, path, root)
     return LoadResult(target, "created", n)

@@ -1,9 +1,11 @@
 from .jdbc import ANSI, DERBY, SQLSERVER, Dialect, JdbcConnection, JdbcTable, dialect_for
 from .tables import (Zones, create_database, create_empty_table, database, qualified, read_table,
-                     stage_batch, table_exists, write_snapshot)
+                     register_snapshot, snapshot_path, stage_batch, table_exists, write_batch,
+                     write_snapshot)
 
 __all__ = [
     "ANSI", "DERBY", "SQLSERVER", "Dialect", "JdbcConnection", "JdbcTable", "dialect_for",
     "Zones", "create_database", "create_empty_table", "database", "qualified", "read_table",
-    "stage_batch", "table_exists", "write_snapshot",
+    "register_snapshot", "snapshot_path", "stage_batch", "table_exists", "write_batch",
+    "write_snapshot",
 ]

@@ -65,10 +65,22 @@ def _snapshot_path(spark: SparkSession, name: str, root: str | None) -> str:
     return f"{root}/{db or 'default'}.db/{tbl}/snapshot-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
 
 
-def write_snapshot(spark: SparkSession, df: DataFrame, name: str, root: str | None = None) -> str:
-    """Write ``df`` as the new content of table ``name`` (created if absent)."""
-    path = _snapshot_path(spark, name, root)
-    df.write.mode("errorifexists").parquet(path)
+CONF_MAX_RECORDS = "landfall.write.maxRecordsPerFile"
+DEFAULT_MAX_RECORDS = 10_000_000
+
+
+def _writer(df: DataFrame):
+    cap = df.sparkSession.conf.get(CONF_MAX_RECORDS, str(DEFAULT_MAX_RECORDS))
+    return df.write.option("maxRecordsPerFile", cap)
+
+
+def snapshot_path(spark: SparkSession, name: str, root: str | None = None) -> str:
+    """A fresh folder for the next snapshot of table ``name``."""
+    return _snapshot_path(spark, name, root)
+
+
+def register_snapshot(spark: SparkSession, name: str, path: str, root: str | None = None) -> None:
+    """Point table ``name`` at the snapshot in ``path`` (create it if absent)."""
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {_quote_name(name)} SET LOCATION '{path}'")
         spark.catalog.refreshTable(name)
@@ -77,6 +89,13 @@ def write_snapshot(spark: SparkSession, df: DataFrame, name: str, root: str | No
         if db:
             create_database(spark, db, root)
         spark.catalog.createTable(name, path=path, source="parquet")
+
+
+def write_snapshot(spark: SparkSession, df: DataFrame, name: str, root: str | None = None) -> str:
+    """Write ``df`` as the new content of table ``name`` (created if absent)."""
+    path = _snapshot_path(spark, name, root)
+    _writer(df).mode("errorifexists").parquet(path)
+    register_snapshot(spark, name, path, root)
     return path
 
 
@@ -88,18 +107,24 @@ def create_empty_table(spark: SparkSession, name: str, schema, root: str | None
     return True
 
 
+def write_batch(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+    """Write ``df`` to ``path`` once and return the written rows and their
+    count. The count is an observed metric of the same pass (exact: the write
+    is a result stage, so a retried task is not counted twice)."""
+    spark = df.sparkSession
+    obs = Observation(f"landfall_batch_{uuid.uuid4().hex[:8]}")
+    _writer(df.observe(obs, F.count(F.lit(1)).alias("rows"))).parquet(path)
+    rows = obs.get.get("rows")
+    written = spark.read.parquet(path)
+    if rows is None:
+        rows = written.count()
+    return written, int(rows)
+
+
 def stage_batch(df: DataFrame) -> tuple[DataFrame, int]:
     """Materialise an extracted batch once, in the shared checkpoint folder.
 
     The source is read exactly once; the row count comes from the same pass
-    (an observed metric of the write) and the upsert reads the staged files,
-    so the count and the loaded rows agree even if the source changes."""
-    spark = df.sparkSession
-    path = scratch_path(spark, "batches")
-    obs = Observation("landfall_batch")
-    df.observe(obs, F.count(F.lit(1)).alias("rows")).write.parquet(path)
-    rows = obs.get.get("rows")
-    staged = spark.read.parquet(path)
-    if rows is None:
-        rows = staged.count()
-    return staged, int(rows)
+    and the upsert reads the staged files, so the count and the loaded rows
+    agree even if the source changes."""
+    return write_batch(df, scratch_path(df.sparkSession, "batches"))
