@@ -23,8 +23,8 @@ from landfall.operators import (duplicate_keys, merge_action_counts, null_violat
 from landfall.plans import (active_for_land, active_for_stage, active_schemas, land, load_into,
                             seed_control, set_flag, stage, stage_frame)
 from landfall.plans.control import CONTROL_SCHEMA
-from landfall.sources import (JdbcConnection, JdbcTable, Zones, qualified, read_table,
-                              stage_batch, write_snapshot)
+from landfall.sources import (JdbcConnection, JdbcTable, Zones, create_database, qualified,
+                              read_table, stage_batch, write_snapshot)
 from landfall.session import ensure_checkpoint_dir, scratch_path
 from landfall.streaming import upsert_available
 
@@ -63,7 +63,7 @@ def _zones() -> Zones:
 def _catalog_orders(spark: SparkSession, d: str) -> str:
     """The orders file registered as an external catalog table (no copy)."""
     db = f"src_{_tag()}"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    create_database(spark, db, _root(spark))
     spark.catalog.createTable(f"{db}.orders", path=f"{d}/orders.parquet", source="parquet")
     return f"{db}.orders"
 
