@@ -3,8 +3,9 @@
 Every registered query reads the given tables (or data Spark derives from
 them) in full. The change batch used by the upsert-style queries is the
 incremental window of a run on 2000-01-01: orders dated on or after
-1999-12-31 get status ``'X'``, and the customers below key 50 in that window
-place one new order each (key + 1,000,000).
+1999-12-31 get status ``'X'``, and every urgent order in that window is
+followed up by a new order (key ``-(o_orderkey + 1)``, which no existing order
+can have at any scale).
 """
 
 from __future__ import annotations
@@ -75,8 +76,8 @@ def _window(df: DataFrame, col: str) -> DataFrame:
 def _changes(orders: DataFrame) -> DataFrame:
     """The change batch of the run (see module docstring)."""
     b = _window(orders, "o_orderdate").withColumn("o_orderstatus", F.lit("X"))
-    new = (b.where(F.col("o_custkey") < 50)
-            .withColumn("o_orderkey", F.col("o_orderkey") + F.lit(1_000_000)))
+    new = (b.where(F.col("o_orderpriority") == "1-URGENT")
+            .withColumn("o_orderkey", -(F.col("o_orderkey") + F.lit(1))))
     return b.unionByName(new)
 
 
@@ -262,11 +263,12 @@ def q_upsert_composite_key(spark, d):
     orders = _read(spark, d, "orders")
     t = li.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n"))
     changed = _window(orders, "o_orderdate").select(F.col("o_orderkey").alias("l_orderkey"),
-                                                    "o_custkey")
+                                                    "o_orderpriority")
     hit = t.join(changed, "l_orderkey", "left_semi")
-    new_lines = (t.join(changed.where(F.col("o_custkey") < 50).select("l_orderkey"),
+    # urgent orders in the window get each line repeated under a new line number
+    new_lines = (t.join(changed.where(F.col("o_orderpriority") == "1-URGENT").select("l_orderkey"),
                         "l_orderkey", "left_semi")
-                  .select("l_orderkey", (F.col("l_linenumber") + 100).alias("l_linenumber"), "n"))
+                  .select("l_orderkey", (-F.col("l_linenumber")).alias("l_linenumber"), "n"))
     s, n = stage_batch(hit.select("l_orderkey", "l_linenumber", (-F.col("n")).alias("n"))
                           .unionByName(new_lines))
     return upsert(t, s, ["l_orderkey", "l_linenumber"], source_rows=n)
@@ -607,7 +609,8 @@ _W = f"o_orderdate >= DATE '{START}'"
 _CHANGES = f"""b AS (SELECT * FROM orders WHERE {_W}),
   s AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM b
         UNION ALL
-        SELECT o_orderkey + 1000000, o_custkey, 'X', o_totalprice, o_orderdate, o_orderpriority FROM b WHERE o_custkey < 50)"""
+        SELECT -(o_orderkey + 1), o_custkey, 'X', o_totalprice, o_orderdate, o_orderpriority FROM b
+        WHERE o_orderpriority = '1-URGENT')"""
 _Q4 = f"""WITH {_CHANGES}
 SELECT * FROM orders t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.o_orderkey = t.o_orderkey)
 UNION ALL SELECT * FROM s"""
@@ -638,11 +641,11 @@ _ORACLE: dict[str, str] = {
     "upsert_mapped_key": _Q4,
     "upsert_composite_key": f"""WITH t AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
                                   GROUP BY l_orderkey, l_linenumber),
-  c AS (SELECT o_orderkey, o_custkey FROM orders WHERE {_W}),
+  c AS (SELECT o_orderkey, o_orderpriority FROM orders WHERE {_W}),
   s AS (SELECT l_orderkey, l_linenumber, -n AS n FROM t WHERE l_orderkey IN (SELECT o_orderkey FROM c)
         UNION ALL
-        SELECT l_orderkey, l_linenumber + 100, n FROM t
-        WHERE l_orderkey IN (SELECT o_orderkey FROM c WHERE o_custkey < 50))
+        SELECT l_orderkey, -l_linenumber, n FROM t
+        WHERE l_orderkey IN (SELECT o_orderkey FROM c WHERE o_orderpriority = '1-URGENT'))
 SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.l_orderkey = t.l_orderkey
                                    AND s.l_linenumber = t.l_linenumber)
 UNION ALL SELECT * FROM s""",
