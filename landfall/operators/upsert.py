@@ -29,7 +29,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .validate import any_null, assert_unique
+from .validate import any_null, assert_unique, col
 
 CONF_BROADCAST_BYTES = "landfall.upsert.broadcastMaxBytes"
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
@@ -65,9 +65,9 @@ def key_bytes(keys_df: DataFrame, n_rows: int) -> int:
             fixed += w
     total = n_rows * (_ROW_OVERHEAD + fixed)
     if variable and n_rows:
-        agg = keys_df.agg(*[F.sum(F.octet_length(F.col(c).cast("string"))).alias(c)
-                            for c in variable]).first()
-        total += sum(int(agg[c] or 0) for c in variable)
+        agg = keys_df.agg(*[F.sum(F.octet_length(col(c).cast("string"))).alias(f"b{i}")
+                            for i, c in enumerate(variable)]).first()
+        total += sum(int(agg[f"b{i}"] or 0) for i in range(len(variable)))
     return total
 
 
@@ -117,7 +117,7 @@ def align_to_target(target: DataFrame, source: DataFrame) -> DataFrame:
     s_types = {f.name.lower(): f.dataType for f in source.schema.fields}
     cols = []
     for f in target.schema.fields:
-        c = F.col(s_names[f.name.lower()])
+        c = col(s_names[f.name.lower()])
         if s_types[f.name.lower()] != f.dataType:
             c = c.cast(f.dataType)
         cols.append(c.alias(f.name))
@@ -136,10 +136,10 @@ def upsert(target: DataFrame, source: DataFrame, keys: Keys, *,
     if check_unique:
         assert_unique(source, keys)
     nulls = any_null(keys)
-    batch_keys = small_side(source.select(*keys).where(~nulls), source_rows)
+    batch_keys = small_side(source.select(*[col(k) for k in keys]).where(~nulls), source_rows)
     kept = (target.where(~nulls)
                   .join(batch_keys, keys, "left_anti")
-                  .select(*target.columns))
+                  .select(*[col(c) for c in target.columns]))
     null_key_rows = target.where(nulls)
     return kept.unionByName(null_key_rows).unionByName(source)
 
@@ -154,20 +154,21 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Keys, *,
     set is bounded by the batch size."""
     source, keys = normalize_keys(source, keys)
     t_types = {f.name.lower(): f.dataType for f in target.schema.fields}
-    src = source.select(*[F.col(k).cast(t_types[k.lower()]).alias(k) for k in keys])
+    src = source.select(*[col(k).cast(t_types[k.lower()]).alias(k) for k in keys])
     nulls = any_null(keys)
     probe = src.where(~nulls)
     # matched keys are a subset of the batch keys: the batch's measured size
     # bounds both broadcasts
     small = fits_broadcast(probe, source_rows)
-    matched = (target.select(*keys)
+    matched = (target.select(*[col(k) for k in keys])
                      .join(F.broadcast(probe) if small else probe, keys, "left_semi")
                      .distinct()
                      .withColumn("_hit", F.lit(True)))
     keyed = (probe.join(F.broadcast(matched) if small else matched, keys, "left")
-                  .select(*keys, F.when(F.col("_hit"), F.lit("update"))
+                  .select(*[col(k) for k in keys], F.when(F.col("_hit"), F.lit("update"))
                                   .otherwise(F.lit("insert")).alias("action")))
-    null_keyed = src.where(nulls).select(*keys, F.lit("insert").alias("action"))
+    null_keyed = src.where(nulls).select(*[col(k) for k in keys],
+                                         F.lit("insert").alias("action"))
     return keyed.unionByName(null_keyed)
 
 

@@ -20,10 +20,25 @@ class KeyViolation(ValueError):
     """A declared key constraint does not hold."""
 
 
+def col(name: str) -> Column:
+    """A column by its literal name (dots and other characters are not parsed)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def check_unique_rows(rows, key: Sequence[str], what: str) -> None:
+    """Key uniqueness over rows already on the driver (metadata lists)."""
+    seen, dups = set(), set()
+    for r in rows:
+        k = tuple(r[c] for c in key)
+        (dups if k in seen else seen).add(k)
+    if dups:
+        raise KeyViolation(f"{what} repeats key {list(key)}: {sorted(dups, key=repr)[:3]}")
+
+
 def any_null(keys: Sequence[str]) -> Column:
-    cond = F.col(keys[0]).isNull()
+    cond = col(keys[0]).isNull()
     for k in keys[1:]:
-        cond = cond | F.col(k).isNull()
+        cond = cond | col(k).isNull()
     return cond
 
 
@@ -33,7 +48,7 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     duplicates here (they are reported by :func:`null_violations`)."""
     keys = list(keys)
     return (df.where(~any_null(keys))
-              .groupBy(*keys)
+              .groupBy(*[col(k) for k in keys])
               .agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") > 1))
 
@@ -47,7 +62,7 @@ def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> N
 
 def null_violations(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """One row: the number of NULLs in each required column, ``null_<col>``."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in required])
+    return df.agg(*[F.count_if(col(c).isNull()).alias(f"null_{c}") for c in required])
 
 
 def assert_not_null(df: DataFrame, required: Sequence[str], what: str = "table") -> None:

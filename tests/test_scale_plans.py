@@ -107,3 +107,18 @@ def test_page_select_and_first_column_default(spark):
     df = spark.createDataFrame([(2, "b", 1.0), (1, "a", 2.0)], "k int, v string, w double")
     assert page(df, None, 0, 1, select=["v", "k"]).collect()[0]["v"] == "a"
     assert F is not None
+
+
+def test_duplicate_control_rows_are_refused(spark, root):
+    from landfall.operators import KeyViolation
+    row = {"schema_name": "S", "table_name": "T", "primary_key": "k", "active": True}
+    ctl = control_frame(spark, [row, dict(row)])
+    with pytest.raises(KeyViolation):
+        stage(spark, ctl, {("S", "T"): [("t", None)]}, "2024-01-02", root=root)
+
+
+def test_dotted_column_names(spark):
+    t = spark.createDataFrame([(1, "a")], "`k.id` int, v string")
+    s = spark.createDataFrame([(1, "b"), (2, "c")], "`k.id` int, v string")
+    assert rows(upsert(t, s, ["k.id"], source_rows=2)) == [(1, "b"), (2, "c")]
+    assert rows(merge_actions(t, s, ["k.id"])) == [(1, "update"), (2, "insert")]
