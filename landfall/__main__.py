@@ -1,8 +1,8 @@
 """Command line for the scheduled tasks and the control/log listing.
 
-    spark-submit -m landfall init
-    spark-submit -m landfall land  --run-date 2024-06-02 --url jdbc:sqlserver://… --user U --password-env VAR
-    spark-submit -m landfall stage --run-date 2024-06-02
+    spark-submit --py-files landfall.zip landfall_job.py init
+    spark-submit --py-files landfall.zip landfall_job.py land --run-date 2024-06-02 --url … --user U --password-env VAR
+    spark-submit --py-files landfall.zip landfall_job.py stage --run-date 2024-06-02
     python -m landfall list-log --page 0 --page-length 20
     python -m landfall deactivate Sales Store
 
