@@ -71,7 +71,7 @@ def page(df: DataFrame, order: OrderSpec, page: int, page_length: int,
         df = df.select(*select)
     cols = sort_columns(df, order)
     if page_length == 0:
-        return df.orderBy(*cols)
+        return df.orderBy(*cols, _tie_breaker())
     offset = page * page_length
     topk_max = int(df.sparkSession.conf.get(CONF_TOPK_MAX, str(DEFAULT_TOPK_MAX)))
     if deep is None:
@@ -81,11 +81,18 @@ def page(df: DataFrame, order: OrderSpec, page: int, page_length: int,
     return _deep_page(df, cols, offset, page_length)
 
 
+def _tie_breaker() -> Column:
+    """Row identity as the last sort key: range partitioning can then split a
+    sort value held by a large share of the rows over several tasks (equal
+    keys always go to one range). Ties may come in any order in ORDER BY."""
+    return F.monotonically_increasing_id()
+
+
 def _deep_page(df: DataFrame, cols: list[Column], offset: int, length: int) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     names = df.columns
-    ranked = (df.orderBy(*cols)
+    ranked = (df.orderBy(*cols, _tie_breaker())
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_row", F.monotonically_increasing_id()
                             .bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))

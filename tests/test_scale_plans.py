@@ -122,3 +122,23 @@ def test_dotted_column_names(spark):
     s = spark.createDataFrame([(1, "b"), (2, "c")], "`k.id` int, v string")
     assert rows(upsert(t, s, ["k.id"], source_rows=2)) == [(1, "b"), (2, "c")]
     assert rows(merge_actions(t, s, ["k.id"])) == [(1, "update"), (2, "insert")]
+
+
+def test_hot_sort_value_is_spread_over_ranges(spark):
+    from landfall.operators import page
+    n = 30_000
+    df = spark.range(0, n, numPartitions=8).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS ts", "id")
+    every = page(df, ["ts"], 0, 0)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")  # small test data would otherwise be merged into one task
+    try:
+        sizes = every.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        spark.conf.set(key, old)
+    assert max(r["count"] for r in sizes) < n // 3  # the hot value did not land in one task
+    got = [r["ts"] for r in every.collect()]
+    assert got == sorted(got)
+    deep = page(df, ["ts"], 500, 20, deep=True)
+    assert [r["ts"] for r in deep.collect()] == got[10_000:10_020]
