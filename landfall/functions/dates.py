@@ -11,6 +11,7 @@ JDBC land, Spark SQL for the raw -> staging step).
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -57,6 +58,22 @@ def ansi_date_literal(d: _dt.date) -> str:
     return f"TIMESTAMP '{d:%Y-%m-%d} 00:00:00'"
 
 
+_SIMPLE_WINDOW = re.compile(
+    r'^\s*(?:"([^"]+)"|\[([^\]]+)\]|`([^`]+)`|([A-Za-z_][A-Za-z0-9_]*))\s*(?:>=|>)\s*'
+    + re.escape(PLACEHOLDER) + r'\s*$')
+
+
+def filter_column(template: str | None) -> str | None:
+    """The column of a simple change window ``<col> >= :start_date`` (the
+    column may be quoted), else ``None``."""
+    if template is None:
+        return None
+    m = _SIMPLE_WINDOW.match(template)
+    if not m:
+        return None
+    return next(g for g in m.groups() if g)
+
+
 def render_filter(template: str | None, run_date, literal=spark_date_literal) -> str | None:
     """Fill the ``:start_date`` placeholder; ``None`` stays ``None`` (no filter)."""
     if template is None:

@@ -104,3 +104,12 @@ def test_column_decode_keeps_other_types_as_text(spark):
     assert decode_typed(df, {"a": "BIGINT"}).schema["a"].dataType.simpleString() == "string"
     assert decode_typed(df, {}).first()[0] == "7"
     assert F is not None
+
+
+def test_filter_column():
+    from landfall.functions import filter_column
+    assert filter_column("ModifiedDate >= :start_date") == "ModifiedDate"
+    assert filter_column('"o_orderdate" >= :start_date') == "o_orderdate"
+    assert filter_column("[ModifiedDate] > :start_date") == "ModifiedDate"
+    assert filter_column("a >= :start_date AND b = 1") is None
+    assert filter_column(None) is None
