@@ -182,6 +182,13 @@ def q_jdbc_scan(spark, d):
     return JdbcTable(conn, "APP", "nation").read(spark)
 
 
+def q_jdbc_select_listed(spark, d):
+    conn = _derby(spark, {"orders": _read(spark, d, "orders")})
+    src = JdbcTable(conn, "APP", "orders", selected=["o_orderkey", "o_orderdate"],
+                    partition_column="o_orderkey", num_partitions=4)
+    return _ntz(src.read(spark))
+
+
 def q_jdbc_partitioned_scan(spark, d):
     conn = _derby(spark, {"customer": _read(spark, d, "customer")})
     return JdbcTable(conn, "APP", "customer", partition_column="c_custkey",
@@ -382,6 +389,20 @@ def _stage_orders(spark, d, incremental: bool):
     return spark.table(qualified(zones.stg, "shop", "orders"))
 
 
+def q_stage_fanout_log(spark, d):
+    """One raw Store table staged into its two routes; the log tells the rows
+    each route moved."""
+    zones, root = _zones(), _root(spark)
+    log_table = qualified(zones.ctr, "loading", "data_ingestion_log")
+    write_snapshot(spark, _store_frame(spark, d), qualified(zones.raw, "Sales", "Store"), root)
+    ctl = _control(spark, [_control_row("Sales", "Store", "BusinessEntityID")])
+    routes = {("Sales", "Store"): sales.ROUTES[("Sales", "Store")]}
+    stage(spark, ctl, routes, RUN_DATE, zones=zones, root=root, log_table=log_table)
+    return spark.table(log_table).select(
+        "target_table_name", F.col("movements").cast("bigint").alias("movements"),
+        F.col("error").isNotNull().alias("failed"))
+
+
 def q_stage_generic(spark, d):
     return _stage_orders(spark, d, incremental=False)
 
@@ -555,6 +576,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_scan_incremental": q_table_scan_incremental,
     "select_listed": q_select_listed,
     "jdbc_scan": q_jdbc_scan,
+    "jdbc_select_listed": q_jdbc_select_listed,
     "jdbc_partitioned_scan": q_jdbc_partitioned_scan,
     "jdbc_incremental_scan": q_jdbc_incremental_scan,
     "partition_bounds": q_partition_bounds,
@@ -575,6 +597,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "snake_case_values": q_snake_case_values,
     "rename_key_single": q_rename_key_single,
     "rename_key_composite": q_rename_key_composite,
+    "stage_fanout_log": q_stage_fanout_log,
     "stage_generic": q_stage_generic,
     "stage_incremental": q_stage_incremental,
     "stage_credit_cards": q_stage_credit_cards,
@@ -629,6 +652,7 @@ _ORACLE: dict[str, str] = {
     "table_scan_incremental": f"SELECT * FROM orders WHERE {_W}",
     "select_listed": "SELECT o_orderkey, o_orderdate FROM orders",
     "jdbc_scan": "SELECT * FROM nation",
+    "jdbc_select_listed": "SELECT o_orderkey, o_orderdate FROM orders",
     "jdbc_partitioned_scan": "SELECT * FROM customer",
     "jdbc_incremental_scan": f"SELECT * FROM orders WHERE {_W}",
     "partition_bounds": (f"SELECT min(o_orderdate) AS lower_bound, max(o_orderdate) AS upper_bound "
@@ -666,6 +690,8 @@ FROM s LEFT JOIN orders t ON s.o_orderkey = t.o_orderkey GROUP BY 1""",
   l_linenumber AS line_id, l_quantity AS quantity, l_extendedprice AS extended_price,
   l_discount AS discount, l_tax AS tax, l_returnflag AS return_flag, l_linestatus AS line_status,
   l_shipdate AS ship_date FROM lineitem""",
+    "stage_fanout_log": """SELECT 'stores' AS target_table_name, count(*) AS movements, false AS failed
+FROM supplier UNION ALL SELECT 'store_demographics', count(*), false FROM supplier""",
     "stage_generic": "SELECT " + _ORDERS_SNAKE.replace("AS order_key", "AS id") + " FROM orders",
     "stage_incremental": (f"WITH q AS ({_Q4}) SELECT "
                           + _ORDERS_SNAKE.replace("AS order_key", "AS id") + " FROM q"),
