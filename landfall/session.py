@@ -19,13 +19,21 @@ CONF_WAREHOUSE = "landfall.warehouse.dir"
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder, registered with the SparkContext."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get(CONF_CHECKPOINT, None) or sc.getConf().get(CONF_CHECKPOINT, None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext here
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get(CONF_CHECKPOINT, None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get(CONF_CHECKPOINT, None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="landfall-ckpt-")
+        if sc is None:
+            spark.conf.set(CONF_CHECKPOINT, configured)
+    if sc is None:
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

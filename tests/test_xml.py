@@ -67,3 +67,11 @@ def test_routes_cover_every_seed():
     seeded = {(r[0], r[1]) for r in sales.SEED_ROWS}
     assert seeded == set(sales.ROUTES)
     assert sum(len(v) for v in sales.ROUTES.values()) == 20
+
+
+def test_prefixed_names_match_nothing(spark):
+    doc = ('<StoreSurvey xmlns:p="urn:example:survey"><p:BankName>Primary</p:BankName>'
+           '<SquareFeet>100</SquareFeet></StoreSurvey>')
+    df = spark.createDataFrame([(1, "A", doc)], "BusinessEntityID int, Name string, Demographics string")
+    r = sales.transform_store_demographics(df).first()
+    assert r["BankName"] is None and r["SquareFeet"] == 100
