@@ -286,6 +286,17 @@ def q_merge_action_counts(spark, d):
     return merge_action_counts(orders, s, ["o_orderkey"], source_rows=n)
 
 
+def q_upsert_partitioned(spark, d):
+    """Orders laid out by status; the batch moves every changed order to the
+    new status's partition, so the old partitions must lose those rows."""
+    root = _root(spark)
+    orders = _read(spark, d, "orders")
+    target = f"lf_{_tag()}.orders"
+    load_into(spark, orders, target, ["o_orderkey"], root=root, partition_by=["o_orderstatus"])
+    load_into(spark, _changes(orders), target, ["o_orderkey"], root=root)
+    return spark.table(target)
+
+
 def q_upsert_stream(spark, d):
     """The change batch arrives as files of a stream; each micro-batch is
     upserted into a target that was first loaded with all orders."""
@@ -588,6 +599,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_composite_key": q_upsert_composite_key,
     "upsert_mapped_key": q_upsert_mapped_key,
     "merge_action_counts": q_merge_action_counts,
+    "upsert_partitioned": q_upsert_partitioned,
     "upsert_stream": q_upsert_stream,
     "land_full": q_land_full,
     "land_incremental": q_land_incremental,
@@ -676,6 +688,7 @@ UNION ALL SELECT * FROM s""",
     "merge_action_counts": f"""WITH {_CHANGES}
 SELECT CASE WHEN t.o_orderkey IS NULL THEN 'insert' ELSE 'update' END AS action, count(*) AS n
 FROM s LEFT JOIN orders t ON s.o_orderkey = t.o_orderkey GROUP BY 1""",
+    "upsert_partitioned": _Q4,
     "upsert_stream": _Q4,
     "land_full": "SELECT * FROM orders",
     "land_incremental": _Q4,

@@ -16,11 +16,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..operators.upsert import normalize_keys, upsert
-from ..operators.validate import assert_unique
-from ..sources.tables import (register_snapshot, snapshot_path, stage_batch, table_exists,
-                              write_batch, write_snapshot)
+from ..operators.upsert import normalize_keys, small_side, upsert
+from ..operators.validate import any_null, assert_unique, col
+from ..sources.tables import (create_partitioned_table, max_records, partition_columns,
+                              partition_values, register_snapshot, snapshot_path, stage_batch,
+                              swap_partitions, table_exists, write_batch, write_snapshot,
+                              written_partitions)
 
 
 @dataclass(frozen=True)
@@ -43,15 +46,29 @@ def _clustered(df: DataFrame, cluster_by: Sequence[str] | None) -> DataFrame:
 
 def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
               keys: Sequence[str] | Mapping[str, str], *, root: str | None = None,
-              check_unique: bool = True, cluster_by: Sequence[str] | None = None) -> LoadResult:
+              check_unique: bool = True, cluster_by: Sequence[str] | None = None,
+              partition_by: Sequence[str] | None = None,
+              stable_partitions: bool = False) -> LoadResult:
     """``cluster_by``: columns to sort each written file by (typically the
-    column of the change predicate)."""
+    column of the change predicate).
+
+    ``partition_by``: lay the target out in partitions of these columns (on
+    the first load; later loads follow the table's own partitioning). A batch
+    then rewrites only the partitions it touches. ``stable_partitions``
+    declares that a key's partition value never changes, which skips the
+    probe for rows that moved partition."""
     if batch is None:
         raise ValueError("Data not extracted")
     if table_exists(spark, target):
         staged, n = stage_batch(batch)
         if n == 0:
             return LoadResult(target, "skipped", 0)
+        cols = partition_columns(spark, target)
+        if cols:
+            _merge_partitions(spark, target, staged, n, keys, cols, root=root,
+                              check_unique=check_unique, cluster_by=cluster_by,
+                              stable=stable_partitions)
+            return LoadResult(target, "merged", n)
         merged = upsert(spark.table(target), staged, keys, source_rows=n,
                         check_unique=check_unique)
         write_snapshot(spark, _clustered(merged, cluster_by), target, root)
@@ -59,15 +76,49 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     # First load: the batch is written once, straight into the first snapshot
     # folder (no second copy); the table is registered only if it has rows
     # and its key holds.
+    batch, key_list = normalize_keys(batch, keys)
     path = snapshot_path(spark, target, root)
-    staged, n = write_batch(_clustered(batch, cluster_by), path)
+    staged, n = write_batch(_clustered(batch, cluster_by), path, partition_by)
     if n == 0:
         return LoadResult(target, "skipped", 0)
-    staged, key_list = normalize_keys(staged, keys)
     if check_unique:
         assert_unique(staged, key_list, what=f"first load of {target}")
-    if isinstance(keys, Mapping):
-        write_snapshot(spark, staged, target, root)
+    if partition_by:
+        create_partitioned_table(spark, target, path, batch.schema, partition_by, root)
     else:
         register_snapshot(spark, target, path, root)
     return LoadResult(target, "created", n)
+
+
+def _partition_key(cols: Sequence[str]):
+    """One text value per partition (NULL-safe), for ``isin`` filters that
+    prune to the touched partitions."""
+    return F.concat_ws("\u001f", *[F.coalesce(col(c).cast("string"), F.lit("\u0000"))
+                                    for c in cols])
+
+
+def _key_text(values: tuple) -> str:
+    return "\u001f".join("\u0000" if v is None else v for v in values)
+
+
+def _merge_partitions(spark: SparkSession, target: str, staged: DataFrame, n: int, keys,
+                      cols: Sequence[str], *, root, check_unique, cluster_by, stable) -> None:
+    """Upsert confined to the partitions the batch touches: the batch's own
+    partitions, plus (unless ``stable``) the partitions that currently hold
+    its keys — found with a narrow key-column probe against the broadcast
+    batch keys. Only those partitions are read, merged and rewritten."""
+    current = spark.table(target)
+    batch, key_list = normalize_keys(staged, keys)
+    touched = partition_values(batch, cols)
+    if not stable:
+        probe = small_side(batch.select(*[col(k) for k in key_list]).where(~any_null(key_list)), n)
+        holders = (current.select(*[col(c) for c in list(key_list) + list(cols)])
+                          .join(probe, key_list, "left_semi"))
+        touched |= partition_values(holders, cols)
+    part = current.where(_partition_key(cols).isin([_key_text(v) for v in touched]))
+    merged = upsert(part, batch, key_list, source_rows=n, check_unique=check_unique)
+    path = snapshot_path(spark, target, root)
+    (_clustered(merged, cluster_by).write.option("maxRecordsPerFile", max_records(spark))
+     .partitionBy(*cols).parquet(path))
+    written = written_partitions(spark.read.schema(merged.schema).parquet(path), path, cols)
+    swap_partitions(spark, target, cols, touched, written)

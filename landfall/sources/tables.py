@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from urllib.parse import unquote
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -69,9 +70,12 @@ CONF_MAX_RECORDS = "landfall.write.maxRecordsPerFile"
 DEFAULT_MAX_RECORDS = 10_000_000
 
 
+def max_records(spark: SparkSession) -> str:
+    return spark.conf.get(CONF_MAX_RECORDS, str(DEFAULT_MAX_RECORDS))
+
+
 def _writer(df: DataFrame):
-    cap = df.sparkSession.conf.get(CONF_MAX_RECORDS, str(DEFAULT_MAX_RECORDS))
-    return df.write.option("maxRecordsPerFile", cap)
+    return df.write.option("maxRecordsPerFile", max_records(df.sparkSession))
 
 
 def snapshot_path(spark: SparkSession, name: str, root: str | None = None) -> str:
@@ -107,15 +111,21 @@ def create_empty_table(spark: SparkSession, name: str, schema, root: str | None
     return True
 
 
-def write_batch(df: DataFrame, path: str) -> tuple[DataFrame, int]:
+def write_batch(df: DataFrame, path: str,
+                partition_by: Sequence[str] | None = None) -> tuple[DataFrame, int]:
     """Write ``df`` to ``path`` once and return the written rows and their
     count. The count is an observed metric of the same pass (exact: the write
     is a result stage, so a retried task is not counted twice)."""
     spark = df.sparkSession
     obs = Observation(f"landfall_batch_{uuid.uuid4().hex[:8]}")
-    _writer(df.observe(obs, F.count(F.lit(1)).alias("rows"))).parquet(path)
+    writer = _writer(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     rows = obs.get.get("rows")
-    written = spark.read.parquet(path)
+    # the schema is known: no footer inference (and an empty partitioned
+    # write, which leaves no data files, still reads back)
+    written = spark.read.schema(df.schema).parquet(path)
     if rows is None:
         rows = written.count()
     return written, int(rows)
@@ -128,3 +138,97 @@ def stage_batch(df: DataFrame) -> tuple[DataFrame, int]:
     and the upsert reads the staged files, so the count and the loaded rows
     agree even if the source changes."""
     return write_batch(df, scratch_path(df.sparkSession, "batches"))
+
+
+# ---------------------------------------------------------------- partitioned tables
+#
+# A table partitioned by columns whose value never changes for a key (an order
+# date, a region) can be upserted partition by partition: only the partitions
+# a batch touches are read and rewritten, each into a new folder, and the
+# catalog's partition entries are repointed one by one (each switch is a
+# metadata update; untouched partitions keep their files and are never read).
+
+_DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _sql_literal(value: str | None) -> str:
+    if value is None:
+        return "NULL"
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _spec(cols: Sequence[str], values: Sequence[str | None]) -> str:
+    return "PARTITION (" + ", ".join(f"`{c}` = {_sql_literal(v)}"
+                                     for c, v in zip(cols, values)) + ")"
+
+
+def _values_from_path(rel: str, cols: Sequence[str]) -> tuple:
+    """``a=1/b=x%2Fy`` -> ``("1", "x/y")`` (partition folder names are
+    percent-escaped; NULL has a reserved name)."""
+    kv = dict(seg.split("=", 1) for seg in rel.strip("/").split("/") if "=" in seg)
+    return tuple(None if kv.get(c) == _DEFAULT_PARTITION else unquote(kv.get(c, ""))
+                 for c in cols)
+
+
+def written_partitions(df: DataFrame, root: str, cols: Sequence[str]) -> dict[tuple, str]:
+    """Partition values (as text) -> folder, for a partitioned write under
+    ``root``, from the file listing (no data is read)."""
+    leaf = root.rstrip("/").rsplit("/", 1)[-1]
+    out: dict[tuple, str] = {}
+    for f in df.inputFiles():
+        folder = f.rsplit("/", 1)[0]
+        rel = folder.split(leaf, 1)[1] if leaf in folder else ""
+        out[_values_from_path(rel, cols)] = folder
+    return out
+
+
+def partition_values(df: DataFrame, cols: Sequence[str]) -> set[tuple]:
+    """Distinct partition values of ``df`` as text, formatted the way Spark
+    names partition folders (a cast to string). At most one row per
+    partition reaches the driver."""
+    rows = df.select(*[F.col(c).cast("string").alias(c) for c in cols]).distinct().collect()
+    return {tuple(r) for r in rows}
+
+
+def create_partitioned_table(spark: SparkSession, name: str, path: str, schema,
+                             partition_by: Sequence[str], root: str | None = None) -> None:
+    """Register a partitioned snapshot folder as a table whose partitions are
+    tracked by the catalog. Column types are declared (not inferred from the
+    folder names, which would turn ``"007"`` into a number)."""
+    db = name.rpartition(".")[0]
+    if db:
+        create_database(spark, db, root)
+    part = {c.lower() for c in partition_by}
+    fields = ([f for f in schema.fields if f.name.lower() not in part]
+              + [f for p in partition_by for f in schema.fields if f.name.lower() == p.lower()])
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    parts = ", ".join(f"`{c}`" for c in partition_by)
+    q = _quote_name(name)
+    spark.sql(f"CREATE TABLE {q} ({ddl}) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {q} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
+
+
+def swap_partitions(spark: SparkSession, name: str, cols: Sequence[str], touched: set[tuple],
+                    written: dict[tuple, str]) -> None:
+    """Point each touched partition at its new folder; add new partitions;
+    drop touched partitions that are now empty."""
+    existing = {_values_from_path(r[0], cols)
+                for r in spark.sql(f"SHOW PARTITIONS {_quote_name(name)}").collect()}
+    q = _quote_name(name)
+    new_specs = []
+    for values in sorted(touched, key=repr):
+        spec = _spec(cols, values)
+        if values in written and values in existing:
+            spark.sql(f"ALTER TABLE {q} {spec} SET LOCATION '{written[values]}'")
+        elif values in written:
+            new_specs.append(f"{spec} LOCATION '{written[values]}'")
+        elif values in existing:
+            spark.sql(f"ALTER TABLE {q} DROP IF EXISTS {spec}")
+    if new_specs:
+        spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS " + " ".join(new_specs))
+    spark.catalog.refreshTable(name)
