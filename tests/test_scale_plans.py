@@ -142,3 +142,25 @@ def test_hot_sort_value_is_spread_over_ranges(spark):
     assert got == sorted(got)
     deep = page(df, ["ts"], 500, 20, deep=True)
     assert [r["ts"] for r in deep.collect()] == got[10_000:10_020]
+
+
+def test_land_selected_without_the_filter_column(spark, root):
+    import datetime as dt
+    url = f"jdbc:derby:memory:sel{uuid.uuid4().hex[:8]};create=true"
+    old, new = dt.datetime(2020, 1, 1), dt.datetime(2024, 1, 2, 8)
+    src = spark.createDataFrame([(1, "a", old), (2, "b", old)], "k int, v string, ts timestamp")
+    src.write.format("jdbc").option("url", url).option("dbtable", "APP.s").mode("overwrite").save()
+    zones = Zones(raw=f"r{uuid.uuid4().hex[:6]}")
+    ctl = control_frame(spark, [{"schema_name": "APP", "table_name": "s", "primary_key": "k",
+                                 "active": True, "filter": '"ts" >= :start_date',
+                                 "selected": "k, v", "partition_column": "k",
+                                 "num_partitions": None}])
+    land(spark, ctl, JdbcConnection(url), "2024-01-02", zones=zones, root=root)
+    src2 = spark.createDataFrame([(1, "a", old), (2, "B", new), (3, "c", new)],
+                                 "k int, v string, ts timestamp")
+    src2.write.format("jdbc").option("url", url).option("dbtable", "APP.s").mode("overwrite").save()
+    recs = land(spark, ctl, JdbcConnection(url), "2024-01-03", zones=zones, root=root)
+    assert recs[0].movements == 2
+    raw = spark.table(qualified(zones.raw, "APP", "s"))
+    assert raw.columns == ["k", "v"]
+    assert rows(raw) == [(1, "a"), (2, "B"), (3, "c")]
