@@ -7,9 +7,10 @@ update), so they hold for any size and keep the same shape as the data path.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (BooleanType, IntegerType, StringType, StructField, StructType,
                                TimestampType)
@@ -133,10 +134,12 @@ def seed_control(spark: SparkSession, name: str,
     seeds = rows if isinstance(rows, DataFrame) else control_frame(spark, rows)
     seeds = seeds.select(*[F.col(f.name).cast(f.dataType) for f in CONTROL_SCHEMA.fields])
     missing = seeds.join(current.select(*CONTROL_KEY), CONTROL_KEY, "left_anti")
-    n = missing.count()
-    if n:
-        write_snapshot(spark, current.unionByName(missing), name, root)
-    return n
+    if missing.isEmpty():  # stops at the first missing row
+        return 0
+    obs = Observation(f"landfall_seed_{uuid.uuid4().hex[:8]}")
+    write_snapshot(spark, current.unionByName(missing.observe(obs, F.count(F.lit(1)).alias("n"))),
+                   name, root)
+    return int(obs.get.get("n", 0))
 
 
 def control_problems(control: DataFrame) -> DataFrame:
