@@ -33,6 +33,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--raw", default="raw", help="raw zone prefix")
     p.add_argument("--stg", default="stg", help="staging zone prefix")
     p.add_argument("--root", default=None, help="root folder for table snapshots")
+    p.add_argument("--retain", type=int, default=None,
+                   help="snapshot folders to keep per table after a merge (default: all)")
     sub = p.add_subparsers(dest="task", required=True)
     sub.add_parser("init")
     la = sub.add_parser("land")
@@ -69,11 +71,12 @@ def main(argv: list[str] | None = None) -> int:
         password = os.environ.get(args.password_env) if args.password_env else None
         conn = JdbcConnection(args.url, args.user, password, args.driver)
         land(spark, spark.table(control_table_name(zones)), conn, args.run_date, zones=zones,
-             root=root, log_table=log_table_name(zones), parallelism=args.parallel)
+             root=root, log_table=log_table_name(zones), parallelism=args.parallel,
+             retain_snapshots=args.retain)
     elif args.task == "stage":
         stage(spark, spark.table(control_table_name(zones)), sales.ROUTES, args.run_date,
               zones=zones, root=root, log_table=log_table_name(zones),
-              parallelism=args.parallel)
+              parallelism=args.parallel, retain_snapshots=args.retain)
     elif args.task in ("list-control", "list-log"):
         lister = list_control if args.task == "list-control" else list_log
         rows, info = lister(spark, args.page, args.page_length, zones=zones)

@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 
 from ..operators.upsert import normalize_keys, small_side, upsert
 from ..operators.validate import any_null, assert_unique, col
-from ..sources.tables import (create_partitioned_table, max_records, partition_columns,
+from ..sources.tables import (create_partitioned_table, expire_snapshots, max_records,
+                              partition_columns,
                               partition_values, register_snapshot, snapshot_path, stage_batch,
                               swap_partitions, table_exists, write_batch, write_snapshot,
                               written_partitions)
@@ -48,7 +49,8 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
               keys: Sequence[str] | Mapping[str, str], *, root: str | None = None,
               check_unique: bool = True, cluster_by: Sequence[str] | None = None,
               partition_by: Sequence[str] | None = None,
-              stable_partitions: bool = False) -> LoadResult:
+              stable_partitions: bool = False,
+              retain_snapshots: int | None = None) -> LoadResult:
     """``cluster_by``: columns to sort each written file by (typically the
     column of the change predicate).
 
@@ -56,7 +58,10 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     the first load; later loads follow the table's own partitioning). A batch
     then rewrites only the partitions it touches. ``stable_partitions``
     declares that a key's partition value never changes, which skips the
-    probe for rows that moved partition."""
+    probe for rows that moved partition.
+
+    ``retain_snapshots``: after a merge, delete snapshot folders beyond this
+    many (folders the table still uses are kept); ``None`` keeps them all."""
     if batch is None:
         raise ValueError("Data not extracted")
     if table_exists(spark, target):
@@ -68,10 +73,12 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
             _merge_partitions(spark, target, staged, n, keys, cols, root=root,
                               check_unique=check_unique, cluster_by=cluster_by,
                               stable=stable_partitions)
-            return LoadResult(target, "merged", n)
-        merged = upsert(spark.table(target), staged, keys, source_rows=n,
-                        check_unique=check_unique)
-        write_snapshot(spark, _clustered(merged, cluster_by), target, root)
+        else:
+            merged = upsert(spark.table(target), staged, keys, source_rows=n,
+                            check_unique=check_unique)
+            write_snapshot(spark, _clustered(merged, cluster_by), target, root)
+        if retain_snapshots is not None:
+            expire_snapshots(spark, target, retain_snapshots)
         return LoadResult(target, "merged", n)
     # First load: the batch is written once, straight into the first snapshot
     # folder (no second copy); the table is registered only if it has rows

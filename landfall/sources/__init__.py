@@ -1,11 +1,13 @@
 from .jdbc import ANSI, DERBY, SQLSERVER, Dialect, JdbcConnection, JdbcTable, dialect_for
-from .tables import (Zones, create_database, create_empty_table, database, qualified, read_table,
+from .tables import (Zones, create_database, create_empty_table, database, expire_snapshots,
+                     qualified, read_table,
                      register_snapshot, snapshot_path, stage_batch, table_exists, write_batch,
                      write_snapshot)
 
 __all__ = [
     "ANSI", "DERBY", "SQLSERVER", "Dialect", "JdbcConnection", "JdbcTable", "dialect_for",
-    "Zones", "create_database", "create_empty_table", "database", "qualified", "read_table",
+    "Zones", "create_database", "create_empty_table", "database", "expire_snapshots", "qualified",
+    "read_table",
     "register_snapshot", "snapshot_path", "stage_batch", "table_exists", "write_batch",
     "write_snapshot",
 ]

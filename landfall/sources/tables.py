@@ -63,7 +63,8 @@ def create_database(spark: SparkSession, db: str, root: str | None = None) -> No
 def _snapshot_path(spark: SparkSession, name: str, root: str | None) -> str:
     root = root or warehouse_root(spark)
     db, _, tbl = name.rpartition(".")
-    return f"{root}/{db or 'default'}.db/{tbl}/snapshot-{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
+    stamp = f"{int(time.time() * 1000):015d}"
+    return f"{root}/{db or 'default'}.db/{tbl}/snapshot-{stamp}-{uuid.uuid4().hex[:8]}"
 
 
 CONF_MAX_RECORDS = "landfall.write.maxRecordsPerFile"
@@ -232,3 +233,57 @@ def swap_partitions(spark: SparkSession, name: str, cols: Sequence[str], touched
     if new_specs:
         spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS " + " ".join(new_specs))
     spark.catalog.refreshTable(name)
+
+
+# ---------------------------------------------------------------- snapshot retention
+
+def _table_location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote_name(name)}").collect()
+    return [r["data_type"] for r in rows if r["col_name"] == "Location"][0]
+
+
+def _snapshot_folder(path: str) -> str | None:
+    """``…/tbl/snapshot-123-ab/p=1/part-0.parquet`` -> ``…/tbl/snapshot-123-ab``."""
+    parts = path.rstrip("/").split("/")
+    for i in range(len(parts) - 1, -1, -1):
+        if parts[i].startswith("snapshot-"):
+            return "/".join(parts[:i + 1])
+    return None
+
+
+def expire_snapshots(spark: SparkSession, name: str, retain: int = 2) -> list[str]:
+    """Delete snapshot folders of table ``name`` beyond the ``retain`` newest.
+
+    Folders still referenced by the table (its location, or any partition's
+    files) are always kept, whatever their age; keeping at least the previous
+    snapshot (``retain >= 2``) leaves readers that planned before the last
+    swap their files. Only ``snapshot-*`` folders next to the current one are
+    considered. Returns the deleted folders."""
+    if retain < 1:
+        raise ValueError("retain must be at least 1")
+    location = _table_location(spark, name)
+    current = _snapshot_folder(location)
+    if current is None:
+        return []
+    referenced = {current}
+    if partition_columns(spark, name):
+        referenced |= {_snapshot_folder(f) for f in spark.table(name).inputFiles()}
+    jvm = spark._jvm
+    base = jvm.org.apache.hadoop.fs.Path(current).getParent()
+    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = sorted((st.getPath().toString() for st in fs.listStatus(base)
+                      if st.isDirectory() and st.getPath().getName().startswith("snapshot-")),
+                     key=lambda p: p.rsplit("/", 1)[-1])
+    norm = {_norm_path(p) for p in referenced if p}
+    keep = {_norm_path(p) for p in folders[-retain:]} | norm
+    deleted = []
+    for p in folders:
+        if _norm_path(p) not in keep:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
+            deleted.append(p)
+    return deleted
+
+
+def _norm_path(p: str) -> str:
+    """Compare paths without their scheme spelling (``file:/x`` vs ``file:///x``)."""
+    return p.split(":", 1)[-1].lstrip("/") if p else p

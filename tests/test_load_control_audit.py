@@ -120,3 +120,33 @@ def test_append_log_by_name(spark, root, tag):
     assert log.where(F.col("ingestion_date").isNull()).count() == 0
     assert rows(log, "target_table_name", "movements", "error") == [
         ("Bad", None, "ValueError('x')"), ("Store", 3, None), ("Store", 3, None)]
+
+
+def test_expire_snapshots_keeps_current_and_recent(spark, root, tag):
+    import os
+
+    from landfall.sources import expire_snapshots
+    name = f"t_{tag}.e"
+    for i in range(4):
+        load_into(spark, spark.createDataFrame([(i, str(i))], SCHEMA), name, ["k"], root=root)
+    base = f"{root}/t_{tag}.db/e".removeprefix("file:")
+    assert len([d for d in os.listdir(base) if d.startswith("snapshot-")]) == 4
+    deleted = expire_snapshots(spark, name, retain=2)
+    assert len(deleted) == 2
+    assert len([d for d in os.listdir(base) if d.startswith("snapshot-")]) == 2
+    spark.catalog.refreshTable(name)
+    assert rows(spark.table(name)) == [(0, "0"), (1, "1"), (2, "2"), (3, "3")]
+
+
+def test_expire_snapshots_keeps_partition_folders_in_use(spark, root, tag):
+    from landfall.sources import expire_snapshots
+    name = f"t_{tag}.pe"
+    schema = "k bigint, v string, p string"
+    load_into(spark, spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], schema), name, ["k"],
+              root=root, partition_by=["p"])
+    load_into(spark, spark.createDataFrame([(1, "A", "x")], schema), name, ["k"], root=root)
+    load_into(spark, spark.createDataFrame([(3, "c", "z")], schema), name, ["k"], root=root)
+    expire_snapshots(spark, name, retain=1)
+    spark.catalog.refreshTable(name)
+    # partition y still lives in the first snapshot folder, which is kept
+    assert rows(spark.table(name), "k", "v", "p") == [(1, "A", "x"), (2, "b", "y"), (3, "c", "z")]
