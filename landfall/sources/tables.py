@@ -180,8 +180,10 @@ def written_partitions(df: DataFrame, root: str, cols: Sequence[str]) -> dict[tu
     ``root``, from the file listing (no data is read)."""
     leaf = root.rstrip("/").rsplit("/", 1)[-1]
     out: dict[tuple, str] = {}
-    for f in df.inputFiles():
-        folder = f.rsplit("/", 1)[0]
+    for uri in df.inputFiles():
+        # file listings are URIs: decode once to get the path, whose partition
+        # folder names keep Spark's own escaping (decoded per value below)
+        folder = unquote(uri).rsplit("/", 1)[0]
         rel = folder.split(leaf, 1)[1] if leaf in folder else ""
         out[_values_from_path(rel, cols)] = folder
     return out
@@ -267,7 +269,7 @@ def expire_snapshots(spark: SparkSession, name: str, retain: int = 2) -> list[st
         return []
     referenced = {current}
     if partition_columns(spark, name):
-        referenced |= {_snapshot_folder(f) for f in spark.table(name).inputFiles()}
+        referenced |= {_snapshot_folder(unquote(f)) for f in spark.table(name).inputFiles()}
     jvm = spark._jvm
     base = jvm.org.apache.hadoop.fs.Path(current).getParent()
     fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
@@ -286,4 +288,4 @@ def expire_snapshots(spark: SparkSession, name: str, retain: int = 2) -> list[st
 
 def _norm_path(p: str) -> str:
     """Compare paths without their scheme spelling (``file:/x`` vs ``file:///x``)."""
-    return p.split(":", 1)[-1].lstrip("/") if p else p
+    return unquote(p).split(":", 1)[-1].lstrip("/") if p else p

@@ -75,3 +75,17 @@ def test_partitioned_equals_plain_upsert(spark, target, batch):
     load_into(spark, bdf, t, ["k"], root=root)
     if target:
         assert rows(spark.table(t), "k", "v", "p") == expected
+
+
+def test_two_partition_columns_null_and_escaped_values(spark, root, tag):
+    t = f"pt_{tag}.m"
+    schema = "k bigint, v string, a string, b int"
+    first = spark.createDataFrame([(1, "x", "a/b", 1), (2, "y", None, 2), (3, "z", "c=d", None)],
+                                  schema)
+    load_into(spark, first, t, ["k"], root=root, partition_by=["a", "b"])
+    batch = spark.createDataFrame([(2, "Y", None, 2), (3, "Z", "c=d", None), (4, "w", "a/b", 1),
+                                   (1, "X", "e f", 5)], schema)
+    load_into(spark, batch, t, ["k"], root=root)
+    assert rows(spark.table(t), "k", "v", "a", "b") == sorted(
+        [(1, "X", "e f", 5), (2, "Y", None, 2), (3, "Z", "c=d", None), (4, "w", "a/b", 1)],
+        key=repr)
