@@ -26,10 +26,11 @@ def spark() -> SparkSession:
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.warehouse.dir", f"{scratch}/warehouse")
-         .config("spark.checkpoint.dir", f"{scratch}/checkpoint")
          .config("spark.driver.memory", "4g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    # the configured shared checkpoint folder is used as it is; a private
+    # temporary one only when none is configured
     from landfall.session import ensure_checkpoint_dir
     ensure_checkpoint_dir(s)
     yield s
