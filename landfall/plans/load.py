@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..operators.upsert import normalize_keys, small_side, upsert
 from ..operators.validate import any_null, assert_unique, col
 from ..sources.tables import (create_partitioned_table, expire_snapshots, max_records,
-                              partition_columns,
+                              partition_columns, rebalanced,
                               partition_values, register_snapshot, snapshot_path, stage_batch,
                               swap_partitions, table_exists, write_batch, write_snapshot,
                               written_partitions)
@@ -85,6 +85,8 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     # and its key holds.
     batch, key_list = normalize_keys(batch, keys)
     path = snapshot_path(spark, target, root)
+    if partition_by:  # group by partition first, then sort within each task
+        batch = rebalanced(batch, partition_by)
     staged, n = write_batch(_clustered(batch, cluster_by), path, partition_by)
     if n == 0:
         return LoadResult(target, "skipped", 0)
@@ -125,7 +127,7 @@ def _merge_partitions(spark: SparkSession, target: str, staged: DataFrame, n: in
     part = current.where(_partition_key(cols).isin([_key_text(v) for v in touched]))
     merged = upsert(part, batch, key_list, source_rows=n, check_unique=check_unique)
     path = snapshot_path(spark, target, root)
-    (_clustered(merged, cluster_by).write.option("maxRecordsPerFile", max_records(spark))
-     .partitionBy(*cols).parquet(path))
+    (_clustered(rebalanced(merged, cols), cluster_by).write
+     .option("maxRecordsPerFile", max_records(spark)).partitionBy(*cols).parquet(path))
     written = written_partitions(spark.read.schema(merged.schema).parquet(path), path, cols)
     swap_partitions(spark, target, cols, touched, written)

@@ -71,6 +71,13 @@ CONF_MAX_RECORDS = "landfall.write.maxRecordsPerFile"
 DEFAULT_MAX_RECORDS = 10_000_000
 
 
+def rebalanced(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Group rows by partition before a partitioned write, so each partition is
+    written by few tasks (not one file per task per partition). The
+    ``rebalance`` hint lets AQE merge small groups and split a large one."""
+    return df.hint("rebalance", *partition_by)
+
+
 def max_records(spark: SparkSession) -> str:
     return spark.conf.get(CONF_MAX_RECORDS, str(DEFAULT_MAX_RECORDS))
 
