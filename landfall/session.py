@@ -64,6 +64,11 @@ def build_session(master: str | None = None, app: str = "landfall",
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # broadcast only what is measured: no static broadcast from file-size
+         # estimates; AQE converts joins from actual shuffle sizes, and the
+         # library adds explicit hints after exact size checks
+         .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+         .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
          .config("spark.sql.parquet.aggregatePushdown", "true")
