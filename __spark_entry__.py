@@ -17,10 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.domains import sales
-from landfall.functions import as_text, decode_typed, render_filter, snake_case, start_date
+from landfall.functions import (as_text, decode_typed, render_filter, snake_case, split_list_col,
+                                staging_key_col, start_date)
 from landfall.functions.dates import derby_date_literal
-from landfall.operators import (duplicate_keys, merge_action_counts, null_violations, page,
-                                page_info, rename_positional, snake_case_columns, upsert)
+from landfall.operators import (duplicate_keys, key_length_mismatches, merge_action_counts,
+                                null_violations, page, page_info, rename_positional,
+                                snake_case_columns, upsert)
 from landfall.plans import (active_for_land, active_for_stage, active_schemas, land, load_into,
                             seed_control, set_flag, stage, stage_frame)
 from landfall.plans.control import CONTROL_SCHEMA
@@ -513,13 +515,11 @@ def q_control_active_stage(spark, d):
 
 
 def _size_or_null(col: str):
-    from landfall.functions import split_list_col
     return F.when(F.col(col).isNull(), F.lit(None).cast("int")).otherwise(
         F.size(split_list_col(col)))
 
 
 def q_control_key_lists(spark, d):
-    from landfall.operators import key_length_mismatches
     ctl = _control_from_customer(_read(spark, d, "customer"))
     bad = key_length_mismatches(ctl).select("schema_name", "table_name",
                                             F.lit(True).alias("lengths_differ"))
@@ -532,7 +532,6 @@ def q_control_key_lists(spark, d):
 
 
 def q_control_effective_key(spark, d):
-    from landfall.functions import staging_key_col
     ctl = _control_from_customer(_read(spark, d, "customer"))
     return ctl.select("schema_name", "table_name",
                       F.array_join(staging_key_col(), ",").alias("staging_key"))
