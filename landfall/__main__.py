@@ -44,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     la.add_argument("--password-env", help="name of the variable holding the password")
     la.add_argument("--driver")
     la.add_argument("--parallel", type=int)
+    la.add_argument("--split-by-key", action="store_true",
+                    help="read integer-keyed tables in key-modulo slices instead of date ranges")
     st = sub.add_parser("stage")
     st.add_argument("--run-date", required=True)
     st.add_argument("--parallel", type=int)
@@ -72,7 +74,7 @@ def main(argv: list[str] | None = None) -> int:
         conn = JdbcConnection(args.url, args.user, password, args.driver)
         land(spark, spark.table(control_table_name(zones)), conn, args.run_date, zones=zones,
              root=root, log_table=log_table_name(zones), parallelism=args.parallel,
-             retain_snapshots=args.retain)
+             retain_snapshots=args.retain, split_by_key=args.split_by_key)
     elif args.task == "stage":
         stage(spark, spark.table(control_table_name(zones)), sales.ROUTES, args.run_date,
               zones=zones, root=root, log_table=log_table_name(zones),

@@ -164,3 +164,26 @@ def test_land_selected_without_the_filter_column(spark, root):
     raw = spark.table(qualified(zones.raw, "APP", "s"))
     assert raw.columns == ["k", "v"]
     assert rows(raw) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_land_split_by_key(spark, root):
+    import datetime as dt
+    url = f"jdbc:derby:memory:sk{uuid.uuid4().hex[:8]};create=true"
+    day = dt.datetime(2024, 1, 2, 8)
+    ints = spark.createDataFrame([(i, "v", day) for i in range(200)], "k int, v string, ts timestamp")
+    strs = spark.createDataFrame([("a", "v", day), ("b", "w", day)], "c string, v string, ts timestamp")
+    for name, df in (("ints", ints), ("strs", strs)):
+        df.write.format("jdbc").option("url", url).option("dbtable", f"APP.{name}") \
+            .mode("overwrite").save()
+    zones = Zones(raw=f"r{uuid.uuid4().hex[:6]}")
+    ctl = control_frame(spark, [
+        {"schema_name": "APP", "table_name": "ints", "primary_key": "k", "active": True,
+         "filter": '"ts" >= :start_date', "partition_column": "ts", "num_partitions": 4},
+        {"schema_name": "APP", "table_name": "strs", "primary_key": "c", "active": True,
+         "filter": '"ts" >= :start_date', "partition_column": "ts", "num_partitions": 4}])
+    for run in ("2024-01-02", "2024-01-03"):  # full, then incremental (same rows again)
+        recs = land(spark, ctl, JdbcConnection(url), run, zones=zones, root=root,
+                    split_by_key=True)
+        assert {r.target_table_name: r.movements for r in recs} == {"ints": 200, "strs": 2}
+    assert spark.table(qualified(zones.raw, "APP", "ints")).count() == 200
+    assert spark.table(qualified(zones.raw, "APP", "strs")).count() == 2
