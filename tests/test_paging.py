@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from landfall.operators import page, page_info
@@ -58,3 +60,14 @@ def test_order_items(events):
     assert first["ts"] == events.agg(F.max("ts")).first()[0]
     with pytest.raises(ValueError):
         page(events, ["ts DESC NULLS"], 0, 1)
+
+
+@settings(max_examples=8, deadline=None)
+@given(values=st.lists(st.one_of(st.none(), st.integers(-5, 5)), min_size=0, max_size=60),
+       page_no=st.integers(0, 8), length=st.integers(1, 9), desc=st.booleans())
+def test_deep_page_property(spark, values, page_no, length, desc):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")
+    order = ["v DESC" if desc else "v", "id"]
+    shallow = [tuple(r) for r in page(df, order, page_no, length, deep=False).collect()]
+    deep = [tuple(r) for r in page(df, order, page_no, length, deep=True).collect()]
+    assert deep == shallow
