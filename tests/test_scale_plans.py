@@ -187,3 +187,33 @@ def test_land_split_by_key(spark, root):
         assert {r.target_table_name: r.movements for r in recs} == {"ints": 200, "strs": 2}
     assert spark.table(qualified(zones.raw, "APP", "ints")).count() == 200
     assert spark.table(qualified(zones.raw, "APP", "strs")).count() == 2
+
+
+def test_load_into_with_mapped_keys(spark, root, tag):
+    t = f"mk_{tag}.t"
+    load_into(spark, spark.createDataFrame([(1, "a")], "SrcK int, v string"), t, {"SrcK": "k"},
+              root=root)
+    assert spark.table(t).columns == ["k", "v"]
+    load_into(spark, spark.createDataFrame([(1, "b"), (2, "c")], "SrcK int, v string"), t,
+              {"SrcK": "k"}, root=root)
+    assert rows(spark.table(t)) == [(1, "b"), (2, "c")]
+
+
+def test_upsert_matches_column_names_case_insensitively(spark):
+    t = spark.createDataFrame([(1, "a")], "Key int, Val string")
+    s = spark.createDataFrame([(1, "b"), (2, "c")], "key int, val string")
+    out = upsert(t, s, ["KEY"])
+    assert out.columns == ["Key", "Val"]
+    assert rows(out) == [(1, "b"), (2, "c")]
+
+
+def test_stage_with_selected_columns(spark, root):
+    zones = Zones(raw=f"r{uuid.uuid4().hex[:6]}", stg=f"s{uuid.uuid4().hex[:6]}")
+    load_into(spark, spark.createDataFrame([(1, "x", 5)], "OrderID int, Note string, Qty int"),
+              qualified(zones.raw, "S", "Orders"), ["OrderID"], root=root)
+    ctl = control_frame(spark, [{"schema_name": "S", "table_name": "Orders",
+                                 "primary_key": "OrderID", "stg_primary_key": "id",
+                                 "active": True, "selected": "OrderID, Qty"}])
+    stage(spark, ctl, {("S", "Orders"): [("orders", None)]}, "2024-01-02", zones=zones, root=root)
+    out = spark.table(qualified(zones.stg, "s", "orders"))
+    assert out.columns == ["id", "qty"] and rows(out) == [(1, 5)]
