@@ -33,8 +33,10 @@ from .validate import any_null, assert_unique, col
 
 CONF_BROADCAST_BYTES = "landfall.upsert.broadcastMaxBytes"
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
-# Per-row overhead of a hashed key row beyond the raw field sizes.
+# Per-row overhead of a hashed key row beyond the raw field sizes, and the
+# extra bytes a variable-width field takes in a row (offset/length + padding).
 _ROW_OVERHEAD = 16
+_VAR_FIELD_OVERHEAD = 16
 
 Keys = Sequence[str] | Mapping[str, str] | str
 
@@ -63,7 +65,8 @@ def key_bytes(keys_df: DataFrame, n_rows: int) -> int:
             variable.append(f.name)
         else:
             fixed += w
-    total = n_rows * (_ROW_OVERHEAD + fixed)
+    # a variable-width field also takes an offset/length word and padding
+    total = n_rows * (_ROW_OVERHEAD + fixed + _VAR_FIELD_OVERHEAD * len(variable))
     if variable and n_rows:
         agg = keys_df.agg(*[F.sum(F.octet_length(col(c).cast("string"))).alias(f"b{i}")
                             for i, c in enumerate(variable)]).first()

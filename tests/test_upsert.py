@@ -93,7 +93,7 @@ def test_batch_keys_broadcast_only_within_budget(spark):
 def test_string_keys_are_measured(spark):
     from landfall.operators.upsert import key_bytes
     df = spark.createDataFrame([("abcd",), ("ef",)], "k string")
-    assert key_bytes(df, 2) == 2 * 16 + 6
+    assert key_bytes(df, 2) == 2 * (16 + 16) + 6
 
 
 def test_duplicate_keys_and_null_violations(spark):
