@@ -89,3 +89,15 @@ def test_two_partition_columns_null_and_escaped_values(spark, root, tag):
     assert rows(spark.table(t), "k", "v", "a", "b") == sorted(
         [(1, "X", "e f", 5), (2, "Y", None, 2), (3, "Z", "c=d", None), (4, "w", "a/b", 1)],
         key=repr)
+
+
+def test_mixed_case_partition_column(spark, root, tag):
+    t = f"pt_{tag}.mc"
+    schema = "OrderKey bigint, OrderStatus string, Qty int"
+    load_into(spark, spark.createDataFrame([(1, "O", 1), (2, "F", 2)], schema), t, ["OrderKey"],
+              root=root, partition_by=["OrderStatus"])
+    load_into(spark, spark.createDataFrame([(1, "F", 5), (3, "P", 1)], schema), t, ["OrderKey"],
+              root=root)
+    assert rows(spark.table(t), "OrderKey", "OrderStatus", "Qty") == [
+        (1, "F", 5), (2, "F", 2), (3, "P", 1)]
+    assert _partitions(spark, t) == ["OrderStatus=F", "OrderStatus=P"]
