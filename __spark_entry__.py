@@ -315,18 +315,18 @@ def q_upsert_stream(spark, d):
 
 # ---------------------------------------------------------------- land (JDBC -> raw)
 
-def _land_orders(spark, d, incremental: bool):
+def _land_orders(spark, d, incremental: bool, split_by_key: bool = False):
     orders = _read(spark, d, "orders")
     zones, root = _zones(), _root(spark)
     row = _control_row("APP", "orders", "o_orderkey", flt='"o_orderdate" >= :start_date',
                        part_col="o_orderdate", n_parts=4)
     land(spark, _control(spark, [row]), _derby(spark, {"orders": orders}), RUN_DATE,
-         zones=zones, root=root)
+         zones=zones, root=root, split_by_key=split_by_key)
     if incremental:
         # the source now holds the changed and the new rows
         after = upsert(orders, _changes(orders), ["o_orderkey"])
         land(spark, _control(spark, [row]), _derby(spark, {"orders": after}), RUN_DATE,
-             zones=zones, root=root)
+             zones=zones, root=root, split_by_key=split_by_key)
     return _ntz(spark.table(qualified(zones.raw, "APP", "orders")))
 
 
@@ -338,6 +338,11 @@ def q_land_incremental(spark, d):
     return _land_orders(spark, d, incremental=True)
 
 
+def q_land_split_by_key(spark, d):
+    """Full then incremental land, reading in key-modulo slices."""
+    return _land_orders(spark, d, incremental=True, split_by_key=True)
+
+
 def _land_with_log(spark, d, with_missing: bool):
     zones, root = _zones(), _root(spark)
     log_table = qualified(zones.ctr, "loading", "data_ingestion_log")
@@ -602,6 +607,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_stream": q_upsert_stream,
     "land_full": q_land_full,
     "land_incremental": q_land_incremental,
+    "land_split_by_key": q_land_split_by_key,
     "audit_append": q_audit_append,
     "audit_failures": q_audit_failures,
     "snake_case_columns": q_snake_case_columns,
@@ -691,6 +697,7 @@ FROM s LEFT JOIN orders t ON s.o_orderkey = t.o_orderkey GROUP BY 1""",
     "upsert_stream": _Q4,
     "land_full": "SELECT * FROM orders",
     "land_incremental": _Q4,
+    "land_split_by_key": _Q4,
     "audit_append": _Q13,
     "audit_failures": _Q13 + "\nUNION ALL SELECT 'missing_table', CAST(NULL AS BIGINT), true",
     "snake_case_columns": f"SELECT {_ORDERS_SNAKE} FROM orders",
