@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 
 from ..operators.upsert import normalize_keys, small_side, upsert
 from ..operators.validate import any_null, assert_unique, col
-from ..sources.tables import (create_partitioned_table, expire_snapshots, max_records,
-                              partition_columns, rebalanced,
-                              partition_values, register_snapshot, snapshot_path, stage_batch,
-                              swap_partitions, table_exists, write_batch, write_snapshot,
-                              written_partitions)
+from ..session import scratch_path
+from ..sources.tables import (create_partitioned_table, delete_path, expire_snapshots,
+                              max_records, partition_columns, partition_values, rebalanced,
+                              register_snapshot, snapshot_path, swap_partitions, table_exists,
+                              write_batch, write_snapshot, written_partitions)
 
 
 @dataclass(frozen=True)
@@ -65,8 +65,10 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     if batch is None:
         raise ValueError("Data not extracted")
     if table_exists(spark, target):
-        staged, n = stage_batch(batch)
+        batch_path = scratch_path(spark, "batches")
+        staged, n = write_batch(batch, batch_path)
         if n == 0:
+            delete_path(spark, batch_path)
             return LoadResult(target, "skipped", 0)
         cols = partition_columns(spark, target)
         if cols:
@@ -77,6 +79,9 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
             merged = upsert(spark.table(target), staged, keys, source_rows=n,
                             check_unique=check_unique)
             write_snapshot(spark, _clustered(merged, cluster_by), target, root)
+        # the merged snapshot no longer reads the staged batch
+        spark.catalog.refreshTable(target)
+        delete_path(spark, batch_path)
         if retain_snapshots is not None:
             expire_snapshots(spark, target, retain_snapshots)
         return LoadResult(target, "merged", n)

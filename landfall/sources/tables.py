@@ -139,6 +139,17 @@ def write_batch(df: DataFrame, path: str,
     return written, int(rows)
 
 
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder this library wrote (Hadoop FileSystem, any scheme).
+    Returns False when the session gives no JVM access (nothing deleted)."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:
+        return False
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).delete(p, True))
+
+
 def stage_batch(df: DataFrame) -> tuple[DataFrame, int]:
     """Materialise an extracted batch once, in the shared checkpoint folder.
 

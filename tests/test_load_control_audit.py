@@ -150,3 +150,17 @@ def test_expire_snapshots_keeps_partition_folders_in_use(spark, root, tag):
     spark.catalog.refreshTable(name)
     # partition y still lives in the first snapshot folder, which is kept
     assert rows(spark.table(name), "k", "v", "p") == [(1, "A", "x"), (2, "b", "y"), (3, "c", "z")]
+
+
+def test_merge_removes_its_staged_batch(spark, root, tag):
+    import os
+
+    from landfall.session import ensure_checkpoint_dir
+    batches = ensure_checkpoint_dir(spark).removeprefix("file:") + "/landfall/batches"
+    name = f"t_{tag}.sb"
+    load_into(spark, spark.createDataFrame([(1, "a")], SCHEMA), name, ["k"], root=root)
+    before = set(os.listdir(batches)) if os.path.isdir(batches) else set()
+    load_into(spark, spark.createDataFrame([(1, "b")], SCHEMA), name, ["k"], root=root)
+    after = set(os.listdir(batches)) if os.path.isdir(batches) else set()
+    assert after <= before
+    assert rows(spark.table(name)) == [(1, "b")]
