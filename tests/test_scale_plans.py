@@ -217,3 +217,25 @@ def test_stage_with_selected_columns(spark, root):
     stage(spark, ctl, {("S", "Orders"): [("orders", None)]}, "2024-01-02", zones=zones, root=root)
     out = spark.table(qualified(zones.stg, "s", "orders"))
     assert out.columns == ["id", "qty"] and rows(out) == [(1, 5)]
+
+
+def test_rerunning_a_day_changes_nothing(spark, root):
+    import datetime as dt
+    url = f"jdbc:derby:memory:rr{uuid.uuid4().hex[:8]};create=true"
+    old, new = dt.datetime(2020, 1, 1), dt.datetime(2024, 1, 2, 9)
+    spark.createDataFrame([(1, "a", old), (2, "b", old)], "k int, v string, ts timestamp") \
+        .write.format("jdbc").option("url", url).option("dbtable", "APP.r").mode("overwrite").save()
+    zones = Zones(raw=f"r{uuid.uuid4().hex[:6]}")
+    ctl = control_frame(spark, [{"schema_name": "APP", "table_name": "r", "primary_key": "k",
+                                 "active": True, "filter": '"ts" >= :start_date',
+                                 "partition_column": "k", "num_partitions": 2}])
+    land(spark, ctl, JdbcConnection(url), "2024-01-02", zones=zones, root=root)
+    spark.createDataFrame([(1, "a", old), (2, "B", new), (3, "c", new)],
+                          "k int, v string, ts timestamp") \
+        .write.format("jdbc").option("url", url).option("dbtable", "APP.r").mode("overwrite").save()
+    raw = qualified(zones.raw, "APP", "r")
+    land(spark, ctl, JdbcConnection(url), "2024-01-03", zones=zones, root=root)
+    once = rows(spark.table(raw))
+    land(spark, ctl, JdbcConnection(url), "2024-01-03", zones=zones, root=root)
+    assert rows(spark.table(raw)) == once
+    assert [r[:2] for r in once] == [(1, "a"), (2, "B"), (3, "c")]
