@@ -72,6 +72,8 @@ def build_session(master: str | None = None, app: str = "landfall",
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
          .config("spark.sql.parquet.aggregatePushdown", "true")
+         # deep-page checkpoints are dropped once their DataFrame is gone
+         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
          # INT96 timestamps get no row-group statistics pushdown
          .config("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
          .config("spark.driver.memory", "8g"))
