@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .validate import col as col_
 
 CONF_TOPK_MAX = "landfall.paging.topKMaxRows"
 DEFAULT_TOPK_MAX = 100_000
@@ -78,7 +79,7 @@ def page(df: DataFrame, order: OrderSpec, page: int, page_length: int,
         deep = offset + page_length > topk_max
     if not deep:
         return df.orderBy(*cols).offset(offset).limit(page_length)
-    return _deep_page(df, cols, offset, page_length)
+    return _deep_page(df, cols, offset, page_length, _string_spec(order))
 
 
 def _tie_breaker() -> Column:
@@ -88,16 +89,29 @@ def _tie_breaker() -> Column:
     return F.monotonically_increasing_id()
 
 
-def _deep_page(df: DataFrame, cols: list[Column], offset: int, length: int) -> DataFrame:
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    names = df.columns
-    ranked = (df.orderBy(*cols, _tie_breaker())
+def _string_spec(order: OrderSpec) -> list[tuple[str, bool]] | None:
+    """``["ts DESC", "id"]`` -> ``[("ts", True), ("id", False)]``; None when an
+    item is a Column (its value cannot be projected on its own)."""
+    if not order:
+        return None
+    spec = []
+    for item in order:
+        if not isinstance(item, str):
+            return None
+        parts = item.split()
+        spec.append((parts[0], len(parts) == 2 and parts[1].upper() == "DESC"))
+    return spec
+
+
+def _ranked(df: DataFrame, sort: list[Column]) -> DataFrame:
+    """``df`` range-sorted over all tasks, with each row's global position
+    ``_pos``; materialised once (``checkpoint``) so positions are stable."""
+    ranked = (df.orderBy(*sort, _tie_breaker())
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_row", F.monotonically_increasing_id()
                             .bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
                 .checkpoint(eager=True))
-    # One small row per partition: its number of rows.
+    # one small row per partition: its number of rows
     sizes = {r["_pid"]: r["n"] for r in
              ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
     starts, acc = [], 0
@@ -105,14 +119,65 @@ def _deep_page(df: DataFrame, cols: list[Column], offset: int, length: int) -> D
         starts.append(acc)
         acc += sizes.get(pid, 0)
     if not starts:
+        return ranked.withColumn("_pos", F.lit(None).cast("bigint")).limit(0)
+    pos = F.element_at(F.array(*[F.lit(x) for x in starts]), F.col("_pid") + 1) + F.col("_row")
+    return ranked.withColumn("_pos", pos)
+
+
+def _deep_page(df: DataFrame, cols: list[Column], offset: int, length: int,
+               spec: list[tuple[str, bool]] | None = None) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    names = df.columns
+    in_page = (F.col("_pos") >= offset) & (F.col("_pos") < offset + length)
+    if spec is None:  # sort given as Column expressions: rank whole rows
+        return (_ranked(df, cols).where(in_page)
+                .repartition(1).sortWithinPartitions("_pos").select(*names))
+    return _deep_page_by_keys(df, cols, spec, in_page)
+
+
+def _deep_page_by_keys(df: DataFrame, cols: list[Column], spec: list[tuple[str, bool]],
+                       in_page: Column) -> DataFrame:
+    """Locate the page on the sort columns alone, then fetch its rows.
+
+    Only the sort columns are range-sorted and checkpointed. The page's keys
+    (at most ``length`` rows) reach the driver; the rows are fetched from
+    ``df`` by a broadcast null-safe semi-join on them: keys inside the page
+    bring all their rows, the first and last keys exactly as many rows as
+    they hold in the page (ties at a page edge may be any of the tied rows,
+    as in ORDER BY)."""
+    spark = df.sparkSession
+    knames = [f"_k{i}" for i in range(len(spec))]
+    narrow = df.select(*[col_(n).alias(k) for (n, _), k in zip(spec, knames)])
+    sort = [F.col(k).desc() if d else F.col(k).asc() for (_, d), k in zip(spec, knames)]
+    keys = _ranked(narrow, sort).where(in_page).select(*knames, "_pos").collect()
+    if not keys:
         return df.limit(0)
-    pos = F.element_at(F.array(*[F.lit(s) for s in starts]), F.col("_pid") + 1) + F.col("_row")
-    # the page holds at most ``length`` rows: one task orders it
-    return (ranked.withColumn("_pos", pos)
-                  .where((F.col("_pos") >= offset) & (F.col("_pos") < offset + length))
-                  .repartition(1)
-                  .sortWithinPartitions("_pos")
-                  .select(*names))
+    keys.sort(key=lambda r: r["_pos"])
+    counts: dict[tuple, int] = {}
+    for r in keys:
+        t = tuple(r[k] for k in knames)
+        counts[t] = counts.get(t, 0) + 1
+    first, last = tuple(keys[0][k] for k in knames), tuple(keys[-1][k] for k in knames)
+    key_schema = narrow.schema
+
+    def rows_with(values: list[tuple]) -> DataFrame:
+        kdf = F.broadcast(spark.createDataFrame(values, key_schema))  # <= page length rows
+        cond = None
+        for (n, _), k in zip(spec, knames):
+            c = col_(n).eqNullSafe(kdf[k])
+            cond = c if cond is None else cond & c
+        return df.join(kdf, cond, "left_semi")
+
+    parts = [rows_with([first]).limit(counts[first])]
+    if last != first:
+        parts.append(rows_with([last]).limit(counts[last]))
+    inner = [t for t in counts if t not in (first, last)]
+    if inner:
+        parts.append(rows_with(inner))
+    page_rows = parts[0]
+    for p in parts[1:]:
+        page_rows = page_rows.unionByName(p)
+    return page_rows.repartition(1).sortWithinPartitions(*cols).select(*df.columns)
 
 
 def page_info(df: DataFrame, page: int, page_length: int) -> DataFrame:

@@ -71,3 +71,16 @@ def test_deep_page_property(spark, values, page_no, length, desc):
     shallow = [tuple(r) for r in page(df, order, page_no, length, deep=False).collect()]
     deep = [tuple(r) for r in page(df, order, page_no, length, deep=True).collect()]
     assert deep == shallow
+
+
+@settings(max_examples=8, deadline=None)
+@given(values=st.lists(st.one_of(st.none(), st.integers(-2, 2)), min_size=0, max_size=60),
+       page_no=st.integers(0, 8), length=st.integers(1, 9), desc=st.booleans())
+def test_deep_page_with_ties_at_the_edges(spark, values, page_no, length, desc):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "id int, v int")
+    order = ["v DESC" if desc else "v"]
+    shallow = [r["v"] for r in page(df, order, page_no, length, deep=False).collect()]
+    deep = page(df, order, page_no, length, deep=True).collect()
+    assert [r["v"] for r in deep] == shallow          # same sort keys in the same order
+    assert len({r["id"] for r in deep}) == len(deep)  # no row twice
+    assert all(values[r["id"]] == r["v"] for r in deep)
