@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .upsert import small_side
 from .validate import col as col_
 
 CONF_TOPK_MAX = "landfall.paging.topKMaxRows"
@@ -161,7 +162,8 @@ def _deep_page_by_keys(df: DataFrame, cols: list[Column], spec: list[tuple[str,
     key_schema = narrow.schema
 
     def rows_with(values: list[tuple]) -> DataFrame:
-        kdf = F.broadcast(spark.createDataFrame(values, key_schema))  # <= page length rows
+        # at most page-length rows; broadcast after the same size check as the upsert
+        kdf = small_side(spark.createDataFrame(values, key_schema), len(values))
         cond = None
         for (n, _), k in zip(spec, knames):
             c = col_(n).eqNullSafe(kdf[k])
