@@ -20,6 +20,7 @@ lazy and distributed as well.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -136,6 +137,36 @@ def _deep_page(df: DataFrame, cols: list[Column], offset: int, length: int,
     return _deep_page_by_keys(df, cols, spec, in_page)
 
 
+def _key_range(df: DataFrame, column: str, values: list) -> Column | None:
+    """A pre-filter on ``column`` that keeps every row whose value is among
+    ``values`` (pushed into the scan, it skips row groups outside the page's
+    range). Exact matching is left to the semi-join, so bounds only need to
+    be wide enough: timestamps get a day of slack on each side (no time-zone
+    conversion can cut rows); types without a safe order here get no filter."""
+    dtype = next(f.dataType for f in df.schema.fields if f.name.lower() == column.lower())
+    kind = dtype.simpleString()
+    present = [v for v in values if v is not None]
+    if any(isinstance(v, float) and v != v for v in present):  # NaN
+        return None
+    c = col_(column)
+    cond = None
+    if present:
+        lo, hi = min(present), max(present)
+        if kind in ("timestamp", "timestamp_ntz"):
+            day = _dt.timedelta(days=1)
+            lo = F.lit((lo - day).isoformat(sep=" ")).cast(kind)
+            hi = F.lit((hi + day).isoformat(sep=" ")).cast(kind)
+        elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double", "date",
+                      "string", "boolean") or kind.startswith("decimal"):
+            lo, hi = F.lit(lo).cast(kind), F.lit(hi).cast(kind)
+        else:
+            return None
+        cond = c.between(lo, hi)
+    if len(present) < len(values):
+        cond = c.isNull() if cond is None else (cond | c.isNull())
+    return cond
+
+
 def _deep_page_by_keys(df: DataFrame, cols: list[Column], spec: list[tuple[str, bool]],
                        in_page: Column) -> DataFrame:
     """Locate the page on the sort columns alone, then fetch its rows.
@@ -160,6 +191,8 @@ def _deep_page_by_keys(df: DataFrame, cols: list[Column], spec: list[tuple[str,
         counts[t] = counts.get(t, 0) + 1
     first, last = tuple(keys[0][k] for k in knames), tuple(keys[-1][k] for k in knames)
     key_schema = narrow.schema
+    pre = _key_range(df, spec[0][0], [r[knames[0]] for r in keys])
+    source = df.where(pre) if pre is not None else df
 
     def rows_with(values: list[tuple]) -> DataFrame:
         # at most page-length rows; broadcast after the same size check as the upsert
@@ -168,7 +201,7 @@ def _deep_page_by_keys(df: DataFrame, cols: list[Column], spec: list[tuple[str,
         for (n, _), k in zip(spec, knames):
             c = col_(n).eqNullSafe(kdf[k])
             cond = c if cond is None else cond & c
-        return df.join(kdf, cond, "left_semi")
+        return source.join(kdf, cond, "left_semi")
 
     parts = [rows_with([first]).limit(counts[first])]
     if last != first:

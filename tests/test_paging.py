@@ -84,3 +84,14 @@ def test_deep_page_with_ties_at_the_edges(spark, values, page_no, length, desc):
     assert [r["v"] for r in deep] == shallow          # same sort keys in the same order
     assert len({r["id"] for r in deep}) == len(deep)  # no row twice
     assert all(values[r["id"]] == r["v"] for r in deep)
+
+
+def test_deep_page_prefilter_reaches_the_scan(spark, events):
+    import re
+    from landfall.operators.paging import _key_range
+    cond = _key_range(events, "ts", [events.first()["ts"]])
+    plan = events.where(cond)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts", plan)
+    deep = page(events, ["ts DESC", "event_id"], 300, 25, deep=True).collect()
+    shallow = page(events, ["ts DESC", "event_id"], 300, 25, deep=False).collect()
+    assert deep == shallow
