@@ -104,7 +104,11 @@ def register_snapshot(spark: SparkSession, name: str, path: str, root: str | Non
 
 
 def write_snapshot(spark: SparkSession, df: DataFrame, name: str, root: str | None = None) -> str:
-    """Write ``df`` as the new content of table ``name`` (created if absent)."""
+    """Write ``df`` as the new content of table ``name`` (created if absent).
+    Partitioned tables are changed partition by partition (``load_into``)."""
+    if spark.catalog.tableExists(name) and partition_columns(spark, name):
+        raise ValueError(f"{name} is partitioned: its partitions are repointed one by one "
+                         "(load_into), not the whole table")
     path = _snapshot_path(spark, name, root)
     _writer(df).mode("errorifexists").parquet(path)
     register_snapshot(spark, name, path, root)

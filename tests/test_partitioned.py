@@ -101,3 +101,14 @@ def test_mixed_case_partition_column(spark, root, tag):
     assert rows(spark.table(t), "OrderKey", "OrderStatus", "Qty") == [
         (1, "F", 5), (2, "F", 2), (3, "P", 1)]
     assert _partitions(spark, t) == ["OrderStatus=F", "OrderStatus=P"]
+
+
+def test_whole_table_snapshot_refused_on_partitioned_tables(spark, root, tag):
+    import pytest
+
+    from landfall.sources import write_snapshot
+    t = f"pt_{tag}.w"
+    df = spark.createDataFrame([(1, "a", "x")], SCHEMA)
+    load_into(spark, df, t, ["k"], root=root, partition_by=["p"])
+    with pytest.raises(ValueError, match="partitioned"):
+        write_snapshot(spark, df, t, root)
