@@ -13,8 +13,10 @@ Plan shape, chosen for a large target and a comparatively small batch:
   broadcast budget, the batch keys are broadcast, so the target is **never
   shuffled**; otherwise Spark plans a sort-merge anti join (AQE may still
   switch strategy from runtime sizes, and splits skewed partitions).
-* target rows with a NULL key cannot match anything; they bypass the join
-  instead of all hashing to one reducer (a skew trap when many keys are NULL).
+* target rows with a NULL key cannot match anything; on the shuffle path
+  they bypass the join instead of all hashing to one reducer (a skew trap
+  when many keys are NULL). The broadcast path has no reducers, so it reads
+  the target once and lets the anti join keep them.
 * ``result = kept UNION ALL null_key_rows UNION ALL batch`` — no second join,
   no scan of the target's keys to find inserts.
 
@@ -127,6 +129,22 @@ def align_to_target(target: DataFrame, source: DataFrame) -> DataFrame:
     return source.select(*cols)
 
 
+def kept_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
+              source_rows: int | None = None) -> DataFrame:
+    """The target rows an upsert keeps: those whose key is not in ``source``
+    (target NULL keys included: they match nothing)."""
+    nulls = any_null(keys)
+    batch_keys = source.select(*[col(k) for k in keys]).where(~nulls)
+    target_cols = [col(c) for c in target.columns]
+    if fits_broadcast(batch_keys, source_rows):
+        # no shuffle, so NULL keys cannot pile up anywhere: one pass over the
+        # target (an anti join keeps NULL-key rows, they match nothing)
+        return target.join(F.broadcast(batch_keys), keys, "left_anti").select(*target_cols)
+    # shuffle join: NULL-key rows bypass it instead of all hashing to one reducer
+    kept = target.where(~nulls).join(batch_keys, keys, "left_anti").select(*target_cols)
+    return kept.unionByName(target.where(nulls))
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Keys, *,
            source_rows: int | None = None, check_unique: bool = True) -> DataFrame:
     """The target's rows after merging ``source`` into it by ``keys``.
@@ -138,13 +156,7 @@ def upsert(target: DataFrame, source: DataFrame, keys: Keys, *,
     source = align_to_target(target, source)
     if check_unique:
         assert_unique(source, keys)
-    nulls = any_null(keys)
-    batch_keys = small_side(source.select(*[col(k) for k in keys]).where(~nulls), source_rows)
-    kept = (target.where(~nulls)
-                  .join(batch_keys, keys, "left_anti")
-                  .select(*[col(c) for c in target.columns]))
-    null_key_rows = target.where(nulls)
-    return kept.unionByName(null_key_rows).unionByName(source)
+    return kept_rows(target, source, keys, source_rows=source_rows).unionByName(source)
 
 
 def merge_actions(target: DataFrame, source: DataFrame, keys: Keys, *,

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import normalize_keys, small_side, upsert
+from ..operators.upsert import align_to_target, kept_rows, normalize_keys, small_side, upsert
 from ..operators.validate import any_null, assert_unique, col
 from ..session import scratch_path
 from ..sources.tables import (create_partitioned_table, delete_path, expire_snapshots,
@@ -65,23 +65,23 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     if batch is None:
         raise ValueError("Data not extracted")
     if table_exists(spark, target):
-        batch_path = scratch_path(spark, "batches")
-        staged, n = write_batch(batch, batch_path)
-        if n == 0:
-            delete_path(spark, batch_path)
-            return LoadResult(target, "skipped", 0)
         cols = partition_columns(spark, target)
         if cols:
+            batch_path = scratch_path(spark, "batches")
+            staged, n = write_batch(batch, batch_path)
+            if n == 0:
+                delete_path(spark, batch_path)
+                return LoadResult(target, "skipped", 0)
             _merge_partitions(spark, target, staged, n, keys, cols, root=root,
                               check_unique=check_unique, cluster_by=cluster_by,
                               stable=stable_partitions)
+            spark.catalog.refreshTable(target)
+            delete_path(spark, batch_path)  # the new partitions no longer read it
         else:
-            merged = upsert(spark.table(target), staged, keys, source_rows=n,
-                            check_unique=check_unique)
-            write_snapshot(spark, _clustered(merged, cluster_by), target, root)
-        # the merged snapshot no longer reads the staged batch
-        spark.catalog.refreshTable(target)
-        delete_path(spark, batch_path)
+            n = _merge_whole(spark, target, batch, keys, root=root,
+                             check_unique=check_unique, cluster_by=cluster_by)
+            if n == 0:
+                return LoadResult(target, "skipped", 0)
         if retain_snapshots is not None:
             expire_snapshots(spark, target, retain_snapshots)
         return LoadResult(target, "merged", n)
@@ -104,6 +104,28 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     return LoadResult(target, "created", n)
 
 
+def _merge_whole(spark: SparkSession, target: str, batch: DataFrame, keys, *, root,
+                 check_unique: bool, cluster_by) -> int:
+    """Upsert into an unpartitioned table, writing each row once: the batch
+    (aligned to the target's columns and types) is written as the first
+    files of the next snapshot, its keys are checked, the target rows it does
+    not replace are appended next to it, and only then is the table
+    repointed. A failure before the swap leaves the table as it was."""
+    current = spark.table(target)
+    batch, key_list = normalize_keys(batch, keys)
+    path = snapshot_path(spark, target, root)
+    staged, n = write_batch(_clustered(align_to_target(current, batch), cluster_by), path)
+    if n == 0:
+        delete_path(spark, path)
+        return 0
+    if check_unique:
+        assert_unique(staged, key_list, what=f"batch for {target}")
+    kept = kept_rows(current, staged, key_list, source_rows=n)
+    kept.write.option("maxRecordsPerFile", max_records(spark)).mode("append").parquet(path)
+    register_snapshot(spark, target, path, root)
+    return n
+
+
 def _partition_key(cols: Sequence[str]):
     """One text value per partition (NULL-safe), for ``isin`` filters that
     prune to the touched partitions."""
