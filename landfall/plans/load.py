@@ -24,7 +24,7 @@ from ..session import scratch_path
 from ..sources.tables import (create_partitioned_table, delete_path, expire_snapshots,
                               max_records, partition_columns, partition_values, rebalanced,
                               register_snapshot, snapshot_path, swap_partitions, table_exists,
-                              write_batch, write_snapshot, written_partitions)
+                              write_batch, written_partitions)
 
 
 @dataclass(frozen=True)
