@@ -1,13 +1,17 @@
-"""Load dispatcher: stage the batch once, then create or upsert the target.
+"""Load dispatcher: write the batch once, then create or upsert the target.
 
-* batch has no rows -> nothing is written; an absent target stays absent
+* batch has no rows -> nothing is kept; an absent target stays absent
   (the next run is a full load again);
 * target absent -> the batch becomes the first snapshot (key uniqueness is
   checked first unless ``check_unique=False``);
-* target present -> the upsert result becomes the next snapshot.
+* target present, unpartitioned -> the batch becomes the first files of the
+  next snapshot, the target rows it does not replace are appended, and the
+  table is repointed;
+* target present, partitioned -> only the partitions the batch touches are
+  merged, rewritten and repointed.
 
 ``movements`` is the number of rows in the batch (rows selected by the
-extract, not rows that changed), counted in the same pass that staged it.
+extract, not rows that changed), counted in the same pass that wrote it.
 """
 
 from __future__ import annotations
