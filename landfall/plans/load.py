@@ -22,9 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import align_to_target, kept_rows, normalize_keys, small_side, upsert
+from ..operators.upsert import align_to_target, kept_rows, normalize_keys, small_side
 from ..operators.validate import any_null, assert_unique, col
-from ..session import scratch_path
 from ..sources.tables import (create_partitioned_table, delete_path, expire_snapshots,
                               max_records, partition_columns, partition_values, rebalanced,
                               register_snapshot, snapshot_path, swap_partitions, table_exists,
@@ -71,21 +70,14 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     if table_exists(spark, target):
         cols = partition_columns(spark, target)
         if cols:
-            batch_path = scratch_path(spark, "batches")
-            staged, n = write_batch(batch, batch_path)
-            if n == 0:
-                delete_path(spark, batch_path)
-                return LoadResult(target, "skipped", 0)
-            _merge_partitions(spark, target, staged, n, keys, cols, root=root,
-                              check_unique=check_unique, cluster_by=cluster_by,
-                              stable=stable_partitions)
-            spark.catalog.refreshTable(target)
-            delete_path(spark, batch_path)  # the new partitions no longer read it
+            n = _merge_partitions(spark, target, batch, keys, cols, root=root,
+                                  check_unique=check_unique, cluster_by=cluster_by,
+                                  stable=stable_partitions)
         else:
             n = _merge_whole(spark, target, batch, keys, root=root,
                              check_unique=check_unique, cluster_by=cluster_by)
-            if n == 0:
-                return LoadResult(target, "skipped", 0)
+        if n == 0:
+            return LoadResult(target, "skipped", 0)
         if retain_snapshots is not None:
             expire_snapshots(spark, target, retain_snapshots)
         return LoadResult(target, "merged", n)
@@ -141,24 +133,37 @@ def _key_text(values: tuple) -> str:
     return "\u001f".join("\u0000" if v is None else v for v in values)
 
 
-def _merge_partitions(spark: SparkSession, target: str, staged: DataFrame, n: int, keys,
-                      cols: Sequence[str], *, root, check_unique, cluster_by, stable) -> None:
-    """Upsert confined to the partitions the batch touches: the batch's own
-    partitions, plus (unless ``stable``) the partitions that currently hold
-    its keys — found with a narrow key-column probe against the broadcast
-    batch keys. Only those partitions are read, merged and rewritten."""
+def _merge_partitions(spark: SparkSession, target: str, batch: DataFrame, keys,
+                      cols: Sequence[str], *, root, check_unique, cluster_by, stable) -> int:
+    """Upsert confined to the partitions the batch touches, writing each row
+    once. The batch goes straight into the next snapshot folder (partitioned
+    like the table) and its keys are checked. The touched partitions are the
+    batch's own plus, unless ``stable``, those that currently hold its keys
+    (a narrow key-column probe against the broadcast batch keys). Only those
+    partitions are read; the rows the batch does not replace are appended
+    next to it, and each touched partition is repointed."""
     current = spark.table(target)
-    batch, key_list = normalize_keys(staged, keys)
-    touched = partition_values(batch, cols)
+    batch, key_list = normalize_keys(batch, keys)
+    path = snapshot_path(spark, target, root)
+    aligned = align_to_target(current, batch)
+    staged, n = write_batch(_clustered(rebalanced(aligned, cols), cluster_by), path, cols)
+    if n == 0:
+        delete_path(spark, path)
+        return 0
+    if check_unique:
+        assert_unique(staged, key_list, what=f"batch for {target}")
+    touched = partition_values(staged, cols)
     if not stable:
-        probe = small_side(batch.select(*[col(k) for k in key_list]).where(~any_null(key_list)), n)
+        probe = small_side(staged.select(*[col(k) for k in key_list])
+                                 .where(~any_null(key_list)), n)
         holders = (current.select(*[col(c) for c in list(key_list) + list(cols)])
                           .join(probe, key_list, "left_semi"))
         touched |= partition_values(holders, cols)
     part = current.where(_partition_key(cols).isin([_key_text(v) for v in touched]))
-    merged = upsert(part, batch, key_list, source_rows=n, check_unique=check_unique)
-    path = snapshot_path(spark, target, root)
-    (_clustered(rebalanced(merged, cols), cluster_by).write
-     .option("maxRecordsPerFile", max_records(spark)).partitionBy(*cols).parquet(path))
-    written = written_partitions(spark.read.schema(merged.schema).parquet(path), path, cols)
+    kept = kept_rows(part, staged, key_list, source_rows=n)
+    (_clustered(rebalanced(kept, cols), cluster_by).write
+     .option("maxRecordsPerFile", max_records(spark)).mode("append")
+     .partitionBy(*cols).parquet(path))
+    written = written_partitions(spark.read.schema(current.schema).parquet(path), path, cols)
     swap_partitions(spark, target, cols, touched, written)
+    return n
