@@ -152,7 +152,7 @@ def test_expire_snapshots_keeps_partition_folders_in_use(spark, root, tag):
     assert rows(spark.table(name), "k", "v", "p") == [(1, "A", "x"), (2, "b", "y"), (3, "c", "z")]
 
 
-def test_merge_removes_its_staged_batch(spark, root, tag):
+def test_merges_leave_nothing_in_the_scratch_folder(spark, root, tag):
     import os
 
     from landfall.session import ensure_checkpoint_dir
