@@ -22,12 +22,14 @@ from ..session import scratch_path
 
 def upsert_stream(changes: DataFrame, target: str, keys: Sequence[str] | Mapping[str, str], *,
                   checkpoint_location: str | None = None, root: str | None = None,
-                  trigger: dict | None = None) -> StreamingQuery:
+                  trigger: dict | None = None, **load_options) -> StreamingQuery:
+    """``load_options`` go to :func:`load_into` for every micro-batch
+    (``partition_by``, ``cluster_by``, ``check_unique``, ``retain_snapshots``…)."""
     spark = changes.sparkSession
     location = checkpoint_location or scratch_path(spark, "streams", target.replace(".", "_"))
 
     def each(batch: DataFrame, epoch_id: int) -> None:
-        load_into(batch.sparkSession, batch, target, keys, root=root)
+        load_into(batch.sparkSession, batch, target, keys, root=root, **load_options)
 
     writer = changes.writeStream.foreachBatch(each).option("checkpointLocation", location)
     writer = writer.trigger(**(trigger or {"availableNow": True}))
@@ -35,11 +37,12 @@ def upsert_stream(changes: DataFrame, target: str, keys: Sequence[str] | Mapping
 
 
 def upsert_available(changes: DataFrame, target: str, keys: Sequence[str] | Mapping[str, str], *,
-                     checkpoint_location: str | None = None, root: str | None = None) -> None:
+                     checkpoint_location: str | None = None, root: str | None = None,
+                     **load_options) -> None:
     """Upsert everything the change stream has now, then stop. Micro-batches
     run in a cloned session, so the caller's cached view of ``target`` is
     refreshed afterwards."""
     query = upsert_stream(changes, target, keys, checkpoint_location=checkpoint_location,
-                          root=root, trigger={"availableNow": True})
+                          root=root, trigger={"availableNow": True}, **load_options)
     query.awaitTermination()
     changes.sparkSession.catalog.refreshTable(target)

@@ -26,3 +26,19 @@ def test_stream_batches_upsert_and_replay_is_harmless(spark, root, tag):
     upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/f2"), target, ["k"],
                      root=root)
     assert rows(spark.table(target)) == [(1, "a"), (2, "B"), (3, "C")]
+
+
+def test_stream_into_a_partitioned_target(spark, root, tag):
+    target = f"st_{tag}.p"
+    schema = "k bigint, v string, p string"
+    inbox = scratch_path(spark, "inbox")
+    spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], schema).write.parquet(f"{inbox}/f1")
+    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/*"), target, ["k"],
+                     root=root, partition_by=["p"])
+    spark.createDataFrame([(2, "B", "y"), (3, "c", "z")], schema).write.parquet(f"{inbox}/f2")
+    ckpt = scratch_path(spark, "ckpt")
+    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/f2"), target, ["k"],
+                     checkpoint_location=ckpt, root=root)
+    assert rows(spark.table(target), "k", "v", "p") == [(1, "a", "x"), (2, "B", "y"), (3, "c", "z")]
+    parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect())
+    assert parts == ["p=x", "p=y", "p=z"]
