@@ -2,7 +2,7 @@
 
 Result sets that travel as text (one string per cell, plus a declared type per
 column) are turned back into typed columns: ``INT`` becomes an integer (bad
-text raises under ANSI mode), ``BOOLEAN`` is true exactly when the text is
+text raises), ``BOOLEAN`` is true exactly when the text is
 ``"true"``, NULL stays NULL, and every other declared type stays text.
 The decode is one ``select`` of casts, so it runs inside whole-stage codegen.
 """
@@ -16,7 +16,11 @@ from pyspark.sql import functions as F
 def decode_value(col: Column, type_text: str | None) -> Column:
     t = (type_text or "").strip().upper()
     if t == "INT":
-        return col.cast("int")
+        # raises on text that is not an integer, whatever the session's ANSI mode
+        as_int = col.try_cast("int")
+        return F.when(col.isNotNull() & as_int.isNull(),
+                      F.raise_error(F.concat(F.lit("not an INT: "), col))
+                      ).otherwise(as_int).cast("int")
     if t == "BOOLEAN":
         return F.when(col.isNull(), F.lit(None).cast("boolean")).otherwise(col == F.lit("true"))
     return col

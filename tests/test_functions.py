@@ -89,13 +89,18 @@ def test_decode_boolean_is_exact_text(spark):
     assert got == [True, False, False, None]
 
 
-def test_decode_bad_int_raises_under_ansi(spark):
-    df = spark.createDataFrame([("12",), ("x",)], "a string")
-    if spark.conf.get("spark.sql.ansi.enabled") == "true":
-        with pytest.raises(Exception):
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_decode_bad_int_raises(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([("12",), ("x",)], "a string")
+        with pytest.raises(Exception, match="not an INT"):
             decode_typed(df, {"a": "INT"}).collect()
-    ok = spark.createDataFrame([("12",)], "a string")
-    assert decode_typed(ok, {"a": "INT"}).first()[0] == 12
+        ok = spark.createDataFrame([(" 12 ",), (None,)], "a string")
+        assert [r[0] for r in decode_typed(ok, {"a": "INT"}).collect()] == [12, None]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
 
 
 def test_column_decode_keeps_other_types_as_text(spark):
