@@ -28,7 +28,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .validate import any_null, assert_unique, col
@@ -110,6 +110,15 @@ def normalize_keys(source: DataFrame, keys: Keys) -> tuple[DataFrame, list[str]]
     return source, keys
 
 
+def strict_cast(c: Column, dtype) -> Column:
+    """Cast that raises on a value it cannot convert (as a table insert does),
+    instead of turning it into NULL when the session is not in ANSI mode."""
+    converted = c.try_cast(dtype)
+    return F.when(c.isNotNull() & converted.isNull(),
+                  F.raise_error(F.concat(F.lit(f"cannot store as {dtype.simpleString()}: "),
+                                         c.cast("string")))).otherwise(converted).cast(dtype)
+
+
 def align_to_target(target: DataFrame, source: DataFrame) -> DataFrame:
     """Source columns in the target's order and types (a merge writes target
     types). Column sets must be equal, compared case-insensitively."""
@@ -124,7 +133,7 @@ def align_to_target(target: DataFrame, source: DataFrame) -> DataFrame:
     for f in target.schema.fields:
         c = col(s_names[f.name.lower()])
         if s_types[f.name.lower()] != f.dataType:
-            c = c.cast(f.dataType)
+            c = strict_cast(c, f.dataType)
         cols.append(c.alias(f.name))
     return source.select(*cols)
 

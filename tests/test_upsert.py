@@ -119,3 +119,18 @@ def test_upsert_properties(spark, target, batch):
     expected = dict(target)
     expected.update(dict(batch))
     assert rows(once) == sorted(expected.items(), key=repr)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_unconvertible_source_values_raise(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        t = spark.createDataFrame([(1, 10)], "k bigint, n int")
+        bad = spark.createDataFrame([(2, "x")], "k bigint, n string")
+        with pytest.raises(Exception, match="cannot store as int"):
+            upsert(t, bad, ["k"]).collect()
+        good = spark.createDataFrame([(2, "20")], "k bigint, n string")
+        assert rows(upsert(t, good, ["k"])) == [(1, 10), (2, 20)]
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
