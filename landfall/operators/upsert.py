@@ -178,7 +178,7 @@ def merge_actions(target: DataFrame, source: DataFrame, keys: Keys, *,
     set is bounded by the batch size."""
     source, keys = normalize_keys(source, keys)
     t_types = {f.name.lower(): f.dataType for f in target.schema.fields}
-    src = source.select(*[col(k).cast(t_types[k.lower()]).alias(k) for k in keys])
+    src = source.select(*[strict_cast(col(k), t_types[k.lower()]).alias(k) for k in keys])
     nulls = any_null(keys)
     probe = src.where(~nulls)
     # matched keys are a subset of the batch keys: the batch's measured size
