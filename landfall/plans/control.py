@@ -12,8 +12,8 @@ from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import (BooleanType, IntegerType, StringType, StructField, StructType,
-                               TimestampType)
+from pyspark.sql.types import (BooleanType, IntegerType, LongType, StringType, StructField,
+                               StructType, TimestampType)
 
 from ..functions.lists import split_list_col, staging_key_col
 from ..operators.validate import key_length_mismatches
@@ -42,7 +42,8 @@ LOG_SCHEMA = StructType([
     StructField("target_catalog_name", StringType(), True),
     StructField("target_schema_name", StringType(), True),
     StructField("target_table_name", StringType(), True),
-    StructField("movements", IntegerType(), True),
+    # bigint, not int: one table's batch can exceed 2^31 rows at scale
+    StructField("movements", LongType(), True),
     StructField("error", StringType(), True),
 ])
 LOG_KEY = ["target_catalog_name", "target_schema_name", "target_table_name", "ingestion_date"]

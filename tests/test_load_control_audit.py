@@ -164,3 +164,10 @@ def test_merges_leave_nothing_in_the_scratch_folder(spark, root, tag):
     after = set(os.listdir(batches)) if os.path.isdir(batches) else set()
     assert after <= before
     assert rows(spark.table(name)) == [(1, "b")]
+
+
+def test_log_holds_counts_beyond_32_bits(spark, root, tag):
+    name = f"c_{tag}.big_log"
+    append_log(spark, name, [LogRecord("raw", "S", "Big", None, "S", "Big",
+                                       movements=3_000_000_000)], root)
+    assert spark.table(name).first()["movements"] == 3_000_000_000
