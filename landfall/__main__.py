@@ -61,6 +61,7 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> int:
+    """Run one task with the session the job was submitted with."""
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"landfall-{args.task}").getOrCreate()
     ensure_checkpoint_dir(spark)

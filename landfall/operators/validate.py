@@ -54,6 +54,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> None:
+    """Raise :class:`KeyViolation` if a non-NULL key repeats (a few examples
+    are quoted)."""
     dups = duplicate_keys(df, keys)
     if not dups.isEmpty():
         sample = dups.limit(3).collect()
@@ -66,6 +68,7 @@ def null_violations(df: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def assert_not_null(df: DataFrame, required: Sequence[str], what: str = "table") -> None:
+    """Raise :class:`KeyViolation` if a required column holds NULLs."""
     if not required:
         return
     bad = df.where(any_null(list(required)))

@@ -32,6 +32,7 @@ from ..sources.tables import (create_partitioned_table, delete_path, expire_snap
 
 @dataclass(frozen=True)
 class LoadResult:
+    """What one load did: ``mode`` and the batch's row count."""
     table: str
     mode: str  # "created" | "merged" | "skipped"
     movements: int
