@@ -1,8 +1,9 @@
 """Session helpers: where scratch data and table snapshots go.
 
 On a cluster, ``spark.checkpoint.dir`` names a shared folder; it is read from
-the session and never overridden. Only when it is unset (local runs, tests)
-is a private temporary folder used.
+the session and never overridden. Only when it is unset in a local-mode
+session (tests, local runs) is a private temporary folder used; an unset
+value on a cluster is an error.
 """
 
 from __future__ import annotations
@@ -29,6 +30,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not configured and sc is not None:
         configured = sc.getConf().get(CONF_CHECKPOINT, None)
     if not configured:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not str(master).startswith("local"):
+            # executors on other machines cannot share a local temporary folder
+            raise RuntimeError("spark.checkpoint.dir is not set: point it at a folder every "
+                               "executor can reach (staged data and checkpoints go there)")
         configured = tempfile.mkdtemp(prefix="landfall-ckpt-")
         if sc is None:
             spark.conf.set(CONF_CHECKPOINT, configured)
