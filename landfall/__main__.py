@@ -46,9 +46,13 @@ def _parser() -> argparse.ArgumentParser:
     la.add_argument("--parallel", type=int)
     la.add_argument("--split-by-key", action="store_true",
                     help="read integer-keyed tables in key-modulo slices instead of date ranges")
+    la.add_argument("--no-key-check", action="store_true",
+                    help="skip the batch key-uniqueness check (the source enforces the key)")
     st = sub.add_parser("stage")
     st.add_argument("--run-date", required=True)
     st.add_argument("--parallel", type=int)
+    st.add_argument("--no-key-check", action="store_true",
+                    help="skip the batch key-uniqueness check")
     for name in ("list-control", "list-log"):
         ls = sub.add_parser(name)
         ls.add_argument("--page", type=int, default=0)
@@ -75,11 +79,13 @@ def main(argv: list[str] | None = None) -> int:
         conn = JdbcConnection(args.url, args.user, password, args.driver)
         land(spark, spark.table(control_table_name(zones)), conn, args.run_date, zones=zones,
              root=root, log_table=log_table_name(zones), parallelism=args.parallel,
-             retain_snapshots=args.retain, split_by_key=args.split_by_key)
+             retain_snapshots=args.retain, split_by_key=args.split_by_key,
+             check_unique=not args.no_key_check)
     elif args.task == "stage":
         stage(spark, spark.table(control_table_name(zones)), sales.ROUTES, args.run_date,
               zones=zones, root=root, log_table=log_table_name(zones),
-              parallelism=args.parallel, retain_snapshots=args.retain)
+              parallelism=args.parallel, retain_snapshots=args.retain,
+              check_unique=not args.no_key_check)
     elif args.task in ("list-control", "list-log"):
         lister = list_control if args.task == "list-control" else list_log
         rows, info = lister(spark, args.page, args.page_length, zones=zones)
