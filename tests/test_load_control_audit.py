@@ -171,3 +171,14 @@ def test_log_holds_counts_beyond_32_bits(spark, root, tag):
     append_log(spark, name, [LogRecord("raw", "S", "Big", None, "S", "Big",
                                        movements=3_000_000_000)], root)
     assert spark.table(name).first()["movements"] == 3_000_000_000
+
+
+def test_load_into_keeps_only_the_retained_snapshots(spark, root, tag):
+    import os
+    name = f"t_{tag}.rt"
+    for i in range(5):
+        load_into(spark, spark.createDataFrame([(i, str(i))], SCHEMA), name, ["k"], root=root,
+                  retain_snapshots=2)
+    base = f"{root}/t_{tag}.db/rt".removeprefix("file:")
+    assert len([d for d in os.listdir(base) if d.startswith("snapshot-")]) == 2
+    assert rows(spark.table(name)) == [(i, str(i)) for i in range(5)]
