@@ -81,7 +81,8 @@ def page(df: DataFrame, order: OrderSpec, page: int, page_length: int,
         deep = offset + page_length > topk_max
     if not deep:
         return df.orderBy(*cols).offset(offset).limit(page_length)
-    return _deep_page(df, cols, offset, page_length, _string_spec(order))
+    spec = _string_spec(order) if order else [(df.columns[0], False)]
+    return _deep_page(df, cols, offset, page_length, spec)
 
 
 def _tie_breaker() -> Column:
