@@ -112,3 +112,20 @@ def test_whole_table_snapshot_refused_on_partitioned_tables(spark, root, tag):
     load_into(spark, df, t, ["k"], root=root, partition_by=["p"])
     with pytest.raises(ValueError, match="partitioned"):
         write_snapshot(spark, df, t, root)
+
+
+@settings(max_examples=6, deadline=None)
+@given(target=_rows, batch=_rows)
+def test_unpartitioned_load_equals_plain_upsert(spark, target, batch):
+    import uuid
+
+    from landfall.session import scratch_path
+    root = scratch_path(spark, "test-warehouse")
+    t = f"up_{uuid.uuid4().hex[:8]}.t"
+    tdf = spark.createDataFrame(target, SCHEMA)
+    bdf = spark.createDataFrame(batch, SCHEMA)
+    expected = rows(upsert(tdf, bdf, ["k"]), "k", "v", "p")
+    load_into(spark, tdf, t, ["k"], root=root)
+    load_into(spark, bdf, t, ["k"], root=root, cluster_by=["p"])
+    if target:
+        assert rows(spark.table(t), "k", "v", "p") == expected
