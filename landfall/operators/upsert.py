@@ -56,10 +56,18 @@ def _width(dtype) -> int | None:
     return None  # variable width (string, binary, nested)
 
 
-def key_bytes(keys_df: DataFrame, n_rows: int) -> int:
+def variable_key_bytes(keys_df: DataFrame) -> dict[str, Column]:
+    """Aggregates summing the byte length of each variable-width key column
+    (to observe while the batch is written, see :func:`key_bytes`)."""
+    return {f"bytes_{f.name}": F.sum(F.octet_length(col(f.name).cast("string")))
+            for f in keys_df.schema.fields if _width(f.dataType) is None}
+
+
+def key_bytes(keys_df: DataFrame, n_rows: int, measured: dict | None = None) -> int:
     """Size estimate of a key set: exact field widths for fixed-width types;
     for variable-width keys the actual byte lengths are summed over the set
-    (one aggregate over the key columns only)."""
+    (``measured``, from :func:`variable_key_bytes` observed earlier, or one
+    aggregate over the key columns only)."""
     fixed, variable = 0, []
     for f in keys_df.schema.fields:
         w = _width(f.dataType)
@@ -70,9 +78,12 @@ def key_bytes(keys_df: DataFrame, n_rows: int) -> int:
     # a variable-width field also takes an offset/length word and padding
     total = n_rows * (_ROW_OVERHEAD + fixed + _VAR_FIELD_OVERHEAD * len(variable))
     if variable and n_rows:
-        agg = keys_df.agg(*[F.sum(F.octet_length(col(c).cast("string"))).alias(f"b{i}")
-                            for i, c in enumerate(variable)]).first()
-        total += sum(int(agg[f"b{i}"] or 0) for i in range(len(variable)))
+        if measured is not None and all(f"bytes_{c}" in measured for c in variable):
+            total += sum(int(measured[f"bytes_{c}"] or 0) for c in variable)
+        else:
+            agg = keys_df.agg(*[F.sum(F.octet_length(col(c).cast("string"))).alias(f"b{i}")
+                                for i, c in enumerate(variable)]).first()
+            total += sum(int(agg[f"b{i}"] or 0) for i in range(len(variable)))
     return total
 
 
@@ -80,14 +91,14 @@ def broadcast_budget(spark) -> int:
     return int(spark.conf.get(CONF_BROADCAST_BYTES, str(DEFAULT_BROADCAST_BYTES)))
 
 
-def fits_broadcast(df: DataFrame, n_rows: int | None) -> bool:
+def fits_broadcast(df: DataFrame, n_rows: int | None, measured: dict | None = None) -> bool:
     """True when ``df`` (``n_rows`` rows, exact) is within the broadcast budget."""
     if n_rows is None:
         return False
     budget = broadcast_budget(df.sparkSession)
     if n_rows * _ROW_OVERHEAD > budget:  # too big before looking at the fields
         return False
-    return key_bytes(df, n_rows) <= budget
+    return key_bytes(df, n_rows, measured) <= budget
 
 
 def small_side(df: DataFrame, n_rows: int | None) -> DataFrame:
@@ -139,13 +150,14 @@ def align_to_target(target: DataFrame, source: DataFrame) -> DataFrame:
 
 
 def kept_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
-              source_rows: int | None = None) -> DataFrame:
+              source_rows: int | None = None, measured: dict | None = None) -> DataFrame:
     """The target rows an upsert keeps: those whose key is not in ``source``
-    (target NULL keys included: they match nothing)."""
+    (target NULL keys included: they match nothing). ``measured``: key byte
+    sums observed when the batch was written (saves a pass for string keys)."""
     nulls = any_null(keys)
     batch_keys = source.select(*[col(k) for k in keys]).where(~nulls)
     target_cols = [col(c) for c in target.columns]
-    if fits_broadcast(batch_keys, source_rows):
+    if fits_broadcast(batch_keys, source_rows, measured):
         # no shuffle, so NULL keys cannot pile up anywhere: one pass over the
         # target (an anti join keeps NULL-key rows, they match nothing)
         return target.join(F.broadcast(batch_keys), keys, "left_anti").select(*target_cols)

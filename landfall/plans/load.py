@@ -22,12 +22,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import align_to_target, kept_rows, normalize_keys, small_side
+from ..operators.upsert import (align_to_target, kept_rows, normalize_keys, small_side,
+                               variable_key_bytes)
 from ..operators.validate import any_null, assert_unique, col
 from ..sources.tables import (create_partitioned_table, delete_path, expire_snapshots,
                               max_records, partition_columns, partition_values, rebalanced,
                               register_snapshot, snapshot_path, swap_partitions, table_exists,
-                              write_batch, written_partitions)
+                              write_batch, write_batch_observed, written_partitions)
 
 
 @dataclass(frozen=True)
@@ -111,13 +112,17 @@ def _merge_whole(spark: SparkSession, target: str, batch: DataFrame, keys, *, ro
     current = spark.table(target)
     batch, key_list = normalize_keys(batch, keys)
     path = snapshot_path(spark, target, root)
-    staged, n = write_batch(_clustered(align_to_target(current, batch), cluster_by), path)
+    aligned = align_to_target(current, batch)
+    # string keys: their byte sizes are observed in the same pass (broadcast check)
+    staged, n, measured = write_batch_observed(
+        _clustered(aligned, cluster_by), path,
+        metrics=variable_key_bytes(aligned.select(*[col(k) for k in key_list])))
     if n == 0:
         delete_path(spark, path)
         return 0
     if check_unique:
         assert_unique(staged, key_list, what=f"batch for {target}")
-    kept = kept_rows(current, staged, key_list, source_rows=n)
+    kept = kept_rows(current, staged, key_list, source_rows=n, measured=measured)
     kept.write.option("maxRecordsPerFile", max_records(spark)).mode("append").parquet(path)
     register_snapshot(spark, target, path, root)
     return n

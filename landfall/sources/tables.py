@@ -128,19 +128,30 @@ def write_batch(df: DataFrame, path: str,
     """Write ``df`` to ``path`` once and return the written rows and their
     count. The count is an observed metric of the same pass (exact: the write
     is a result stage, so a retried task is not counted twice)."""
+    written, rows, _ = write_batch_observed(df, path, partition_by)
+    return written, rows
+
+
+def write_batch_observed(df: DataFrame, path: str, partition_by: Sequence[str] | None = None,
+                         metrics: dict[str, Column] | None = None
+                         ) -> tuple[DataFrame, int, dict]:
+    """:func:`write_batch` that also returns extra aggregate ``metrics``
+    observed in the same pass."""
     spark = df.sparkSession
     obs = Observation(f"landfall_batch_{uuid.uuid4().hex[:8]}")
-    writer = _writer(df.observe(obs, F.count(F.lit(1)).alias("rows")))
+    extra = [c.alias(name) for name, c in (metrics or {}).items()]
+    writer = _writer(df.observe(obs, F.count(F.lit(1)).alias("rows"), *extra))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    rows = obs.get.get("rows")
+    observed = obs.get
+    rows = observed.get("rows")
     # the schema is known: no footer inference (and an empty partitioned
     # write, which leaves no data files, still reads back)
     written = spark.read.schema(df.schema).parquet(path)
     if rows is None:
         rows = written.count()
-    return written, int(rows)
+    return written, int(rows), {k: observed.get(k) for k in (metrics or {})}
 
 
 def delete_path(spark: SparkSession, path: str) -> bool:

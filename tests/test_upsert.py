@@ -134,3 +134,15 @@ def test_unconvertible_source_values_raise(spark, ansi):
         assert rows(upsert(t, good, ["k"])) == [(1, 10), (2, 20)]
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+def test_observed_key_bytes_match_the_aggregate(spark):
+    from landfall.operators.upsert import key_bytes, variable_key_bytes
+    from landfall.session import scratch_path
+    from landfall.sources.tables import write_batch_observed
+    df = spark.createDataFrame([("abcd", 1), ("ef", 2), (None, 3)], "c string, n bigint")
+    keys = df.select("c", "n")
+    _, rows_written, measured = write_batch_observed(df, scratch_path(spark, "t"),
+                                                     metrics=variable_key_bytes(keys))
+    assert rows_written == 3 and measured == {"bytes_c": 6}
+    assert key_bytes(keys, 3, measured) == key_bytes(keys, 3)
