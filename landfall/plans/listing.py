@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.paging import page, page_info
@@ -16,17 +18,23 @@ LOG_ORDER = ["ingestion_date DESC", "target_catalog_name", "target_schema_name",
 
 
 def list_control(spark: SparkSession, page_no: int, page_length: int, *,
-                 zones: Zones = Zones()) -> tuple[DataFrame, DataFrame]:
-    """(rows of the page, one-row page info) for the control table."""
+                 zones: Zones = Zones(),
+                 select: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows of the page, one-row page info) for the control table;
+    ``select`` narrows the columns."""
     df = spark.table(control_table_name(zones))
-    return page(df, CONTROL_ORDER, page_no, page_length), page_info(df, page_no, page_length)
+    return (page(df, CONTROL_ORDER, page_no, page_length, select=select),
+            page_info(df, page_no, page_length))
 
 
 def list_log(spark: SparkSession, page_no: int, page_length: int, *,
-             zones: Zones = Zones()) -> tuple[DataFrame, DataFrame]:
-    """(rows of the page, one-row page info) for the log, newest first."""
+             zones: Zones = Zones(),
+             select: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows of the page, one-row page info) for the log, newest first;
+    ``select`` narrows the columns (the sort columns must be among them)."""
     df = spark.table(log_table_name(zones))
-    return page(df, LOG_ORDER, page_no, page_length), page_info(df, page_no, page_length)
+    return (page(df, LOG_ORDER, page_no, page_length, select=select),
+            page_info(df, page_no, page_length))
 
 
 def activate(spark: SparkSession, schema_name: str, table_name: str, *,

@@ -51,3 +51,18 @@ def test_cli_land_and_stage_with_the_seeds(spark, root, capsys):
     logged = [json.loads(x) for x in lines[:-1]]
     assert sorted(r["target_table_name"] for r in logged) == ["Store", "store_demographics", "stores"]
     assert all(r["movements"] == 2 and r["error"] is None for r in logged)
+
+
+def test_init_twice_keeps_one_row_per_table(spark, root):
+    from landfall.domains import sales
+    from landfall.plans import control_table_name, deactivate, init, list_control
+    from landfall.sources import Zones
+    z = uuid.uuid4().hex[:6]
+    zones = Zones(ctr=f"c{z}", raw=f"r{z}", stg=f"s{z}")
+    init(spark, sales.seed_dicts(), zones=zones, root=root)
+    deactivate(spark, "Sales", "Store", zones=zones, root=root)
+    init(spark, sales.seed_dicts(), zones=zones, root=root)
+    ctl = spark.table(control_table_name(zones))
+    assert ctl.count() == 19 and ctl.where("NOT active").count() == 1
+    rows_, _ = list_control(spark, 0, 5, zones=zones, select=["schema_name", "table_name"])
+    assert rows_.columns == ["schema_name", "table_name"] and rows_.count() == 5
