@@ -66,12 +66,19 @@ def _check(page: int, page_length: int) -> None:
 
 def page(df: DataFrame, order: OrderSpec, page: int, page_length: int,
          select: Sequence[str] | None = None, deep: bool | None = None) -> DataFrame:
-    """Rows of page ``page`` (zero-based) in the given order. ``deep`` forces
-    (True) or forbids (False) the distributed deep-page plan; by default it is
-    chosen from ``offset + page_length``."""
+    """Rows of page ``page`` (zero-based) in the given order, projected to
+    ``select`` (the order may use columns that are not selected, as in SQL).
+    ``deep`` forces (True) or forbids (False) the distributed deep-page plan;
+    by default it is chosen from ``offset + page_length``."""
     _check(page, page_length)
-    if select is not None:
-        df = df.select(*select)
+    if not order and select:
+        order = [select[0]]
+    out = _page(df, order, page, page_length, deep)
+    return out.select(*select) if select is not None else out
+
+
+def _page(df: DataFrame, order: OrderSpec, page: int, page_length: int,
+          deep: bool | None) -> DataFrame:
     cols = sort_columns(df, order)
     if page_length == 0:
         return df.orderBy(*cols, _tie_breaker())

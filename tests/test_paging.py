@@ -95,3 +95,11 @@ def test_deep_page_prefilter_reaches_the_scan(spark, events):
     deep = page(events, ["ts DESC", "event_id"], 300, 25, deep=True).collect()
     shallow = page(events, ["ts DESC", "event_id"], 300, 25, deep=False).collect()
     assert deep == shallow
+
+
+def test_order_by_a_column_that_is_not_selected(spark):
+    df = spark.createDataFrame([(3, "c"), (1, "a"), (2, "b")], "k int, v string")
+    for deep in (False, True):
+        got = page(df, ["k DESC"], 0, 2, select=["v"], deep=deep)
+        assert got.columns == ["v"] and [r[0] for r in got.collect()] == ["c", "b"]
+    assert [r[0] for r in page(df, None, 0, 3, select=["v"]).collect()] == ["a", "b", "c"]
