@@ -57,6 +57,7 @@ def _parser() -> argparse.ArgumentParser:
         ls = sub.add_parser(name)
         ls.add_argument("--page", type=int, default=0)
         ls.add_argument("--page-length", type=int, default=20)
+        ls.add_argument("--select", help="comma list of columns to show")
     for name in ("activate", "deactivate"):
         a = sub.add_parser(name)
         a.add_argument("schema_name")
@@ -88,7 +89,8 @@ def main(argv: list[str] | None = None) -> int:
               check_unique=not args.no_key_check)
     elif args.task in ("list-control", "list-log"):
         lister = list_control if args.task == "list-control" else list_log
-        rows, info = lister(spark, args.page, args.page_length, zones=zones)
+        select = args.select.replace(" ", "").split(",") if args.select else None
+        rows, info = lister(spark, args.page, args.page_length, zones=zones, select=select)
         for r in rows.toLocalIterator():  # one page, streamed
             print(json.dumps(r.asDict(), default=str))
         print(json.dumps(info.first().asDict()))

@@ -46,7 +46,8 @@ def test_cli_land_and_stage_with_the_seeds(spark, root, capsys):
     demo = {r["business_entity_id"]: r for r in spark.table(f"s{z}_sales.store_demographics").collect()}
     assert demo[1]["number_of_employees"] == 3 and demo[2]["annual_revenue"] is None
     capsys.readouterr()
-    assert main(base + ["list-log", "--page", "0", "--page-length", "10"]) == 0
+    assert main(base + ["list-log", "--page", "0", "--page-length", "10",
+                        "--select", "target_table_name, movements, error"]) == 0
     lines = capsys.readouterr().out.strip().splitlines()
     logged = [json.loads(x) for x in lines[:-1]]
     assert sorted(r["target_table_name"] for r in logged) == ["Store", "store_demographics", "stores"]
