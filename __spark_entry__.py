@@ -16,6 +16,7 @@ cluster they need a real source database.
 
 from __future__ import annotations
 
+import importlib.util
 import uuid
 from collections.abc import Callable
 
@@ -796,6 +797,15 @@ def entry(spark: SparkSession) -> DataFrame:
     return upsert(older, staged, ["id"], source_rows=staged.count())
 
 
+def _llm():
+    """The queries module of the ``llm`` subpackage, or None where the
+    subpackage and ``corpus_pipeline.py`` were left out."""
+    for name in ("landfall.llm", "corpus_pipeline"):
+        if importlib.util.find_spec(name) is None:
+            return None
+    return importlib.import_module("landfall.llm.queries")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -804,8 +814,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
         return run
-    return {k: wrap(v) for k, v in _QUERIES.items()}
+    llm = _llm()
+    return {k: wrap(v) for k, v in (_QUERIES | (llm.queries() if llm else {})).items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLE)
+    llm = _llm()
+    return _ORACLE | (llm.oracle_sql() if llm else {})
