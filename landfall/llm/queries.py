@@ -6,14 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.llm import packing
+from landfall.llm import exact, packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing.op1,
+        "op8_exact_dedup": exact.op8,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op8_exact_dedup": exact.OP8_SQL,
+    }
