@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.llm import exact, packing
+from landfall.llm import exact, packing, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing.op1,
         "op8_exact_dedup": exact.op8,
+        "op10_url_filters": urls.op10,
     }
 
 
