@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.llm import exact, packing, urls
+from landfall.llm import exact, packing, sketches, urls
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing.op1,
+        "op4_bottom_k": sketches.op4,
         "op8_exact_dedup": exact.op8,
         "op10_url_filters": urls.op10,
     }
