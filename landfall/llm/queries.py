@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.llm import exact, packing, sketches, urls
+from landfall.llm import exact, packing, sketches, urls, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing.op1,
+        "op2_warc": warc.op2,
         "op4_bottom_k": sketches.op4,
         "op8_exact_dedup": exact.op8,
         "op10_url_filters": urls.op10,
@@ -20,5 +21,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_warc": warc.OP2_SQL,
         "op8_exact_dedup": exact.OP8_SQL,
     }
