@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.llm import exact, packing, sketches, urls, warc
+from landfall.llm import exact, packing, quality, sketches, urls, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": packing.op1,
         "op2_warc": warc.op2,
+        "op3_quality": quality.op3,
         "op4_bottom_k": sketches.op4,
         "op8_exact_dedup": exact.op8,
         "op10_url_filters": urls.op10,
