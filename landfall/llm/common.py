@@ -158,6 +158,18 @@ def words(s: TextSlice) -> Words:
     return Words(span_hash(s.data, start, end), start, end, np.searchsorted(start, s.offsets))
 
 
+class Runs:
+    """Hashes of runs of words, from one running sum over the words."""
+
+    def __init__(self, hashes: np.ndarray):
+        up, self.down = _powers(0, len(hashes) + 1)
+        self.total = np.zeros(len(hashes) + 1, dtype=np.uint64)
+        np.cumsum(hashes * up[:len(hashes)], out=self.total[1:])
+
+    def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.total[end] - self.total[begin]) * self.down[begin] + (end - begin).astype(np.uint64) * GOLD)
+
+
 _PLACE = mix(np.arange(101, 165, dtype=np.uint64) * GOLD) | np.uint64(1)
 
 

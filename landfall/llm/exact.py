@@ -120,7 +120,8 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     rows = recipes(docs, id_col=id_col, text_col=text_col, hash_bits=hash_bits)
     alike = rows.groupBy("recipe", "doc_id", "text_sha256", "n_bytes").agg(F.count(F.lit(1)).alias("copies"))
     alike = staged(alike, "alike")
-    groups = alike.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    # written before rows are joined to it: a join of plain tables is one whose hot keys Spark can split
+    groups = staged(alike.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size")), "groups")
     joined = alike.join(groups, "recipe")
     return joined.select("doc_id", "keep_id", "group_size", F.explode(F.sequence(F.lit(1).cast("long"), "copies")).alias("copy"), "text_sha256", "n_bytes") \
         .select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"), "text_sha256", "n_bytes")

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.llm import exact, near, packing, quality, sketches, urls, warc
+from landfall.llm import exact, near, packing, passages, quality, sketches, urls, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_bottom_k": sketches.op4,
         "op7_near_dedup": near.op7,
         "op8_exact_dedup": exact.op8,
+        "op9_passages": passages.op9,
         "op10_url_filters": urls.op10,
     }
 
