@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.llm import exact, near, packing, passages, quality, sketches, urls, warc
+from landfall.llm import exact, near, packing, passages, prefixes, quality, sketches, urls, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_warc": warc.op2,
         "op3_quality": quality.op3,
         "op4_bottom_k": sketches.op4,
+        "op5_prefix_counts": prefixes.op5,
         "op7_near_dedup": near.op7,
         "op8_exact_dedup": exact.op8,
         "op9_passages": passages.op9,
