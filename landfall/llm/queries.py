@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from landfall.llm import exact, near, packing, passages, prefixes, quality, sketches, urls, warc
+import corpus_pipeline
+from landfall.llm import exact, near, packing, passages, pieces, prefixes, quality, sketches, urls, warc
+
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_packing": packing.op1,
         "op2_warc": warc.op2,
         "op3_quality": quality.op3,
         "op4_bottom_k": sketches.op4,
         "op5_prefix_counts": prefixes.op5,
+        "op6_sentencepiece": pieces.op6,
         "op7_near_dedup": near.op7,
         "op8_exact_dedup": exact.op8,
         "op9_passages": passages.op9,

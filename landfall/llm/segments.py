@@ -23,15 +23,15 @@ STORE_SEGMENTS = 1_500_000
 STORE_NUMBERS = 12_000_000
 
 
-def segment_starts(s: TextSlice) -> np.ndarray:
+def segment_starts(s: TextSlice, white: np.ndarray = _SPACE) -> np.ndarray:
     """Byte positions at which a segment begins: each text's start, and each
-    run of ASCII white space that follows another character, unless that one
-    is white space too (the non-ASCII kinds), which the tokenizer takes
+    run of ``white`` bytes (ASCII white space) that follows another character, unless that one
+    is white space too (the non-ASCII kinds) or U+2581, which tokenizers take
     together with the run."""
     d = s.data
     if not len(d):
         return np.zeros(0, np.int64)
-    space = _SPACE[d]
+    space = white[d]
     begins = space.copy()
     begins[1:] &= ~space[:-1]
     begins[0] = True
@@ -39,10 +39,11 @@ def segment_starts(s: TextSlice) -> np.ndarray:
     at = at[at >= 2]
     p1, p2 = d[at - 1], d[at - 2]
     p3 = np.where(at >= 3, d[np.maximum(at - 3, 0)], 0)
-    # UTF-8 ends of U+0085 U+00A0, U+1680, U+2000-200A U+2028 U+2029 U+202F, U+205F, U+3000
+    # UTF-8 ends of U+0085 U+00A0, U+1680, U+2000-200A U+2028 U+2029 U+202F, U+205F, U+3000, U+2581
     wide = ((p2 == 0xC2) & ((p1 == 0x85) | (p1 == 0xA0))) | ((p3 == 0xE1) & (p2 == 0x9A) & (p1 == 0x80)) \
         | ((p3 == 0xE2) & (p2 == 0x80) & (((p1 >= 0x80) & (p1 <= 0x8A)) | (p1 == 0xA8) | (p1 == 0xA9) | (p1 == 0xAF))) \
-        | ((p3 == 0xE2) & (p2 == 0x81) & (p1 == 0x9F)) | ((p3 == 0xE3) & (p2 == 0x80) & (p1 == 0x80))
+        | ((p3 == 0xE2) & (p2 == 0x81) & (p1 == 0x9F)) | ((p3 == 0xE3) & (p2 == 0x80) & (p1 == 0x80)) \
+        | ((p3 == 0xE2) & (p2 == 0x96) & (p1 == 0x81))
     begins[at[wide]] = False
     begins[s.offsets[:-1][np.diff(s.offsets) > 0]] = True
     return np.flatnonzero(begins)
@@ -108,8 +109,8 @@ class SegmentStore:
     end of each new segment in them, and returns these arrays back to back
     with the length of each."""
 
-    def __init__(self, learn):
-        self.learn = learn
+    def __init__(self, learn, white: np.ndarray = _SPACE):
+        self.learn, self.white = learn, white
         self._reset()
 
     def _reset(self) -> None:
@@ -134,7 +135,7 @@ class SegmentStore:
         segment (one more than there are texts)."""
         if self.count > STORE_SEGMENTS or int(self.ends[self.count]) > STORE_NUMBERS:
             self._reset()
-        starts = segment_starts(s)
+        starts = segment_starts(s, self.white)
         bounds = np.append(starts, len(s.data)).astype(np.int64)
         first = np.searchsorted(starts, s.offsets)
         key = span_hash(s.data, bounds[:-1], bounds[1:]) | np.uint64(1)
