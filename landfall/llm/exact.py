@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import TextSlice, read, staged, text_slices
+from landfall.llm.common import TextSlice, fresh, own, read, staged, text_slices
 
 #: Chunks are 256 bytes to 16 KB, 2 KB on average beyond the least.
 LEAST, MOST, BITS = 256, 16384, 11
@@ -132,15 +132,14 @@ def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     and text alike become one, any of them."""
     found = staged(exact_dedup(docs, id_col=id_col, text_col=text_col), "exact")
     sha = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
-    gone = found.where("not kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha")).distinct()
-    stays = found.where("kept").select(F.col("doc_id").alias("_gone_id"), F.col("text_sha256").alias("_gone_sha"))
-    repeated = gone.join(stays, gone["_gone_id"].eqNullSafe(stays["_gone_id"]) & (gone["_gone_sha"] == stays["_gone_sha"]), "left_semi")
-    if not repeated.isEmpty():  # ids that repeat with their text: the one that stays would go too
-        repeated = staged(repeated, "repeated")
-        gone = gone.join(repeated, gone["_gone_id"].eqNullSafe(repeated["_gone_id"]) & (gone["_gone_sha"] == repeated["_gone_sha"]), "left_anti")
-        columns = docs.columns
-        docs = docs.withColumn("_sha", sha).dropDuplicates([id_col, "_sha"]).select(*columns)
-    return docs.join(gone, F.col(id_col).eqNullSafe(F.col("_gone_id")) & (sha == F.col("_gone_sha")), "left_anti")
+    gone_id, gone_sha = fresh(docs, "_gone_id"), fresh(docs, "_gone_sha")
+    pairs = found.groupBy(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha)).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    pairs = staged(pairs, "pairs")
+    if not pairs.where("kept AND n > 1").isEmpty():   # an id that repeats with its text: one of its rows stays
+        columns = own(docs)
+        docs = docs.withColumn(gone_sha, sha).dropDuplicates([id_col, gone_sha]).select(*columns)
+    gone = pairs.where("NOT kept").select(gone_id, gone_sha)
+    return docs.join(gone, F.col(id_col).eqNullSafe(F.col(gone_id)) & (sha == F.col(gone_sha)), "left_anti")
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from landfall.llm.common import GOLD, TextSlice, mix, read, shingles, span_hash, staged, text_slices, words
+from landfall.llm.common import GOLD, TextSlice, fresh, mix, read, shingles, span_hash, staged, text_slices, words
 from landfall.llm.components import components
 from landfall.llm.segments import spread
 
@@ -292,8 +292,9 @@ def groups(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS,
 
 def drop_near(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group, all columns as they were."""
-    gone = staged(groups(docs, id_col=id_col, text_col=text_col, **options).where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near")
-    return docs.join(gone, F.col(id_col) == F.col("_gone"), "left_anti")
+    name = fresh(docs, "_gone")
+    gone = staged(groups(docs, id_col=id_col, text_col=text_col, **options).where("not kept").select(F.col("doc_id").alias(name)).distinct(), "near")
+    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from landfall.llm.common import GOLD, SLICE_BYTES, Runs, TextSlice, Words, read, staged, text_slices, words
+from landfall.llm.common import GOLD, SLICE_BYTES, Runs, TextSlice, Words, fresh, own, read, staged, text_slices, words
 from landfall.llm.segments import spread
 
 LEAST_WORDS = 50
@@ -176,17 +176,18 @@ def cut_repeats(docs: DataFrame, *, least: int = LEAST_WORDS, id_col: str = "doc
     first occurrence; all other columns as they were, except that a column
     ``n_chars`` is counted again where text was cut."""
     found = passages(docs, least=least, id_col=id_col, text_col=text_col).where("repeat")
-    cuts = staged(found.groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("_cuts")), "cuts")
+    doc, cut, left = (fresh(docs, n) for n in ("_id", "_cuts", "_kept"))
+    cuts = staged(found.groupBy(F.col("doc_id").alias(doc)).agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias(cut)), "cuts")
     raw = F.col(text_col).cast("string").cast("binary")
     # the bytes before each cut from the end of the one before it, and those after the last
-    starts = F.concat(F.array(F.lit(0)), F.col("_cuts.end"))
-    stops = F.concat(F.col("_cuts.begin"), F.array(F.octet_length(raw)))
+    starts = F.concat(F.array(F.lit(0)), F.col(f"{cut}.end"))
+    stops = F.concat(F.col(f"{cut}.begin"), F.array(F.octet_length(raw)))
     kept = F.concat_ws("", F.transform(F.arrays_zip(starts.alias("a"), stops.alias("b")), lambda x: F.substring(raw, x["a"] + 1, x["b"] - x["a"]).cast("string")))
-    joined = docs.join(cuts, F.col(id_col) == F.col("_id"), "left").withColumn("_kept", F.when(F.col("_cuts").isNotNull(), kept))
-    out = joined.withColumn(text_col, F.coalesce("_kept", text_col))
+    joined = docs.join(cuts, F.col(id_col) == F.col(doc), "left").withColumn(left, F.when(F.col(cut).isNotNull(), kept))
+    out = joined.withColumn(text_col, F.coalesce(left, text_col))
     if "n_chars" in docs.columns and text_col != "n_chars":
-        out = out.withColumn("n_chars", F.when(F.col("_kept").isNotNull(), F.length("_kept")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col(left).isNotNull(), F.length(left)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(*own(docs))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import GOLD, TextSlice, read, span_hash, staged, text_slices, words
+from landfall.llm.common import TextSlice, fresh, own, read, span_hash, staged, text_slices, words
 
 MAX_ROWS = 50_000
 TREES, DEPTH = 40, 3
@@ -116,7 +116,7 @@ def _distinct(hashes: np.ndarray, text: np.ndarray, n: int) -> tuple[np.ndarray,
 
 def with_statistics(df: DataFrame, text_col: str = "text", name: str = "_statistics") -> DataFrame:
     """``df`` with an array of the text's statistics, in their order."""
-    at = df.columns.index(text_col)
+    at = df.columns.index(text_col)   # of a string column
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -176,7 +176,7 @@ class RuleModel:
         total = F.lit(self.intercept)
         for weight, rule in self.rules:
             total = total + F.when(_holds(rule, array), F.lit(weight)).otherwise(F.lit(0.0))
-        return 1.0 / (1.0 + F.exp(-total))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-total))
 
 
 def _holds(rule: Rule, array: str) -> Column:
@@ -237,7 +237,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", tex
     known = labels.select("doc_id").distinct()
     stats = with_statistics(rows).drop("text").join(known, "doc_id", "left_semi")
     model = train(stats, labels)
-    return with_statistics(docs, text_col).where(model.score() >= 0.5).select(*docs.columns)
+    name = fresh(docs, "_statistics")
+    return with_statistics(docs, text_col, name).where(model.score(name) >= 0.5).select(*own(docs))
 
 
 def op3(spark, sf_dir: str) -> DataFrame:

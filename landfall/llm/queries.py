@@ -10,7 +10,6 @@ import corpus_pipeline
 from landfall.llm import exact, near, packing, passages, pieces, prefixes, quality, sketches, urls, warc
 
 
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "pipeline": corpus_pipeline.run,

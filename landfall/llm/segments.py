@@ -25,9 +25,9 @@ STORE_NUMBERS = 12_000_000
 
 def segment_starts(s: TextSlice, white: np.ndarray = _SPACE) -> np.ndarray:
     """Byte positions at which a segment begins: each text's start, and each
-    run of ``white`` bytes (ASCII white space) that follows another character, unless that one
-    is white space too (the non-ASCII kinds) or U+2581, which tokenizers take
-    together with the run."""
+    run of ``white`` bytes (ASCII white space) that follows another character,
+    unless that one is white space too (the non-ASCII kinds) or U+2581, which
+    tokenizers take together with the run."""
     d = s.data
     if not len(d):
         return np.zeros(0, np.int64)

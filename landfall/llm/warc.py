@@ -82,7 +82,7 @@ def records(typed: DataFrame) -> Column:
 
 def write_archives(pages: DataFrame, path: str) -> None:
     """A folder of WARC files, each one gzip stream."""
-    typed = record_types(pages)
+    typed = record_types(pages.select("page_id", "url", "html"))
     typed.select(records(typed).alias("value")).write.option("compression", "gzip").option("lineSep", END).option("maxRecordsPerFile", MOST_RECORDS).text(path)
 
 

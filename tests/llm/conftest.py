@@ -1,0 +1,39 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import types as T
+
+#: Extra columns whose names the operators use themselves.
+CLASHING = ("open", "group", "bucket", "range", "copy", "_statistics", "_id", "_cuts", "_kept", "_gone", "_gone_id", "_gone_sha", "key", "first", "n", "a.b")
+
+
+def make_docs(spark, rows, extra=()):
+    """Documents of (id, text) pairs, with the columns of the table and more."""
+    names = ["doc_id", "text", "lang", "source", "n_chars", *extra]
+    kinds = [T.LongType(), T.StringType(), T.StringType(), T.StringType(), T.LongType(), *[T.StringType()] * len(extra)]
+    spec = T.StructType([T.StructField(*x) for x in zip(names, kinds)])
+    return spark.createDataFrame([(i, t, "en", "s", None if t is None else len(t), *["x"] * len(extra)) for i, t in rows], spec)
+
+
+def prose(seed: int, n: int) -> str:
+    r = random.Random(seed)
+    return " ".join("".join(r.choice("abcdefgho") for _ in range(r.randint(2, 7))) for _ in range(n))
+
+
+def edge_rows() -> list[tuple[int | None, str | None]]:
+    """Nulls, empty and white texts, ties, repeated rows, short and long texts."""
+    long = prose(1, 30_000)
+    return [(1, None), (2, ""), (3, " \n\t "), (None, prose(2, 80)), (None, None), (4, "two words"), (4, "two words"), (5, "two words"),
+            (6, long), (7, long + " end"), (8, "x" * 40_000), (9, "é漢😀 " * 200), (10, prose(3, 60)), (11, prose(3, 60) + " more"), (12, " " * 5000)]
+
+
+@pytest.fixture()
+def edge(spark):
+    return make_docs(spark, edge_rows(), CLASHING)
+
+
+@pytest.fixture()
+def empty(spark):
+    return make_docs(spark, [], CLASHING)
