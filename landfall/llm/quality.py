@@ -26,7 +26,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +34,9 @@ from pyspark.sql import types as T
 from landfall.llm.common import TextSlice, fresh, own, read, span_hash, staged, text_slices, words
 
 MAX_ROWS = 50_000
-TREES, DEPTH = 40, 3
+TREES, DEPTH = 20, 3
+#: Learning goes over these few rows again and again: in few tasks.
+TASKS = 6
 PENALTY = 5e-4
 SEED = 7
 
@@ -198,10 +199,9 @@ def fit(rows: DataFrame, *, trees: int = TREES, depth: int = DEPTH, penalty: flo
     rules = tree_paths(grown.toDebugString)
     if not rules:
         return RuleModel(float(np.log(counts[1] / counts[0])), [])
-    names = [f"r{i}" for i in range(len(rules))]
-    table = rows.select("label", *(_holds(r, "_statistics").cast("double").alias(n) for r, n in zip(rules, names)))
-    table = staged(VectorAssembler(inputCols=names, outputCol="vector").transform(table).select("label", "vector"), "rules")
-    found = LogisticRegression(featuresCol="vector", elasticNetParam=1.0, regParam=penalty, maxIter=200).fit(table)
+    held = F.array(*(_holds(r, "_statistics").cast("double") for r in rules))
+    table = staged(rows.select("label", array_to_vector(held).alias("vector")).coalesce(TASKS), "rules")
+    found = LogisticRegression(featuresCol="vector", elasticNetParam=1.0, regParam=penalty, maxIter=60, tol=1e-4).fit(table)
     return RuleModel(float(found.intercept), [(float(c), r) for c, r in zip(found.coefficients, rules) if c])
 
 
@@ -218,7 +218,7 @@ def train(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Rule
     n = known.count()
     if n > max_rows:
         known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < int(1_000_000 * max_rows / n))
-    return fit(staged(stats.join(known, "doc_id").select("label", "_statistics"), "learned"))
+    return fit(staged(stats.join(known, "doc_id").select("label", "_statistics").coalesce(TASKS), "learned"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_ROWS) -> DataFrame:

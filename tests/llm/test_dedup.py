@@ -1,0 +1,216 @@
+from __future__ import annotations
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from landfall.llm import exact, near, passages
+from landfall.llm.common import text_slices, words
+from landfall.llm.components import components
+from tests.conftest import SF001
+from tests.llm.conftest import CLASHING, edge_rows, make_docs, prose
+
+
+def union_find(nodes, links):
+    up = {n: n for n in nodes}
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        x, y = sorted((root(a), root(b)))
+        up[y] = x
+    return {n: root(n) for n in nodes}
+
+
+def shingle_set(text):
+    w = text.split()
+    return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset([text])
+
+
+# ------------------------------------------------------------ exact
+
+@pytest.mark.parametrize("bits", [None, 3])
+def test_exact_groups(spark, edge, bits):
+    got = exact.exact_dedup(edge, hash_bits=bits).collect()   # three bits: most hashes collide
+    rows = [(i, t or "") for i, t in edge_rows()]
+    groups = defaultdict(list)
+    for i, t in rows:
+        groups[t].append(i)
+    keep = {t: max((i for i in ids if i is not None), default=None) for t, ids in groups.items()}
+    want = sorted((str(i), str(keep[t]), len(groups[t])) for i, t in rows)
+    assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"]) for r in got) == want
+    assert sum(r["kept"] for r in got) == len(groups)
+
+
+def test_exact_edges(spark, edge, empty):
+    assert exact.exact_dedup(empty).collect() == [] and exact.drop_copies(empty).columns == empty.columns
+    left = exact.drop_copies(edge)
+    assert left.columns == edge.columns
+    got = sorted((str(r["doc_id"]), r["text"] or "") for r in left.collect())
+    keep = {}
+    for i, t in edge_rows():
+        keep[t or ""] = max(keep.get(t or "", -1), -1 if i is None else i)
+    assert got == sorted(("None" if i < 0 else str(i), t) for t, i in keep.items())
+
+
+def test_rows_repeated_with_the_largest_id_leave_one(spark):
+    docs = make_docs(spark, [(7, "same"), (7, "same"), (1, "same"), (8, "other")])
+    assert sorted((r["doc_id"], r["text"]) for r in exact.drop_copies(docs).collect()) == [(7, "same"), (8, "other")]
+
+
+def test_chunks_depend_on_their_text_only():
+    a, b = prose(1, 3000), prose(2, 4000)
+    one = list(exact.cut_points(next(text_slices(pa.array([b])))))[0]
+    two = list(exact.cut_points(next(text_slices(pa.array([a, b, a])))))
+    assert two[1] == one and two[0] == two[2] and one[-1] == len(b)
+    sizes = np.diff([0, *one])
+    assert len(one) > 3 and sizes.max() <= exact.MOST and sizes[:-1].min() >= exact.LEAST
+
+
+# ------------------------------------------------------------ near
+
+def test_near_groups_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    sets = {i: shingle_set(t) for i, t in texts.items()}
+    ids = sorted(sets)
+    links = [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert links
+    want = union_find(ids, links)
+    got = {r["doc_id"]: r["class_id"] for r in near.groups(docs).collect()}
+    assert got == want
+
+
+def edited(text, share, seed):
+    r = random.Random(seed)
+    return " ".join(f"w{r.random()}" if r.random() < share else w for w in text.split())
+
+
+def test_a_large_group_of_near_copies(spark):
+    """Blocks of a bucket, and copies of copies that aren't near the leader."""
+    base = prose(11, 300)
+    rows = [(i, edited(base, 0.002 * (i % 25), i)) for i in range(240)] + [(1000 + i, prose(100 + i, 100)) for i in range(40)]
+    near_block, near.BLOCK = near.BLOCK, 16
+    try:
+        got = {r["doc_id"]: r["class_id"] for r in near.groups(make_docs(spark, rows)).collect()}
+    finally:
+        near.BLOCK = near_block
+    sets = {i: shingle_set(t) for i, t in rows}
+    ids = sorted(sets)
+    want = union_find(ids, [(a, b) for k, a in enumerate(ids) for b in ids[k + 1:] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])])
+    assert sum(got[i] != want[i] for i in ids) <= 1   # a pair just over the threshold may share no band
+
+
+def test_near_edges(spark, edge, empty):
+    assert near.groups(empty).collect() == [] and near.drop_near(empty).columns == empty.columns
+    got = near.groups(edge).collect()
+    assert len(got) == len(edge_rows())
+    by = {(r["doc_id"], r["class_id"]) for r in got}
+    assert {(4, 4), (5, 4), (6, 6), (7, 6), (10, 10), (11, 10), (1, 1), (2, 1), (3, 3), (None, None)} <= by
+    left = near.drop_near(edge)
+    assert left.columns == edge.columns
+    assert sorted(str(r["doc_id"]) for r in left.select("doc_id").collect()) == sorted(map(str, [1, 3, 4, 4, 6, 8, 9, 10, 12, None, None]))
+
+
+def test_signatures_estimate_weighted_similarity():
+    rng = np.random.default_rng(5)
+    e = np.unique(rng.integers(0, 1 << 44, 400).astype(np.uint64))
+    x, y = rng.gamma(2.0, 2.0, len(e)) * (rng.random(len(e)) < 0.8), rng.gamma(2.0, 2.0, len(e)) * (rng.random(len(e)) < 0.8)
+    y = np.where(rng.random(len(e)) < 0.6, x, y)
+    held = [(e[w > 0], w[w > 0]) for w in (x, y)]
+    first = np.cumsum([0, *(len(a) for a, _ in held)])
+    sig = near.signatures(np.concatenate([a for a, _ in held]), np.concatenate([w for _, w in held]), first, 1500)
+    want = np.minimum(x, y).sum() / np.maximum(x, y).sum()
+    assert abs((sig[0] == sig[1]).mean() - want) < 0.06
+    assert not (sig == near._EMPTY).any()
+
+
+def test_counted_shingles_weigh_more(spark):
+    line = prose(3, 40)
+    docs = make_docs(spark, [(1, (line + " ") * 30 + prose(4, 60)), (2, (line + " ") * 30 + prose(5, 60))])
+    classes = lambda **o: {r["class_id"] for r in near.groups(docs, **o).collect()}
+    assert classes() == {1, 2} and classes(counted=True) == {1}
+
+
+def test_components(spark):
+    r = random.Random(2)
+    links = [(r.randrange(300), r.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)] + [(1, 1), (500, 500)]
+    got = {x["node"]: x["component"] for x in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    nodes = {x for a, b in links if a != b for x in (a, b)}
+    assert got == union_find(nodes, [x for x in links if x[0] != x[1]])
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+# ------------------------------------------------------------ passages
+
+def brute_force(texts, least=50):
+    """Words of each document that stand earlier elsewhere."""
+    first, out = {}, defaultdict(set)
+    split = {i: texts[i].split() for i in sorted(texts)}
+    for i, w in split.items():
+        for k in range(len(w) - least + 1):
+            a = first.setdefault(tuple(w[k:k + least]), (i, k))
+            if a != (i, k) and (a[0] != i or k - a[1] >= least):
+                out[i].update(range(k, k + least))
+    return split, out
+
+
+def covered(texts, rows):
+    out = defaultdict(set)
+    for r in rows:
+        raw = texts[r["doc_id"]].encode()
+        before, n = len(raw[:r["begin"]].split()), len(raw[r["begin"]:r["end"]].split())
+        assert n == r["n_words"] >= 50
+        if r["repeat"]:
+            out[r["doc_id"]].update(range(before, before + n))
+    return out
+
+
+def test_passages_against_brute_force(spark):
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    split, want = brute_force(texts)
+    got = covered(texts, passages.passages(docs).collect())
+    assert want and got == want
+    left = {r["doc_id"]: r for r in passages.cut_repeats(docs).collect()}
+    for i, w in split.items():
+        assert "".join(left[i]["text"].split()) == "".join(x for k, x in enumerate(w) if k not in want[i])
+        assert left[i]["n_chars"] == len(left[i]["text"])
+
+
+def test_planted_passages(spark):
+    """Shared by many, side by side, overlapping, within one text, by a hair too short."""
+    p, q, short = prose(1, 51), prose(2, 70), prose(3, 49)
+    pw = p.split()
+    rows = [(i, f"{prose(100 + i, i % 30)} {p} {prose(200 + i, 20)}") for i in range(60)]
+    rows += [(100, f"{p} {q}"), (101, f"{q} {p}"), (102, " ".join(pw[10:]) + " " + q), (103, f"{q} x {q} y {q}"), (104, " ".join(["again"] * 400)),
+             (105, short), (106, f"z {short}"), (107, " ".join(prose(9, 17).split() * 12)), (108, "é漢 " + q + "\n\tß " + q)]
+    texts = dict(rows)
+    _, want = brute_force(texts)
+    got = covered(texts, passages.passages(make_docs(spark, rows).repartition(5)).collect())
+    assert got == want
+
+
+def test_passage_edges(spark, edge, empty):
+    assert passages.passages(empty).collect() == [] and passages.cut_repeats(empty).columns == empty.columns
+    got = [(r["doc_id"], r["repeat"]) for r in passages.passages(edge).collect()]
+    assert sorted(got) == [(6, False), (7, True), (9, False), (9, True), (10, False), (11, True)]
+    left = passages.cut_repeats(edge)
+    assert left.columns == edge.columns and left.count() == edge.count()
+
+
+def test_minimisers_agree_wherever_the_window_stands():
+    shared = prose(4, 50)
+    texts = [shared, prose(5, 33) + " " + shared, shared + " " + prose(6, 200), prose(7, 80) + " " + shared + " " + prose(8, 9)]
+    s = next(text_slices(pa.array(texts)))
+    w = words(s)
+    text, anchor, first, last, key = passages.minimisers(w, 50, 10)
+    assert len(set(text.tolist())) == 4
+    assert set.intersection(*({int(k) for k, t in zip(key, text) if t == i} for i in range(4)))
+    assert (anchor >= first).all() and (anchor + 10 <= last + 50).all()
