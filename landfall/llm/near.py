@@ -11,9 +11,9 @@ similarity, at a cost that hardly grows with the number of coordinates.
 
 Signatures are cut into bands. Copies (equal shingle sets) are one node.
 Candidates are then compared by their whole sets, without all pairs of a
-bucket: first each text with the two leaders that it shares most bands with;
-then, in blocks, texts of a bucket that are still in different groups and
-whose signatures agree nearly enough. Links are pairs at or over the
+bucket: first each text with the two leaders (least ids of buckets) that it
+shares most bands with; then, in blocks, texts of a bucket that no leader has
+brought together and whose signatures agree nearly enough. Links are pairs at or over the
 threshold; groups are their connected components.
 
 Defined results: words are separated by ASCII white space and compared as they
@@ -32,7 +32,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from landfall.llm.common import GOLD, TextSlice, fresh, mix, read, shingles, span_hash, staged, text_slices, words
 from landfall.llm.components import components
@@ -172,8 +171,8 @@ def _jaccard(a: bytes, b: bytes) -> float:
 
 
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """``a, b, similarity`` of the pairs whose sets are alike enough."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a"))
+    """``a, b, similarity`` of the pairs (``a, b, set_a``) whose sets are alike
+    enough."""
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("set_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,8 +181,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
             keep = pa.array(near >= threshold)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep), pa.array(near).filter(keep)], names=["a", "b", "similarity"])
 
-    kind = pairs.schema["a"].dataType.simpleString()
-    return pairs.join(left, "a").join(right, "b").mapInArrow(run, f"a {kind}, b {kind}, similarity double")
+    return pairs.join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
 def _compared(rows: DataFrame, least: float, kind: str) -> DataFrame:
@@ -251,30 +249,28 @@ def groups(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS,
     shingle by its occurrences."""
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     every = staged(signed(docs, bands=bands, rows=rows, counted=counted), "signed")
-    kind = "bigint"
-    # groups are written before rows are joined to them: a join of plain tables is one whose hot keys Spark can split
-    copies = staged(every.groupBy("sum_a", "sum_b", "size").agg(F.min("doc_id").alias("first")), "copies")
-    members = staged(every.select("doc_id", "sum_a", "sum_b", "size").join(copies, ["sum_a", "sum_b", "size"]).select("doc_id", "first", "size"), "members")
-    nodes = members.where("doc_id = first").select("doc_id").distinct()
-    held = every.select("doc_id", "bands").join(nodes, "doc_id").select("doc_id", F.explode("bands").alias("bucket"))
-    # buckets of several texts, with their size
-    sizes = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    sizes = staged(sizes.where("least < most").select("bucket", "n"), "sizes")
-    shared = staged(held.join(sizes, "bucket"), "buckets")
-    # of each bucket the leader is the text that shares buckets with most
-    known = shared.groupBy("doc_id").agg(F.sum("n").alias("known"))
-    leaders = shared.join(known, "doc_id").groupBy("bucket").agg(F.max(F.struct("known", (-F.col("doc_id")).alias("doc"))).alias("top"))
-    leaders = staged(leaders.select("bucket", (-F.col("top.doc")).alias("leader")), "leaders")
-    common = shared.join(leaders, "bucket").where("doc_id <> leader").groupBy("doc_id", "leader").agg(F.count(F.lit(1)).alias("n"))
-    best = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.col("n").desc(), "leader"))
-    stars = staged(common.withColumn("rank", best).where(F.col("rank") <= LEADERS).select(F.col("doc_id").alias("a"), F.col("leader").alias("b")), "stars")
-    involved = shared.select("doc_id").distinct()
-    sets = staged(every.join(involved, "doc_id").select("doc_id", "bands", "sketch", "shingles").dropDuplicates(["doc_id"]), "sets")
-    links = staged(verified(stars, sets, threshold), "links")
-    # what is left: texts of a bucket in different groups
-    linked = components(links)
-    placed = shared.join(linked, F.col("doc_id") == F.col("node"), "left").select("bucket", "n", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    placed = staged(placed, "placed")
+    alike = ["sum_a", "sum_b", "size"]
+    # one node for equal sets. Groups are written before rows are joined to them: a join of plain tables is one whose
+    # hot keys Spark can split
+    nodes = staged(every.groupBy(*alike).agg(F.min("doc_id").alias("first"), F.min_by("bands", "doc_id").alias("bands")), "nodes")
+    members = every.select("doc_id", *alike).join(nodes.select(*alike, "first"), alike).select("doc_id", "first", "size")
+    held = nodes.where("first IS NOT NULL").select(F.col("first").alias("doc_id"), F.explode("bands").alias("bucket"))
+    # buckets of several texts; the least id leads
+    sizes = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("leader"), F.max("doc_id").alias("most"))
+    shared = staged(held.join(staged(sizes.where("leader < most").drop("most"), "sizes"), "bucket"), "buckets")
+    # each text with the leaders that it shares most buckets with
+    met = shared.groupBy("doc_id").agg(F.array_sort(F.collect_list("leader")).alias("leaders"))
+    runs = F.transform(F.array_distinct("leaders"), lambda x: F.struct((-F.size(F.filter("leaders", lambda y: y == x))).alias("n"), x.alias("leader")))
+    best = F.slice(F.array_sort(F.filter(runs, lambda x: x["leader"] != F.col("doc_id"))), 1, LEADERS)
+    sets = staged(every.select("doc_id", "bands", "sketch", "shingles").join(met.select("doc_id", best["leader"].alias("leaders")), "doc_id"), "sets")
+    stars = sets.select(F.col("doc_id").alias("a"), F.explode("leaders").alias("b"), F.col("shingles").alias("set_a"))
+    links = staged(verified(stars, sets, threshold).select("a", "b"), "links")
+    # what is left: texts of a bucket that don't share a leader, nor a leader's leader
+    label = links.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("label"))
+    label = staged(label, "labels")
+    above = label.select(F.col("a").alias("label"), F.col("label").alias("above"))
+    label = label.join(above, "label", "left").select(F.col("a").alias("doc_id"), F.coalesce("above", "label").alias("label"))
+    placed = staged(shared.join(label, "doc_id", "left").select("bucket", "n", "doc_id", F.coalesce("label", "doc_id").alias("component")), "placed")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     mixed = staged(mixed.where("least < most").select("bucket"), "mixed")
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
@@ -283,8 +279,10 @@ def groups(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS,
     rest = rest.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "component")
     rest = rest.join(sets.select("doc_id", "bands", "sketch"), "doc_id")
     spare = 2.5 * (threshold * (1 - threshold) / (bands * rows)) ** 0.5
-    more = verified(staged(_compared(rest, threshold - spare, kind), "pairs"), sets, threshold)
-    final = components(links.select("a", "b").unionAll(more.select("a", "b")))
+    pairs = staged(_compared(rest, threshold - spare, "bigint"), "pairs")
+    pairs = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
+    more = verified(pairs, sets, threshold).select("a", "b")
+    final = components(links.unionAll(more))
     joined = members.join(final, F.col("first") == F.col("node"), "left")
     return joined.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first")).alias("class_id"), F.col("size").alias("n_shingles")) \
         .select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"), "n_shingles")
