@@ -567,7 +567,7 @@ def q_page_all(spark, d):
 
 
 def q_page_deep(spark, d):
-    return page(_read(spark, d, "events"), ["ts DESC", "event_id"], 300, 25, deep=True)
+    return page(_read(spark, d, "events"), ["ts DESC", "event_id"], 300, 25)
 
 
 def q_page_info(spark, d):

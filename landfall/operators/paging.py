@@ -1,18 +1,18 @@
 """Ordered paging of a table: ``ORDER BY … LIMIT page_length OFFSET page * page_length``.
 
-Pages are zero-based; ``page_length = 0`` means every row (one page).
-
-Physical plans:
-
-* shallow pages (``offset + page_length`` up to ``landfall.paging.topKMaxRows``)
-  use ``orderBy().offset().limit()``, which Spark runs as a per-partition top-k
-  followed by a merge of at most that many rows — no full sort, no shuffle of
-  the table;
-* deeper pages would make that merge unbounded, so the table is range-sorted
-  across all tasks, materialised once with ``checkpoint()`` (a stable order
-  for the two passes below), each task's row count is gathered (one number per
-  partition), and the page is cut by global row position — every step is
-  distributed and no task holds more than its own partition.
+Pages are zero-based; ``page_length = 0`` means every row (one page). The
+order is total: after the columns asked for come all others, so rows that tie
+stand in the same place on every call, and the pages of a table together are
+the table, each row once. Null is the least value, as in Spark's ORDER BY.
+
+One plan serves every offset and length. The key at each end of the page is
+located by counting: a sample of keys splits the table, one narrow scan counts
+the rows between the splitters, and the stretch that holds the end is split
+again until few rows are left in it. What reaches the driver is a sample and
+its counts. The page is then a range filter between the two keys (pushed into
+the scan on the first sort column), sorted by as many tasks as it needs: no
+row of it goes through the driver or through one task, and the table itself
+is never sorted or shuffled.
 
 Page information is a one-row aggregate over the table (``count``), so it is
 lazy and distributed as well.
@@ -20,220 +20,243 @@ lazy and distributed as well.
 
 from __future__ import annotations
 
-import datetime as _dt
+from bisect import bisect_right
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
-from .upsert import small_side
 from .validate import col as col_
 
-CONF_TOPK_MAX = "landfall.paging.topKMaxRows"
-DEFAULT_TOPK_MAX = 100_000
-_ROW_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
+#: Keys sampled to split a stretch of the table, the splitters taken from
+#: them, and rows that one task may order to find a key among them.
+SAMPLE = 2_000
+SPLITTERS = 127
+FEW = 20_000
 
-OrderSpec = Sequence[str | Column] | None
+OrderSpec = Sequence[str | Column | tuple[Column, bool]] | None
 
 
-def sort_columns(df: DataFrame, order: OrderSpec) -> list[Column]:
-    """``["ts DESC", "id"]`` -> columns. No order: the first column."""
-    if not order:
-        return [F.col(df.columns[0])]
-    cols: list[Column] = []
-    for item in order:
-        if isinstance(item, Column):
-            cols.append(item)
-            continue
-        parts = item.split()
-        if len(parts) == 2 and parts[1].upper() in ("ASC", "DESC"):
-            c = F.col(parts[0])
-            cols.append(c.desc() if parts[1].upper() == "DESC" else c.asc())
-        elif len(parts) == 1:
-            cols.append(F.col(parts[0]))
-        else:
-            raise ValueError(f"cannot read sort item {item!r}")
-    return cols
+@dataclass(frozen=True)
+class SortKey:
+    """One column of the total order, in a form that compares the same way and
+    comes back from the driver unchanged."""
+
+    value: Column
+    descending: bool
+    raw: Column | None = None   # a column of the table, for pushing filters
+    kind: str = ""
 
 
 def _check(page: int, page_length: int) -> None:
-    if page < 0:
-        raise ValueError("page must be greater than or equal to 0.")
-    if page_length < 0:
-        raise ValueError("page_length must be greater than or equal to 0.")
+    for name, value in (("page", page), ("page_length", page_length)):
+        if value < 0:
+            raise ValueError(f"{name} is negative: {value}")
+
+
+def _items(df: DataFrame, order: OrderSpec) -> list[tuple[Column, bool, str | None]]:
+    """(expression, descending, name of the plain column) of each sort item."""
+    out = []
+    for item in order or [f"`{df.columns[0]}`"]:
+        if isinstance(item, Column):
+            out.append((item, False, None))
+        elif isinstance(item, tuple):
+            out.append((item[0], bool(item[1]), None))
+        else:
+            name, _, direction = item.strip().rpartition(" ") if item.strip().upper().endswith((" ASC", " DESC")) else (item.strip(), "", "ASC")
+            name = name.strip().strip("`")
+            if " " in name and name not in df.columns:
+                raise ValueError(f"not a sort item: {item!r}")
+            out.append((col_(name), direction.upper() == "DESC", name))
+    return out
+
+
+def _comparable(c: Column, kind: str) -> Column:
+    if kind == "timestamp":
+        return F.unix_micros(c)
+    if kind == "timestamp_ntz":
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    if kind == "date":
+        return F.unix_date(c)
+    if kind.startswith(("array", "map", "struct", "variant")):
+        return F.to_json(F.struct(c))
+    return c
+
+
+def _restored(value, kind: str) -> Column:
+    """A key's value as a literal of its column's type."""
+    if kind == "timestamp":
+        return F.timestamp_micros(F.lit(value))
+    if kind == "date":
+        return F.date_from_unix_date(F.lit(value))
+    return F.lit(value).cast(kind)
+
+
+def sort_keys(df: DataFrame, order: OrderSpec) -> list[SortKey]:
+    """The total order: the items asked for, then every other column."""
+    kinds = {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}
+    items = _items(df, order)
+    used = {name.lower() for _, _, name in items if name}
+    items += [(col_(c), False, c) for c in df.columns if c.lower() not in used]
+    out = []
+    for c, descending, name in items:
+        kind = kinds.get(name.lower(), "") if name else df.select(c.alias("x")).schema["x"].dataType.simpleString()
+        out.append(SortKey(_comparable(c, kind), descending, c if name else None, kind))
+    return out
+
+
+def _before(a: list[Column], b: list[Column], keys: list[SortKey]) -> Column:
+    """Whether key ``a`` comes before key ``b``."""
+    out = F.lit(False)
+    for x, y, k in reversed(list(zip(a, b, keys))):
+        low, high = (y, x) if k.descending else (x, y)
+        less = high.isNotNull() & (low.isNull() | F.coalesce(low < high, F.lit(False)))
+        out = less | (x.eqNullSafe(y) & out)
+    return out
+
+
+def _equal(a: list[Column], b: list[Column]) -> Column:
+    out = F.lit(True)
+    for x, y in zip(a, b):
+        out = out & x.eqNullSafe(y)
+    return out
+
+
+class _Locator:
+    """Finds, for a row position, the key there and how many rows of this key
+    stand before it."""
+
+    def __init__(self, df: DataFrame, keys: list[SortKey]):
+        self.keys = keys
+        self.names = [f"_k{i}" for i in range(len(keys))]
+        self.rows = df.select(*[k.value.alias(n) for k, n in zip(keys, self.names)])
+        self.types = [f.dataType for f in self.rows.schema.fields]
+        self.sort = [F.col(n).desc() if k.descending else F.col(n).asc() for k, n in zip(keys, self.names)]
+        self.counted: dict = {}
+
+    def columns(self) -> list[Column]:
+        return [F.col(n) for n in self.names]
+
+    def literal(self, values: tuple) -> list[Column]:
+        return [F.lit(v).cast(t) for v, t in zip(values, self.types)]
+
+    def _stretch(self, after: tuple | None, upto: tuple | None) -> DataFrame:
+        rows = self.rows
+        if after is not None:
+            rows = rows.where(_before(self.literal(after), self.columns(), self.keys))
+        if upto is not None:
+            rows = rows.where(_before(self.columns(), self.literal(upto), self.keys))
+        return rows
+
+    def _counts(self, after: tuple | None, upto: tuple | None) -> tuple[list[tuple], list[int]]:
+        """Splitters of a stretch, and the rows before the first, at the first,
+        between the first two, and so on."""
+        if (after, upto) not in self.counted:
+            rows = self._stretch(after, upto)
+            sample = rows.orderBy(F.rand(1)).limit(SAMPLE).orderBy(*self.sort).collect()
+            step = max(1, len(sample) // SPLITTERS)
+            found = list(dict.fromkeys(tuple(r) for r in sample[step // 2::step]))
+            arrays = [F.array(*[F.lit(v[i]).cast(t) for v in found]) for i, t in enumerate(self.types)]
+            size = 1
+            while size <= len(found):
+                size *= 2
+            at = rows.withColumn("_at", F.lit(0))   # splitters at or before the row, by halving
+            while size > 1:
+                size //= 2
+                splitter = [F.get(a, F.col("_at") + (size - 1)) for a in arrays]
+                past = (F.col("_at") + size <= len(found)) & ~_before(self.columns(), splitter, self.keys)
+                at = at.withColumn("_at", F.col("_at") + F.when(past, size).otherwise(0))
+            same = (F.col("_at") > 0) & _equal(self.columns(), [F.get(a, F.col("_at") - 1) for a in arrays])
+            got = at.groupBy((2 * F.col("_at") - F.when(same, 1).otherwise(0)).alias("slot")).count().collect()
+            counts = [0] * (2 * len(found) + 1)
+            for r in got:
+                counts[r["slot"]] = r["count"]
+            self.counted[after, upto] = found, counts
+        return self.counted[after, upto]
+
+    def find(self, position: int, total: int) -> tuple[tuple, int]:
+        after = upto = None
+        base, left = 0, total
+        while left > FEW:
+            found, counts = self._counts(after, upto)
+            ends = [base]
+            for c in counts:
+                ends.append(ends[-1] + c)
+            slot = bisect_right(ends, position) - 1
+            base, left = ends[slot], counts[slot]
+            if slot % 2:   # at a splitter
+                return found[slot // 2], position - base
+            after, upto = found[slot // 2 - 1] if slot else after, found[slot // 2] if slot // 2 < len(found) else upto
+        rows = self._stretch(after, upto)
+        key = tuple(rows.orderBy(*self.sort).offset(position - base).limit(1).first())
+        return key, position - base - rows.where(_before(self.columns(), self.literal(key), self.keys)).count()
+
+
+def _pushed(key: SortKey, start, end, has_start: bool, has_end: bool) -> Column | None:
+    """What the first sort column alone says about the page, in a form that
+    reaches the scan."""
+    if key.raw is None or key.kind.startswith(("array", "map", "struct", "variant")):
+        return None
+    c, out = key.raw, None
+    low, high = (end, start) if key.descending else (start, end)
+    has_low, has_high = (has_end, has_start) if key.descending else (has_start, has_end)
+    if has_low and low is not None:
+        out = c >= _restored(low, key.kind)
+    if has_high:
+        least = c.isNull() if high is None else (c <= _restored(high, key.kind)) | c.isNull()
+        out = least if out is None else out & (c <= _restored(high, key.kind) if high is not None else least)
+    return out
 
 
 def page(df: DataFrame, order: OrderSpec, page: int, page_length: int,
-         select: Sequence[str] | None = None, deep: bool | None = None) -> DataFrame:
+         select: Sequence[str] | None = None) -> DataFrame:
     """Rows of page ``page`` (zero-based) in the given order, projected to
     ``select`` (the order may use columns that are not selected, as in SQL).
-    ``deep`` forces (True) or forbids (False) the distributed deep-page plan;
-    by default it is chosen from ``offset + page_length``."""
+    Sort items are ``"name"``, ``"name DESC"``, a Column (ascending) or a
+    ``(Column, descending)`` pair. Locating the page runs a few narrow jobs."""
     _check(page, page_length)
     if not order and select:
-        order = [select[0]]
-    out = _page(df, order, page, page_length, deep)
-    return out.select(*select) if select is not None else out
-
-
-def _page(df: DataFrame, order: OrderSpec, page: int, page_length: int,
-          deep: bool | None) -> DataFrame:
-    cols = sort_columns(df, order)
+        order = [f"`{select[0]}`"]
+    keys = sort_keys(df, order)
+    names = [col_(c) for c in (select if select is not None else df.columns)]
+    whole = [k.value.desc() if k.descending else k.value.asc() for k in keys]
     if page_length == 0:
-        return df.orderBy(*cols, _tie_breaker())
-    offset = page * page_length
-    topk_max = int(df.sparkSession.conf.get(CONF_TOPK_MAX, str(DEFAULT_TOPK_MAX)))
-    if deep is None:
-        deep = offset + page_length > topk_max
-    if not deep:
-        return df.orderBy(*cols).offset(offset).limit(page_length)
-    spec = _string_spec(order) if order else [(df.columns[0], False)]
-    return _deep_page(df, cols, offset, page_length, spec)
-
-
-def _tie_breaker() -> Column:
-    """Row identity as the last sort key: range partitioning can then split a
-    sort value held by a large share of the rows over several tasks (equal
-    keys always go to one range). Ties may come in any order in ORDER BY."""
-    return F.monotonically_increasing_id()
-
-
-def _string_spec(order: OrderSpec) -> list[tuple[str, bool]] | None:
-    """``["ts DESC", "id"]`` -> ``[("ts", True), ("id", False)]``; None when an
-    item is a Column (its value cannot be projected on its own)."""
-    if not order:
-        return None
-    spec = []
-    for item in order:
-        if not isinstance(item, str):
-            return None
-        parts = item.split()
-        spec.append((parts[0], len(parts) == 2 and parts[1].upper() == "DESC"))
-    return spec
-
-
-def _ranked(df: DataFrame, sort: list[Column]) -> DataFrame:
-    """``df`` range-sorted over all tasks, with each row's global position
-    ``_pos``; materialised once (``checkpoint``) so positions are stable."""
-    ranked = (df.orderBy(*sort, _tie_breaker())
-                .withColumn("_pid", F.spark_partition_id())
-                .withColumn("_row", F.monotonically_increasing_id()
-                            .bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-                .checkpoint(eager=True))
-    # one small row per partition: its number of rows
-    sizes = {r["_pid"]: r["n"] for r in
-             ranked.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect()}
-    starts, acc = [], 0
-    for pid in range(max(sizes, default=-1) + 1):
-        starts.append(acc)
-        acc += sizes.get(pid, 0)
-    if not starts:
-        return ranked.withColumn("_pos", F.lit(None).cast("bigint")).limit(0)
-    pos = F.element_at(F.array(*[F.lit(x) for x in starts]), F.col("_pid") + 1) + F.col("_row")
-    return ranked.withColumn("_pos", pos)
-
-
-def _deep_page(df: DataFrame, cols: list[Column], offset: int, length: int,
-               spec: list[tuple[str, bool]] | None = None) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    names = df.columns
-    in_page = (F.col("_pos") >= offset) & (F.col("_pos") < offset + length)
-    if spec is None:  # sort given as Column expressions: rank whole rows
-        return (_ranked(df, cols).where(in_page)
-                .repartition(1).sortWithinPartitions("_pos").select(*names))
-    return _deep_page_by_keys(df, cols, spec, in_page)
-
-
-def _key_range(df: DataFrame, column: str, values: list) -> Column | None:
-    """A pre-filter on ``column`` that keeps every row whose value is among
-    ``values`` (pushed into the scan, it skips row groups outside the page's
-    range). Exact matching is left to the semi-join, so bounds only need to
-    be wide enough: timestamps get a day of slack on each side (no time-zone
-    conversion can cut rows); types without a safe order here get no filter."""
-    dtype = next(f.dataType for f in df.schema.fields if f.name.lower() == column.lower())
-    kind = dtype.simpleString()
-    present = [v for v in values if v is not None]
-    if any(isinstance(v, float) and v != v for v in present):  # NaN
-        return None
-    c = col_(column)
-    cond = None
-    if present:
-        lo, hi = min(present), max(present)
-        if kind in ("timestamp", "timestamp_ntz"):
-            day = _dt.timedelta(days=1)
-            lo = F.lit((lo - day).isoformat(sep=" ")).cast(kind)
-            hi = F.lit((hi + day).isoformat(sep=" ")).cast(kind)
-        elif kind in ("tinyint", "smallint", "int", "bigint", "float", "double", "date",
-                      "string", "boolean") or kind.startswith("decimal"):
-            lo, hi = F.lit(lo).cast(kind), F.lit(hi).cast(kind)
-        else:
-            return None
-        cond = c.between(lo, hi)
-    if len(present) < len(values):
-        cond = c.isNull() if cond is None else (cond | c.isNull())
-    return cond
-
-
-def _deep_page_by_keys(df: DataFrame, cols: list[Column], spec: list[tuple[str, bool]],
-                       in_page: Column) -> DataFrame:
-    """Locate the page on the sort columns alone, then fetch its rows.
-
-    Only the sort columns are range-sorted and checkpointed. The page's keys
-    (at most ``length`` rows) reach the driver; the rows are fetched from
-    ``df`` by a broadcast null-safe semi-join on them: keys inside the page
-    bring all their rows, the first and last keys exactly as many rows as
-    they hold in the page (ties at a page edge may be any of the tied rows,
-    as in ORDER BY)."""
-    spark = df.sparkSession
-    knames = [f"_k{i}" for i in range(len(spec))]
-    narrow = df.select(*[col_(n).alias(k) for (n, _), k in zip(spec, knames)])
-    sort = [F.col(k).desc() if d else F.col(k).asc() for (_, d), k in zip(spec, knames)]
-    ranked = _ranked(narrow, sort)
-    keys = ranked.where(in_page).select(*knames, "_pos").collect()
-    if not keys:
-        return df.limit(0)
-    keys.sort(key=lambda r: r["_pos"])
-    counts: dict[tuple, int] = {}
-    for r in keys:
-        t = tuple(r[k] for k in knames)
-        counts[t] = counts.get(t, 0) + 1
-    first, last = tuple(keys[0][k] for k in knames), tuple(keys[-1][k] for k in knames)
-    key_schema = narrow.schema
-    pre = _key_range(df, spec[0][0], [r[knames[0]] for r in keys])
-    source = df.where(pre) if pre is not None else df
-
-    def total_of(values: tuple) -> int:
-        """Rows holding this key in the whole table (on the narrow checkpoint;
-        the key is a typed one-row frame, so no literal conversion is involved)."""
-        one = F.broadcast(spark.createDataFrame([values], key_schema).toDF(*[f"{k}_" for k in knames]))
-        cond = None
-        for k in knames:
-            c = F.col(k).eqNullSafe(F.col(f"{k}_"))
-            cond = c if cond is None else cond & c
-        return ranked.join(one, cond, "left_semi").count()
-
-    def rows_with(values: list[tuple]) -> DataFrame:
-        # at most page-length rows; broadcast after the same size check as the upsert
-        kdf = small_side(spark.createDataFrame(values, key_schema), len(values))
-        cond = None
-        for (n, _), k in zip(spec, knames):
-            c = col_(n).eqNullSafe(kdf[k])
-            cond = c if cond is None else cond & c
-        return source.join(kdf, cond, "left_semi")
-
-    # an edge key needs a limit only if some of its rows fall outside the
-    # page (counted on the narrow checkpoint, not on the table)
-    edges = [first] if first == last else [first, last]
-    limited = [e for e in edges if total_of(e) > counts[e]]
-    whole = [t for t in counts if t not in limited]
-    parts = [rows_with([e]).limit(counts[e]) for e in limited]
-    if whole:
-        parts.append(rows_with(whole))
-    page_rows = parts[0]
-    for p in parts[1:]:
-        page_rows = page_rows.unionByName(p)
-    return page_rows.repartition(1).sortWithinPartitions(*cols).select(*df.columns)
+        return df.orderBy(*whole).select(*names)
+    total, first, last = df.count(), page * page_length, (page + 1) * page_length
+    if first >= total:
+        return df.limit(0).select(*names)
+    locator = _Locator(df, keys)
+    start = locator.find(first, total) if first else None
+    end = locator.find(last, total) if last < total else None
+    mine = [k.value for k in keys]
+    rows = df
+    pushed = _pushed(keys[0], start and start[0][0], end and end[0][0], start is not None, end is not None)
+    if pushed is not None:
+        rows = rows.where(pushed)
+    parts = []
+    inside = F.lit(True)
+    if start:
+        inside = inside & _before(locator.literal(start[0]), mine, keys)
+    if end:
+        inside = inside & _before(mine, locator.literal(end[0]), keys)
+    # rows of one key are the same in every column, so any of them will do
+    if start and end and start[0] == end[0]:
+        parts.append(rows.where(_equal(mine, locator.literal(start[0]))).limit(end[1] - start[1]))
+    else:
+        if start:
+            at = _equal(mine, locator.literal(start[0]))
+            if start[1] == 0:
+                inside = inside | at
+            else:
+                parts.append(rows.where(at).limit(rows.where(at).count() - start[1]))
+        parts.append(rows.where(inside))
+        if end and end[1]:
+            parts.append(rows.where(_equal(mine, locator.literal(end[0]))).limit(end[1]))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionAll(part)
+    return out.orderBy(*whole).select(*names)
 
 
 def page_info(df: DataFrame, page: int, page_length: int) -> DataFrame:

@@ -139,7 +139,7 @@ def test_hot_sort_value_is_spread_over_ranges(spark):
     assert max(r["count"] for r in sizes) < n // 3  # the hot value did not land in one task
     got = [r["ts"] for r in every.collect()]
     assert got == sorted(got)
-    deep = page(df, ["ts"], 500, 20, deep=True)
+    deep = page(df, ["ts"], 500, 20)
     assert [r["ts"] for r in deep.collect()] == got[10_000:10_020]
 
 
