@@ -24,15 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.domains import sales
-from landfall.functions import (as_text, decode_typed, render_filter, snake_case, split_list_col,
-                                staging_key_col, start_date)
+from landfall.functions import (as_text, decode_typed, render_filter, snake_case,                                 staging_key_col, start_date)
 from landfall.functions.dates import derby_date_literal
 from landfall.operators import (duplicate_keys, key_length_mismatches, merge_action_counts,
                                 null_violations, page, page_info, rename_positional,
                                 snake_case_columns, upsert)
-from landfall.plans import (active_for_land, active_for_stage, active_schemas, land, load_into,
-                            seed_control, set_flag, stage, stage_frame)
-from landfall.plans.control import CONTROL_SCHEMA
+from landfall.plans import (activate, active_for_land, active_for_stage, active_schemas,
+                            control_table_name, deactivate, init, land, list_control, list_log,
+                            load_into, log_table_name, seed_control, set_flag, stage, stage_frame)
+from landfall.plans.control import CONTROL_SCHEMA, key_lists
 from landfall.sources import (JdbcConnection, JdbcTable, Zones, create_database, qualified,
                               read_table, stage_batch, write_snapshot)
 from landfall.session import ensure_checkpoint_dir, scratch_path
@@ -204,6 +204,13 @@ def q_jdbc_partitioned_scan(spark, d):
                      num_partitions=4).read(spark)
 
 
+def q_jdbc_partitioned_unselected(spark, d):
+    """Split on a column that the column list leaves out."""
+    conn = _derby(spark, {"orders": _read(spark, d, "orders")})
+    return JdbcTable(conn, "APP", "orders", selected=["o_orderkey", "o_totalprice"],
+                     partition_column="o_custkey", num_partitions=4).read(spark)
+
+
 def _derby_orders(spark, d):
     conn = _derby(spark, {"orders": _read(spark, d, "orders")})
     src = JdbcTable(conn, "APP", "orders", partition_column="o_orderdate", num_partitions=4)
@@ -308,6 +315,16 @@ def q_upsert_partitioned(spark, d):
     return spark.table(target)
 
 
+def q_upsert_extra_column(spark, d):
+    """The batch has grown a column that the target lacks."""
+    root = _root(spark)
+    orders = _read(spark, d, "orders")
+    target = f"lf_{_tag()}.orders"
+    load_into(spark, orders, target, ["o_orderkey"], root=root)
+    load_into(spark, _changes(orders).withColumn("o_comment", F.lit("new")), target, ["o_orderkey"], root=root)
+    return spark.table(target)
+
+
 def q_upsert_stream(spark, d):
     """The change batch arrives as files of a stream; each micro-batch is
     upserted into a target that was first loaded with all orders."""
@@ -318,24 +335,24 @@ def q_upsert_stream(spark, d):
     inbox = scratch_path(spark, "inbox")
     _changes(orders).write.parquet(inbox)
     changes = spark.readStream.schema(orders.schema).parquet(inbox)
-    upsert_available(changes, target, ["o_orderkey"], root=root)
+    upsert_available(changes, target, ["o_orderkey"], version="o_orderdate", root=root)
     return spark.table(target)
 
 
 # ---------------------------------------------------------------- land (JDBC -> raw)
 
-def _land_orders(spark, d, incremental: bool, split_by_key: bool = False):
+def _land_orders(spark, d, incremental: bool, split_by_key: bool = False, **options):
     orders = _read(spark, d, "orders")
     zones, root = _zones(), _root(spark)
     row = _control_row("APP", "orders", "o_orderkey", flt='"o_orderdate" >= :start_date',
                        part_col="o_orderdate", n_parts=4)
     land(spark, _control(spark, [row]), _derby(spark, {"orders": orders}), RUN_DATE,
-         zones=zones, root=root, split_by_key=split_by_key)
+         zones=zones, root=root, split_by_key=split_by_key, **options)
     if incremental:
         # the source now holds the changed and the new rows
         after = upsert(orders, _changes(orders), ["o_orderkey"])
         land(spark, _control(spark, [row]), _derby(spark, {"orders": after}), RUN_DATE,
-             zones=zones, root=root, split_by_key=split_by_key)
+             zones=zones, root=root, split_by_key=split_by_key, **options)
     return _ntz(spark.table(qualified(zones.raw, "APP", "orders")))
 
 
@@ -348,10 +365,15 @@ def q_land_incremental(spark, d):
 
 
 def q_land_split_by_key(spark, d):
-    """Full then incremental land, reading in key-modulo slices."""
+    """Full then incremental land, reading in ranges of the key."""
     return _land_orders(spark, d, incremental=True, split_by_key=True)
 
 
+def q_land_partitioned(spark, d):
+    """Full then incremental land into a raw table laid out by status."""
+    return _land_orders(spark, d, incremental=True, partition_by={"orders": ["o_orderstatus"]})
+
+
 def _land_with_log(spark, d, with_missing: bool):
     zones, root = _zones(), _root(spark)
     log_table = qualified(zones.ctr, "loading", "data_ingestion_log")
@@ -363,9 +385,18 @@ def _land_with_log(spark, d, with_missing: bool):
         rows.append(_control_row("APP", "missing_table", "id"))
     land(spark, _control(spark, rows), conn, RUN_DATE, zones=zones, root=root,
          log_table=log_table, raise_on_failure=False)
-    return spark.table(log_table).select(
-        "target_table_name", F.col("movements").cast("bigint").alias("movements"),
-        F.col("error").isNotNull().alias("failed"))
+    return _log_rows(spark.table(log_table), zones)
+
+
+def _log_rows(log: DataFrame, zones: Zones) -> DataFrame:
+    """All columns of the log. The stamp and the run's own zone names differ
+    from run to run: whether there is a stamp, and the zone, are shown."""
+    zone = lambda c: F.when(F.col(c) == zones.raw, "raw").when(F.col(c) == zones.stg, "stg").otherwise(F.col(c))
+    now = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("ingestion_date")
+    return log.select(
+        now.between(0, 3600).alias("stamped"), zone("source_catalog_name").alias("source_catalog_name"), "source_schema_name", "source_table_name",
+        zone("target_catalog_name").alias("target_catalog_name"), "target_schema_name", "target_table_name",
+        F.col("movements").cast("bigint").alias("movements"), F.col("error").isNotNull().alias("failed"))
 
 
 def q_audit_append(spark, d):
@@ -400,7 +431,7 @@ def q_rename_key_composite(spark, d):
     return rename_positional(df, ["order_key", "line_number"], ["order_id", "line_id"])
 
 
-def _stage_orders(spark, d, incremental: bool):
+def _stage_orders(spark, d, incremental: bool, **options):
     orders = _read(spark, d, "orders")
     zones, root = _zones(), _root(spark)
     raw = qualified(zones.raw, "Shop", "Orders")
@@ -408,11 +439,11 @@ def _stage_orders(spark, d, incremental: bool):
     ctl = _control(spark, [_control_row("Shop", "Orders", "OrderKey", stg_pk="id",
                                         flt="OrderDate >= :start_date")])
     routes = {("Shop", "Orders"): [("orders", None)]}
-    stage(spark, ctl, routes, RUN_DATE, zones=zones, root=root)
+    stage(spark, ctl, routes, RUN_DATE, zones=zones, root=root, **options)
     if incremental:
         load_into(spark, _changes(orders).withColumnsRenamed(ORDERS_PASCAL), raw, ["OrderKey"],
                   root=root)
-        stage(spark, ctl, routes, RUN_DATE, zones=zones, root=root)
+        stage(spark, ctl, routes, RUN_DATE, zones=zones, root=root, **options)
     return spark.table(qualified(zones.stg, "shop", "orders"))
 
 
@@ -425,9 +456,7 @@ def q_stage_fanout_log(spark, d):
     ctl = _control(spark, [_control_row("Sales", "Store", "BusinessEntityID")])
     routes = {("Sales", "Store"): sales.ROUTES[("Sales", "Store")]}
     stage(spark, ctl, routes, RUN_DATE, zones=zones, root=root, log_table=log_table)
-    return spark.table(log_table).select(
-        "target_table_name", F.col("movements").cast("bigint").alias("movements"),
-        F.col("error").isNotNull().alias("failed"))
+    return _log_rows(spark.table(log_table), zones)
 
 
 def q_stage_generic(spark, d):
@@ -438,12 +467,17 @@ def q_stage_incremental(spark, d):
     return _stage_orders(spark, d, incremental=True)
 
 
+def q_stage_partitioned(spark, d):
+    """Full then incremental stage into a table laid out by status."""
+    return _stage_orders(spark, d, incremental=True, partition_by={"orders": ["order_status"]})
+
+
 def q_stage_credit_cards(spark, d):
     c = _read(spark, d, "customer")
     src = c.select(F.col("c_custkey").alias("CreditCardID"), F.col("c_mktsegment").alias("CardType"),
                    F.col("c_name").alias("CardNumber"), F.col("c_nationkey").alias("ExpMonth"),
                    (F.lit(2000) + F.col("c_nationkey")).alias("ExpYear"))
-    return stage_frame(src, sales.transform_credit_cards, ["credit_card_id"], ["id"])
+    return stage_frame(src, sales.TRANSFORMS["credits_cards"], ["credit_card_id"], ["id"])
 
 
 def q_stage_order_details(spark, d):
@@ -452,7 +486,7 @@ def q_stage_order_details(spark, d):
                     F.col("l_linenumber").alias("SalesOrderDetailID"),
                     F.col("l_quantity").alias("OrderQty"), F.col("l_partkey").alias("ProductID"),
                     F.col("l_extendedprice").alias("UnitPrice"))
-    return stage_frame(src, sales.transform_order_details,
+    return stage_frame(src, sales.TRANSFORMS["order_details"],
                        ["sales_order_id", "sales_order_detail_id"], None)
 
 
@@ -461,7 +495,7 @@ def q_stage_order_headers(spark, d):
     src = o.select(F.col("o_orderkey").alias("SalesOrderID"), F.col("o_custkey").alias("CustomerID"),
                    F.col("o_totalprice").alias("TaxAmt"), F.col("o_orderdate").alias("OrderDate"),
                    F.col("o_orderstatus").alias("Status"))
-    return stage_frame(src, sales.transform_order_headers, ["sales_order_id"], None)
+    return stage_frame(src, sales.TRANSFORMS["order_headers"], ["sales_order_id"], None)
 
 
 def q_stage_sales_people(spark, d):
@@ -469,7 +503,7 @@ def q_stage_sales_people(spark, d):
     src = s.select(F.col("s_suppkey").alias("BusinessEntityID"),
                    F.col("s_acctbal").alias("CommissionPct"),
                    F.col("s_nationkey").alias("TerritoryID"))
-    return stage_frame(src, sales.transform_sales_people, ["business_entity_id"], None)
+    return stage_frame(src, sales.TRANSFORMS["sales_people"], ["business_entity_id"], None)
 
 
 def q_stage_special_offers(spark, d):
@@ -477,16 +511,16 @@ def q_stage_special_offers(spark, d):
     src = p.select(F.col("p_partkey").alias("SpecialOfferID"), F.col("p_name").alias("Description"),
                    F.col("p_retailprice").alias("DiscountPct"), F.col("p_type").alias("Type"),
                    F.col("p_size").alias("MinQty"), (F.col("p_size") * 10).alias("MaxQty"))
-    return stage_frame(src, sales.transform_special_offers, ["special_offer_id"], ["id"])
+    return stage_frame(src, sales.TRANSFORMS["special_offers"], ["special_offer_id"], ["id"])
 
 
 def q_stage_stores(spark, d):
-    return stage_frame(_store_frame(spark, d), sales.transform_stores,
+    return stage_frame(_store_frame(spark, d), sales.TRANSFORMS["stores"],
                        ["business_entity_id"], None)
 
 
 def q_stage_store_demographics(spark, d):
-    return stage_frame(_store_frame(spark, d), sales.transform_store_demographics,
+    return stage_frame(_store_frame(spark, d), sales.TRANSFORMS["store_demographics"],
                        ["business_entity_id"], None)
 
 
@@ -528,21 +562,15 @@ def q_control_active_stage(spark, d):
     return active_for_stage(_control_from_customer(_read(spark, d, "customer")))
 
 
-def _size_or_null(col: str):
-    return F.when(F.col(col).isNull(), F.lit(None).cast("int")).otherwise(
-        F.size(split_list_col(col)))
-
-
 def q_control_key_lists(spark, d):
     ctl = _control_from_customer(_read(spark, d, "customer"))
     bad = key_length_mismatches(ctl).select("schema_name", "table_name",
                                             F.lit(True).alias("lengths_differ"))
-    return (ctl.select("schema_name", "table_name",
-                       _size_or_null("primary_key").alias("n_primary_key"),
-                       _size_or_null("stg_primary_key").alias("n_stg_primary_key"))
-               .join(bad, ["schema_name", "table_name"], "left")
-               .select("schema_name", "table_name", "n_primary_key", "n_stg_primary_key",
-                       F.coalesce("lengths_differ", F.lit(False)).alias("lengths_differ")))
+    lists = key_lists(ctl)
+    names = [c for c in lists.columns if c not in ("schema_name", "table_name")]
+    return (lists.select("schema_name", "table_name", *[F.array_join(c, "|").alias(c) for c in names])
+                 .join(bad, ["schema_name", "table_name"], "left")
+                 .withColumn("lengths_differ", F.coalesce("lengths_differ", F.lit(False))))
 
 
 def q_control_effective_key(spark, d):
@@ -551,6 +579,50 @@ def q_control_effective_key(spark, d):
                       F.array_join(staging_key_col(), ",").alias("staging_key"))
 
 
+def _initialised(spark, d) -> tuple[Zones, str]:
+    """A control database, seeded from a control-shaped table, log and zones."""
+    zones, root = _zones(), _root(spark)
+    init(spark, _control_from_customer(_read(spark, d, "customer")), zones=zones, root=root)
+    return zones, root
+
+
+def q_init_databases(spark, d):
+    zones, _ = _initialised(spark, d)
+    tag = zones.raw[1:]
+    found = spark.sql(f"SHOW DATABASES LIKE '*{tag}_*'")
+    return found.select(F.regexp_replace(found.columns[0], f"^(.){tag}", "$1").alias("database"))
+
+
+def q_list_control(spark, d):
+    zones, _ = _initialised(spark, d)
+    rows, info = list_control(spark, 3, 20, zones=zones)
+    return rows.withColumn("total_results", F.lit(info.first()["total_results"]))
+
+
+def q_list_log(spark, d):
+    """The log listing over a stored log with one record per order."""
+    zones, root = _initialised(spark, d)
+    o = _read(spark, d, "orders")
+    log = o.select(F.col("o_orderdate").cast("timestamp").alias("ingestion_date"), F.lit(None).cast("string").alias("source_catalog_name"),
+                   F.lit("S").alias("source_schema_name"), F.col("o_orderstatus").alias("source_table_name"), F.lit("raw").alias("target_catalog_name"),
+                   F.lit("S").alias("target_schema_name"), F.concat(F.lit("t"), F.col("o_orderkey")).alias("target_table_name"),
+                   F.col("o_custkey").cast("bigint").alias("movements"), F.lit(None).cast("string").alias("error"))
+    write_snapshot(spark, log, log_table_name(zones), root)
+    rows, info = list_log(spark, 7, 30, zones=zones)
+    return rows.select(F.date_format("ingestion_date", "yyyy-MM-dd").alias("day"), "source_table_name", "target_table_name", "movements",
+                       F.lit(info.first()["total_pages"]).alias("total_pages"))
+
+
+def q_set_active_stored(spark, d):
+    """One table switched off and one on, in the stored control table."""
+    zones, root = _initialised(spark, d)
+    c = _read(spark, d, "customer")
+    ends = c.agg(F.min_by(F.struct("c_mktsegment", "c_name"), "c_custkey").alias("least"), F.max_by(F.struct("c_mktsegment", "c_name"), "c_custkey").alias("most")).first()
+    deactivate(spark, *ends["least"], zones=zones, root=root)
+    activate(spark, *ends["most"], zones=zones, root=root)
+    return spark.table(control_table_name(zones)).select("schema_name", "table_name", "active")
+
+
 # ---------------------------------------------------------------- paging, decode, checks
 
 def q_page_control(spark, d):
@@ -570,6 +642,23 @@ def q_page_deep(spark, d):
     return page(_read(spark, d, "events"), ["ts DESC", "event_id"], 300, 25)
 
 
+def q_page_ties(spark, d):
+    """All pages of an order with long ties, one after the other: the table,
+    each row once."""
+    events = _read(spark, d, "events")
+    key, length = "event_type", -(-events.count() // 4)
+    parts = [page(events, [f"{key} DESC"], k, length).withColumn("page", F.lit(k)) for k in range(4)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.drop("page")
+
+
+def q_page_large(spark, d):
+    return page(_read(spark, d, "lineitem"), ["l_returnflag", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                            "l_quantity", "l_extendedprice"], 0, 50_000)
+
+
 def q_page_info(spark, d):
     return page_info(_read(spark, d, "events"), 2, 25)
 
@@ -602,6 +691,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jdbc_scan": q_jdbc_scan,
     "jdbc_select_listed": q_jdbc_select_listed,
     "jdbc_partitioned_scan": q_jdbc_partitioned_scan,
+    "jdbc_partitioned_unselected": q_jdbc_partitioned_unselected,
     "jdbc_incremental_scan": q_jdbc_incremental_scan,
     "partition_bounds": q_partition_bounds,
     "movements_count": q_movements_count,
@@ -613,10 +703,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_mapped_key": q_upsert_mapped_key,
     "merge_action_counts": q_merge_action_counts,
     "upsert_partitioned": q_upsert_partitioned,
+    "upsert_extra_column": q_upsert_extra_column,
     "upsert_stream": q_upsert_stream,
     "land_full": q_land_full,
     "land_incremental": q_land_incremental,
     "land_split_by_key": q_land_split_by_key,
+    "land_partitioned": q_land_partitioned,
     "audit_append": q_audit_append,
     "audit_failures": q_audit_failures,
     "snake_case_columns": q_snake_case_columns,
@@ -626,6 +718,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_fanout_log": q_stage_fanout_log,
     "stage_generic": q_stage_generic,
     "stage_incremental": q_stage_incremental,
+    "stage_partitioned": q_stage_partitioned,
     "stage_credit_cards": q_stage_credit_cards,
     "stage_order_details": q_stage_order_details,
     "stage_order_headers": q_stage_order_headers,
@@ -641,10 +734,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "control_active_stage": q_control_active_stage,
     "control_key_lists": q_control_key_lists,
     "control_effective_key": q_control_effective_key,
+    "init_databases": q_init_databases,
+    "list_control": q_list_control,
+    "list_log": q_list_log,
+    "set_active_stored": q_set_active_stored,
     "page_control": q_page_control,
     "page_log": q_page_log,
     "page_all": q_page_all,
     "page_deep": q_page_deep,
+    "page_ties": q_page_ties,
+    "page_large": q_page_large,
     "page_info": q_page_info,
     "decode_typed": q_decode_typed,
     "key_duplicates": q_key_duplicates,
@@ -668,9 +767,21 @@ _ORDERS_SNAKE = ("o_orderkey AS order_key, o_custkey AS cust_key, o_orderstatus
                  "o_orderpriority AS order_priority")
 _SNAKE = ("lower(regexp_replace(regexp_replace({x}, '([a-z0-9])([A-Z])', '\\1_\\2', 'g'), "
           "'([a-z])([A-Z]{{2,}})', '\\1_\\2', 'g'))")
+_LIST = "array_to_string(string_split(replace({c}, ' ', ''), ','), '|')"
 _SIZE = "CAST(len(string_split(replace({c}, ' ', ''), ',')) AS INTEGER)"
-_Q13 = """SELECT 'orders' AS target_table_name, count(*) AS movements, false AS failed FROM orders
-UNION ALL SELECT 'events', count(*), false FROM events"""
+_LOG = """SELECT true AS stamped, {src} AS source_catalog_name, '{schema}' AS source_schema_name, '{table}' AS source_table_name,
+  '{zone}' AS target_catalog_name, '{into}' AS target_schema_name, '{target}' AS target_table_name, {n} AS movements, {failed} AS failed"""
+
+
+def _landed(table: str, n: str = "count(*)", failed: str = "false") -> str:
+    return _LOG.format(src="CAST(NULL AS VARCHAR)", schema="APP", table=table, zone="raw", into="APP", target=table, n=n, failed=failed)
+
+
+def _staged(target: str) -> str:
+    return _LOG.format(src="'raw'", schema="Sales", table="Store", zone="stg", into="sales", target=target, n="count(*)", failed="false") + " FROM supplier"
+
+
+_Q13 = _landed("orders") + " FROM orders UNION ALL " + _landed("events") + " FROM events"
 _PAGE_EVENTS = "SELECT * FROM events ORDER BY ts DESC, event_id LIMIT 25 OFFSET {off}"
 
 _ORACLE: dict[str, str] = {
@@ -680,6 +791,7 @@ _ORACLE: dict[str, str] = {
     "jdbc_scan": "SELECT * FROM nation",
     "jdbc_select_listed": "SELECT o_orderkey, o_orderdate FROM orders",
     "jdbc_partitioned_scan": "SELECT * FROM customer",
+    "jdbc_partitioned_unselected": "SELECT o_orderkey, o_totalprice FROM orders",
     "jdbc_incremental_scan": f"SELECT * FROM orders WHERE {_W}",
     "partition_bounds": (f"SELECT min(o_orderdate) AS lower_bound, max(o_orderdate) AS upper_bound "
                          f"FROM orders WHERE {_W}"),
@@ -689,26 +801,27 @@ _ORACLE: dict[str, str] = {
     "upsert_single_key": _Q4,
     "upsert_idempotent": _Q4,
     "upsert_mapped_key": _Q4,
-    "upsert_composite_key": f"""WITH t AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+    "upsert_composite_key": f"""WITH t AS MATERIALIZED (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
                                   GROUP BY l_orderkey, l_linenumber),
   c AS (SELECT o_orderkey, o_orderpriority FROM orders WHERE {_W}),
-  s AS (SELECT l_orderkey, l_linenumber, -n AS n FROM t WHERE l_orderkey IN (SELECT o_orderkey FROM c)
+  s AS MATERIALIZED (SELECT l_orderkey, l_linenumber, -n AS n FROM t SEMI JOIN c ON l_orderkey = o_orderkey
         UNION ALL
         SELECT l_orderkey, -l_linenumber, n FROM t
-        WHERE l_orderkey IN (SELECT o_orderkey FROM c WHERE o_orderpriority = '1-URGENT'))
-SELECT * FROM t WHERE NOT EXISTS (SELECT 1 FROM s WHERE s.l_orderkey = t.l_orderkey
-                                   AND s.l_linenumber = t.l_linenumber)
+        SEMI JOIN (SELECT o_orderkey FROM c WHERE o_orderpriority = '1-URGENT') u ON l_orderkey = o_orderkey)
+SELECT * FROM t ANTI JOIN s USING (l_orderkey, l_linenumber)
 UNION ALL SELECT * FROM s""",
     "merge_action_counts": f"""WITH {_CHANGES}
 SELECT CASE WHEN t.o_orderkey IS NULL THEN 'insert' ELSE 'update' END AS action, count(*) AS n
 FROM s LEFT JOIN orders t ON s.o_orderkey = t.o_orderkey GROUP BY 1""",
     "upsert_partitioned": _Q4,
+    "upsert_extra_column": _Q4,
     "upsert_stream": _Q4,
     "land_full": "SELECT * FROM orders",
     "land_incremental": _Q4,
     "land_split_by_key": _Q4,
+    "land_partitioned": _Q4,
     "audit_append": _Q13,
-    "audit_failures": _Q13 + "\nUNION ALL SELECT 'missing_table', CAST(NULL AS BIGINT), true",
+    "audit_failures": _Q13 + " UNION ALL " + _landed("missing_table", "CAST(NULL AS BIGINT)", "true"),
     "snake_case_columns": f"SELECT {_ORDERS_SNAKE} FROM orders",
     "snake_case_values": ("SELECT p_partkey, x, " + _SNAKE.format(x="x") + " AS snake FROM ("
                           "SELECT p_partkey, replace(p_brand, '#', '') || upper(p_name) || p_type "
@@ -718,11 +831,12 @@ FROM s LEFT JOIN orders t ON s.o_orderkey = t.o_orderkey GROUP BY 1""",
   l_linenumber AS line_id, l_quantity AS quantity, l_extendedprice AS extended_price,
   l_discount AS discount, l_tax AS tax, l_returnflag AS return_flag, l_linestatus AS line_status,
   l_shipdate AS ship_date FROM lineitem""",
-    "stage_fanout_log": """SELECT 'stores' AS target_table_name, count(*) AS movements, false AS failed
-FROM supplier UNION ALL SELECT 'store_demographics', count(*), false FROM supplier""",
+    "stage_fanout_log": _staged("stores") + " UNION ALL " + _staged("store_demographics"),
     "stage_generic": "SELECT " + _ORDERS_SNAKE.replace("AS order_key", "AS id") + " FROM orders",
     "stage_incremental": (f"WITH q AS ({_Q4}) SELECT "
                           + _ORDERS_SNAKE.replace("AS order_key", "AS id") + " FROM q"),
+    "stage_partitioned": (f"WITH q AS ({_Q4}) SELECT "
+                          + _ORDERS_SNAKE.replace("AS order_key", "AS id") + " FROM q"),
     "stage_credit_cards": """SELECT c_custkey AS id, c_mktsegment AS card_type, c_name AS card_number,
   c_nationkey AS expiration_month, 2000 + c_nationkey AS expiration_year FROM customer""",
     "stage_order_details": """SELECT l_orderkey AS sales_order_id, l_linenumber AS sales_order_detail_id,
@@ -754,8 +868,9 @@ FROM ctl WHERE active""",
     "control_active_stage": f"""WITH {CONTROL_FROM_CUSTOMER_SQL}
 SELECT schema_name, table_name, primary_key, stg_primary_key, filter, selected FROM ctl WHERE active""",
     "control_key_lists": f"""WITH {CONTROL_FROM_CUSTOMER_SQL}
-SELECT schema_name, table_name, {_SIZE.format(c='primary_key')} AS n_primary_key,
-       {_SIZE.format(c='stg_primary_key')} AS n_stg_primary_key,
+SELECT schema_name, table_name, {_LIST.format(c='primary_key')} AS primary_key_list,
+       {_LIST.format(c='stg_primary_key')} AS stg_primary_key_list, {_LIST.format(c='selected')} AS selected_list,
+       replace({_SNAKE.format(x="replace(coalesce(stg_primary_key, primary_key), ' ', '')")}, ',', '|') AS staging_key,
        coalesce(stg_primary_key IS NOT NULL AND
                 {_SIZE.format(c='primary_key')} <> {_SIZE.format(c='stg_primary_key')}, false)
          AS lengths_differ
@@ -766,6 +881,19 @@ SELECT schema_name, table_name,
 FROM ctl""",
     "page_control": f"""WITH {CONTROL_FROM_CUSTOMER_SQL}
 SELECT * FROM ctl ORDER BY schema_name, table_name LIMIT 20 OFFSET 60""",
+    "init_databases": f"""WITH {CONTROL_FROM_CUSTOMER_SQL}
+SELECT 'c_loading' AS database UNION SELECT 'r_' || lower(schema_name) FROM ctl WHERE active
+UNION SELECT 's_' || lower(schema_name) FROM ctl WHERE active""",
+    "list_control": f"""WITH {CONTROL_FROM_CUSTOMER_SQL}
+SELECT *, (SELECT count(*) FROM ctl) AS total_results FROM ctl ORDER BY schema_name, table_name LIMIT 20 OFFSET 60""",
+    "list_log": """SELECT strftime(o_orderdate, '%Y-%m-%d') AS day, o_orderstatus AS source_table_name, 't' || o_orderkey AS target_table_name,
+  CAST(o_custkey AS BIGINT) AS movements, CAST(ceil((SELECT count(*) FROM orders) / 30.0) AS BIGINT) AS total_pages
+FROM orders ORDER BY o_orderdate DESC, target_table_name LIMIT 30 OFFSET 210""",
+    "set_active_stored": f"""WITH {CONTROL_FROM_CUSTOMER_SQL}
+SELECT schema_name, table_name, CASE table_name WHEN (SELECT arg_min(c_name, c_custkey) FROM customer) THEN false
+  WHEN (SELECT arg_max(c_name, c_custkey) FROM customer) THEN true ELSE active END AS active FROM ctl""",
+    "page_ties": "SELECT * FROM events",
+    "page_large": "SELECT * FROM lineitem ORDER BY l_returnflag, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice LIMIT 50000",
     "page_log": _PAGE_EVENTS.format(off=50),
     "page_all": "SELECT * FROM events",
     "page_deep": _PAGE_EVENTS.format(off=7500),

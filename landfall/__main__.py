@@ -21,6 +21,7 @@ import sys
 from pyspark.sql import SparkSession
 
 from .domains import sales
+from .functions import split_list
 from .plans import (activate, control_table_name, deactivate, init, land, list_control, list_log,
                     log_table_name, stage)
 from .session import ensure_checkpoint_dir
@@ -45,7 +46,7 @@ def _parser() -> argparse.ArgumentParser:
     la.add_argument("--driver")
     la.add_argument("--parallel", type=int)
     la.add_argument("--split-by-key", action="store_true",
-                    help="read integer-keyed tables in key-modulo slices instead of date ranges")
+                    help="read integer-keyed tables in ranges of the key instead of the partition column")
     la.add_argument("--no-key-check", action="store_true",
                     help="skip the batch key-uniqueness check (the source enforces the key)")
     st = sub.add_parser("stage")
@@ -53,6 +54,11 @@ def _parser() -> argparse.ArgumentParser:
     st.add_argument("--parallel", type=int)
     st.add_argument("--no-key-check", action="store_true",
                     help="skip the batch key-uniqueness check")
+    for task in (la, st):
+        task.add_argument("--partition-by", action="append", default=[], metavar="TABLE=COL[,COL]",
+                          help="partition columns of a table when it is first loaded (repeatable)")
+        task.add_argument("--stable-partitions", action="store_true",
+                          help="a key's partition value never changes: skip the probe for moved rows")
     for name in ("list-control", "list-log"):
         ls = sub.add_parser(name)
         ls.add_argument("--page", type=int, default=0)
@@ -65,6 +71,17 @@ def _parser() -> argparse.ArgumentParser:
     return p
 
 
+def _layouts(items: list[str]) -> dict[str, list[str]]:
+    """``["orders=year,month"]`` -> ``{"orders": ["year", "month"]}``."""
+    out = {}
+    for item in items:
+        table, _, columns = item.partition("=")
+        if not table or not columns:
+            raise SystemExit(f"--partition-by wants TABLE=COL[,COL], not {item!r}")
+        out[table.strip()] = split_list(columns)
+    return out
+
+
 def main(argv: list[str] | None = None) -> int:
     """Run one task with the session the job was submitted with."""
     args = _parser().parse_args(argv)
@@ -81,11 +98,13 @@ def main(argv: list[str] | None = None) -> int:
         land(spark, spark.table(control_table_name(zones)), conn, args.run_date, zones=zones,
              root=root, log_table=log_table_name(zones), parallelism=args.parallel,
              retain_snapshots=args.retain, split_by_key=args.split_by_key,
+             partition_by=_layouts(args.partition_by), stable_partitions=args.stable_partitions,
              check_unique=not args.no_key_check)
     elif args.task == "stage":
         stage(spark, spark.table(control_table_name(zones)), sales.ROUTES, args.run_date,
               zones=zones, root=root, log_table=log_table_name(zones),
               parallelism=args.parallel, retain_snapshots=args.retain,
+              partition_by=_layouts(args.partition_by), stable_partitions=args.stable_partitions,
               check_unique=not args.no_key_check)
     elif args.task in ("list-control", "list-log"):
         lister = list_control if args.task == "list-control" else list_log

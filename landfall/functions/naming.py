@@ -1,8 +1,8 @@
 """Pascal/camel case to snake_case, for column names and for column values.
 
-Two regex passes, then lower case. The same two rules are applied to names
-(plain Python ``re``; names are schema metadata held by the driver) and to
-values (``regexp_replace`` inside the JVM, so it stays in whole-stage codegen).
+One regex pass, then lower case. The same rule is applied to names (plain
+Python ``re``; names are schema metadata held by the driver) and to values
+(``regexp_replace`` inside the JVM, so it stays in whole-stage codegen).
 """
 
 from __future__ import annotations
@@ -12,27 +12,17 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The two rewrite rules, in the order they are applied.
-#   rule 1: a lower-case letter or digit followed by an upper-case letter
-#   rule 2: a lower-case letter followed by two or more upper-case letters
-# Each match gets an underscore between its two groups; the result is lowered.
-_RULE_1 = r"([a-z0-9])([A-Z])"
-_RULE_2 = r"([a-z])([A-Z]{2,})"
-
-_RULE_1_RE = re.compile(_RULE_1)
-_RULE_2_RE = re.compile(_RULE_2)
+# Fixed value: where a word ends, a lower-case letter or digit followed by an
+# upper-case letter. An underscore goes between them; the result is lowered.
+_WORD_END = r"([a-z0-9])([A-Z])"
 
 
 def pascal_to_snake(name: str) -> str:
     """``SalesOrderID`` -> ``sales_order_id``; ``XMLData`` -> ``xmldata``."""
-    name = _RULE_1_RE.sub(r"\1_\2", name)
-    name = _RULE_2_RE.sub(r"\1_\2", name)
-    return name.lower()
+    return re.sub(_WORD_END, r"\1_\2", name).lower()
 
 
 def snake_case(col: Column | str) -> Column:
     """Column version of :func:`pascal_to_snake` (JVM regex, no Python UDF)."""
     c = F.col(col) if isinstance(col, str) else col
-    c = F.regexp_replace(c, _RULE_1, "$1_$2")
-    c = F.regexp_replace(c, _RULE_2, "$1_$2")
-    return F.lower(c)
+    return F.lower(F.regexp_replace(c, _WORD_END, "$1_$2"))

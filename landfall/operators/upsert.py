@@ -20,8 +20,8 @@ Plan shape, chosen for a large target and a comparatively small batch:
 * ``result = kept UNION ALL null_key_rows UNION ALL batch`` — no second join,
   no scan of the target's keys to find inserts.
 
-Source duplicates of a non-NULL key are rejected before the plan runs (a merge
-with two source rows for one target row is ambiguous).
+Two source rows for one target row make a merge ambiguous: ``check_unique``
+rejects them (loads always check their staged batch unless told not to).
 """
 
 from __future__ import annotations
@@ -130,15 +130,21 @@ def strict_cast(c: Column, dtype) -> Column:
                                          c.cast("string")))).otherwise(converted).cast(dtype)
 
 
+def extra_columns(target: DataFrame, source: DataFrame) -> list[str]:
+    """Columns that only the source has, compared case-insensitively."""
+    held = {c.lower() for c in target.columns}
+    return [c for c in source.columns if c.lower() not in held]
+
+
 def align_to_target(target: DataFrame, source: DataFrame) -> DataFrame:
     """Source columns in the target's order and types (a merge writes target
-    types). Column sets must be equal, compared case-insensitively."""
-    t_names = {c.lower(): c for c in target.columns}
+    types), names compared case-insensitively. Columns that the target lacks
+    are left out, so a source that grows a column keeps loading; a column that
+    the source lacks raises."""
     s_names = {c.lower(): c for c in source.columns}
-    missing = sorted(set(t_names) - set(s_names))
-    extra = sorted(set(s_names) - set(t_names))
-    if missing or extra:
-        raise ValueError(f"source and target columns differ: missing {missing}, extra {extra}")
+    missing = [c for c in target.columns if c.lower() not in s_names]
+    if missing:
+        raise ValueError(f"the source lacks columns of the target: {missing}")
     s_types = {f.name.lower(): f.dataType for f in source.schema.fields}
     cols = []
     for f in target.schema.fields:
@@ -167,11 +173,13 @@ def kept_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Keys, *,
-           source_rows: int | None = None, check_unique: bool = True) -> DataFrame:
+           source_rows: int | None = None, check_unique: bool = False) -> DataFrame:
     """The target's rows after merging ``source`` into it by ``keys``.
 
     ``source_rows``: exact row count of ``source`` if known (e.g. from a staged
     batch); enables the size-checked broadcast of the batch keys.
+    ``check_unique`` runs ``source`` once to reject repeated keys before the
+    lazy result is built, so it is for a source that is staged.
     """
     source, keys = normalize_keys(source, keys)
     source = align_to_target(target, source)

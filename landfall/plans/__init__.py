@@ -1,4 +1,4 @@
-from .audit import IngestionFailed, LogRecord, append_log, log_frame
+from .audit import IngestionFailed, LogRecord, Place, append_log, log_frame
 from .bootstrap import control_table_name, init, log_table_name
 from .control import (CONTROL_KEY, CONTROL_SCHEMA, LOG_SCHEMA, active_for_land, active_for_stage,
                       active_schemas, control_frame, control_problems, create_control_table,
@@ -9,7 +9,7 @@ from .load import LoadResult, load_into
 from .stage import stage, stage_frame, stage_route
 
 __all__ = [
-    "IngestionFailed", "LogRecord", "append_log", "log_frame",
+    "IngestionFailed", "LogRecord", "Place", "append_log", "log_frame",
     "control_table_name", "init", "log_table_name",
     "CONTROL_KEY", "CONTROL_SCHEMA", "LOG_SCHEMA", "active_for_land", "active_for_stage",
     "active_schemas", "control_frame", "control_problems", "create_control_table",

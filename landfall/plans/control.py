@@ -48,6 +48,7 @@ LOG_SCHEMA = StructType([
 ])
 LOG_KEY = ["target_catalog_name", "target_schema_name", "target_table_name", "ingestion_date"]
 
+# What each step takes from a control row.
 LAND_COLUMNS = ["schema_name", "table_name", "primary_key", "filter", "selected",
                 "partition_column", "num_partitions"]
 STAGE_COLUMNS = ["schema_name", "table_name", "primary_key", "stg_primary_key", "filter",

@@ -10,25 +10,32 @@
 * target present, partitioned -> only the partitions the batch touches are
   merged, rewritten and repointed.
 
+Columns that only the batch has are left out and logged; columns that it lacks
+raise. A load that fails, is rejected or finds no rows leaves no folder behind.
+
 ``movements`` is the number of rows in the batch (rows selected by the
 extract, not rows that changed), counted in the same pass that wrote it.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.upsert import (align_to_target, kept_rows, normalize_keys, small_side,
-                               variable_key_bytes)
+from ..operators.upsert import (align_to_target, extra_columns, fits_broadcast, kept_rows,
+                               normalize_keys, variable_key_bytes)
 from ..operators.validate import any_null, assert_unique, col
-from ..sources.tables import (create_partitioned_table, delete_path, expire_snapshots,
-                              max_records, partition_columns, partition_values, rebalanced,
-                              register_snapshot, snapshot_path, swap_partitions, table_exists,
-                              write_batch, write_batch_observed, written_partitions)
+from ..sources.tables import (create_partitioned_table, expire_snapshots, max_records,
+                              new_snapshot, partition_columns, partition_filter,
+                              partition_values, rebalanced, register_snapshot,
+                              swap_partitions, table_exists, write_batch_observed,
+                              written_partitions)
+
+_log = logging.getLogger("landfall")
 
 
 @dataclass(frozen=True)
@@ -37,6 +44,7 @@ class LoadResult:
     table: str
     mode: str  # "created" | "merged" | "skipped"
     movements: int
+    ignored: tuple[str, ...] = ()  # columns of the batch that the target lacks
 
 
 def _clustered(df: DataFrame, cluster_by: Sequence[str] | None) -> DataFrame:
@@ -69,107 +77,70 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     many (folders the table still uses are kept); ``None`` keeps them all."""
     if batch is None:
         raise ValueError("Data not extracted")
-    if table_exists(spark, target):
-        cols = partition_columns(spark, target)
-        if cols:
-            n = _merge_partitions(spark, target, batch, keys, cols, root=root,
-                                  check_unique=check_unique, cluster_by=cluster_by,
-                                  stable=stable_partitions)
-        else:
-            n = _merge_whole(spark, target, batch, keys, root=root,
-                             check_unique=check_unique, cluster_by=cluster_by)
+    batch, key_list = normalize_keys(batch, keys)
+    exists = table_exists(spark, target)
+    cols = partition_columns(spark, target) if exists else list(partition_by or [])
+    ignored: list[str] = []
+    if exists:
+        current = spark.table(target)
+        ignored = extra_columns(current, batch)
+        if ignored:
+            _log.warning("%s has no columns %s: they are not loaded", target, ignored)
+        batch = align_to_target(current, batch)
+    with new_snapshot(spark, target, root) as path:   # deleted unless the table is pointed at it
+        arranged = rebalanced(batch, cols) if cols else batch
+        # byte sizes of string keys, and empty partition values, are observed in the pass that writes
+        metrics = variable_key_bytes(batch.select(*[col(k) for k in key_list])) | _empty_values(batch, cols)
+        staged, n, measured = write_batch_observed(_clustered(arranged, cluster_by), path, cols, metrics)
         if n == 0:
             return LoadResult(target, "skipped", 0)
-        if retain_snapshots is not None:
-            expire_snapshots(spark, target, retain_snapshots)
-        return LoadResult(target, "merged", n)
-    # First load: the batch is written once, straight into the first snapshot
-    # folder (no second copy); the table is registered only if it has rows
-    # and its key holds.
-    batch, key_list = normalize_keys(batch, keys)
-    path = snapshot_path(spark, target, root)
-    if partition_by:  # group by partition first, then sort within each task
-        batch = rebalanced(batch, partition_by)
-    staged, n = write_batch(_clustered(batch, cluster_by), path, partition_by)
-    if n == 0:
-        return LoadResult(target, "skipped", 0)
-    if check_unique:
-        assert_unique(staged, key_list, what=f"first load of {target}")
-    if partition_by:
-        create_partitioned_table(spark, target, path, batch.schema, partition_by, root)
-    else:
-        register_snapshot(spark, target, path, root)
-    return LoadResult(target, "created", n)
-
-
-def _merge_whole(spark: SparkSession, target: str, batch: DataFrame, keys, *, root,
-                 check_unique: bool, cluster_by) -> int:
-    """Upsert into an unpartitioned table, writing each row once: the batch
-    (aligned to the target's columns and types) is written as the first
-    files of the next snapshot, its keys are checked, the target rows it does
-    not replace are appended next to it, and only then is the table
-    repointed. A failure before the swap leaves the table as it was."""
-    current = spark.table(target)
-    batch, key_list = normalize_keys(batch, keys)
-    path = snapshot_path(spark, target, root)
-    aligned = align_to_target(current, batch)
-    # string keys: their byte sizes are observed in the same pass (broadcast check)
-    staged, n, measured = write_batch_observed(
-        _clustered(aligned, cluster_by), path,
-        metrics=variable_key_bytes(aligned.select(*[col(k) for k in key_list])))
-    if n == 0:
-        delete_path(spark, path)
-        return 0
-    if check_unique:
-        assert_unique(staged, key_list, what=f"batch for {target}")
-    kept = kept_rows(current, staged, key_list, source_rows=n, measured=measured)
-    kept.write.option("maxRecordsPerFile", max_records(spark)).mode("append").parquet(path)
-    register_snapshot(spark, target, path, root)
-    return n
-
-
-def _partition_key(cols: Sequence[str]):
-    """One text value per partition (NULL-safe), for ``isin`` filters that
-    prune to the touched partitions."""
-    return F.concat_ws("\u001f", *[F.coalesce(col(c).cast("string"), F.lit("\u0000"))
-                                    for c in cols])
-
-
-def _key_text(values: tuple) -> str:
-    return "\u001f".join("\u0000" if v is None else v for v in values)
-
-
-def _merge_partitions(spark: SparkSession, target: str, batch: DataFrame, keys,
-                      cols: Sequence[str], *, root, check_unique, cluster_by, stable) -> int:
+        empty = [k.removeprefix("empty_") for k, v in measured.items() if k.startswith("empty_") and v]
+        if empty:
+            raise ValueError(f"{target}: partition columns {empty} hold empty strings, which a folder name can't tell from NULL")
+        if check_unique:
+            assert_unique(staged, key_list, what=f"batch for {target}")
+        if not exists:
+            if cols:
+                create_partitioned_table(spark, target, path, batch.schema, cols, root)
+            else:
+                register_snapshot(spark, target, path, root)
+            return LoadResult(target, "created", n)
+        if cols:
+            _merge_partitions(spark, target, staged, n, measured, key_list, cols, path, cluster_by, stable_partitions)
+        else:
+            kept = kept_rows(current, staged, key_list, source_rows=n, measured=measured)
+            kept.write.option("maxRecordsPerFile", max_records(spark)).mode("append").parquet(path)
+            register_snapshot(spark, target, path, root)
+    if retain_snapshots is not None:
+        expire_snapshots(spark, target, retain_snapshots)
+    return LoadResult(target, "merged", n, tuple(ignored))
+
+
+def _empty_values(batch: DataFrame, cols: Sequence[str]) -> dict:
+    text = {f.name.lower() for f in batch.schema.fields if f.dataType.simpleString() == "string"}
+    return {f"empty_{c}": F.count_if(col(c) == "") for c in cols if c.lower() in text}
+
+
+def _merge_partitions(spark: SparkSession, target: str, staged: DataFrame, n: int, measured: dict, key_list: Sequence[str],
+                      cols: Sequence[str], path: str, cluster_by, stable: bool) -> None:
     """Upsert confined to the partitions the batch touches, writing each row
-    once. The batch goes straight into the next snapshot folder (partitioned
-    like the table) and its keys are checked. The touched partitions are the
-    batch's own plus, unless ``stable``, those that currently hold its keys
-    (a narrow key-column probe against the broadcast batch keys). Only those
-    partitions are read; the rows the batch does not replace are appended
-    next to it, and each touched partition is repointed."""
+    once. The batch already stands in the next snapshot folder. The touched
+    partitions are the batch's own plus, unless ``stable``, those that
+    currently hold its keys (a narrow key-column probe against the batch keys).
+    Only those partitions are read; the rows the batch does not replace are
+    appended next to it, and each touched partition is repointed."""
     current = spark.table(target)
-    batch, key_list = normalize_keys(batch, keys)
-    path = snapshot_path(spark, target, root)
-    aligned = align_to_target(current, batch)
-    staged, n = write_batch(_clustered(rebalanced(aligned, cols), cluster_by), path, cols)
-    if n == 0:
-        delete_path(spark, path)
-        return 0
-    if check_unique:
-        assert_unique(staged, key_list, what=f"batch for {target}")
     touched = partition_values(staged, cols)
     if not stable:
-        probe = small_side(staged.select(*[col(k) for k in key_list])
-                                 .where(~any_null(key_list)), n)
+        probe = staged.select(*[col(k) for k in key_list]).where(~any_null(key_list))
+        probe = F.broadcast(probe) if fits_broadcast(probe, n, measured) else probe
         holders = (current.select(*[col(c) for c in list(key_list) + list(cols)])
                           .join(probe, key_list, "left_semi"))
         touched |= partition_values(holders, cols)
-    part = current.where(_partition_key(cols).isin([_key_text(v) for v in touched]))
-    kept = kept_rows(part, staged, key_list, source_rows=n)
+    part = current.where(partition_filter(current, cols, touched))
+    kept = kept_rows(part, staged, key_list, source_rows=n, measured=measured)
     (_clustered(rebalanced(kept, cols), cluster_by).write
      .option("maxRecordsPerFile", max_records(spark)).mode("append")
      .partitionBy(*cols).parquet(path))
-    written = written_partitions(spark.read.schema(current.schema).parquet(path), path, cols)
-    swap_partitions(spark, target, cols, touched, written)
-    return n
+    written = written_partitions(spark, path, cols)
+    swap_partitions(spark, target, cols, touched, written, path)

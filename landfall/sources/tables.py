@@ -4,19 +4,29 @@ Built-in Parquet tables have no row-level ``MERGE``/``UPDATE``. A changed table
 is therefore written as a **new snapshot folder** and the catalog entry is
 pointed at it (``ALTER TABLE … SET LOCATION`` + ``refreshTable``). Writing a
 new folder means the old files can be read while the new ones are written
-(overwriting a table that is being read is refused), readers that already
-planned against the old snapshot keep their files, and a writer that dies
-half way leaves the table unchanged. One writer per table is assumed.
+(overwriting a table that is being read is refused), and readers that already
+planned against the old snapshot keep their files. A writer that dies before
+the catalog call leaves the table unchanged. One writer per table is assumed.
+
+A partitioned table has one catalog call per touched partition, so while they
+run, or if the writer dies between two of them, readers see some partitions of
+the new state and some of the old: a key that moves partition may be missing
+or there twice. Running the same batch again completes the switch.
+
+A snapshot folder that the table was pointed at holds a marker file; folders
+without one are leftovers of writers that died.
 """
 
 from __future__ import annotations
 
 import time
 import uuid
-from urllib.parse import unquote
-from collections.abc import Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -91,8 +101,39 @@ def snapshot_path(spark: SparkSession, name: str, root: str | None = None) -> st
     return _snapshot_path(spark, name, root)
 
 
+@contextmanager
+def new_snapshot(spark: SparkSession, name: str, root: str | None = None) -> Iterator[str]:
+    """A fresh folder for the next snapshot of table ``name``, deleted again
+    unless the table was pointed at it inside the block."""
+    path = snapshot_path(spark, name, root)
+    try:
+        yield path
+    finally:
+        if not is_registered(spark, path):
+            delete_path(spark, path)
+
+
+_MARKER = "_registered"   # readers pass over names that begin with an underscore
+
+
+def _hadoop(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def mark_registered(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop(spark, f"{path}/{_MARKER}")
+    fs.create(p, True).close()
+
+
+def is_registered(spark: SparkSession, path: str) -> bool:
+    fs, p = _hadoop(spark, f"{path}/{_MARKER}")
+    return bool(fs.exists(p))
+
+
 def register_snapshot(spark: SparkSession, name: str, path: str, root: str | None = None) -> None:
     """Point table ``name`` at the snapshot in ``path`` (create it if absent)."""
+    mark_registered(spark, path)
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {_quote_name(name)} SET LOCATION '{path}'")
         spark.catalog.refreshTable(name)
@@ -170,8 +211,12 @@ def stage_batch(df: DataFrame) -> tuple[DataFrame, int]:
 
     The source is read exactly once; the row count comes from the same pass
     and the upsert reads the staged files, so the count and the loaded rows
-    agree even if the source changes."""
-    return write_batch(df, scratch_path(df.sparkSession, "batches"))
+    agree even if the source changes. The copy is deleted when the driver's
+    JVM ends."""
+    path = scratch_path(df.sparkSession, "batches")
+    fs, p = _hadoop(df.sparkSession, path)
+    fs.deleteOnExit(p)
+    return write_batch(df, path)
 
 
 # ---------------------------------------------------------------- partitioned tables
@@ -208,18 +253,10 @@ def _values_from_path(rel: str, cols: Sequence[str]) -> tuple:
                  for c in cols)
 
 
-def written_partitions(df: DataFrame, root: str, cols: Sequence[str]) -> dict[tuple, str]:
+def written_partitions(spark: SparkSession, root: str, cols: Sequence[str]) -> dict[tuple, str]:
     """Partition values (as text) -> folder, for a partitioned write under
-    ``root``, from the file listing (no data is read)."""
-    leaf = root.rstrip("/").rsplit("/", 1)[-1]
-    out: dict[tuple, str] = {}
-    for uri in df.inputFiles():
-        # file listings are URIs: decode once to get the path, whose partition
-        # folder names keep Spark's own escaping (decoded per value below)
-        folder = unquote(uri).rsplit("/", 1)[0]
-        rel = folder.split(leaf, 1)[1] if leaf in folder else ""
-        out[_values_from_path(rel, cols)] = folder
-    return out
+    ``root``: its folders are listed, not their files."""
+    return {_values_from_path("/".join(f.rsplit("/", len(cols))[1:]), cols): f for f in _partition_folders(spark, root, cols)}
 
 
 def partition_values(df: DataFrame, cols: Sequence[str]) -> set[tuple]:
@@ -244,32 +281,56 @@ def create_partitioned_table(spark: SparkSession, name: str, path: str, schema,
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     parts = ", ".join(f"`{c}`" for c in partition_by)
     q = _quote_name(name)
+    mark_registered(spark, path)
     spark.sql(f"CREATE TABLE {q} ({ddl}) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
     spark.sql(f"ALTER TABLE {q} RECOVER PARTITIONS")
     spark.catalog.refreshTable(name)
 
 
 def swap_partitions(spark: SparkSession, name: str, cols: Sequence[str], touched: set[tuple],
-                    written: dict[tuple, str]) -> None:
-    """Point each touched partition at its new folder; add new partitions;
-    drop touched partitions that are now empty."""
-    existing = {_values_from_path(r[0], cols)
-                for r in spark.sql(f"SHOW PARTITIONS {_quote_name(name)}").collect()}
+                    written: dict[tuple, str], path: str) -> None:
+    """Point each touched partition at its new folder under ``path``; add new
+    partitions; drop touched partitions that are now empty. One catalog call
+    for each repointed partition (see the module's note on that window)."""
+    mark_registered(spark, path)
     q = _quote_name(name)
-    new_specs = []
-    for values in sorted(touched, key=repr):
-        spec = _spec(cols, values)
-        if values in written and values in existing:
-            spark.sql(f"ALTER TABLE {q} {spec} SET LOCATION '{written[values]}'")
-        elif values in written:
-            new_specs.append(f"{spec} LOCATION '{written[values]}'")
-        elif values in existing:
-            spark.sql(f"ALTER TABLE {q} DROP IF EXISTS {spec}")
-    if new_specs:
-        spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS " + " ".join(new_specs))
+    gone = sorted(touched - set(written), key=repr)
+    if gone:
+        spark.sql(f"ALTER TABLE {q} DROP IF EXISTS " + ", ".join(_spec(cols, v) for v in gone))
+    if written:
+        every = sorted(written, key=repr)
+        # new ones are added; for the others this does nothing, and they are repointed
+        spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS " + " ".join(f"{_spec(cols, v)} LOCATION '{written[v]}'" for v in every))
+        for values in every:
+            spark.sql(f"ALTER TABLE {q} {_spec(cols, values)} SET LOCATION '{written[values]}'")
     spark.catalog.refreshTable(name)
 
 
+def partition_filter(df: DataFrame, cols: Sequence[str], values: Iterable[tuple]) -> Column:
+    """Rows of the partitions with these values (as text). Each column's values
+    are compared as its own type, which a catalog can prune by; for several
+    columns the exact combinations are checked besides."""
+    values = list(values)
+    kinds = {f.name.lower(): f.dataType for f in df.schema.fields}
+    out = F.lit(bool(values))
+    for i, c in enumerate(cols):
+        column = F.col(f"`{c}`")
+        some = [F.lit(v).cast(kinds[c.lower()]) for v in sorted({v[i] for v in values if v[i] is not None})]
+        one = column.isin(*some) if some else F.lit(False)
+        out = out & (one | column.isNull() if any(v[i] is None for v in values) else one)
+    return out & _null_safe_in(cols, values) if len(cols) > 1 and values else out
+
+
+def _null_safe_in(cols: Sequence[str], values: Sequence[tuple]) -> Column:
+    out = F.lit(False)
+    for v in values:
+        one = F.lit(True)
+        for c, x in zip(cols, v):
+            one = one & F.col(f"`{c}`").cast("string").eqNullSafe(F.lit(x).cast("string"))
+        out = out | one
+    return out
+
+
 # ---------------------------------------------------------------- snapshot retention
 
 def _table_location(spark: SparkSession, name: str) -> str:
@@ -287,36 +348,71 @@ def _snapshot_folder(path: str) -> str | None:
 
 
 def expire_snapshots(spark: SparkSession, name: str, retain: int = 2) -> list[str]:
-    """Delete snapshot folders of table ``name`` beyond the ``retain`` newest.
-
-    Folders still referenced by the table (its location, or any partition's
-    files) are always kept, whatever their age; keeping at least the previous
-    snapshot (``retain >= 2``) leaves readers that planned before the last
-    swap their files. Only ``snapshot-*`` folders next to the current one are
-    considered. Returns the deleted folders."""
+    """Delete what table ``name`` no longer needs, and return the deleted
+    folders. Versions are snapshot folders that the table was pointed at;
+    others beside them are leftovers of writers that died, and go.
+
+    Of an unpartitioned table the ``retain`` newest versions stay, and the one
+    in use. A partitioned table keeps that many versions of each partition, and
+    the one in use: a partition's own folder goes when newer ones replace it,
+    a snapshot folder when nothing is left in it. ``retain >= 2`` leaves
+    readers that planned before the last swap their files. Only folders are
+    listed, never the files of the table."""
     if retain < 1:
         raise ValueError("retain must be at least 1")
-    location = _table_location(spark, name)
-    current = _snapshot_folder(location)
+    current = _snapshot_folder(_table_location(spark, name))
     if current is None:
         return []
-    referenced = {current}
-    if partition_columns(spark, name):
-        referenced |= {_snapshot_folder(unquote(f)) for f in spark.table(name).inputFiles()}
-    jvm = spark._jvm
-    base = jvm.org.apache.hadoop.fs.Path(current).getParent()
-    fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    cols = partition_columns(spark, name)
+    fs, base = _hadoop(spark, current.rsplit("/", 1)[0])
     folders = sorted((st.getPath().toString() for st in fs.listStatus(base)
                       if st.isDirectory() and st.getPath().getName().startswith("snapshot-")),
                      key=lambda p: p.rsplit("/", 1)[-1])
-    norm = {_norm_path(p) for p in referenced if p}
-    keep = {_norm_path(p) for p in folders[-retain:]} | norm
-    deleted = []
-    for p in folders:
-        if _norm_path(p) not in keep:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(p), True)
-            deleted.append(p)
-    return deleted
+    versions = [p for p in folders if is_registered(spark, p) or _norm_path(p) == _norm_path(current)]
+    doomed = [p for p in folders if p not in versions]
+    if not cols:
+        doomed += [p for p in versions[:-retain] if _norm_path(p) != _norm_path(current)]
+    else:
+        doomed += _replaced_partitions(spark, name, cols, versions, retain)
+    for p in doomed:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(p), True)
+    if cols:
+        for p in versions:
+            if _norm_path(p) != _norm_path(current) and not _partition_folders(spark, p, cols):
+                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(p), True)
+                doomed.append(p)
+    return doomed
+
+
+def _partition_folders(spark: SparkSession, path: str, cols: Sequence[str]) -> list[str]:
+    fs, pattern = _hadoop(spark, path + "/*=*" * len(cols))
+    return [st.getPath().toString() for st in fs.globStatus(pattern) or []]
+
+
+def _replaced_partitions(spark: SparkSession, name: str, cols: Sequence[str], versions: Sequence[str],
+                         retain: int) -> list[str]:
+    """Folders of partitions that ``retain`` newer versions replace."""
+    by: dict[str, list[str]] = {}
+    for version in versions:   # oldest first
+        for folder in _partition_folders(spark, version, cols):
+            by.setdefault("/".join(folder.rsplit("/", len(cols))[1:]), []).append(folder)
+    out = []
+    for rel, held in by.items():
+        old = held[:-retain]
+        if old:
+            used = _partition_location(spark, name, _spec(cols, _values_from_path(rel, cols)))
+            out += [f for f in old if used is None or _norm_path(f) != _norm_path(used)]
+    return out
+
+
+def _partition_location(spark: SparkSession, name: str, spec: str) -> str | None:
+    """Where the catalog has a partition, None if it has none."""
+    try:
+        rows = spark.sql(f"DESCRIBE TABLE EXTENDED {_quote_name(name)} {spec}").collect()
+    except AnalysisException:
+        return None
+    found = [r["data_type"] for r in rows if r["col_name"] == "Location"]
+    return found[0] if found else None
 
 
 def _norm_path(p: str) -> str:

@@ -100,7 +100,7 @@ def test_end_to_end(spark, root, quoted_identifiers):
     conn = _derby(spark, _source(spark, False))
     recs = land(spark, control, conn, "2024-06-02", zones=zones, root=root,
                 log_table=log_table_name(zones))
-    assert {r.target_table_name: r.movements for r in recs}["SalesOrderDetail"] == 3
+    assert {r.target.table_name: r.movements for r in recs}["SalesOrderDetail"] == 3
     recs = stage(spark, control, sales.ROUTES, "2024-06-02", zones=zones, root=root,
                  log_table=log_table_name(zones))
     assert len(recs) == 10 and not any(r.failed for r in recs)
@@ -119,11 +119,11 @@ def test_end_to_end(spark, root, quoted_identifiers):
     conn = _derby(spark, _source(spark, True))
     recs = land(spark, control, conn, "2024-06-03", zones=zones, root=root,
                 log_table=log_table_name(zones))
-    moved = {r.target_table_name: r.movements for r in recs}
+    moved = {r.target.table_name: r.movements for r in recs}
     assert moved["CreditCard"] == 2 and moved["Store"] == 1 and moved["SalesOrderDetail"] == 0
     recs = stage(spark, control, sales.ROUTES, "2024-06-03", zones=zones, root=root,
                  log_table=log_table_name(zones))
-    assert {r.target_table_name: r.movements for r in recs}["store_demographics"] == 1
+    assert {r.target.table_name: r.movements for r in recs}["store_demographics"] == 1
     cards = {r["id"]: r["expiration_year"] for r in stg("credits_cards").collect()}
     assert cards == {1: 2030, 2: 2026, 3: 2027}
     demo = {r["business_entity_id"]: r for r in stg("store_demographics").collect()}

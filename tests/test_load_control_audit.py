@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from landfall.domains import sales
 from landfall.operators import KeyViolation
-from landfall.plans import (CONTROL_SCHEMA, LogRecord, active_for_land, active_for_stage,
+from landfall.plans import (CONTROL_SCHEMA, LogRecord, Place, active_for_land, active_for_stage,
                             active_schemas, append_log, control_frame, control_problems,
                             key_lists, load_into, seed_control, set_active, set_flag)
 from landfall.sources import stage_batch, write_snapshot
@@ -110,11 +110,12 @@ def test_key_lists_and_length_check(spark):
 
 def test_append_log_by_name(spark, root, tag):
     name = f"c_{tag}.data_ingestion_log"
-    recs = [LogRecord("raw", "Sales", "Store", None, "Sales", "Store", movements=3),
-            LogRecord("raw", "Sales", "Bad", None, "Sales", "Bad", error="ValueError('x')")]
+    recs = [LogRecord(Place(None, "Sales", "Store"), Place("raw", "Sales", "Store"), movements=3),
+            LogRecord(Place(None, "Sales", "Bad"), Place("raw", "Sales", "Bad"), error="ValueError('x')")]
     append_log(spark, name, recs, root)
     append_log(spark, name, recs[:1], root)
     log = spark.table(name)
+    assert len(log.inputFiles()) <= 3   # one file for each run, and the empty one of its creation
     assert log.columns[0] == "ingestion_date" and log.columns[-1] == "error"
     assert log.count() == 3
     assert log.where(F.col("ingestion_date").isNull()).count() == 0
@@ -168,8 +169,7 @@ def test_merges_leave_nothing_in_the_scratch_folder(spark, root, tag):
 
 def test_log_holds_counts_beyond_32_bits(spark, root, tag):
     name = f"c_{tag}.big_log"
-    append_log(spark, name, [LogRecord("raw", "S", "Big", None, "S", "Big",
-                                       movements=3_000_000_000)], root)
+    append_log(spark, name, [LogRecord(Place(None, "S", "Big"), Place("raw", "S", "Big"), movements=3_000_000_000)], root)
     assert spark.table(name).first()["movements"] == 3_000_000_000
 
 
@@ -182,3 +182,49 @@ def test_load_into_keeps_only_the_retained_snapshots(spark, root, tag):
     base = f"{root}/t_{tag}.db/rt".removeprefix("file:")
     assert len([d for d in os.listdir(base) if d.startswith("snapshot-")]) == 2
     assert rows(spark.table(name)) == [(i, str(i)) for i in range(5)]
+
+
+def test_rejected_and_failed_loads_leave_nothing_and_displace_nothing(spark, root, tag):
+    import os
+
+    name = f"t_{tag}.rj"
+    base = f"{root}/t_{tag}.db/rj".removeprefix("file:")
+    load = lambda data, **o: load_into(spark, spark.createDataFrame(data, SCHEMA), name, ["k"], root=root, **o)
+    folders = lambda: sorted(d for d in os.listdir(base) if d.startswith("snapshot-"))
+    assert load([]).mode == "skipped" and (not os.path.isdir(base) or folders() == [])
+    load([(1, "a")])
+    load([(2, "b")])
+    before = folders()
+    for _ in range(2):
+        with pytest.raises(KeyViolation):
+            load([(3, "x"), (3, "y")])
+    assert load([]).mode == "skipped" and folders() == before
+    previous = spark.table(name)
+    previous_rows = previous.inputFiles()
+    load([(4, "d")], retain_snapshots=2)
+    assert len(folders()) == 2 and before[-1] in folders()   # the snapshot that stood before is still there
+    assert all(os.path.exists(f.removeprefix("file://").removeprefix("file:")) for f in previous_rows)
+    assert rows(spark.table(name)) == [(1, "a"), (2, "b"), (4, "d")]
+
+
+def test_folders_of_dead_writers_are_no_versions(spark, root, tag):
+    import os
+
+    from landfall.sources import expire_snapshots
+    name = f"t_{tag}.dw"
+    for i in range(3):
+        load_into(spark, spark.createDataFrame([(i, str(i))], SCHEMA), name, ["k"], root=root)
+    base = f"{root}/t_{tag}.db/dw".removeprefix("file:")
+    os.makedirs(f"{base}/snapshot-999999999999999-dead")
+    expire_snapshots(spark, name, 2)
+    left = [d for d in os.listdir(base) if d.startswith("snapshot-")]
+    assert len(left) == 2 and not any("dead" in d for d in left) and spark.table(name).count() == 3
+
+
+def test_a_source_that_grows_a_column_keeps_loading(spark, root, tag, caplog):
+    name = f"t_{tag}.gr"
+    load_into(spark, spark.createDataFrame([(1, "a")], SCHEMA), name, ["k"], root=root)
+    wide = spark.createDataFrame([(1, "A", 5), (2, "b", 6)], SCHEMA + ", more int")
+    got = load_into(spark, wide, name, ["k"], root=root)
+    assert got.ignored == ("more",) and "more" in caplog.text
+    assert rows(spark.table(name)) == [(1, "A"), (2, "b")]

@@ -129,3 +129,63 @@ def test_unpartitioned_load_equals_plain_upsert(spark, target, batch):
     load_into(spark, bdf, t, ["k"], root=root, cluster_by=["p"])
     if target:
         assert rows(spark.table(t), "k", "v", "p") == expected
+
+
+def test_empty_partition_values_are_refused(spark, root, tag):
+    import os
+
+    import pytest
+    t = f"pt_{tag}.e"
+    df = spark.createDataFrame([(1, "a", "x"), (2, "b", "")], SCHEMA)
+    with pytest.raises(ValueError, match="empty strings"):
+        load_into(spark, df, t, ["k"], root=root, partition_by=["p"])
+    base = f"{root}/pt_{tag}.db/e".removeprefix("file:")
+    assert not spark.catalog.tableExists(t) and not [d for d in os.listdir(base) if d.startswith("snapshot")]
+
+
+def test_untouched_partitions_are_not_read(spark, root, tag):
+    import shutil
+
+    t = f"pt_{tag}.u"
+    load_into(spark, spark.createDataFrame([(i, "v", f"p{i % 4}") for i in range(8)], SCHEMA), t, ["k"], root=root, partition_by=["p"])
+    for p in ("p0", "p2"):   # reading one of these would fail
+        shutil.rmtree(_location(spark, t, p).removeprefix("file:"))
+    load_into(spark, spark.createDataFrame([(1, "new", "p1")], SCHEMA), t, ["k"], root=root, stable_partitions=True)
+    assert rows(spark.table(t).where("p = 'p1'"), "k", "v") == [(1, "new"), (5, "v")]
+
+
+def test_retention_works_on_each_partition(spark, root, tag):
+    import glob
+
+    t = f"pt_{tag}.r"
+    base = f"{root}/pt_{tag}.db/r".removeprefix("file:")
+    load = lambda data, **o: load_into(spark, spark.createDataFrame(data, SCHEMA), t, ["k"], root=root, **o)
+    load([(1, "a", "x"), (2, "b", "y")], partition_by=["p"])
+    for i in range(4):
+        load([(1, f"a{i}", "x")], retain_snapshots=2)
+    assert len(glob.glob(f"{base}/snapshot-*/p=x")) == 2 and len(glob.glob(f"{base}/snapshot-*/p=y")) == 1
+    assert rows(spark.table(t), "k", "v", "p") == [(1, "a3", "x"), (2, "b", "y")]
+
+
+def test_a_switch_cut_off_half_way_is_healed_by_the_same_batch(spark, root, tag, monkeypatch):
+    """Keys that all move partition, the writer gone after the first catalog call."""
+    import pytest
+
+    t = f"pt_{tag}.f"
+    load_into(spark, spark.createDataFrame([(i, "old", "x" if i < 5 else "y") for i in range(10)], SCHEMA), t, ["k"], root=root, partition_by=["p"])
+    batch = spark.createDataFrame([(i, "new", "y" if i < 5 else "x") for i in range(10)], SCHEMA)
+    plain, seen = type(spark).sql, []
+
+    def failing(self, query, *args, **kwargs):
+        if "SET LOCATION" in query:
+            seen.append(query)
+            if len(seen) == 2:
+                raise RuntimeError("the writer died")
+        return plain(self, query, *args, **kwargs)
+
+    monkeypatch.setattr(type(spark), "sql", failing)
+    with pytest.raises(RuntimeError, match="died"):
+        load_into(spark, batch, t, ["k"], root=root)
+    monkeypatch.setattr(type(spark), "sql", plain)
+    load_into(spark, batch, t, ["k"], root=root)
+    assert rows(spark.table(t), "k", "v", "p") == [(i, "new", "y" if i < 5 else "x") for i in range(10)]

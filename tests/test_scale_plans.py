@@ -93,7 +93,7 @@ def test_bad_key_lists_fail_only_their_route(spark, root):
     routes = {("S", "Good"): [("good", None)], ("S", "Bad"): [("bad", None)]}
     recs = stage(spark, ctl, routes, "2024-01-02", zones=zones, root=root,
                  raise_on_failure=False)
-    by = {r.target_table_name: r for r in recs}
+    by = {r.target.table_name: r for r in recs}
     assert set(by) == {"good", "bad"}  # tables without a route are not staged
     assert by["good"].movements == 1 and by["good"].error is None
     assert "same length" in by["bad"].error
@@ -183,7 +183,7 @@ def test_land_split_by_key(spark, root):
     for run in ("2024-01-02", "2024-01-03"):  # full, then incremental (same rows again)
         recs = land(spark, ctl, JdbcConnection(url), run, zones=zones, root=root,
                     split_by_key=True)
-        assert {r.target_table_name: r.movements for r in recs} == {"ints": 200, "strs": 2}
+        assert {r.target.table_name: r.movements for r in recs} == {"ints": 200, "strs": 2}
     assert spark.table(qualified(zones.raw, "APP", "ints")).count() == 200
     assert spark.table(qualified(zones.raw, "APP", "strs")).count() == 2
 

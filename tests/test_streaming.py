@@ -5,6 +5,7 @@ from landfall.streaming import upsert_available
 from .conftest import rows
 
 SCHEMA = "k bigint, v string"
+VERSIONED = "k bigint, v string, n int"
 
 
 def test_stream_batches_upsert_and_replay_is_harmless(spark, root, tag):
@@ -14,16 +15,16 @@ def test_stream_batches_upsert_and_replay_is_harmless(spark, root, tag):
     spark.createDataFrame([(2, "B"), (3, "c")], SCHEMA).write.parquet(f"{inbox}/f1")
     schema = spark.table(target).schema
     ckpt = scratch_path(spark, "ckpt")
-    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/*"), target, ["k"],
+    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/*"), target, ["k"], version="v",
                      checkpoint_location=ckpt, root=root)
     assert rows(spark.table(target)) == [(1, "a"), (2, "B"), (3, "c")]
     # a new file is picked up by the next run; processed files are not read again
     spark.createDataFrame([(3, "C")], SCHEMA).write.parquet(f"{inbox}/f2")
-    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/*"), target, ["k"],
+    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/*"), target, ["k"], version="v",
                      checkpoint_location=ckpt, root=root)
     assert rows(spark.table(target)) == [(1, "a"), (2, "B"), (3, "C")]
     # replaying the last batch (fresh checkpoint, as after a lost commit) changes nothing
-    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/f2"), target, ["k"],
+    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/f2"), target, ["k"], version="v",
                      root=root)
     assert rows(spark.table(target)) == [(1, "a"), (2, "B"), (3, "C")]
 
@@ -33,12 +34,21 @@ def test_stream_into_a_partitioned_target(spark, root, tag):
     schema = "k bigint, v string, p string"
     inbox = scratch_path(spark, "inbox")
     spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], schema).write.parquet(f"{inbox}/f1")
-    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/*"), target, ["k"],
+    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/*"), target, ["k"], version="v",
                      root=root, partition_by=["p"])
     spark.createDataFrame([(2, "B", "y"), (3, "c", "z")], schema).write.parquet(f"{inbox}/f2")
     ckpt = scratch_path(spark, "ckpt")
-    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/f2"), target, ["k"],
+    upsert_available(spark.readStream.schema(schema).parquet(f"{inbox}/f2"), target, ["k"], version="v",
                      checkpoint_location=ckpt, root=root)
     assert rows(spark.table(target), "k", "v", "p") == [(1, "a", "x"), (2, "B", "y"), (3, "c", "z")]
     parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {target}").collect())
     assert parts == ["p=x", "p=y", "p=z"]
+
+
+def test_the_latest_of_several_changes_of_a_key(spark, root, tag):
+    target = f"st_{tag}.l"
+    inbox = scratch_path(spark, "inbox")
+    changes = [(1, "a", 1), (1, "c", 3), (1, "b", 2), (2, "x", 1), (None, "n", 1), (None, "m", 1)]
+    spark.createDataFrame(changes, VERSIONED).write.parquet(f"{inbox}/f1")
+    upsert_available(spark.readStream.schema(VERSIONED).parquet(f"{inbox}/*"), target, ["k"], version="n", root=root)
+    assert rows(spark.table(target)) == sorted([(1, "c", 3), (2, "x", 1), (None, "n", 1), (None, "m", 1)], key=repr)

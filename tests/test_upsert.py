@@ -41,17 +41,18 @@ def test_duplicate_source_keys_raise(spark):
     t = spark.createDataFrame([(1, "a")], SCHEMA)
     s = spark.createDataFrame([(2, "x"), (2, "y")], SCHEMA)
     with pytest.raises(KeyViolation):
-        upsert(t, s, ["k"])
+        upsert(t, s, ["k"], check_unique=True)
     # NULL keys are not duplicates of each other
     s2 = spark.createDataFrame([(None, "x"), (None, "y")], SCHEMA)
-    assert upsert(t, s2, ["k"]).count() == 3
+    assert upsert(t, s2, ["k"], check_unique=True).count() == 3
 
 
-def test_column_mismatch_raises(spark):
-    t = spark.createDataFrame([(1, "a")], SCHEMA)
-    s = spark.createDataFrame([(1, "a", 1)], "k bigint, v string, extra int")
-    with pytest.raises(ValueError, match="differ"):
-        upsert(t, s, ["k"])
+def test_extra_columns_are_left_out_and_missing_ones_raise(spark):
+    t = spark.createDataFrame([(1, "a"), (3, "c")], SCHEMA)
+    s = spark.createDataFrame([(1, "A", 1), (2, "b", 2)], "k bigint, v string, extra int")
+    assert rows(upsert(t, s, ["k"])) == [(1, "A"), (2, "b"), (3, "c")]
+    with pytest.raises(ValueError, match="lacks"):
+        upsert(t, spark.createDataFrame([(1,)], "k bigint"), ["k"])
 
 
 def test_source_is_cast_to_target_types(spark):

@@ -21,7 +21,7 @@ def parsed(spark):
         [(1, "A", FULL), (2, "B", NAMESPACED), (3, "C", PARTIAL), (4, "D", None),
          (5, "E", "<StoreSurvey><oops"), (6, "F", WRONG_TYPE)],
         "BusinessEntityID int, Name string, Demographics string")
-    out = sales.transform_store_demographics(df)
+    out = sales.survey_columns(df)
     return out, {r["BusinessEntityID"]: r for r in out.collect()}
 
 
@@ -60,7 +60,7 @@ def test_wrong_typed_field(parsed):
 
 def test_stores_drop_the_document(spark):
     df = spark.createDataFrame([(1, "A", FULL)], "BusinessEntityID int, Name string, Demographics string")
-    assert sales.transform_stores(df).columns == ["BusinessEntityID", "Name"]
+    assert sales.TRANSFORMS["stores"](df).columns == ["BusinessEntityID", "Name"]
 
 
 def test_routes_cover_every_seed():
@@ -73,5 +73,5 @@ def test_prefixed_names_match_nothing(spark):
     doc = ('<StoreSurvey xmlns:p="urn:example:survey"><p:BankName>Primary</p:BankName>'
            '<SquareFeet>100</SquareFeet></StoreSurvey>')
     df = spark.createDataFrame([(1, "A", doc)], "BusinessEntityID int, Name string, Demographics string")
-    r = sales.transform_store_demographics(df).first()
+    r = sales.survey_columns(df).first()
     assert r["BankName"] is None and r["SquareFeet"] == 100
