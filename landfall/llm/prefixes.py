@@ -20,6 +20,7 @@ other columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,8 @@ from landfall.llm.common import TextSlice, read, text_slices
 from landfall.llm.segments import SegmentStore
 
 LIMIT = 1024
+#: Pieces, and pairs of tokens, whose answers a worker keeps.
+MOST_PIECES, MOST_PAIRS = 300_000, 1_000_000
 
 
 def byte_alphabet() -> list[str]:
@@ -42,6 +45,11 @@ def byte_alphabet() -> list[str]:
     return [chr(b) if b in set(printing) else chr(256 + others.index(b)) for b in range(256)]
 
 
+#: A word of Latin letters and at most a run of marks after it: the library
+#: always splits it just so. Most segments are.
+_PLAIN_WORD = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?&#$%*]*)")
+
+
 class PrefixCounter:
     """Counts of tokens at every prefix, for a byte-level BPE .json file."""
 
@@ -57,6 +65,7 @@ class PrefixCounter:
         self.table = {i: c for i, c in enumerate(self.names)}
         self.spaces = {self._mapped(c.encode()) for c in "\t\n\x0b\x0c\r \x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))}
         self.apart: dict[tuple[str, str], bool] = {}
+        self.pieces: dict[str, list[int]] = {}
         self.store = SegmentStore(self._learn)
 
     def _mapped(self, raw: bytes) -> str:
@@ -65,7 +74,7 @@ class PrefixCounter:
     def _stays(self, left: str, right: str) -> bool:
         found = self.apart.get((left, right))
         if found is None:
-            if len(self.apart) > 2_000_000:
+            if len(self.apart) > MOST_PAIRS:
                 self.apart.clear()
             got = [t.value for t in self.model.tokenize(left + right)]
             found = self.apart[left, right] = got == ([left, right] if left else [right])
@@ -74,10 +83,22 @@ class PrefixCounter:
     def piece(self, mapped: str) -> list[int]:
         """The number of tokens of each prefix of a piece (one that the
         library doesn't split), from one byte on."""
+        found = self.pieces.get(mapped)
+        if found is not None:
+            return found
         vocabulary, longest, stays, apart = self.vocabulary, self.longest, self._stays, self.apart
-        last, counts = [""], [0]
+        last, counts, start = [""], [0], 0
         for end in range(1, len(mapped) + 1):
-            for begin in range(max(0, end - longest), end):
+            # only one way is good, so any order will do: first that the last token goes on
+            token = mapped[start:end]
+            if token in vocabulary:
+                before = last[start]
+                ok = apart.get((before, token))
+                if ok or (ok is None and stays(before, token)):
+                    last.append(token)
+                    counts.append(counts[start] + 1)
+                    continue
+            for begin in range(end - longest if end > longest else 0, end):
                 token = mapped[begin:end]
                 if token in vocabulary:
                     before = last[begin]
@@ -85,9 +106,14 @@ class PrefixCounter:
                     if ok or (ok is None and stays(before, token)):
                         last.append(token)
                         counts.append(counts[begin] + 1)
+                        start = begin
                         break
             else:
                 raise ValueError("a byte has no token")
+        if len(mapped) <= 64:
+            if len(self.pieces) > MOST_PIECES:
+                self.pieces.clear()
+            self.pieces[mapped] = counts[1:]
         return counts[1:]
 
     def text(self, text: str) -> list[int]:
@@ -102,6 +128,10 @@ class PrefixCounter:
         return self._plain(text)
 
     def _plain(self, text: str) -> list[int]:
+        if m := _PLAIN_WORD.fullmatch(text):
+            word, mark = m.groups()
+            counts = self.piece(self._mapped(word.encode()))
+            return counts + [counts[-1] + c for c in self.piece(mark)] if mark else counts
         out: list[int] = []
         total, before = 0, None   # tokens of the pieces so far; the last piece and the tokens before it
         for mapped, _ in self.split.pre_tokenize_str(text):
