@@ -596,7 +596,7 @@ def q_init_databases(spark, d):
 def q_list_control(spark, d):
     zones, _ = _initialised(spark, d)
     rows, info = list_control(spark, 3, 20, zones=zones)
-    return rows.withColumn("total_results", F.lit(info.first()["total_results"]))
+    return rows.withColumn("total_results", F.lit(info.first()["total_results"]).cast("bigint"))
 
 
 def q_list_log(spark, d):
@@ -610,7 +610,7 @@ def q_list_log(spark, d):
     write_snapshot(spark, log, log_table_name(zones), root)
     rows, info = list_log(spark, 7, 30, zones=zones)
     return rows.select(F.date_format("ingestion_date", "yyyy-MM-dd").alias("day"), "source_table_name", "target_table_name", "movements",
-                       F.lit(info.first()["total_pages"]).alias("total_pages"))
+                       F.lit(info.first()["total_pages"]).cast("bigint").alias("total_pages"))
 
 
 def q_set_active_stored(spark, d):
