@@ -124,48 +124,66 @@ class PieceModel:
 
     def segment(self, text: str) -> list[str]:
         """The pieces of a text, escaped; characters without one by themselves."""
-        n = len(text)
-        arrivals: list[list[str]] = [[] for _ in range(n)]
-        if self.ids:
-            for end, (_, _, piece) in self.automaton.iter(text):
-                arrivals[end].append(piece)
-        way = self._best_sum(text, arrivals) if self.kind == UNIGRAM else self._only_way(text, arrivals)
+        way = self._best_sum(text) if self.kind == UNIGRAM else self._only_way(text)
         if way is None:
             return self.merged(text)
-        out, at = [], n
+        out, at = [], len(text)
         while at:
             out.append(way[at])
             at -= len(way[at])
         return out[::-1]
 
-    def _best_sum(self, text: str, arrivals: list[list[str]]) -> list[str]:
-        best, way = [0.0], [""]
-        for end in range(1, len(text) + 1):
-            c = text[end - 1]
-            score, piece = (best[end - 1] + self.worst, c) if c not in self.scores else (-np.inf, c)
-            for p in arrivals[end - 1]:
-                total = best[end - len(p)] + self.scores[p]
-                if total > score:
-                    score, piece = total, p
-            best.append(score)
-            way.append(piece)
+    def _arrivals(self, text: str) -> Iterator[tuple[int, tuple[int, int, str]]]:
+        """Every piece in the text, by the position that it ends at (the
+        automaton's transitions), longest first (its output links)."""
+        return self.automaton.iter(text) if self.ids else iter(())
+
+    def _best_sum(self, text: str) -> list[str]:
+        best = [0.0] + [-np.inf] * len(text)
+        way = [""] * (len(text) + 1)
+        done = 0   # positions whose best is known
+
+        def close(upto: int) -> None:
+            nonlocal done
+            while done < upto:
+                done += 1
+                c = text[done - 1]
+                if c not in self.scores and best[done - 1] + self.worst > best[done]:
+                    best[done], way[done] = best[done - 1] + self.worst, c
+
+        for end, (n, _, piece) in self._arrivals(text):
+            close(end)
+            total = best[end + 1 - n] + self.scores[piece]
+            if total > best[end + 1]:
+                best[end + 1], way[end + 1] = total, piece
+        close(len(text))
         return way
 
-    def _only_way(self, text: str, arrivals: list[list[str]]) -> list[str] | None:
+    def _only_way(self, text: str) -> list[str] | None:
         if text.startswith(SPACE * 2):   # such pieces have equal scores
             return None
-        way, apart, stays = [""], self.apart, self._stays
-        for end in range(1, len(text) + 1):
-            c = text[end - 1]
-            for piece in (arrivals[end - 1] if c in self.scores else [*arrivals[end - 1], c]):
-                left = way[end - len(piece)]
-                ok = apart.get((left, piece))
-                if ok or (ok is None and stays(left, piece)):
-                    way.append(piece)
-                    break
-            else:
+        way, apart, stays, known = [""], self.apart, self._stays, self.scores
+
+        def unknown(upto: int) -> bool:
+            """Positions that no piece is good for: a character without one stands by itself."""
+            while len(way) <= upto:
+                c = text[len(way) - 1]
+                if c in known or not stays(way[-1], c):
+                    return False
+                way.append(c)
+            return True
+
+        for end, (n, _, piece) in self._arrivals(text):
+            at = len(way)
+            if at > end + 1:
+                continue   # the way to this position is found
+            if at <= end and not unknown(end):
                 return None
-        return way
+            left = way[end + 1 - n]
+            ok = apart.get((left, piece))
+            if ok or (ok is None and stays(left, piece)):
+                way.append(piece)
+        return way if unknown(len(text)) else None
 
     def encode_piece(self, piece: str) -> list[int]:
         if piece in self.ids:
