@@ -36,7 +36,7 @@ from landfall.llm.common import TextSlice, fresh, own, read, span_hash, staged,
 MAX_ROWS = 50_000
 TREES, DEPTH = 20, 3
 #: Learning goes over these few rows again and again: in few tasks.
-TASKS = 6
+TASKS = 2
 PENALTY = 5e-4
 SEED = 7
 
@@ -125,9 +125,11 @@ def with_statistics(df: DataFrame, text_col: str = "text", name: str = "_statist
             if found:
                 flat = np.concatenate(found)
                 array = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, flat.shape[1]), pa.int32()), pa.array(flat.ravel()))
-                yield pa.RecordBatch.from_arrays([*batch.columns, array], names=[*batch.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*batch.columns, array], names=[*batch.schema.names, "statistics"])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.ArrayType(T.DoubleType()))]))
+    plain = [f"c{i}" for i in range(len(df.columns))]   # mapInArrow looks columns up by name, which dots would break
+    spec = T.StructType([*(T.StructField(n, f.dataType) for n, f in zip(plain, df.schema.fields)), T.StructField("statistics", T.ArrayType(T.DoubleType()))])
+    return df.toDF(*plain).mapInArrow(run, spec).toDF(*df.columns, name)
 
 
 # ------------------------------------------------------------ rules
@@ -201,7 +203,7 @@ def fit(rows: DataFrame, *, trees: int = TREES, depth: int = DEPTH, penalty: flo
         return RuleModel(float(np.log(counts[1] / counts[0])), [])
     held = F.array(*(_holds(r, "_statistics").cast("double") for r in rules))
     table = staged(rows.select("label", array_to_vector(held).alias("vector")).coalesce(TASKS), "rules")
-    found = LogisticRegression(featuresCol="vector", elasticNetParam=1.0, regParam=penalty, maxIter=60, tol=1e-4).fit(table)
+    found = LogisticRegression(featuresCol="vector", elasticNetParam=1.0, regParam=penalty, maxIter=40, tol=1e-4).fit(table)
     return RuleModel(float(found.intercept), [(float(c), r) for c, r in zip(found.coefficients, rules) if c])
 
 
