@@ -4,11 +4,12 @@ cluster's shared folder, Arrow text buffers, integer mixing."""
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +77,29 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------ Arrow text
 
+_HELD: dict = {"stage": None, "objects": {}}
+
+
+def _this_stage() -> dict:
+    """What this worker keeps from task to task of a stage. A worker lives on
+    for other stages, which need its memory for themselves."""
+    task = TaskContext.get()
+    stage = task.stageId() if task else None
+    if stage != _HELD["stage"]:
+        _HELD["objects"].clear()
+        _HELD["stage"] = stage
+        pa.default_memory_pool().release_unused()
+    return _HELD["objects"]
+
+
+def kept(key, make: Callable):
+    """``make()``, once for the tasks of a stage that a worker runs."""
+    held = _this_stage()
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 @dataclass
 class TextSlice:
     """Some consecutive texts of a batch: rows ``start`` to ``stop``, their
@@ -90,9 +114,10 @@ class TextSlice:
         return self.stop - self.start
 
 
-def text_slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[TextSlice]:
+def text_slices(column: pa.Array, max_bytes: int = SLICE_BYTES, max_rows: int = SLICE_ROWS) -> Iterator[TextSlice]:
     """The texts of an Arrow string column in bounded slices, without copying
     them into Python strings. Null counts as empty."""
+    _this_stage()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     n = len(column)
@@ -107,7 +132,7 @@ def text_slices(column: pa.Array, max_bytes: int = SLICE_BYTES) -> Iterator[Text
     at = 0
     while at < n:
         to = int(np.searchsorted(offsets, offsets[at] + max_bytes, side="right")) - 1
-        to = min(max(to, at + 1), n, at + SLICE_ROWS)
+        to = min(max(to, at + 1), n, at + max_rows)
         base = int(offsets[at])
         yield TextSlice(at, to, data[base:int(offsets[to])], offsets[at:to + 1] - base)
         at = to

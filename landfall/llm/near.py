@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import GOLD, TextSlice, fresh, mix, read, shingles, span_hash, staged, text_slices, words
+from landfall.llm.common import GOLD, SLICE_BYTES, TextSlice, fresh, mix, read, shingles, span_hash, staged, text_slices, words
 from landfall.llm.components import components
 from landfall.llm.segments import spread
 
@@ -134,7 +134,7 @@ def signed(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS, counted: bo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in text_slices(batch.column(1)):
+            for s in text_slices(batch.column(1), SLICE_BYTES // 2, 4096):
                 element, count, first = shingle_sets(s)
                 if counted:   # the i-th occurrence of a shingle is an element of the set compared
                     weight = count.astype(float)

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import TextSlice, read, text_slices
+from landfall.llm.common import TextSlice, kept, read, text_slices
 from landfall.llm.segments import SegmentStore, spread
 
 SPACE = "▁"
@@ -231,14 +231,9 @@ class PieceModel:
         return data, offsets
 
 
-_MODELS: dict[str, PieceModel] = {}
-
-
 def model(path: str) -> PieceModel:
     """This worker's model of a file."""
-    if path not in _MODELS:
-        _MODELS[path] = PieceModel.read(path)
-    return _MODELS[path]
+    return kept(("model", path), lambda: PieceModel.read(path))
 
 
 def encode(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import TextSlice, read, text_slices
+from landfall.llm.common import TextSlice, kept, read, text_slices
 from landfall.llm.segments import SegmentStore
 
 LIMIT = 1024
@@ -199,15 +199,10 @@ class PrefixCounter:
         return counts[ends], np.concatenate([[0], np.cumsum(ends)])[s.offsets]
 
 
-_COUNTERS: dict[str, PrefixCounter] = {}
-
-
 def counter(path: str) -> PrefixCounter:
     """This worker's counter for a tokenizer file."""
-    if path not in _COUNTERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _COUNTERS[path] = PrefixCounter(path)
-    return _COUNTERS[path]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return kept(("counter", path), lambda: PrefixCounter(path))
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -10,17 +10,18 @@ the results by index arithmetic.
 
 from __future__ import annotations
 
+import os
+
 import numpy as np
 
-from landfall.llm.common import GOLD, TextSlice, span_hash
+from landfall.llm.common import GOLD, TextSlice, kept, span_hash
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 #: Segments kept per worker, and their numbers; beyond it the store starts anew.
-STORE_BITS = 22
-STORE_SEGMENTS = 1_500_000
-STORE_NUMBERS = 12_000_000
+STORE_SEGMENTS = 1_000_000
+STORE_NUMBERS = 8_000_000
 
 
 def segment_starts(s: TextSlice, white: np.ndarray = _SPACE) -> np.ndarray:
@@ -57,9 +58,14 @@ def spread(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
 
 class HashStore:
     """An open-addressing table from 128-bit hashes to numbers, all lookups
-    and insertions by whole arrays."""
+    and insertions by whole arrays. It is never more than half full."""
+
+    def __init__(self, bits: int = 12):
+        self.count = 0
+        self._empty(bits)
 
-    def __init__(self, bits: int):
+    def _empty(self, bits: int) -> None:
+        self.bits = bits
         self.mask = np.uint64((1 << bits) - 1)
         self.key = np.zeros(1 << bits, np.uint64)
         self.check = np.zeros(1 << bits, np.uint64)
@@ -80,6 +86,15 @@ class HashStore:
 
     def add(self, key: np.ndarray, check: np.ndarray, value: np.ndarray) -> None:
         """Store hashes that are distinct and not there yet."""
+        self.count += len(key)
+        if 2 * self.count > len(self.key):
+            there = self.key != 0
+            old = self.key[there], self.check[there], self.value[there]
+            self._empty(max(self.bits + 1, (2 * self.count).bit_length()))
+            self._place(*old)
+        self._place(key, check, value)
+
+    def _place(self, key: np.ndarray, check: np.ndarray, value: np.ndarray) -> None:
         left = np.arange(len(key))
         slot = key & self.mask
         while left.size:
@@ -114,7 +129,7 @@ class SegmentStore:
         self._reset()
 
     def _reset(self) -> None:
-        self.store = HashStore(STORE_BITS)
+        self.store = HashStore()
         self.count = 0
         self.data = np.zeros(1 << 18, np.uint32)
         self.ends = np.zeros(1 << 16, np.int64)  # ends[i + 1]: the end of segment i's array
@@ -209,14 +224,7 @@ class SegmentEncoder:
         return ids, ends[first]
 
 
-_ENCODERS: dict[str, SegmentEncoder] = {}
-
-
 def encoder(path: str) -> SegmentEncoder:
     """This worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        _ENCODERS[path] = SegmentEncoder(path)
-    return _ENCODERS[path]
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    return kept(("encoder", path), lambda: SegmentEncoder(path))

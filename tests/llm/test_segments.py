@@ -93,7 +93,7 @@ def test_stores_forget_and_go_on(monkeypatch):
 
 def test_hash_store():
     rng = np.random.default_rng(0)
-    store = segments.HashStore(10)
+    store = segments.HashStore(5)
     key, check = rng.integers(1, 40, 300).astype(np.uint64), rng.integers(0, 2**60, 300).astype(np.uint64)   # keys collide
     key, check = map(np.array, zip(*dict.fromkeys(zip(key.tolist(), check.tolist()))))
     key, check = key.astype(np.uint64), check.astype(np.uint64)
