@@ -1,4 +1,5 @@
 import datetime as dt
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -8,7 +9,7 @@ from landfall.functions import (as_text, decode_typed, derby_date_literal, pasca
                                 render_filter, snake_case, split_list, spark_date_literal,
                                 sqlserver_date_literal, staging_key, staging_key_col,
                                 start_date)
-from landfall.functions.naming import _RULE_1_RE, _RULE_2_RE
+from landfall.functions.naming import _WORD_END
 
 
 @pytest.mark.parametrize("name,expected", [
@@ -37,8 +38,9 @@ def test_snake_case_is_idempotent(name):
 
 @given(st.text(alphabet="aB1_", max_size=7))
 def test_second_rule_changes_nothing_after_the_first(name):
-    after_first = _RULE_1_RE.sub(r"\1_\2", name)
-    assert _RULE_2_RE.sub(r"\1_\2", after_first) == after_first
+    """A rule for runs of capitals after a lower-case letter has nothing left to match."""
+    after_first = re.sub(_WORD_END, r"\1_\2", name)
+    assert re.sub(r"([a-z])([A-Z]{2,})", r"\1_\2", after_first) == after_first
 
 
 @settings(max_examples=1, deadline=None)
