@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import inspect
 
+import pytest
+
 import corpus_pipeline
 from landfall.llm import queries
 from landfall.llm.common import staged
-from tests.conftest import SF001
+from tests.conftest import SF001, SF01
 from tests.llm.test_dedup import brute_force, shingle_set, union_find
+from tests.oracle_compare import compare, duck
 
 
 def test_stages_do_their_work(spark):
@@ -34,3 +37,9 @@ def test_registered(spark):
     assert "pipeline" in names and all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11))
     assert [list(inspect.signature(f).parameters) for _, f in corpus_pipeline.STAGES] == [["spark", "docs", "sf_dir"]] * 5
     assert set(queries.oracle_sql()) <= set(names)
+
+
+@pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
+def test_sql(spark, name):
+    got = compare(spark, duck(SF01), name, queries.queries()[name], queries.oracle_sql()[name], SF01)
+    assert got["status"] == "ok", got
