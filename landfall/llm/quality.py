@@ -213,32 +213,39 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def train(stats: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> RuleModel:
-    """The model learned from ``doc_id, _statistics`` rows that aren't held out
-    and ``labels`` (``doc_id, quality``)."""
+def known_labels(labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+    """``doc_id, label`` of what is learned from: labels (``doc_id, quality``)
+    that aren't held out, about ``max_rows`` of them if there are more."""
     known = labels.select("doc_id", F.col("quality").cast("int").alias("label")).where("label IN (0, 1)").where(~held_out(F.col("doc_id")))
     n = known.count()
     if n > max_rows:
         known = known.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < int(1_000_000 * max_rows / n))
-    return fit(staged(stats.join(known, "doc_id").select("label", "_statistics").coalesce(TASKS), "learned"))
+    return staged(known, "labels")
+
+
+def train(labelled: DataFrame) -> RuleModel:
+    """The model of ``label, _statistics`` rows."""
+    return fit(staged(labelled.select("label", "_statistics"), "learned").coalesce(TASKS))
 
 
 def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", max_rows: int = MAX_ROWS) -> DataFrame:
     """``doc_id, held_out, score, predicted`` of every document."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     stats = staged(with_statistics(rows).drop("text"), "statistics")
-    model = train(stats, labels, max_rows)
+    model = train(stats.join(known_labels(labels, max_rows), "doc_id"))
     scored = stats.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), model.score().alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without those scored under 0.5, all columns as they were. No
-    text moves: statistics are taken once to learn and once to filter."""
+    text moves: the labels that are learned from, bounded by ``MAX_ROWS``, are
+    broadcast, statistics of their texts taken to learn, and of all to filter."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    known = labels.select("doc_id").distinct()
-    stats = with_statistics(rows).drop("text").join(known, "doc_id", "left_semi")
-    model = train(stats, labels)
+    known = known_labels(labels)
+    if known.count() <= 2 * MAX_ROWS:   # more only if one id has a great many labels
+        known = F.broadcast(known)
+    model = train(with_statistics(rows.join(known, "doc_id")))
     name = fresh(docs, "_statistics")
     return with_statistics(docs, text_col, name).where(model.score(name) >= 0.5).select(*own(docs))
 
