@@ -17,6 +17,7 @@ cluster they need a real source database.
 from __future__ import annotations
 
 import importlib.util
+import os
 import uuid
 from collections.abc import Callable
 
@@ -925,6 +926,16 @@ def entry(spark: SparkSession) -> DataFrame:
     return upsert(older, staged, ["id"], source_rows=staged.count())
 
 
+def _reachable(spark: SparkSession) -> None:
+    """Python workers import this repository as the driver does, whatever the
+    folder they start in. (On a cluster, submit it with ``--py-files``.)"""
+    env = spark.sparkContext.environment
+    here = os.path.dirname(os.path.abspath(__file__))
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if here not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([here, *paths])
+
+
 def _llm():
     """The queries module of the ``llm`` subpackage, or None where the
     subpackage and ``corpus_pipeline.py`` were left out."""
@@ -938,6 +949,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def wrap(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_checkpoint_dir(spark)
+            _reachable(spark)
             return fn(spark, sf_dir.rstrip("/"))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

@@ -29,6 +29,7 @@ def spark() -> SparkSession:
          .config("spark.driver.memory", "4g")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    s.sparkContext.environment["PYTHONPATH"] = str(ROOT)  # for Python workers, whatever folder they start in
     # the configured shared checkpoint folder is used as it is; a private
     # temporary one only when none is configured
     from landfall.session import ensure_checkpoint_dir
