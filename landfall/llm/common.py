@@ -18,7 +18,7 @@ from landfall.session import ensure_checkpoint_dir
 #: Texts are worked on in slices of about so many bytes, which bounds the
 #: memory of a Python worker whatever the Arrow batch holds. A longer text is
 #: a slice of its own.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 SLICE_ROWS = 1 << 16
 
 

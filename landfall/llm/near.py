@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import GOLD, SLICE_BYTES, TextSlice, fresh, mix, read, shingles, span_hash, staged, text_slices, words
+from landfall.llm.common import GOLD, TextSlice, fresh, mix, read, shingles, span_hash, staged, text_slices, words
 from landfall.llm.components import components
 from landfall.llm.segments import spread
 
@@ -134,7 +134,7 @@ def signed(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS, counted: bo
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in text_slices(batch.column(1), SLICE_BYTES // 2, 4096):
+            for s in text_slices(batch.column(1), max_rows=4096):
                 element, count, first = shingle_sets(s)
                 if counted:   # the i-th occurrence of a shingle is an element of the set compared
                     weight = count.astype(float)
@@ -184,16 +184,17 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
-def _compared(rows: DataFrame, least: float, kind: str) -> DataFrame:
-    """Pairs ``a, b`` of different groups within each (``bucket, i, j``) whose
-    signatures agree on a share of at least ``least``; only in the first band
-    that the two share."""
+def _linked(rows: DataFrame, threshold: float, least: float) -> DataFrame:
+    """Links ``a, b`` that join different groups within each (``bucket, i,
+    j``): pairs whose signatures agree on a share of at least ``least`` are
+    compared by their sets, each pair in the first band that the two share,
+    until a link joins their groups. There are fewer links than rows."""
 
     def block(t: pa.Table) -> tuple[list, list]:
         n = t.num_rows
         sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
         bands = np.array(t.column("bands").to_pylist(), dtype=np.int64)
-        doc = t.column("doc_id").to_pylist()
+        doc, sets = t.column("doc_id").to_pylist(), t.column("shingles")
         group = np.unique(np.array(t.column("component").to_pylist()), return_inverse=True)[1]
         part, key = t.column("part").to_numpy(), t.column("bucket")[0].as_py()
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
@@ -206,10 +207,16 @@ def _compared(rows: DataFrame, least: float, kind: str) -> DataFrame:
             if not len(other):
                 continue
             agree = (sketch[other] == sketch[r]).mean(axis=1)
-            other = other[(agree - 1 / 256) / (255 / 256) >= least]
-            other = other[~(bands[other, :mine] == bands[r, :mine]).any(axis=1)] if mine else other
-            xs += [doc[r]] * len(other)
-            ys += [doc[x] for x in other]
+            near = (agree - 1 / 256) / (255 / 256) >= least
+            other, agree = other[near], agree[near]
+            if mine:
+                first = ~(bands[other, :mine] == bands[r, :mine]).any(axis=1)
+                other, agree = other[first], agree[first]
+            for x in other[np.argsort(-agree, kind="stable")].tolist():
+                if group[x] != group[r] and _jaccard(sets[r].as_py(), sets[x].as_py()) >= threshold:
+                    xs.append(doc[r])
+                    ys.append(doc[x])
+                    group[group == group[x]] = group[r]
         return xs, ys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,13 +240,13 @@ def _compared(rows: DataFrame, least: float, kind: str) -> DataFrame:
                     last = key
                 held.append(batch.slice(a, b - a))
             if len(out[0]) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["a", "b"])
                 out = ([], [])
         close()
         if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(out[0]), pa.array(out[1])], names=["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["a", "b"])
 
-    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, f"a {kind}, b {kind}")
+    return rows.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j").mapInArrow(run, "a bigint, b bigint")
 
 
 def groups(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, counted: bool = False,
@@ -277,11 +284,9 @@ def groups(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS,
     rest = placed.join(mixed, "bucket").withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     rest = rest.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "component")
-    rest = rest.join(sets.select("doc_id", "bands", "sketch"), "doc_id")
+    rest = rest.join(sets.drop("leaders"), "doc_id")
     spare = 2.5 * (threshold * (1 - threshold) / (bands * rows)) ** 0.5
-    pairs = staged(_compared(rest, threshold - spare, "bigint"), "pairs")
-    pairs = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("set_a")), "a")
-    more = verified(pairs, sets, threshold).select("a", "b")
+    more = _linked(rest, threshold, threshold - spare)
     final = components(links.unionAll(more))
     joined = members.join(final, F.col("first") == F.col("node"), "left")
     return joined.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first")).alias("class_id"), F.col("size").alias("n_shingles")) \
