@@ -31,9 +31,11 @@ from pyspark.sql import functions as F
 
 from landfall.llm.common import read, staged
 
-MIN_SUPPORT = 0.001
-#: Labelled urls that a rule must hold for, however few there are in all.
+#: Blocked urls that a rule must hold for, however few or many there are in all.
 MIN_URLS = 20
+#: The share of the labelled urls that a rule must hold for besides: none, or
+#: what is rare would be lost in a large table.
+MIN_SUPPORT = 0.0
 MIN_CONFIDENCE = 0.8
 #: Tokens of more than this share of the labelled urls tell nothing and would
 #: only multiply the itemsets.
@@ -81,7 +83,8 @@ def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidenc
          min_urls: int = MIN_URLS) -> DataFrame:
     """Rules ``item, antecedent, confidence, support`` from ``url, blocked``
     rows: token combinations that mean block. ``item`` is the rarest token of
-    the antecedent, under which the rule is filed."""
+    the antecedent, under which the rule is filed. A rule is left out if one
+    token less gives a rule of no less confidence, which fits wherever it does."""
     rows = staged(labelled.select(tokens(F.col("url")).alias("tokens"), "blocked").where(F.size("tokens") > 0), "urls")
     spark = rows.sparkSession
     n = rows.count()
@@ -91,14 +94,25 @@ def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidenc
     plain = [r["item"] for r in common.collect()]  # fewer than tokens per url / MAX_SHARE
     used = F.array_except("tokens", F.array(*map(F.lit, plain)).cast("array<string>"))
     baskets = rows.select(F.when(F.col("blocked"), F.concat(used, F.array(F.lit(_BLOCK)))).otherwise(used).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_urls / n)), minConfidence=min_confidence).fit(baskets)
+    # half a url less: the learner rounds minSupport * n up, and min_urls / n * n may lie just over min_urls
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, (min_urls - 0.5) / n)), minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.where(F.array_contains("consequent", _BLOCK) & (F.size("consequent") == 1))
-    rules = staged(rules.select("antecedent", "confidence", "support"), "rules")
+    rules = _needed(staged(rules.select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support"), "every-rule"))
     single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
     return rules.withColumn("item", F.explode("antecedent")).join(single, "item") \
         .groupBy("antecedent", "confidence", "support").agg(F.min_by("item", F.struct("freq", "item")).alias("item"))
 
 
+def _needed(rules: DataFrame) -> DataFrame:
+    """``rules`` (antecedents sorted) without those that one token less makes
+    no worse."""
+    less = rules.select("antecedent", F.explode("antecedent").alias("out")) \
+        .select(F.col("antecedent").alias("whole"), F.array_remove("antecedent", F.col("out")).alias("antecedent"))
+    best = less.join(rules, "antecedent").groupBy("whole").agg(F.max("confidence").alias("before"))
+    joined = rules.join(best, F.col("antecedent") == F.col("whole"), "left")
+    return staged(joined.where(F.col("before").isNull() | (F.col("before") < F.col("confidence"))).select(*rules.columns), "rules")
+
+
 def match(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``url, antecedent, confidence`` of each distinct url that a rule fits:
     the rule of most confidence, then support."""

@@ -112,6 +112,24 @@ def test_mined_rules_against_brute_force(spark):
     assert {r["page_id"]: r["verdict"] == "block" for r in judged.collect()} == want and any(want.values()) and not all(want.values())
 
 
+def test_rare_blocked_host_in_many_urls(spark):
+    n = 50_000
+    rare = F.col("id") % 2000 == 0   # 25 urls of 50,000
+    name = F.when(rare, "rare").otherwise(F.concat(F.lit("h"), F.col("id") % 300))
+    rows = spark.range(n).select(F.concat(F.lit("http://"), name, F.lit(".net/p"), F.col("id") % 7).alias("url"), (rare | (F.col("id") % 11 == 0)).alias("blocked"))
+    rules = {tuple(r["antecedent"]): r for r in urls.mine(rows).collect()}
+    assert set(rules) == {("host=rare",)}   # and not with tokens that add nothing
+    assert rules["host=rare",]["confidence"] == 1.0 and round(rules["host=rare",]["support"] * n) == 25
+    pages = spark.createDataFrame([(1, "http://rare.net/new"), (2, "http://h1.net/p1")], "page_id long, url string")
+    assert {r["page_id"]: r["verdict"] for r in urls.judge(pages, rows).collect()} == {1: "block", 2: "allow"}
+
+
+@pytest.mark.parametrize("held, mined", [(19, False), (20, True)])
+def test_floor_is_exact(spark, held, mined):
+    rows = spark.range(21_977).select(F.concat(F.lit("http://"), F.when(F.col("id") < held, "x").otherwise("y"), F.lit(".net/")).alias("url"), (F.col("id") < held).alias("blocked"))
+    assert [r["antecedent"] for r in urls.mine(rows).collect()] == ([["host=x"]] if mined else [])
+
+
 def test_nothing_to_learn_from(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
