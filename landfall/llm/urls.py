@@ -37,9 +37,6 @@ MIN_URLS = 20
 #: what is rare would be lost in a large table.
 MIN_SUPPORT = 0.0
 MIN_CONFIDENCE = 0.8
-#: Tokens of more than this share of the labelled urls tell nothing and would
-#: only multiply the itemsets.
-MAX_SHARE = 0.9
 
 #: The rules (verdict, host, path) that go before the mined ones.
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -90,15 +87,22 @@ def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidenc
     n = rows.count()
     if not n:
         return spark.createDataFrame([], "item string, antecedent array<string>, confidence double, support double")
-    common = rows.select(F.explode("tokens").alias("item")).groupBy("item").count().where(F.col("count") > MAX_SHARE * n)
-    plain = [r["item"] for r in common.collect()]  # fewer than tokens per url / MAX_SHARE
+    # a token of every url changes no count of a combination and would only multiply the itemsets
+    common = rows.select(F.explode("tokens").alias("item")).groupBy("item").count().where(F.col("count") == n)
+    plain = [r["item"] for r in common.collect()]  # no more than a url has tokens
     used = F.array_except("tokens", F.array(*map(F.lit, plain)).cast("array<string>"))
     baskets = rows.select(F.when(F.col("blocked"), F.concat(used, F.array(F.lit(_BLOCK)))).otherwise(used).alias("items"))
     # half a url less: the learner rounds minSupport * n up, and min_urls / n * n may lie just over min_urls
     model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, (min_urls - 0.5) / n)), minConfidence=min_confidence).fit(baskets)
     rules = model.associationRules.where(F.array_contains("consequent", _BLOCK) & (F.size("consequent") == 1))
-    rules = _needed(staged(rules.select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support"), "every-rule"))
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq")
+    rules = rules.select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support")
+    # alone, such a token has the confidence of the whole table
+    bad = rows.where("blocked").count()
+    whole = [([t], bad / n, bad / n) for t in plain if bad >= max(min_urls, min_support * n) and bad / n >= min_confidence]
+    rules = rules.unionAll(spark.createDataFrame(whole, "antecedent array<string>, confidence double, support double"))
+    rules = _needed(staged(rules, "every-rule"))
+    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq") \
+        .unionAll(spark.createDataFrame([(t, n) for t in plain], "item string, freq long"))
     return rules.withColumn("item", F.explode("antecedent")).join(single, "item") \
         .groupBy("antecedent", "confidence", "support").agg(F.min_by("item", F.struct("freq", "item")).alias("item"))
 

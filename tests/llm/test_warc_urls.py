@@ -124,6 +124,21 @@ def test_rare_blocked_host_in_many_urls(spark):
     assert {r["page_id"]: r["verdict"] for r in urls.judge(pages, rows).collect()} == {1: "block", 2: "allow"}
 
 
+def test_common_tokens_in_combination(spark):
+    part = F.col("id") % 100   # host x: 8 of 100 urls are http and fine, 8 are https and blocked
+    host, scheme = F.when(part < 16, "x").otherwise("y"), F.when(part < 8, "http").otherwise("https")
+    rows = spark.range(2000).select(F.concat(scheme, F.lit("://"), host, F.lit(".net/")).alias("url"), part.between(8, 15).alias("blocked"))
+    assert [r["antecedent"] for r in urls.mine(rows).collect()] == [["host=x", "scheme=https"]]
+
+
+def test_tokens_of_every_url(spark):
+    rows = spark.range(1000).select(F.concat(F.lit("http://h"), F.col("id") % 3, F.lit(".net/")).alias("url"), (F.col("id") % 10 > 0).alias("blocked"))
+    rules = {tuple(r["antecedent"]): (r["confidence"], r["support"]) for r in urls.mine(rows).collect()}
+    assert rules["top=net",] == rules["scheme=http",] == (0.9, 0.9)
+    pages = spark.createDataFrame([(1, "http://new.org/"), (2, "https://new.org/")], "page_id long, url string")
+    assert {r["page_id"]: r["verdict"] for r in urls.judge(pages, rows, rules=()).collect()} == {1: "block", 2: "allow"}
+
+
 @pytest.mark.parametrize("held, mined", [(19, False), (20, True)])
 def test_floor_is_exact(spark, held, mined):
     rows = spark.range(21_977).select(F.concat(F.lit("http://"), F.when(F.col("id") < held, "x").otherwise("y"), F.lit(".net/")).alias("url"), (F.col("id") < held).alias("blocked"))
