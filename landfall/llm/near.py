@@ -13,8 +13,9 @@ Signatures are cut into bands. Copies (equal shingle sets) are one node.
 Candidates are then compared by their whole sets, without all pairs of a
 bucket: first each text with the two leaders (least ids of buckets) that it
 shares most bands with; then, in blocks, texts of a bucket that no leader has
-brought together and whose signatures agree nearly enough. Links are pairs at or over the
-threshold; groups are their connected components.
+brought together and whose sets can be alike enough by their sizes and a bound on
+what they share. Links are pairs at or over the threshold; groups are their connected
+components.
 
 Defined results: words are separated by ASCII white space and compared as they
 stand; a text of one to four words has one shingle. Null counts as empty; texts
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import GOLD, TextSlice, fresh, mix, read, shingles, span_hash, staged, text_slices, words
+from landfall.llm.common import GOLD, TextSlice, fresh, kept, mix, read, shingles, span_hash, staged, text_slices, words
 from landfall.llm.components import components
 from landfall.llm.segments import spread
 
@@ -44,6 +45,8 @@ BANDS, ROWS = 32, 7
 LEADERS = 2
 #: Members of a bucket to a block when it is compared in blocks.
 BLOCK = 512
+#: Shingles compared at a time in a block, and flags to mark a text's shingles.
+MARKED = 1 << 20
 #: Texts whose darts are held at a time.
 AT_ONCE = 256
 
@@ -170,6 +173,27 @@ def _jaccard(a: bytes, b: bytes) -> float:
     return shared / (len(both) - shared) if len(both) else 1.0
 
 
+def _may_be_near(mine: np.ndarray, others: list[np.ndarray], threshold: float, flags: np.ndarray) -> np.ndarray:
+    """Which of the sets can reach the threshold with ``mine``: an upper bound
+    on what they share, as shingles with equal low bits count as shared. No
+    pair at or over the threshold is left out. ``flags`` are false."""
+    size = np.array([len(x) for x in others])
+    out = np.minimum(size, len(mine)) >= threshold * np.maximum(size, len(mine)) - 1e-6
+    low = np.uint32(len(flags) - 1)
+    flags[mine & low] = True
+    held = np.flatnonzero(out)
+    at = 0
+    while at < len(held):
+        to = max(at + 1, at + int(np.searchsorted(np.cumsum(size[held[at:]]), MARKED, side="right")))
+        some = held[at:to]
+        hit = flags[np.concatenate([others[x] for x in some]) & low]
+        shared = np.minimum(np.add.reduceat(hit, np.concatenate([[0], np.cumsum(size[some])[:-1]]), dtype=np.int64), len(mine))
+        out[some] = shared >= threshold * (size[some] + len(mine) - shared) - 1e-6
+        at = to
+    flags[mine & low] = False
+    return out
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """``a, b, similarity`` of the pairs (``a, b, set_a``) whose sets are alike
     enough."""
@@ -184,17 +208,19 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
-def _linked(rows: DataFrame, threshold: float, least: float) -> DataFrame:
+def _linked(rows: DataFrame, threshold: float) -> DataFrame:
     """Links ``a, b`` that join different groups within each (``bucket, i,
-    j``): pairs whose signatures agree on a share of at least ``least`` are
-    compared by their sets, each pair in the first band that the two share,
-    until a link joins their groups. There are fewer links than rows."""
+    j``): pairs are compared by their sets, those first whose signatures agree
+    most, each pair in the first band that the two share, until a link joins
+    their groups. There are fewer links than rows."""
 
     def block(t: pa.Table) -> tuple[list, list]:
         n = t.num_rows
         sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(n, -1)
         bands = np.array(t.column("bands").to_pylist(), dtype=np.int64)
         doc, sets = t.column("doc_id").to_pylist(), t.column("shingles")
+        views = [np.frombuffer(x.as_buffer(), "<u4") for x in sets]
+        flags = kept("flags", lambda: np.zeros(MARKED, bool))
         group = np.unique(np.array(t.column("component").to_pylist()), return_inverse=True)[1]
         part, key = t.column("part").to_numpy(), t.column("bucket")[0].as_py()
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
@@ -206,12 +232,10 @@ def _linked(rows: DataFrame, threshold: float, least: float) -> DataFrame:
             other = np.flatnonzero((group != group[r]) & ((part == j) if i != j else (np.arange(n) > r)))
             if not len(other):
                 continue
-            agree = (sketch[other] == sketch[r]).mean(axis=1)
-            near = (agree - 1 / 256) / (255 / 256) >= least
-            other, agree = other[near], agree[near]
             if mine:
-                first = ~(bands[other, :mine] == bands[r, :mine]).any(axis=1)
-                other, agree = other[first], agree[first]
+                other = other[~(bands[other, :mine] == bands[r, :mine]).any(axis=1)]
+            other = other[_may_be_near(views[r], [views[x] for x in other], threshold, flags)] if len(other) else other
+            agree = (sketch[other] == sketch[r]).mean(axis=1)
             for x in other[np.argsort(-agree, kind="stable")].tolist():
                 if group[x] != group[r] and _jaccard(sets[r].as_py(), sets[x].as_py()) >= threshold:
                     xs.append(doc[r])
@@ -285,8 +309,7 @@ def groups(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS,
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     rest = rest.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "component")
     rest = rest.join(sets.drop("leaders"), "doc_id")
-    spare = 2.5 * (threshold * (1 - threshold) / (bands * rows)) ** 0.5
-    more = _linked(rest, threshold, threshold - spare)
+    more = _linked(rest, threshold)
     final = components(links.unionAll(more))
     joined = members.join(final, F.col("first") == F.col("node"), "left")
     return joined.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first")).alias("class_id"), F.col("size").alias("n_shingles")) \

@@ -107,6 +107,27 @@ def test_a_large_group_of_near_copies(spark):
     assert sum(got[i] != want[i] for i in ids) <= 1   # a pair just over the threshold may share no band
 
 
+def test_bound_leaves_out_no_near_pair():
+    r = np.random.default_rng(5)
+    flags = np.zeros(1 << 12, bool)   # many shingles have equal low bits
+    mine = np.unique(r.integers(0, 1 << 32, 300, dtype=np.uint32))
+    others = [np.unique(np.concatenate([mine[:int(k)], r.integers(0, 1 << 32, int(m), dtype=np.uint32)])) for k, m in zip(r.integers(0, 301, 400), r.integers(0, 120, 400))]
+    others.append(np.zeros(0, np.uint32))
+    may = near._may_be_near(mine, others, 0.8, flags)
+    is_near = np.array([near._jaccard(mine.tobytes(), x.tobytes()) >= 0.8 for x in others])
+    assert is_near.sum() > 20 and not (is_near & ~may).any() and not may.all() and not flags.any()
+
+
+def test_near_pair_whose_signatures_differ(spark, monkeypatch):
+    """Texts 2 and 3 are near, share one bucket only, and lead none: signatures may differ by chance."""
+    sets = {0: range(0, 100), 1: range(1000, 1100), 2: range(2000, 2100), 3: range(2005, 2105)}
+    bands = {0: [1, 2, 3, 4], 1: [1, 2, 5, 6], 2: [1, 2, 3, 7], 3: [1, 8, 5, 6]}   # leaders of 2: 0; of 3: 1 and 0
+    rows = [(i, i, i, 100, bands[i], bytes([i] * 8), np.array(sets[i], "<u4").tobytes()) for i in sets]
+    spec = "doc_id long, sum_a long, sum_b long, size long, bands array<long>, sketch binary, shingles binary"
+    monkeypatch.setattr(near, "signed", lambda docs, **options: spark.createDataFrame(rows, spec))
+    assert {r["doc_id"]: r["class_id"] for r in near.groups(make_docs(spark, [(0, "")])).collect()} == {0: 0, 1: 1, 2: 2, 3: 2}
+
+
 def test_near_edges(spark, edge, empty):
     assert near.groups(empty).collect() == [] and near.drop_near(empty).columns == empty.columns
     got = near.groups(edge).collect()
