@@ -293,7 +293,8 @@ def groups(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS,
     met = shared.groupBy("doc_id").agg(F.array_sort(F.collect_list("leader")).alias("leaders"))
     runs = F.transform(F.array_distinct("leaders"), lambda x: F.struct((-F.size(F.filter("leaders", lambda y: y == x))).alias("n"), x.alias("leader")))
     best = F.slice(F.array_sort(F.filter(runs, lambda x: x["leader"] != F.col("doc_id"))), 1, LEADERS)
-    sets = staged(every.select("doc_id", "bands", "sketch", "shingles").join(met.select("doc_id", best["leader"].alias("leaders")), "doc_id"), "sets")
+    # a text without words has no bands, and is near none
+    sets = staged(every.where(F.size("bands") > 0).select("doc_id", "bands", "sketch", "shingles").join(met.select("doc_id", best["leader"].alias("leaders")), "doc_id"), "sets")
     stars = sets.select(F.col("doc_id").alias("a"), F.explode("leaders").alias("b"), F.col("shingles").alias("set_a"))
     links = staged(verified(stars, sets, threshold).select("a", "b"), "links")
     # what is left: texts of a bucket that don't share a leader, nor a leader's leader
@@ -308,7 +309,8 @@ def groups(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS,
     rest = placed.join(mixed, "bucket").withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     rest = rest.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "component")
-    rest = rest.join(sets.drop("leaders"), "doc_id")
+    # rows of one id may hold different texts: those that are in the bucket, and each pair of rows once
+    rest = rest.distinct().join(sets.drop("leaders"), "doc_id").where(F.array_contains("bands", F.col("bucket")))
     more = _linked(rest, threshold)
     final = components(links.unionAll(more))
     joined = members.join(final, F.col("first") == F.col("node"), "left")

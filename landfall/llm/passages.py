@@ -17,8 +17,8 @@ aggregation and of plain joins; no group is gathered.
 
 Defined results: words are separated by ASCII white space and compared as they
 stand; texts under 50 words, null among them, have no passages. Rows of one id
-count as one document; rows with null id are left out. Within one document
-an occurrence that overlaps the first is none. An empty table gives no rows;
+and text count as one document, other texts of the id as others; rows with null
+id are left out. Within one document an occurrence that overlaps the first is none. An empty table gives no rows;
 other columns are ignored.
 """
 
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -117,8 +117,6 @@ def _windows(docs: DataFrame, least: int) -> DataFrame:
                 count = hi - lo - least + 1
                 start = spread(w.first[text] + lo, count)
                 text, copies = np.repeat(text, count), np.repeat(copies, count)
-                fits = start + least <= w.first[text + 1]   # rows of one id may differ
-                start, text, copies = start[fits], text[fits], copies[fits]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, len(s)).take(pa.array(text)), pa.array(runs.of(start, start + least).view(np.int64)), pa.array(copies),
                                                   *_spans(s, w, text, start, start + least)], names=["doc_id", "window", "copies", "lo", "hi", "begin", "end"])
 
@@ -155,27 +153,38 @@ def occurrences(docs: DataFrame, least: int = LEAST_WORDS, gram: int = GRAM) ->
     return whole.unionByName(alone).unionByName(single)
 
 
-def passages(docs: DataFrame, *, least: int = LEAST_WORDS, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The longest repeated passages: ``doc_id, begin, end`` (bytes of the
-    UTF-8 text), ``n_words``, ``repeat`` (false: an occurrence that stays) and
-    ``of_doc`` (the least document that it or a part of it stands in first)."""
+def _keyed(doc: Column, text: Column) -> Column:
+    """What stands for a document: its id, and its text's hash, as texts of one id may differ."""
+    return F.struct(doc.alias("id"), F.xxhash64(text).alias("text"))
+
+
+def _found(docs: DataFrame, least: int, gram: int, id_col: str, text_col: str) -> DataFrame:
+    """``passages`` with the key of the document, and that of the first one."""
     if not 0 < gram <= least:
         raise ValueError("gram must be between 1 and least")
-    docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    docs = docs.where(F.col(id_col).isNotNull()).select(_keyed(F.col(id_col), text).alias("doc_id"), text.alias("text"))
     found = occurrences(docs, least, gram)
     order = Window.partitionBy("doc_id", "repeat").orderBy("lo", "hi")
     reach = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
     islands = found.withColumn("new", F.when(reach >= F.col("lo"), 0).otherwise(1)).withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     return islands.groupBy("doc_id", "repeat", "island").agg(
-        F.min("begin").alias("begin"), F.max("end").alias("end"), (F.max("hi") - F.min("lo")).alias("n_words"), F.min("of_doc").alias("of_doc")) \
-        .select("doc_id", "begin", "end", "n_words", "repeat", "of_doc")
+        F.min("begin").alias("begin"), F.max("end").alias("end"), (F.max("hi") - F.min("lo")).alias("n_words"), F.min("of_doc").alias("of_doc"))
+
+
+def passages(docs: DataFrame, *, least: int = LEAST_WORDS, gram: int = GRAM, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The longest repeated passages: ``doc_id, begin, end`` (bytes of the
+    UTF-8 text), ``n_words``, ``repeat`` (false: an occurrence that stays) and
+    ``of_doc`` (the least document that it or a part of it stands in first)."""
+    found = _found(docs, least, gram, id_col, text_col)
+    return found.select(F.col("doc_id.id").alias("doc_id"), "begin", "end", "n_words", "repeat", F.col("of_doc.id").alias("of_doc"))
 
 
 def cut_repeats(docs: DataFrame, *, least: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every repeated passage cut out of its text but for the
     first occurrence; all other columns as they were, except that a column
     ``n_chars`` is counted again where text was cut."""
-    found = passages(docs, least=least, id_col=id_col, text_col=text_col).where("repeat")
+    found = _found(docs, least, GRAM, id_col, text_col).where("repeat")
     doc, cut, left = (fresh(docs, n) for n in ("_id", "_cuts", "_kept"))
     cuts = staged(found.groupBy(F.col("doc_id").alias(doc)).agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias(cut)), "cuts")
     raw = F.col(text_col).cast("string").cast("binary")
@@ -183,7 +192,7 @@ def cut_repeats(docs: DataFrame, *, least: int = LEAST_WORDS, id_col: str = "doc
     starts = F.concat(F.array(F.lit(0)), F.col(f"{cut}.end"))
     stops = F.concat(F.col(f"{cut}.begin"), F.array(F.octet_length(raw)))
     kept = F.concat_ws("", F.transform(F.arrays_zip(starts.alias("a"), stops.alias("b")), lambda x: F.substring(raw, x["a"] + 1, x["b"] - x["a"]).cast("string")))
-    joined = docs.join(cuts, F.col(id_col) == F.col(doc), "left").withColumn(left, F.when(F.col(cut).isNotNull(), kept))
+    joined = docs.join(cuts, _keyed(F.col(id_col), F.col(text_col).cast("string")) == F.col(doc), "left").withColumn(left, F.when(F.col(cut).isNotNull(), kept))
     out = joined.withColumn(text_col, F.coalesce(left, text_col))
     if "n_chars" in docs.columns and text_col != "n_chars":
         out = out.withColumn("n_chars", F.when(F.col(left).isNotNull(), F.length(left)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))

@@ -235,3 +235,19 @@ def test_minimisers_agree_wherever_the_window_stands():
     assert len(set(text.tolist())) == 4
     assert set.intersection(*({int(k) for k, t in zip(key, text) if t == i} for i in range(4)))
     assert (anchor >= first).all() and (anchor + 10 <= last + 50).all()
+
+
+def test_texts_of_one_id_that_differ(spark, monkeypatch):
+    """Near: a half-similar neighbour shares a band with one text of id 5, whose other text is null."""
+    sets = [(1, range(0, 100), [1, 2]), (5, range(50, 150), [1, 3]), (5, range(0), []), (5, range(900, 1000), [4, 5]), (9, range(905, 1005), [4, 3]), (9, range(5, 105), [2, 1])]
+    rows = [(i, k, k, len(x), bands, bytes([k] * 8) if bands else b"", np.array(x, "<u4").tobytes()) for k, (i, x, bands) in enumerate(sets)]
+    spec = "doc_id long, sum_a long, sum_b long, size long, bands array<long>, sketch binary, shingles binary"
+    monkeypatch.setattr(near, "signed", lambda docs, **options: spark.createDataFrame(rows, spec))
+    assert {(r["doc_id"], r["class_id"]) for r in near.groups(make_docs(spark, [(0, "")])).collect()} == {(1, 1), (5, 1), (9, 1)}
+
+
+def test_cuts_of_one_text_leave_the_others_of_its_id(spark):
+    shared, other = prose(71, 60), prose(72, 90)
+    docs = make_docs(spark, [(1, shared), (2, f"head {shared} tail"), (2, other), (2, None)])
+    got = {(r["doc_id"], r["text"]) for r in passages.cut_repeats(docs).collect()}
+    assert got == {(1, shared), (2, "head  tail"), (2, other), (2, None)}
