@@ -3,9 +3,9 @@
 Of a text's suffixes only those are retained that begin at content-selected
 positions: in every window of 50 words the run of ten words with the least
 hash (its minimiser), so equal windows retain equal positions whatever stands
-around them. The retained suffixes are sorted by their first ten words (here
-by Spark's exchange, by the hash of these words); one whose neighbour begins
-otherwise is dropped. What is left is extended left and right: an anchor's
+around them. The retained suffixes are grouped by the hash of their first ten
+words, in place of a sort and a comparison of neighbours; one alone in its
+group is dropped. What is left is extended left and right: an anchor's
 *block* is all the windows that it was chosen for, so a match that holds an
 anchor lies in its blocks. Equal blocks match whole; of blocks that share an
 anchor and differ, the windows are compared one by one, by hash. Windows that
