@@ -269,8 +269,8 @@ def decode(rows: DataFrame, path: str, *, id_col: str = "doc_id", ids_col: str =
 
 def round_trips(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every text encoded and decoded again: ``doc_id, n_bytes, n_pieces,
-    n_byte_pieces, ids_crc32`` (of little-endian unsigned 32-bit ids), and
-    whether the text came back whole."""
+    n_byte_pieces, ids_crc32`` (of little-endian unsigned 32-bit ids),
+    whether the text came back whole, and its ``ids``."""
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -287,9 +287,11 @@ def round_trips(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col:
                 crc = [zlib.crc32(raw[a:b].tobytes()) for a, b in zip(first.tolist(), first[1:].tolist())]
                 as_bytes = np.concatenate([[0], np.cumsum(held.is_byte[ids])])
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, len(s)), pa.array(np.diff(s.offsets)), pa.array(np.diff(first)), pa.array(as_bytes[first[1:]] - as_bytes[first[:-1]]),
-                                                  pa.array(crc, pa.int64()), pa.array(same)], names=["doc_id", "n_bytes", "n_pieces", "n_byte_pieces", "ids_crc32", "round_trip"])
+                                                  pa.array(crc, pa.int64()), pa.array(same), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(ids.astype(np.int32)))],
+                                                 names=["doc_id", "n_bytes", "n_pieces", "n_byte_pieces", "ids_crc32", "round_trip", "ids"])
 
-    return docs.mapInArrow(run, T.StructType([docs.schema["doc_id"], *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_pieces", "n_byte_pieces", "ids_crc32")), T.StructField("round_trip", T.BooleanType())]))
+    return docs.mapInArrow(run, T.StructType([docs.schema["doc_id"], *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_pieces", "n_byte_pieces", "ids_crc32")), T.StructField("round_trip", T.BooleanType()),
+                                           T.StructField("ids", T.ArrayType(T.IntegerType()))]))
 
 
 def op6(spark, sf_dir: str) -> DataFrame:

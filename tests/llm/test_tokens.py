@@ -55,3 +55,9 @@ def test_op6_comes_back(spark):
 def test_decode_of_other_ids(spark):
     rows = spark.createDataFrame([(1, [0, 1, 3 + 0xFF]), (2, None)], "doc_id long, ids array<int>")
     assert [r["text"] for r in pieces.decode(rows, SPM).orderBy("doc_id").collect()] == ["⁇ �", ""]
+
+
+def test_op6_gives_the_ids(spark):
+    want = {r["doc_id"]: r["ids"] for r in pieces.encode(spark.read.parquet(f"{SF001}/documents.parquet"), SPM).collect()}
+    rows = queries.queries()["op6_sentencepiece"](spark, SF001).collect()
+    assert {r["doc_id"]: r["ids"] for r in rows} == want and all(len(r["ids"]) == r["n_pieces"] for r in rows)
