@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from landfall.llm import exact, near, packing, passages, pieces, prefixes, quality, sketches, urls, warc
+from landfall.llm import exact, near, packing, passages, pieces, prefixes, quality, sketches, toxicity, urls, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": exact.op8,
         "op9_passages": passages.op9,
         "op10_url_filters": urls.op10,
+        "op11_toxicity": toxicity.op11,
     }
 
 
