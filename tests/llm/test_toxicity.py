@@ -95,7 +95,7 @@ def test_edges(spark, edge, empty):
 
 
 def test_drop_toxic_keeps_the_other_columns(spark):
-    texts = [(i, f"{'a moron writes' if i % 2 else 'somebody writes'} line {i}") for i in range(80)] + [(None, None)]
+    texts = [(i, f"{'a moron writes' if i % 2 else 'somebody writes'} line {i}") for i in range(80)] + [(None, "somebody writes line 500")]
     docs = make_docs(spark, texts, CLASHING)
     labels = spark.createDataFrame([(i, 1, i % 2) for i in range(80)], "doc_id long, quality int, toxic int")
     kept = toxicity.drop_toxic(docs, labels)
