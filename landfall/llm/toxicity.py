@@ -48,6 +48,8 @@ PENALTY, ELASTIC = 1e-4, 0.5
 #: Learning goes over these few rows again and again: in few tasks.
 TASKS = 8
 SEED = 11
+#: Bytes of text whose n-grams are held at a time.
+AT_ONCE = 1 << 18
 
 _PLACE = mix(np.arange(301, 301 + max(SIZES), dtype=np.uint64) * GOLD) | np.uint64(1)
 #: What tells the sizes apart.
@@ -125,7 +127,7 @@ class NgramModel:
             table = np.zeros(1 << self.bits)
             table[self.buckets] = self.weights
             for batch in batches:
-                total = [self._totals(s, table) for s in text_slices(batch.column(at))]
+                total = [self._totals(s, table) for s in text_slices(batch.column(at), AT_ONCE)]
                 if total:
                     yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(1.0 / (1.0 + np.exp(-np.concatenate(total).clip(-500, 500))))], names=spec.names)
 
@@ -142,7 +144,7 @@ def _presence(rows: DataFrame, wanted: np.ndarray | None = None) -> DataFrame:
             mask = np.zeros(1 << BITS, bool)
             mask[wanted] = True
         for batch in batches:
-            for s in text_slices(batch.column(1)):
+            for s in text_slices(batch.column(1), AT_ONCE):
                 text, bucket = Grams(s).held(mask)
                 first = np.searchsorted(text, np.arange(len(s) + 1))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, len(s)), pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(bucket.astype(np.int32)))], names=["label", "buckets"])
@@ -154,18 +156,18 @@ def bucket_counts(rows: DataFrame) -> DataFrame:
     """``bucket, toxic, other``: of ``label, text`` rows, how many of each
     class hold the bucket. Each task adds its texts up first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, 1 << BITS), np.int64)
+        counts = np.zeros((2, 1 << BITS), np.int32)
         for batch in batches:
             label = batch.column(0).to_numpy(zero_copy_only=False)
-            for s in text_slices(batch.column(1)):
+            for s in text_slices(batch.column(1), AT_ONCE):
                 text, bucket = Grams(s).held()
                 toxic = label[s.start:s.stop][text] == 1
-                counts[1] += np.bincount(bucket[toxic], minlength=1 << BITS)
-                counts[0] += np.bincount(bucket[~toxic], minlength=1 << BITS)
+                np.add.at(counts[1], bucket[toxic], 1)
+                np.add.at(counts[0], bucket[~toxic], 1)
         at = np.flatnonzero(counts.sum(axis=0))
         for a in range(0, len(at), 1 << 16):
             some = at[a:a + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(counts[1][some]), pa.array(counts[0][some])], names=["bucket", "toxic", "other"])
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), *(pa.array(counts[k][some].astype(np.int64)) for k in (1, 0))], names=["bucket", "toxic", "other"])
 
     found = rows.mapInArrow(run, "bucket int, toxic long, other long")
     return found.groupBy("bucket").agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))

@@ -353,8 +353,8 @@ m AS (SELECT conv_id, max(d) AS n FROM p GROUP BY conv_id),
 nodes AS MATERIALIZED (SELECT d, path, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * (CASE WHEN d = 0 THEN 0 ELSE any_value(length(txt)) END) AS saved,
       coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE n = d), '') AS ends FROM p JOIN m USING (conv_id) GROUP BY d, path),
 kids AS (SELECT d - 1 AS d, left(path, CAST(d - 1 AS BIGINT) * 64) AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1, 2),
-above AS (SELECT unnest(range(0, d + 1)) AS at, path, saved, kids.path IS NULL AS leaf FROM nodes LEFT JOIN kids USING (d, path)),
-totals AS (SELECT at AS d, left(path, CAST(at AS BIGINT) * 64) AS path, count(*) FILTER (WHERE leaf) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY 1, 2)
+above AS (SELECT unnest(range(0, d + 1)) AS g, path, saved, kids.path IS NULL AS leaf FROM nodes LEFT JOIN kids USING (d, path)),
+totals AS (SELECT g AS d, left(path, CAST(g AS BIGINT) * 64) AS path, count(*) FILTER (WHERE leaf) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY 1, 2)
 SELECT x.conv_id, CAST(x.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, x.n_convs, coalesce(kids.n_children, 0) AS n_children, n_leaves,
        CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(x.ends) AS ends_sha256
 FROM nodes x JOIN totals USING (d, path) LEFT JOIN kids USING (d, path) LEFT JOIN nodes up ON up.d = x.d - 1 AND up.path = left(x.path, CAST(x.d - 1 AS BIGINT) * 64)"""
