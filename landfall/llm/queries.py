@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from landfall.llm import exact, near, packing, passages, pieces, prefixes, quality, sketches, toxicity, tries, urls, warc
+from landfall.llm import alignment, exact, near, packing, passages, pieces, prefixes, quality, sketches, toxicity, tries, urls, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_passages": passages.op9,
         "op10_url_filters": urls.op10,
         "op11_toxicity": toxicity.op11,
+        "op12_alignment": alignment.op12,
         "op13_tries": tries.op13,
     }
 

@@ -144,13 +144,16 @@ class SegmentStore:
         self.ends[self.count + 1:self.count + 1 + len(lengths)] = used + np.cumsum(lengths)
         self.count += len(lengths)
 
+    def starts(self, s: TextSlice) -> np.ndarray:
+        return segment_starts(s, self.white)
+
     def look_up(self, s: TextSlice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each segment of the slice its number, the segments' byte
         positions (one more than there are), and for each text its first
         segment (one more than there are texts)."""
         if self.count > STORE_SEGMENTS or int(self.ends[self.count]) > STORE_NUMBERS:
             self._reset()
-        starts = segment_starts(s, self.white)
+        starts = self.starts(s)
         bounds = np.append(starts, len(s.data)).astype(np.int64)
         first = np.searchsorted(starts, s.offsets)
         key = span_hash(s.data, bounds[:-1], bounds[1:]) | np.uint64(1)
