@@ -802,15 +802,11 @@ _ORACLE: dict[str, str] = {
     "upsert_single_key": _Q4,
     "upsert_idempotent": _Q4,
     "upsert_mapped_key": _Q4,
-    "upsert_composite_key": f"""WITH t AS MATERIALIZED (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
-                                  GROUP BY l_orderkey, l_linenumber),
-  c AS (SELECT o_orderkey, o_orderpriority FROM orders WHERE {_W}),
-  s AS MATERIALIZED (SELECT l_orderkey, l_linenumber, -n AS n FROM t SEMI JOIN c ON l_orderkey = o_orderkey
-        UNION ALL
-        SELECT l_orderkey, -l_linenumber, n FROM t
-        SEMI JOIN (SELECT o_orderkey FROM c WHERE o_orderpriority = '1-URGENT') u ON l_orderkey = o_orderkey)
-SELECT * FROM t ANTI JOIN s USING (l_orderkey, l_linenumber)
-UNION ALL SELECT * FROM s""",
+    "upsert_composite_key": f"""WITH t AS (SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber),
+  c AS (SELECT o_orderkey, o_orderpriority FROM orders WHERE {_W})
+SELECT t.l_orderkey, t.l_linenumber, CASE WHEN c.o_orderkey IS NULL THEN t.n ELSE -t.n END AS n FROM t LEFT JOIN c ON c.o_orderkey = t.l_orderkey
+UNION ALL
+SELECT t.l_orderkey, -t.l_linenumber, t.n FROM t JOIN c ON c.o_orderkey = t.l_orderkey WHERE c.o_orderpriority = '1-URGENT'""",
     "merge_action_counts": f"""WITH {_CHANGES}
 SELECT CASE WHEN t.o_orderkey IS NULL THEN 'insert' ELSE 'update' END AS action, count(*) AS n
 FROM s LEFT JOIN orders t ON s.o_orderkey = t.o_orderkey GROUP BY 1""",

@@ -1,6 +1,6 @@
 from .columns import (apply, chain, drop_column, rename_columns, rename_positional, scan,
                       select_listed, snake_case_columns, where_filter)
-from .paging import page, page_info, sort_keys
+from .paging import page, page_info, total_order
 from .upsert import (align_to_target, extra_columns, merge_action_counts, merge_actions,
                      normalize_keys, small_side, upsert)
 from .validate import (KeyViolation, any_null, assert_not_null, assert_unique, duplicate_keys,
@@ -9,7 +9,7 @@ from .validate import (KeyViolation, any_null, assert_not_null, assert_unique, d
 __all__ = [
     "apply", "chain", "drop_column", "rename_columns", "rename_positional", "scan",
     "select_listed", "snake_case_columns", "where_filter",
-    "page", "page_info", "sort_keys",
+    "page", "page_info", "total_order",
     "align_to_target", "extra_columns", "merge_action_counts", "merge_actions", "normalize_keys", "small_side",
     "upsert",
     "KeyViolation", "any_null", "assert_not_null", "assert_unique", "duplicate_keys",

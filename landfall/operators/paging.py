@@ -5,48 +5,45 @@ order is total: after the columns asked for come all others, so rows that tie
 stand in the same place on every call, and the pages of a table together are
 the table, each row once. Null is the least value, as in Spark's ORDER BY.
 
-One plan serves every offset and length. The key at each end of the page is
-located by counting: a sample of keys splits the table, one narrow scan counts
-the rows between the splitters, and the stretch that holds the end is split
-again until few rows are left in it. What reaches the driver is a sample and
-its counts. The page is then a range filter between the two keys (pushed into
-the scan on the first sort column), sorted by as many tasks as it needs: no
-row of it goes through the driver or through one task, and the table itself
-is never sorted or shuffled.
-
-Page information is a one-row aggregate over the table (``count``), so it is
-lazy and distributed as well.
+The engine sorts; what is chosen here is how much of the table it has to:
+
+* a page that ends within the first ``EARLY`` rows is one ORDER BY / LIMIT /
+  OFFSET, which Spark runs as a top-k: a task keeps that many rows;
+* for a page further down, a histogram of the *first* sort column (its
+  approximate quantiles, one narrow scan) tells the stretch of values that
+  holds the page, and a second narrow scan how many rows stand before it. The
+  stretch is a range filter that reaches the scan, and the engine sorts what
+  passes: by a top-k again, or, where the page is large or ties are many, by
+  its range-partitioned sort, written once to the shared folder with the place
+  of each row; the page is then a range of places.
+
+No page goes through the driver or through one task but those of a top-k, and
+of a deep page's table only the stretch is sorted. What reaches the driver of
+a histogram is its ``STRETCHES`` bounds. Page information is a one-row
+aggregate over the table (``count``), so it is lazy and distributed as well.
 """
 
 from __future__ import annotations
 
+import uuid
 from bisect import bisect_right
 from collections.abc import Sequence
-from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .validate import col as col_
 
-#: Keys sampled to split a stretch of the table, the splitters taken from
-#: them, and rows that one task may order to find a key among them.
-SAMPLE = 2_000
-SPLITTERS = 127
-FEW = 20_000
+#: Rows that a task may keep to find the first ones of a table.
+EARLY = 10_000
+#: Stretches that the first sort column is split into.
+STRETCHES = 512
 
 OrderSpec = Sequence[str | Column | tuple[Column, bool]] | None
 
-
-@dataclass(frozen=True)
-class SortKey:
-    """One column of the total order, in a form that compares the same way and
-    comes back from the driver unchanged."""
-
-    value: Column
-    descending: bool
-    raw: Column | None = None   # a column of the table, for pushing filters
-    kind: str = ""
+_NUMBERS = ("tinyint", "smallint", "int", "bigint", "float", "double", "boolean")
+_PLACE_BITS = 33   # of monotonically_increasing_id: a row's place in its task
 
 
 def _check(page: int, page_length: int) -> None:
@@ -72,141 +69,124 @@ def _items(df: DataFrame, order: OrderSpec) -> list[tuple[Column, bool, str | No
     return out
 
 
-def _comparable(c: Column, kind: str) -> Column:
-    if kind == "timestamp":
-        return F.unix_micros(c)
-    if kind == "timestamp_ntz":
-        return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    if kind == "date":
-        return F.unix_date(c)
-    if kind.startswith(("array", "map", "struct", "variant")):
-        return F.to_json(F.struct(c))
-    return c
+def _kind(df: DataFrame, c: Column) -> str:
+    return df.select(c.alias("x")).schema["x"].dataType.simpleString()
 
 
-def _restored(value, kind: str) -> Column:
-    """A key's value as a literal of its column's type."""
-    if kind == "timestamp":
-        return F.timestamp_micros(F.lit(value))
-    if kind == "date":
-        return F.date_from_unix_date(F.lit(value))
-    return F.lit(value).cast(kind)
+def _sortable(df: DataFrame, c: Column) -> Column:
+    """Maps and variants have no order of their own: that of their JSON."""
+    kind = _kind(df, c)
+    return F.to_json(F.struct(c)) if "map<" in kind or "variant" in kind else c
 
 
-def sort_keys(df: DataFrame, order: OrderSpec) -> list[SortKey]:
-    """The total order: the items asked for, then every other column."""
-    kinds = {f.name.lower(): f.dataType.simpleString() for f in df.schema.fields}
+def total_order(df: DataFrame, order: OrderSpec) -> list[tuple[Column, bool]]:
+    """(expression, descending): the items asked for, then every other column."""
     items = _items(df, order)
     used = {name.lower() for _, _, name in items if name}
     items += [(col_(c), False, c) for c in df.columns if c.lower() not in used]
-    out = []
-    for c, descending, name in items:
-        kind = kinds.get(name.lower(), "") if name else df.select(c.alias("x")).schema["x"].dataType.simpleString()
-        out.append(SortKey(_comparable(c, kind), descending, c if name else None, kind))
-    return out
+    return [(_sortable(df, c), descending) for c, descending, _ in items]
 
 
-def _before(a: list[Column], b: list[Column], keys: list[SortKey]) -> Column:
-    """Whether key ``a`` comes before key ``b``."""
-    out = F.lit(False)
-    for x, y, k in reversed(list(zip(a, b, keys))):
-        low, high = (y, x) if k.descending else (x, y)
-        less = high.isNotNull() & (low.isNull() | F.coalesce(low < high, F.lit(False)))
-        out = less | (x.eqNullSafe(y) & out)
-    return out
+def _measure(c: Column, kind: str, prefix: str = "") -> Column | None:
+    """A number that never falls as ``c`` rises, null where ``c`` is; None if
+    there is none for the type. Strings behind a ``prefix`` that all share are
+    measured by their next six bytes."""
+    if kind in _NUMBERS or kind.startswith("decimal"):
+        number = c.cast("int").cast("double") if kind == "boolean" else c.cast("double")
+        return F.when(F.isnan(number), F.lit(float("inf"))).otherwise(number)
+    if kind == "date":
+        return F.unix_date(c).cast("double")
+    if kind == "timestamp":
+        return F.unix_micros(c).cast("double")
+    if kind == "timestamp_ntz":
+        return F.unix_date(c.cast("date")).cast("double") * 86400 + F.hour(c) * 3600 + F.minute(c) * 60 + F.second(c)
+    if kind == "string":
+        rest = F.substring(c.cast("binary"), len(prefix.encode()) + 1, 6)
+        return F.conv(F.rpad(F.hex(rest), 12, "0"), 16, 10).cast("double")
+    return None
 
 
-def _equal(a: list[Column], b: list[Column]) -> Column:
-    out = F.lit(True)
-    for x, y in zip(a, b):
-        out = out & x.eqNullSafe(y)
-    return out
+def _carried(c: Column, kind: str) -> Column:
+    """A value in a form that comes back from the driver unchanged."""
+    if kind == "timestamp":
+        return F.unix_micros(c)
+    if kind == "timestamp_ntz":
+        return c.cast("string")
+    return F.unix_date(c) if kind == "date" else c
+
+
+def _restored(value, kind: str) -> Column:
+    if kind == "timestamp":
+        return F.timestamp_micros(F.lit(value))
+    if kind == "date":
+        return F.date_from_unix_date(F.lit(value))
+    return F.lit(value).cast(kind)
 
 
-class _Locator:
-    """Finds, for a row position, the key there and how many rows of this key
-    stand before it."""
-
-    def __init__(self, df: DataFrame, keys: list[SortKey]):
-        self.keys = keys
-        self.names = [f"_k{i}" for i in range(len(keys))]
-        self.rows = df.select(*[k.value.alias(n) for k, n in zip(keys, self.names)])
-        self.types = [f.dataType for f in self.rows.schema.fields]
-        self.sort = [F.col(n).desc() if k.descending else F.col(n).asc() for k, n in zip(keys, self.names)]
-        self.counted: dict = {}
-
-    def columns(self) -> list[Column]:
-        return [F.col(n) for n in self.names]
-
-    def literal(self, values: tuple) -> list[Column]:
-        return [F.lit(v).cast(t) for v, t in zip(values, self.types)]
-
-    def _stretch(self, after: tuple | None, upto: tuple | None) -> DataFrame:
-        rows = self.rows
-        if after is not None:
-            rows = rows.where(_before(self.literal(after), self.columns(), self.keys))
-        if upto is not None:
-            rows = rows.where(_before(self.columns(), self.literal(upto), self.keys))
-        return rows
-
-    def _counts(self, after: tuple | None, upto: tuple | None) -> tuple[list[tuple], list[int]]:
-        """Splitters of a stretch, and the rows before the first, at the first,
-        between the first two, and so on."""
-        if (after, upto) not in self.counted:
-            rows = self._stretch(after, upto)
-            sample = rows.orderBy(F.rand(1)).limit(SAMPLE).orderBy(*self.sort).collect()
-            step = max(1, len(sample) // SPLITTERS)
-            found = list(dict.fromkeys(tuple(r) for r in sample[step // 2::step]))
-            arrays = [F.array(*[F.lit(v[i]).cast(t) for v in found]) for i, t in enumerate(self.types)]
-            size = 1
-            while size <= len(found):
-                size *= 2
-            at = rows.withColumn("_at", F.lit(0))   # splitters at or before the row, by halving
-            while size > 1:
-                size //= 2
-                splitter = [F.get(a, F.col("_at") + (size - 1)) for a in arrays]
-                past = (F.col("_at") + size <= len(found)) & ~_before(self.columns(), splitter, self.keys)
-                at = at.withColumn("_at", F.col("_at") + F.when(past, size).otherwise(0))
-            same = (F.col("_at") > 0) & _equal(self.columns(), [F.get(a, F.col("_at") - 1) for a in arrays])
-            got = at.groupBy((2 * F.col("_at") - F.when(same, 1).otherwise(0)).alias("slot")).count().collect()
-            counts = [0] * (2 * len(found) + 1)
-            for r in got:
-                counts[r["slot"]] = r["count"]
-            self.counted[after, upto] = found, counts
-        return self.counted[after, upto]
-
-    def find(self, position: int, total: int) -> tuple[tuple, int]:
-        after = upto = None
-        base, left = 0, total
-        while left > FEW:
-            found, counts = self._counts(after, upto)
-            ends = [base]
-            for c in counts:
-                ends.append(ends[-1] + c)
-            slot = bisect_right(ends, position) - 1
-            base, left = ends[slot], counts[slot]
-            if slot % 2:   # at a splitter
-                return found[slot // 2], position - base
-            after, upto = found[slot // 2 - 1] if slot else after, found[slot // 2] if slot // 2 < len(found) else upto
-        rows = self._stretch(after, upto)
-        key = tuple(rows.orderBy(*self.sort).offset(position - base).limit(1).first())
-        return key, position - base - rows.where(_before(self.columns(), self.literal(key), self.keys)).count()
-
-
-def _pushed(key: SortKey, start, end, has_start: bool, has_end: bool) -> Column | None:
-    """What the first sort column alone says about the page, in a form that
-    reaches the scan."""
-    if key.raw is None or key.kind.startswith(("array", "map", "struct", "variant")):
+def _common_prefix(df: DataFrame, c: Column) -> str:
+    ends = df.agg(F.min(c).alias("a"), F.max(c).alias("b")).first()
+    a, b = ends["a"] or "", ends["b"] or ""
+    n = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    return a[:n]
+
+
+def _stretch(df: DataFrame, c: Column, descending: bool, first: int, last: int) -> tuple[DataFrame, int] | None:
+    """The rows whose values of ``c`` can stand at places ``first`` to ``last``
+    (exclusive) of the order, and how many rows stand before them; None past
+    the end of the table."""
+    kind = _kind(df, c)
+    measure = _measure(c, kind, _common_prefix(df, c) if kind == "string" else "")
+    if measure is None:
+        return df, 0
+    shares = F.array(*[F.lit(i / STRETCHES) for i in range(STRETCHES + 1)])
+    found = df.select(c.alias("c"), measure.alias("m")).agg(F.percentile_approx("m", shares, 20 * STRETCHES).alias("cuts"), F.count("c").alias("held"), F.count(F.lit(1)).alias("n")).first()
+    n, held, cuts = found["n"], found["held"], found["cuts"]
+    if first >= n:
         return None
-    c, out = key.raw, None
-    low, high = (end, start) if key.descending else (start, end)
-    has_low, has_high = (has_end, has_start) if key.descending else (has_start, has_end)
-    if has_low and low is not None:
-        out = c >= _restored(low, key.kind)
-    if has_high:
-        least = c.isNull() if high is None else (c <= _restored(high, key.kind)) | c.isNull()
-        out = least if out is None else out & (c <= _restored(high, key.kind) if high is not None else least)
-    return out
+    last = min(last, n)
+    nulls = n - held
+    low, high = (n - last, n - first) if descending else (first, last)   # places counted from the least value, nulls first
+    with_nulls = low < nulls
+    if held == 0 or high <= nulls:
+        return df.where(c.isNull()), (held if descending else 0)
+    # a stretch more on either side: the quantiles are approximate
+    a = max(0, int((low - nulls) / held * STRETCHES) - 1) if low > nulls else 0
+    b = min(STRETCHES, int((high - nulls) / held * STRETCHES) + 2)
+    while True:
+        inside = measure.between(cuts[a], cuts[b])
+        got = df.agg(F.count_if(measure < cuts[a]).alias("below"), F.count_if(inside).alias("inside"), F.count_if(measure > cuts[b]).alias("above"),
+                     F.min(F.when(inside, _carried(c, kind))).alias("least"), F.max(F.when(inside, _carried(c, kind))).alias("most")).first()
+        if nulls + got["below"] <= max(low, nulls) and nulls + got["below"] + got["inside"] >= high:
+            break
+        if (a, b) == (0, STRETCHES):
+            return df, 0
+        a, b = max(0, a - 8), min(STRETCHES, b + 8)
+    chosen = (c >= _restored(got["least"], kind)) & (c <= _restored(got["most"], kind))
+    if kind in ("float", "double") and got["most"] != got["most"]:   # NaN, the greatest: a file's statistics don't know it
+        chosen = (c >= _restored(got["least"], kind)) | F.isnan(c)
+    if with_nulls:
+        chosen = chosen | c.isNull()
+    before = got["above"] if descending else got["below"] + (0 if with_nulls else nulls)
+    return df.where(chosen), before
+
+
+def _placed(rows: DataFrame, whole: list[Column], first: int, last: int) -> DataFrame:
+    """Rows ``first`` to ``last`` of the sorted rows: the engine's sort, written
+    once with each row's task and place in it."""
+    from ..sources.tables import stage_batch   # which imports this package
+
+    place = f"_place_{uuid.uuid4().hex[:8]}"
+    written, _ = stage_batch(rows.orderBy(*whole).withColumn(place, F.monotonically_increasing_id()))
+    tasks = written.groupBy(F.shiftright(place, _PLACE_BITS).alias("task")).count().orderBy("task").collect()
+    ends = list(accumulate((r["count"] for r in tasks), initial=0))
+
+    def at(position: int) -> int:
+        k = min(bisect_right(ends, position), len(tasks)) - 1
+        return (tasks[k]["task"] << _PLACE_BITS) + position - ends[k]
+
+    if first >= ends[-1]:
+        return rows.limit(0)
+    return written.where((F.col(place) >= at(first)) & (F.col(place) < at(min(last, ends[-1])))).orderBy(place).drop(place)
 
 
 def page(df: DataFrame, order: OrderSpec, page: int, page_length: int,
@@ -214,49 +194,26 @@ def page(df: DataFrame, order: OrderSpec, page: int, page_length: int,
     """Rows of page ``page`` (zero-based) in the given order, projected to
     ``select`` (the order may use columns that are not selected, as in SQL).
     Sort items are ``"name"``, ``"name DESC"``, a Column (ascending) or a
-    ``(Column, descending)`` pair. Locating the page runs a few narrow jobs."""
+    ``(Column, descending)`` pair. Early pages run no job; to find a deep one
+    takes two or three, and two more where it has to be sorted in full."""
     _check(page, page_length)
     if not order and select:
         order = [f"`{select[0]}`"]
-    keys = sort_keys(df, order)
     names = [col_(c) for c in (select if select is not None else df.columns)]
-    whole = [k.value.desc() if k.descending else k.value.asc() for k in keys]
+    items = total_order(df, order)
+    whole = [c.desc() if descending else c.asc() for c, descending in items]
     if page_length == 0:
         return df.orderBy(*whole).select(*names)
-    total, first, last = df.count(), page * page_length, (page + 1) * page_length
-    if first >= total:
-        return df.limit(0).select(*names)
-    locator = _Locator(df, keys)
-    start = locator.find(first, total) if first else None
-    end = locator.find(last, total) if last < total else None
-    mine = [k.value for k in keys]
-    rows = df
-    pushed = _pushed(keys[0], start and start[0][0], end and end[0][0], start is not None, end is not None)
-    if pushed is not None:
-        rows = rows.where(pushed)
-    parts = []
-    inside = F.lit(True)
-    if start:
-        inside = inside & _before(locator.literal(start[0]), mine, keys)
-    if end:
-        inside = inside & _before(mine, locator.literal(end[0]), keys)
-    # rows of one key are the same in every column, so any of them will do
-    if start and end and start[0] == end[0]:
-        parts.append(rows.where(_equal(mine, locator.literal(start[0]))).limit(end[1] - start[1]))
-    else:
-        if start:
-            at = _equal(mine, locator.literal(start[0]))
-            if start[1] == 0:
-                inside = inside | at
-            else:
-                parts.append(rows.where(at).limit(rows.where(at).count() - start[1]))
-        parts.append(rows.where(inside))
-        if end and end[1]:
-            parts.append(rows.where(_equal(mine, locator.literal(end[0]))).limit(end[1]))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
-    return out.orderBy(*whole).select(*names)
+    first, last = page * page_length, (page + 1) * page_length
+    rows, before = df, 0
+    if last > EARLY:
+        found = _stretch(df, *items[0], first, last)
+        if found is None:
+            return df.limit(0).select(*names)
+        rows, before = found
+    if last - before <= EARLY:
+        return rows.orderBy(*whole).offset(first - before).limit(page_length).select(*names)
+    return _placed(rows, whole, first - before, last - before).select(*names)
 
 
 def page_info(df: DataFrame, page: int, page_length: int) -> DataFrame:

@@ -49,18 +49,47 @@ def test_past_the_end_is_empty(events):
 
 @pytest.fixture()
 def small_steps(monkeypatch):
-    """Few rows to a step, so that small tables are split as large ones are."""
-    monkeypatch.setattr(paging, "FEW", 7)
-    monkeypatch.setattr(paging, "SAMPLE", 40)
-    monkeypatch.setattr(paging, "SPLITTERS", 5)
+    """No early pages and few stretches, so that small tables are split as large ones are."""
+    monkeypatch.setattr(paging, "EARLY", 3)
+    monkeypatch.setattr(paging, "STRETCHES", 6)
 
 
+@pytest.mark.parametrize("early", [0, 50, 10_000])
 @pytest.mark.parametrize("page_no,length", [(0, 7), (123, 13), (1, 6000)])
-def test_pages_are_those_of_a_whole_sort(events, page_no, length, monkeypatch):
-    monkeypatch.setattr(paging, "FEW", 500)
-    got = [tuple(r) for r in page(events, ["ts DESC", "event_id"], page_no, length).collect()]
+def test_pages_are_those_of_a_whole_sort(events, page_no, length, early, monkeypatch):
+    monkeypatch.setattr(paging, "EARLY", early)
     want = [tuple(r) for r in events.orderBy(F.col("ts").desc(), "event_id").offset(page_no * length).limit(length).collect()]
-    assert got == want
+    assert [tuple(r) for r in page(events, ["ts DESC", "event_id"], page_no, length).collect()] == want
+
+
+def test_both_plans_give_the_same_rows_over_ties(events, monkeypatch):
+    rows = [[tuple(r) for r in page(events, ["event_type DESC"], 3, 700).collect()]]
+    for early in (0, 1000):
+        monkeypatch.setattr(paging, "EARLY", early)
+        rows.append([tuple(r) for r in page(events, ["event_type DESC"], 3, 700).collect()])
+    assert rows[0] == rows[1] == rows[2] and len(rows[0]) == 700
+
+
+def jobs(spark, run):
+    """Jobs that ``run`` starts."""
+    group = "paging-jobs"
+    spark.sparkContext.setJobGroup(group, "")
+    try:
+        run()
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_early_pages_are_a_top_k_and_deep_ones_take_few_jobs(spark, events, monkeypatch):
+    early = page(events, ["ts DESC", "event_id"], 2, 25)
+    assert jobs(spark, lambda: page(events, ["ts DESC", "event_id"], 2, 25)) == 0
+    assert "TakeOrderedAndProject" in early._jdf.queryExecution().executedPlan().toString()
+    assert jobs(spark, lambda: early.collect()) <= 2
+    monkeypatch.setattr(paging, "EARLY", 1000)
+    deep: list = []
+    assert jobs(spark, lambda: deep.append(page(events, ["ts DESC", "event_id"], 300, 10))) <= 6   # two or three aggregates; AQE runs a shuffle as a job of its own
+    assert "TakeOrderedAndProject" in deep[0]._jdf.queryExecution().executedPlan().toString()
 
 
 def all_pages(df, order, length, **options):
@@ -84,7 +113,8 @@ def test_repeated_rows_come_as_often_as_they_are(spark, small_steps):
 
 
 def test_every_kind_of_column_orders(spark, monkeypatch):
-    monkeypatch.setattr(paging, "FEW", 12)
+    monkeypatch.setattr(paging, "EARLY", 3)
+    monkeypatch.setattr(paging, "STRETCHES", 6)
     df = spark.sql("""SELECT id, CAST(id % 7 AS DOUBLE) / CASE WHEN id % 3 = 0 THEN 0 ELSE 2 END AS d, timestamp_micros(id * 1000003 % 977) AS t,
       CAST(timestamp_micros(id * 7919 % 1013) AS TIMESTAMP_NTZ) AS n, date_add(DATE'2000-01-01', CAST(id % 11 AS INT)) AS y, CAST(id % 13 AS DECIMAL(20,4)) AS c,
       id % 2 = 0 AS b, array(id % 4, id) AS a, struct(id % 5 AS x) AS r FROM range(30)""" .replace("/ CASE WHEN id % 3 = 0 THEN 0 ELSE 2 END", "* IF(id % 9 = 0, CAST('NaN' AS DOUBLE), -1)"))
@@ -97,18 +127,26 @@ def test_every_kind_of_column_orders(spark, monkeypatch):
 
 def test_a_large_page_stays_off_the_driver_and_one_task(spark):
     df = spark.range(0, 250_000, 1, 8).select("id", (F.col("id") % 4).alias("v"), F.lit("x" * 50).alias("s"))
-    old = spark.conf.get("spark.driver.maxResultSize", "1g")
     rows = page(df, ["v"], 1, 150_000)
-    assert old and rows.count() == 100_000
+    assert rows.count() == 100_000
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "rangepartitioning" in plan and "LocalTableScan" not in plan
+    assert "rangepartitioning" in plan and "LocalTableScan" not in plan and "TakeOrdered" not in plan and "SinglePartition" not in plan
+    assert [r["id"] for r in page(df, ["v", "id"], 5, 30_000).select("id").collect()] == [4 * i + 2 + k for k in (0, 1) for i in range(62_500)][25_000:55_000]
 
 
-def test_the_page_filter_reaches_the_scan(events):
-    plan = page(events, ["ts DESC", "event_id"], 300, 25)._jdf.queryExecution().executedPlan().toString()
+def test_the_page_filter_reaches_the_scan(events, monkeypatch):
+    monkeypatch.setattr(paging, "EARLY", 1000)
+    plan = page(events, ["ts DESC", "event_id"], 300, 10)._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(ts", plan)
 
 
+def test_strings_that_share_a_beginning(spark, small_steps):
+    df = spark.createDataFrame([(f"tables/part-{i:04d}{'é' * (i % 3)}" if i % 11 else None, i) for i in range(60)], "k string, v int").repartition(4)
+    for order in (["k"], ["k DESC"]):
+        want = [tuple(r) for r in df.orderBy(F.col("k").desc() if "DESC" in order[0] else F.col("k"), "v").collect()]
+        assert all_pages(df, order, 7) == want
+
+
 def test_order_items(events):
     first = page(events, ["ts DESC"], 0, 1).first()
     assert first["ts"] == events.agg(F.max("ts")).first()[0]
