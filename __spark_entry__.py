@@ -316,6 +316,17 @@ def q_upsert_partitioned(spark, d):
     return spark.table(target)
 
 
+def q_upsert_key_ranges(spark, d):
+    """Orders laid out in ranges of their key; the batch rewrites the ranges
+    that its keys fall in, and ranges that grow too large are split."""
+    root = _root(spark)
+    orders = _read(spark, d, "orders")
+    target = f"lf_{_tag()}.orders"
+    load_into(spark, orders, target, ["o_orderkey"], root=root, range_rows=4000)
+    load_into(spark, _changes(orders), target, ["o_orderkey"], root=root)
+    return read_table(spark, target)
+
+
 def q_upsert_extra_column(spark, d):
     """The batch has grown a column that the target lacks."""
     root = _root(spark)
@@ -704,6 +715,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_mapped_key": q_upsert_mapped_key,
     "merge_action_counts": q_merge_action_counts,
     "upsert_partitioned": q_upsert_partitioned,
+    "upsert_key_ranges": q_upsert_key_ranges,
     "upsert_extra_column": q_upsert_extra_column,
     "upsert_stream": q_upsert_stream,
     "land_full": q_land_full,
@@ -811,6 +823,7 @@ SELECT t.l_orderkey, -t.l_linenumber, t.n FROM t JOIN c ON c.o_orderkey = t.l_or
 SELECT CASE WHEN t.o_orderkey IS NULL THEN 'insert' ELSE 'update' END AS action, count(*) AS n
 FROM s LEFT JOIN orders t ON s.o_orderkey = t.o_orderkey GROUP BY 1""",
     "upsert_partitioned": _Q4,
+    "upsert_key_ranges": _Q4,
     "upsert_extra_column": _Q4,
     "upsert_stream": _Q4,
     "land_full": "SELECT * FROM orders",

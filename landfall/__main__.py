@@ -57,6 +57,8 @@ def _parser() -> argparse.ArgumentParser:
     for task in (la, st):
         task.add_argument("--partition-by", action="append", default=[], metavar="TABLE=COL[,COL]",
                           help="partition columns of a table when it is first loaded (repeatable)")
+        task.add_argument("--range-rows", type=int, metavar="N",
+                          help="lay tables without partition columns out in key ranges of about N rows when they are first loaded")
         task.add_argument("--stable-partitions", action="store_true",
                           help="a key's partition value never changes: skip the probe for moved rows")
     for name in ("list-control", "list-log"):
@@ -98,13 +100,13 @@ def main(argv: list[str] | None = None) -> int:
         land(spark, spark.table(control_table_name(zones)), conn, args.run_date, zones=zones,
              root=root, log_table=log_table_name(zones), parallelism=args.parallel,
              retain_snapshots=args.retain, split_by_key=args.split_by_key,
-             partition_by=_layouts(args.partition_by), stable_partitions=args.stable_partitions,
+             partition_by=_layouts(args.partition_by), stable_partitions=args.stable_partitions, range_rows=args.range_rows,
              check_unique=not args.no_key_check)
     elif args.task == "stage":
         stage(spark, spark.table(control_table_name(zones)), sales.ROUTES, args.run_date,
               zones=zones, root=root, log_table=log_table_name(zones),
               parallelism=args.parallel, retain_snapshots=args.retain,
-              partition_by=_layouts(args.partition_by), stable_partitions=args.stable_partitions,
+              partition_by=_layouts(args.partition_by), stable_partitions=args.stable_partitions, range_rows=args.range_rows,
               check_unique=not args.no_key_check)
     elif args.task in ("list-control", "list-log"):
         lister = list_control if args.task == "list-control" else list_log

@@ -33,6 +33,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.values import carried, restored
 from .validate import col as col_
 
 #: Rows that a task may keep to find the first ones of a table.
@@ -106,23 +107,6 @@ def _measure(c: Column, kind: str, prefix: str = "") -> Column | None:
     return None
 
 
-def _carried(c: Column, kind: str) -> Column:
-    """A value in a form that comes back from the driver unchanged."""
-    if kind == "timestamp":
-        return F.unix_micros(c)
-    if kind == "timestamp_ntz":
-        return c.cast("string")
-    return F.unix_date(c) if kind == "date" else c
-
-
-def _restored(value, kind: str) -> Column:
-    if kind == "timestamp":
-        return F.timestamp_micros(F.lit(value))
-    if kind == "date":
-        return F.date_from_unix_date(F.lit(value))
-    return F.lit(value).cast(kind)
-
-
 def _common_prefix(df: DataFrame, c: Column) -> str:
     ends = df.agg(F.min(c).alias("a"), F.max(c).alias("b")).first()
     a, b = ends["a"] or "", ends["b"] or ""
@@ -155,15 +139,15 @@ def _stretch(df: DataFrame, c: Column, descending: bool, first: int, last: int)
     while True:
         inside = measure.between(cuts[a], cuts[b])
         got = df.agg(F.count_if(measure < cuts[a]).alias("below"), F.count_if(inside).alias("inside"), F.count_if(measure > cuts[b]).alias("above"),
-                     F.min(F.when(inside, _carried(c, kind))).alias("least"), F.max(F.when(inside, _carried(c, kind))).alias("most")).first()
+                     F.min(F.when(inside, carried(c, kind))).alias("least"), F.max(F.when(inside, carried(c, kind))).alias("most")).first()
         if nulls + got["below"] <= max(low, nulls) and nulls + got["below"] + got["inside"] >= high:
             break
         if (a, b) == (0, STRETCHES):
             return df, 0
         a, b = max(0, a - 8), min(STRETCHES, b + 8)
-    chosen = (c >= _restored(got["least"], kind)) & (c <= _restored(got["most"], kind))
+    chosen = (c >= restored(got["least"], kind)) & (c <= restored(got["most"], kind))
     if kind in ("float", "double") and got["most"] != got["most"]:   # NaN, the greatest: a file's statistics don't know it
-        chosen = (c >= _restored(got["least"], kind)) | F.isnan(c)
+        chosen = (c >= restored(got["least"], kind)) | F.isnan(c)
     if with_nulls:
         chosen = chosen | c.isNull()
     before = got["above"] if descending else got["below"] + (0 if with_nulls else nulls)

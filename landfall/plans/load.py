@@ -8,7 +8,8 @@
   next snapshot, the target rows it does not replace are appended, and the
   table is repointed;
 * target present, partitioned -> only the partitions the batch touches are
-  merged, rewritten and repointed.
+  merged, rewritten and repointed; so with a target laid out in ranges of its
+  key (``range_rows``), whose partitions are those ranges.
 
 Columns that only the batch has are left out and logged; columns that it lacks
 raise. A load that fails, is rejected or finds no rows leaves no folder behind.
@@ -29,9 +30,10 @@ from pyspark.sql import functions as F
 from ..operators.upsert import (align_to_target, extra_columns, fits_broadcast, kept_rows,
                                normalize_keys, variable_key_bytes)
 from ..operators.validate import any_null, assert_unique, col
-from ..sources.tables import (create_partitioned_table, expire_snapshots, max_records,
+from ..sources import key_ranges
+from ..sources.tables import (RANGE_COLUMN, create_partitioned_table, expire_snapshots, max_records,
                               new_snapshot, partition_columns, partition_filter,
-                              partition_values, rebalanced, register_snapshot,
+                              partition_values, rebalanced, register_snapshot, stage_batch,
                               swap_partitions, table_exists, write_batch_observed,
                               written_partitions)
 
@@ -63,7 +65,8 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
               check_unique: bool = True, cluster_by: Sequence[str] | None = None,
               partition_by: Sequence[str] | None = None,
               stable_partitions: bool = False,
-              retain_snapshots: int | None = None) -> LoadResult:
+              retain_snapshots: int | None = None,
+              range_rows: int | None = None) -> LoadResult:
     """``cluster_by``: columns to sort each written file by (typically the
     column of the change predicate).
 
@@ -73,6 +76,13 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     declares that a key's partition value never changes, which skips the
     probe for rows that moved partition.
 
+    ``range_rows``: lay the target out in ranges of its first key column, of
+    about so many rows each (on the first load; later loads follow the table's
+    property). A batch rewrites only the ranges that its keys fall in, and a
+    range that outgrows twice that number is split. The first load writes its
+    batch twice: the ranges come from the rows. Readers use ``read_table``,
+    which leaves the layout's column out.
+
     ``retain_snapshots``: after a merge, delete snapshot folders beyond this
     many (folders the table still uses are kept); ``None`` keeps them all."""
     if batch is None:
@@ -81,12 +91,24 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     exists = table_exists(spark, target)
     cols = partition_columns(spark, target) if exists else list(partition_by or [])
     ignored: list[str] = []
+    ranges = key_ranges.ranges_of(spark, target) if exists else None
+    if ranges and ranges.leaving:   # a writer died while it split a range
+        key_ranges.finish_split(spark, target, root)
     if exists:
         current = spark.table(target)
+        current = current.drop(RANGE_COLUMN) if ranges else current
         ignored = extra_columns(current, batch)
         if ignored:
             _log.warning("%s has no columns %s: they are not loaded", target, ignored)
         batch = align_to_target(current, batch)
+    elif range_rows and not partition_by:
+        if RANGE_COLUMN in {c.lower() for c in batch.columns}:
+            raise ValueError(f"a target in key ranges can't have its own column {RANGE_COLUMN}")
+        batch, n = stage_batch(batch)
+        ranges = key_ranges.first_ranges(batch, key_list[0], n, range_rows)
+        cols = [RANGE_COLUMN]
+    if ranges:
+        batch = ranges.assign(batch)
     with new_snapshot(spark, target, root) as path:   # deleted unless the table is pointed at it
         arranged = rebalanced(batch, cols) if cols else batch
         # byte sizes of string keys, and empty partition values, are observed in the pass that writes
@@ -101,16 +123,18 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
             assert_unique(staged, key_list, what=f"batch for {target}")
         if not exists:
             if cols:
-                create_partitioned_table(spark, target, path, batch.schema, cols, root)
+                create_partitioned_table(spark, target, path, batch.schema, cols, root, key_ranges.properties(ranges) if ranges else None)
             else:
                 register_snapshot(spark, target, path, root)
             return LoadResult(target, "created", n)
         if cols:
-            _merge_partitions(spark, target, staged, n, measured, key_list, cols, path, cluster_by, stable_partitions)
+            touched = _merge_partitions(spark, target, staged, n, measured, key_list, cols, path, cluster_by, stable_partitions or bool(ranges))
         else:
             kept = kept_rows(current, staged, key_list, source_rows=n, measured=measured)
             kept.write.option("maxRecordsPerFile", max_records(spark)).mode("append").parquet(path)
             register_snapshot(spark, target, path, root)
+    if ranges:
+        key_ranges.split_large(spark, target, [int(v) for (v,) in touched], root)
     if retain_snapshots is not None:
         expire_snapshots(spark, target, retain_snapshots)
     return LoadResult(target, "merged", n, tuple(ignored))
@@ -122,13 +146,14 @@ def _empty_values(batch: DataFrame, cols: Sequence[str]) -> dict:
 
 
 def _merge_partitions(spark: SparkSession, target: str, staged: DataFrame, n: int, measured: dict, key_list: Sequence[str],
-                      cols: Sequence[str], path: str, cluster_by, stable: bool) -> None:
+                      cols: Sequence[str], path: str, cluster_by, stable: bool) -> set[tuple]:
     """Upsert confined to the partitions the batch touches, writing each row
     once. The batch already stands in the next snapshot folder. The touched
     partitions are the batch's own plus, unless ``stable``, those that
     currently hold its keys (a narrow key-column probe against the batch keys).
     Only those partitions are read; the rows the batch does not replace are
-    appended next to it, and each touched partition is repointed."""
+    appended next to it, and each touched partition is repointed. Returns the
+    touched partitions."""
     current = spark.table(target)
     touched = partition_values(staged, cols)
     if not stable:
@@ -144,3 +169,4 @@ def _merge_partitions(spark: SparkSession, target: str, staged: DataFrame, n: in
      .partitionBy(*cols).parquet(path))
     written = written_partitions(spark, path, cols)
     swap_partitions(spark, target, cols, touched, written, path)
+    return touched

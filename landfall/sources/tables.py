@@ -34,6 +34,10 @@ from ..operators.columns import scan
 from ..session import scratch_path, warehouse_root
 
 
+#: The range that a row's key falls in, in a table laid out in ranges (``key_ranges``).
+RANGE_COLUMN = "_key_range"
+
+
 @dataclass(frozen=True)
 class Zones:
     """Zone prefixes: a session catalog has two name levels, so a zone becomes
@@ -61,8 +65,9 @@ def table_exists(spark: SparkSession, name: str) -> bool:
 
 def read_table(spark: SparkSession, name: str, selected: Sequence[str] | None = None,
                predicate: str | Column | None = None) -> DataFrame:
-    """``spark.table`` + predicate + column list (both pushed into the scan)."""
-    return scan(spark.table(name), selected, predicate)
+    """``spark.table`` + predicate + column list (both pushed into the scan),
+    without the column of a layout in key ranges."""
+    return scan(spark.table(name).drop(RANGE_COLUMN), selected, predicate)
 
 
 def create_database(spark: SparkSession, db: str, root: str | None = None) -> None:
@@ -268,7 +273,8 @@ def partition_values(df: DataFrame, cols: Sequence[str]) -> set[tuple]:
 
 
 def create_partitioned_table(spark: SparkSession, name: str, path: str, schema,
-                             partition_by: Sequence[str], root: str | None = None) -> None:
+                             partition_by: Sequence[str], root: str | None = None,
+                             properties: dict[str, str] | None = None) -> None:
     """Register a partitioned snapshot folder as a table whose partitions are
     tracked by the catalog. Column types are declared (not inferred from the
     folder names, which would turn ``"007"`` into a number)."""
@@ -282,7 +288,8 @@ def create_partitioned_table(spark: SparkSession, name: str, path: str, schema,
     parts = ", ".join(f"`{c}`" for c in partition_by)
     q = _quote_name(name)
     mark_registered(spark, path)
-    spark.sql(f"CREATE TABLE {q} ({ddl}) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
+    held = ", ".join(f"{_sql_literal(k)} = {_sql_literal(v)}" for k, v in (properties or {}).items())
+    spark.sql(f"CREATE TABLE {q} ({ddl}) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'" + (f" TBLPROPERTIES ({held})" if held else ""))
     spark.sql(f"ALTER TABLE {q} RECOVER PARTITIONS")
     spark.catalog.refreshTable(name)
 
@@ -294,9 +301,7 @@ def swap_partitions(spark: SparkSession, name: str, cols: Sequence[str], touched
     for each repointed partition (see the module's note on that window)."""
     mark_registered(spark, path)
     q = _quote_name(name)
-    gone = sorted(touched - set(written), key=repr)
-    if gone:
-        spark.sql(f"ALTER TABLE {q} DROP IF EXISTS " + ", ".join(_spec(cols, v) for v in gone))
+    drop_partitions(spark, name, cols, touched - set(written))
     if written:
         every = sorted(written, key=repr)
         # new ones are added; for the others this does nothing, and they are repointed
@@ -306,6 +311,14 @@ def swap_partitions(spark: SparkSession, name: str, cols: Sequence[str], touched
     spark.catalog.refreshTable(name)
 
 
+def drop_partitions(spark: SparkSession, name: str, cols: Sequence[str], values: Iterable[tuple]) -> None:
+    """Take partitions (values as text) out of the catalog, in one call."""
+    gone = sorted(values, key=repr)
+    if gone:
+        spark.sql(f"ALTER TABLE {_quote_name(name)} DROP IF EXISTS " + ", ".join(_spec(cols, v) for v in gone))
+        spark.catalog.refreshTable(name)
+
+
 def partition_filter(df: DataFrame, cols: Sequence[str], values: Iterable[tuple]) -> Column:
     """Rows of the partitions with these values (as text). Each column's values
     are compared as its own type, which a catalog can prune by; for several
