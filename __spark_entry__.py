@@ -300,6 +300,19 @@ def q_upsert_composite_key(spark, d):
     return upsert(t, s, ["l_orderkey", "l_linenumber"], source_rows=n)
 
 
+def q_upsert_large_batch(spark, d):
+    """The lines of urgent orders in the window change and get a twin each. The
+    budget takes a bitmap of the batch's keys, not the keys: lines that miss
+    the bitmap aren't shuffled, the others are joined exactly."""
+    lines, _ = stage_batch(_read(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber")
+                           .agg(F.count(F.lit(1)).alias("n"), F.max("l_extendedprice").alias("top_price")))
+    urgent = _window(_read(spark, d, "orders"), "o_orderdate").where(F.col("o_orderpriority") == "1-URGENT")
+    hit = lines.join(urgent.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
+    changed = hit.withColumn("n", -F.col("n"))
+    s, n = stage_batch(changed.unionByName(hit.withColumn("l_linenumber", -F.col("l_linenumber"))))
+    return upsert(lines, s, ["l_orderkey", "l_linenumber"], source_rows=n, broadcast_bytes=8 * n + 8192)
+
+
 def q_merge_action_counts(spark, d):
     orders, s, n = _counted_changes(spark, d)
     return merge_action_counts(orders, s, ["o_orderkey"], source_rows=n)
@@ -712,6 +725,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "upsert_single_key": q_upsert_single_key,
     "upsert_idempotent": q_upsert_idempotent,
     "upsert_composite_key": q_upsert_composite_key,
+    "upsert_large_batch": q_upsert_large_batch,
     "upsert_mapped_key": q_upsert_mapped_key,
     "merge_action_counts": q_merge_action_counts,
     "upsert_partitioned": q_upsert_partitioned,
@@ -819,6 +833,10 @@ _ORACLE: dict[str, str] = {
 SELECT t.l_orderkey, t.l_linenumber, CASE WHEN c.o_orderkey IS NULL THEN t.n ELSE -t.n END AS n FROM t LEFT JOIN c ON c.o_orderkey = t.l_orderkey
 UNION ALL
 SELECT t.l_orderkey, -t.l_linenumber, t.n FROM t JOIN c ON c.o_orderkey = t.l_orderkey WHERE c.o_orderpriority = '1-URGENT'""",
+    "upsert_large_batch": f"""WITH t AS (SELECT l_orderkey, l_linenumber, count(*) AS n, max(l_extendedprice) AS top_price FROM lineitem GROUP BY l_orderkey, l_linenumber),
+  u AS (SELECT o_orderkey FROM orders WHERE {_W} AND o_orderpriority = '1-URGENT')
+SELECT l_orderkey, l_linenumber, CASE WHEN o_orderkey IS NULL THEN n ELSE -n END AS n, top_price FROM t LEFT JOIN u ON o_orderkey = l_orderkey
+UNION ALL SELECT l_orderkey, -l_linenumber, n, top_price FROM t JOIN u ON o_orderkey = l_orderkey""",
     "merge_action_counts": f"""WITH {_CHANGES}
 SELECT CASE WHEN t.o_orderkey IS NULL THEN 'insert' ELSE 'update' END AS action, count(*) AS n
 FROM s LEFT JOIN orders t ON s.o_orderkey = t.o_orderkey GROUP BY 1""",

@@ -11,8 +11,11 @@ Plan shape, chosen for a large target and a comparatively small batch:
 * ``kept = target[keys not null] LEFT ANTI JOIN batch_keys`` — the target is
   streamed once. When the batch's row count is known and its key set fits the
   broadcast budget, the batch keys are broadcast, so the target is **never
-  shuffled**; otherwise Spark plans a sort-merge anti join (AQE may still
-  switch strategy from runtime sizes, and splits skewed partitions).
+  shuffled**. When only a bitmap of their hashes fits (16 bits a batch row, so
+  some twenty times as many rows), that is broadcast instead: target rows that
+  miss it can match nothing and pass **unshuffled**, and the few others are
+  joined exactly. Beyond that, Spark plans a sort-merge anti join (AQE may
+  still switch strategy from runtime sizes, and splits skewed partitions).
 * target rows with a NULL key cannot match anything; on the shuffle path
   they bypass the join instead of all hashing to one reducer (a skew trap
   when many keys are NULL). The broadcast path has no reducers, so it reads
@@ -26,6 +29,7 @@ rejects them (loads always check their staged batch unless told not to).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -35,6 +39,12 @@ from .validate import any_null, assert_unique, col
 
 CONF_BROADCAST_BYTES = "landfall.upsert.broadcastMaxBytes"
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+CONF_BITMAP = "landfall.upsert.bitmap"
+#: Bits of the bitmap to a batch row (one in so many target rows that match
+#: nothing is joined all the same), and bits of each of its pieces.
+BITMAP_BITS, BITMAP_PIECE = 16, 32768
+#: A target at least so many times the batch's size is worth reading twice.
+BITMAP_RATIO = 4
 # Per-row overhead of a hashed key row beyond the raw field sizes, and the
 # extra bytes a variable-width field takes in a row (offset/length + padding).
 _ROW_OVERHEAD = 16
@@ -91,11 +101,13 @@ def broadcast_budget(spark) -> int:
     return int(spark.conf.get(CONF_BROADCAST_BYTES, str(DEFAULT_BROADCAST_BYTES)))
 
 
-def fits_broadcast(df: DataFrame, n_rows: int | None, measured: dict | None = None) -> bool:
-    """True when ``df`` (``n_rows`` rows, exact) is within the broadcast budget."""
+def fits_broadcast(df: DataFrame, n_rows: int | None, measured: dict | None = None,
+                   budget: int | None = None) -> bool:
+    """True when ``df`` (``n_rows`` rows, exact) is within the broadcast budget
+    (by default the session's)."""
     if n_rows is None:
         return False
-    budget = broadcast_budget(df.sparkSession)
+    budget = broadcast_budget(df.sparkSession) if budget is None else budget
     if n_rows * _ROW_OVERHEAD > budget:  # too big before looking at the fields
         return False
     return key_bytes(df, n_rows, measured) <= budget
@@ -155,29 +167,80 @@ def align_to_target(target: DataFrame, source: DataFrame) -> DataFrame:
     return source.select(*cols)
 
 
+def _plan_bytes(df: DataFrame) -> int:
+    """Spark's estimate of a frame's size (file sizes, for a scan of files)."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def _bit_of(keys: Sequence[str], bits: int) -> Column:
+    return F.pmod(F.xxhash64(*[col(k) for k in keys]), F.lit(bits))
+
+
+def key_bitmap(batch_keys: DataFrame, keys: Sequence[str], n_rows: int) -> tuple[DataFrame, int]:
+    """The bitmap of the hashes of ``n_rows`` keys, in pieces ``(piece, words)``
+    of 64-bit words, and its number of bits."""
+    bits = -(-max(1, n_rows) * BITMAP_BITS // BITMAP_PIECE) * BITMAP_PIECE
+    at = batch_keys.select(_bit_of(keys, bits).alias("at"))
+    pieces = (at.groupBy(F.expr(f"at DIV {BITMAP_PIECE}").alias("piece"))
+                .agg(F.bitmap_construct_agg(F.col("at") % BITMAP_PIECE).alias("bitmap")))
+    # eight bytes, the first one first, as a word
+    word = lambda i: F.conv(F.hex(F.substring("bitmap", i * 8 + 1, F.lit(8))), 16, -10).cast("bigint")
+    places = F.sequence(F.lit(0), F.lit(BITMAP_PIECE // 64 - 1))
+    return pieces.select("piece", F.transform(places, word).alias("words")), bits
+
+
+def split_by_bitmap(target: DataFrame, batch_keys: DataFrame, keys: Sequence[str],
+                    n_rows: int) -> tuple[DataFrame, DataFrame]:
+    """``target`` rows that may match a batch key, and those that cannot (NULL
+    keys among them). Both read the target; neither shuffles it. The bitmap is
+    broadcast: see that it fits first."""
+    pieces, bits = key_bitmap(batch_keys, keys, n_rows)
+    at, piece, words = (f"_{n}_{uuid.uuid4().hex[:8]}" for n in ("at", "piece", "words"))
+    pieces = pieces.select(F.col("piece").alias(piece), F.col("words").alias(words))
+    seen = (target.withColumn(at, _bit_of(keys, bits))
+                  .join(F.broadcast(pieces), F.expr(f"`{at}` DIV {BITMAP_PIECE}") == F.col(piece), "left"))
+    word = F.get(F.col(words), F.expr(f"CAST((`{at}` % {BITMAP_PIECE}) DIV 64 AS INT)"))
+    shift = F.expr(f"CAST((7 - (`{at}` % 64) DIV 8) * 8 + `{at}` % 8 AS INT)")
+    is_set = F.call_function("shiftright", word, shift).bitwiseAND(F.lit(1).cast("bigint")) == 1
+    hit = F.coalesce(~any_null(keys) & is_set, F.lit(False))
+    columns = [col(c) for c in target.columns]
+    return seen.where(hit).select(*columns), seen.where(~hit).select(*columns)
+
+
 def kept_rows(target: DataFrame, source: DataFrame, keys: Sequence[str], *,
-              source_rows: int | None = None, measured: dict | None = None) -> DataFrame:
+              source_rows: int | None = None, measured: dict | None = None,
+              broadcast_bytes: int | None = None) -> DataFrame:
     """The target rows an upsert keeps: those whose key is not in ``source``
     (target NULL keys included: they match nothing). ``measured``: key byte
-    sums observed when the batch was written (saves a pass for string keys)."""
+    sums observed when the batch was written (saves a pass for string keys).
+    ``broadcast_bytes``: the budget, if not the session's."""
     nulls = any_null(keys)
     batch_keys = source.select(*[col(k) for k in keys]).where(~nulls)
     target_cols = [col(c) for c in target.columns]
-    if fits_broadcast(batch_keys, source_rows, measured):
+    if fits_broadcast(batch_keys, source_rows, measured, broadcast_bytes):
         # no shuffle, so NULL keys cannot pile up anywhere: one pass over the
         # target (an anti join keeps NULL-key rows, they match nothing)
         return target.join(F.broadcast(batch_keys), keys, "left_anti").select(*target_cols)
+    spark = target.sparkSession
+    budget = broadcast_budget(spark) if broadcast_bytes is None else broadcast_bytes
+    wanted = spark.conf.get(CONF_BITMAP, "true").lower() == "true"
+    fits = source_rows is not None and (source_rows * BITMAP_BITS + BITMAP_PIECE) // 8 <= budget
+    if wanted and fits and _plan_bytes(target) >= BITMAP_RATIO * _plan_bytes(source):
+        maybe, kept = split_by_bitmap(target, batch_keys, keys, source_rows)
+        return kept.unionByName(maybe.join(batch_keys, keys, "left_anti").select(*target_cols))
     # shuffle join: NULL-key rows bypass it instead of all hashing to one reducer
     kept = target.where(~nulls).join(batch_keys, keys, "left_anti").select(*target_cols)
     return kept.unionByName(target.where(nulls))
 
 
 def upsert(target: DataFrame, source: DataFrame, keys: Keys, *,
-           source_rows: int | None = None, check_unique: bool = False) -> DataFrame:
+           source_rows: int | None = None, check_unique: bool = False,
+           broadcast_bytes: int | None = None) -> DataFrame:
     """The target's rows after merging ``source`` into it by ``keys``.
 
     ``source_rows``: exact row count of ``source`` if known (e.g. from a staged
-    batch); enables the size-checked broadcast of the batch keys.
+    batch); enables the size-checked broadcast of the batch keys, or of a
+    bitmap of them (``broadcast_bytes``: the budget, if not the session's).
     ``check_unique`` runs ``source`` once to reject repeated keys before the
     lazy result is built, so it is for a source that is staged.
     """
@@ -185,7 +248,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Keys, *,
     source = align_to_target(target, source)
     if check_unique:
         assert_unique(source, keys)
-    return kept_rows(target, source, keys, source_rows=source_rows).unionByName(source)
+    kept = kept_rows(target, source, keys, source_rows=source_rows, broadcast_bytes=broadcast_bytes)
+    return kept.unionByName(source)
 
 
 def merge_actions(target: DataFrame, source: DataFrame, keys: Keys, *,

@@ -1,0 +1,88 @@
+"""A batch too large to broadcast: target rows that miss the bitmap of its keys
+pass unshuffled, the others are joined exactly."""
+
+import sys
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from landfall.operators import upsert
+from landfall.sources import stage_batch
+
+from .conftest import rows
+
+module = sys.modules["landfall.operators.upsert"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def _staged(spark, n, batch, step=1):
+    target, _ = stage_batch(spark.range(0, n, 1, 8).select(F.col("id").alias("k"), F.lit("old").alias("v"), F.lit("x" * 100).alias("pad")))
+    source, m = stage_batch(spark.range(0, batch * step, step, 4).select((F.col("id") - 5).alias("k"), F.lit("new").alias("v"), F.lit("").alias("pad")))
+    return target, source, m
+
+
+def test_few_target_rows_are_joined(spark):
+    target, source, m = _staged(spark, 200_000, 9000, step=7)
+    maybe, cannot = module.split_by_bitmap(target, source.select("k"), ["k"], m)
+    matching = target.join(source.select("k"), "k", "left_semi").count()
+    hits = maybe.count()
+    assert matching <= hits <= matching + 200_000 // 10 and hits + cannot.count() == 200_000
+    assert cannot.join(source.select("k"), "k", "left_semi").isEmpty()
+    # nothing of the target is exchanged but what may match
+    assert "hashpartitioning(k" not in _plan(cannot) and "hashpartitioning(k" not in _plan(maybe)
+
+
+def test_the_plan_follows_the_sizes(spark):
+    target, source, m = _staged(spark, 200_000, 9000, step=7)
+    marks = {}
+    for name, budget in (("keys", 10_000_000), ("bitmap", 40_000), ("shuffle", 1000)):
+        out = upsert(target, source, ["k"], source_rows=m, broadcast_bytes=budget)
+        marks[name] = "bitmap_construct_agg" in _plan(out)
+        assert out.count() == 200_000 + source.join(target, "k", "left_anti").count()
+        assert out.where("v = 'new'").count() == m
+    assert marks == {"keys": False, "bitmap": True, "shuffle": False}
+    # a target not much larger than the batch is not read twice; nor if it is switched off
+    assert "bitmap_construct_agg" not in _plan(upsert(source, source, ["k"], source_rows=m, broadcast_bytes=40_000))
+    spark.conf.set(module.CONF_BITMAP, "false")
+    try:
+        assert "bitmap_construct_agg" not in _plan(upsert(target, source, ["k"], source_rows=m, broadcast_bytes=40_000))
+    finally:
+        spark.conf.unset(module.CONF_BITMAP)
+
+
+_keys = st.tuples(st.one_of(st.none(), st.integers(-3, 3)), st.one_of(st.none(), st.sampled_from(["", "a", "é", "b"])))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(target=st.lists(_keys, max_size=12), source=st.lists(_keys, min_size=1, max_size=8))
+def test_split_loses_no_match(spark, target, source):
+    kind = "a int, b string, n int"
+    t = spark.createDataFrame([(*k, i) for i, k in enumerate(target)], kind)
+    keys = spark.createDataFrame([k for k in source if None not in k], "a int, b string")
+    maybe, cannot = module.split_by_bitmap(t, keys, ["a", "b"], len(source))
+    held = {k for k in source if None not in k}
+    assert sorted(r["n"] for r in maybe.unionAll(cannot).collect()) == list(range(len(target)))
+    assert not any((r["a"], r["b"]) in held for r in cannot.collect())
+    assert all(r["a"] is not None and r["b"] is not None for r in maybe.collect())
+
+
+@pytest.mark.parametrize("kind", ["double", "decimal(12,3)", "date", "timestamp", "binary"])
+def test_kinds_of_keys(spark, kind):
+    made = {"double": "IF(id = 0, -0.0D, CAST(id AS DOUBLE) / 3)", "date": "date_add(DATE'2000-01-01', CAST(id AS INT))", "timestamp": "timestamp_micros(id)"}.get(kind, f"CAST(CAST(id AS STRING) AS {kind})")
+    t = spark.range(3000).selectExpr(f"{made} AS k")
+    keys = spark.range(0, 3000, 10).selectExpr(f"{made.replace('-0.0D', '0.0D')} AS k")
+    maybe, cannot = module.split_by_bitmap(t, keys, ["k"], 300)
+    assert cannot.join(keys, "k", "left_semi").isEmpty() and maybe.join(keys, "k", "left_semi").count() == 300 and maybe.count() < 800
+
+
+def test_same_rows_on_every_path(spark):
+    target = spark.createDataFrame([(i if i % 9 else None, i, "old") for i in range(400)], "k int, n int, v string")
+    target, _ = stage_batch(target.withColumn("pad", F.lit("y" * 400)))
+    source, m = stage_batch(spark.createDataFrame([(i if i % 5 else None, 1000 + i, "new", "") for i in range(380, 420)], "k int, n int, v string, pad string"))
+    got = [rows(upsert(target, source, ["k"], source_rows=m, broadcast_bytes=b)) for b in (10**7, 4500, 0)]
+    assert got[0] == got[1] == got[2]
