@@ -25,17 +25,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from landfall.domains import sales
-from landfall.functions import (as_text, decode_typed, render_filter, snake_case,                                 staging_key_col, start_date)
+from landfall.functions import (as_text, decode_typed, render_filter, snake_case,
+                                staging_key_col, start_date)
 from landfall.functions.dates import derby_date_literal
-from landfall.operators import (duplicate_keys, key_length_mismatches, merge_action_counts,
+from landfall.operators import (duplicate_keys, duplicate_keys_ranged, key_length_mismatches, merge_action_counts,
                                 null_violations, page, page_info, rename_positional,
                                 snake_case_columns, upsert)
 from landfall.plans import (activate, active_for_land, active_for_stage, active_schemas,
                             control_table_name, deactivate, init, land, list_control, list_log,
                             load_into, log_table_name, seed_control, set_flag, stage, stage_frame)
 from landfall.plans.control import CONTROL_SCHEMA, key_lists
-from landfall.sources import (JdbcConnection, JdbcTable, Zones, create_database, qualified,
-                              read_table, stage_batch, write_snapshot)
+from landfall.sources import (JdbcConnection, JdbcTable, Zones, catalog_table, create_database,
+                              qualified, read_table, register_catalog, stage_batch, write_snapshot)
 from landfall.session import ensure_checkpoint_dir, scratch_path
 from landfall.streaming import upsert_available
 
@@ -224,6 +225,24 @@ def q_jdbc_incremental_scan(spark, d):
     return _ntz(src.read(spark, pred))
 
 
+def q_jdbc_quantile_scan(spark, d):
+    """Nine in ten orders moved to one day, read in ranges of equal numbers of
+    rows by day and, within it, by key."""
+    o = _read(spark, d, "orders")
+    day = F.when(F.col("o_orderkey") % 10 != 0, F.lit("1998-06-01").cast("timestamp_ntz")).otherwise(F.col("o_orderdate"))
+    conn = _derby(spark, {"orders": o.withColumn("o_orderdate", day)})
+    return _ntz(JdbcTable(conn, "APP", "orders", partition_column="o_orderdate", num_partitions=8, even=True,
+                          tie_column="o_orderkey").read(spark))
+
+
+def q_jdbc_catalog_scan(spark, d):
+    """The source database as a Spark catalog: the window, the columns and the
+    aggregate run inside the database."""
+    name = register_catalog(spark, f"src_{_tag()}", _derby(spark, {"orders": _read(spark, d, "orders")}))
+    rows = catalog_table(spark, name, "APP", "ORDERS").where("o_custkey >= 100 AND o_totalprice > 1000")
+    return rows.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("least"), F.max("o_orderkey").alias("most"))
+
+
 def q_partition_bounds(spark, d):
     src, pred = _derby_orders(spark, d)
     return _ntz(src.bounds_frame(spark, pred))
@@ -484,6 +503,21 @@ def q_stage_fanout_log(spark, d):
     return _log_rows(spark.table(log_table), zones)
 
 
+def q_stage_fanout_incremental(spark, d):
+    """A raw table's change window (every third store, renamed) read once for
+    both of its routes; the two staged tables side by side."""
+    zones, root = _zones(), _root(spark)
+    raw, stores = qualified(zones.raw, "Sales", "Store"), _store_frame(spark, d)
+    write_snapshot(spark, stores, raw, root)
+    ctl = _control(spark, [_control_row("Sales", "Store", "BusinessEntityID", flt="BusinessEntityID % 3 = 0")])
+    routes = {("Sales", "Store"): sales.ROUTES[("Sales", "Store")]}
+    stage(spark, ctl, routes, RUN_DATE, zones=zones, root=root)
+    write_snapshot(spark, stores.withColumn("Name", F.concat(F.lit("new "), F.col("Name"))), raw, root)
+    stage(spark, ctl, routes, RUN_DATE, zones=zones, root=root)
+    names = spark.table(qualified(zones.stg, "sales", "stores")).select("business_entity_id", "name")
+    return names.join(spark.table(qualified(zones.stg, "sales", "store_demographics")).select("business_entity_id", "bank_name"), "business_entity_id")
+
+
 def q_stage_generic(spark, d):
     return _stage_orders(spark, d, incremental=False)
 
@@ -700,6 +734,14 @@ def q_key_duplicates(spark, d):
     return duplicate_keys(_read(spark, d, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+def q_key_duplicates_ranged(spark, d):
+    """The same over a JDBC read in ranges of the order key: each task compares
+    the neighbours of its own range, nothing is shuffled."""
+    lines = _read(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    src = JdbcTable(_derby(spark, {"lineitem": lines}), "APP", "lineitem", partition_column="l_orderkey", num_partitions=8)
+    return duplicate_keys_ranged(src.read(spark), ["l_orderkey", "l_linenumber"])
+
+
 def q_null_violations(spark, d):
     """Required columns of a staged order batch whose key is NULL where the
     source had no priority set (``5-LOW`` stands for "unset" here)."""
@@ -718,6 +760,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "jdbc_partitioned_scan": q_jdbc_partitioned_scan,
     "jdbc_partitioned_unselected": q_jdbc_partitioned_unselected,
     "jdbc_incremental_scan": q_jdbc_incremental_scan,
+    "jdbc_quantile_scan": q_jdbc_quantile_scan,
+    "jdbc_catalog_scan": q_jdbc_catalog_scan,
     "partition_bounds": q_partition_bounds,
     "movements_count": q_movements_count,
     "load_first": q_load_first,
@@ -743,6 +787,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rename_key_single": q_rename_key_single,
     "rename_key_composite": q_rename_key_composite,
     "stage_fanout_log": q_stage_fanout_log,
+    "stage_fanout_incremental": q_stage_fanout_incremental,
     "stage_generic": q_stage_generic,
     "stage_incremental": q_stage_incremental,
     "stage_partitioned": q_stage_partitioned,
@@ -774,6 +819,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_info": q_page_info,
     "decode_typed": q_decode_typed,
     "key_duplicates": q_key_duplicates,
+    "key_duplicates_ranged": q_key_duplicates_ranged,
     "null_violations": q_null_violations,
 }
 
@@ -820,6 +866,9 @@ _ORACLE: dict[str, str] = {
     "jdbc_partitioned_scan": "SELECT * FROM customer",
     "jdbc_partitioned_unselected": "SELECT o_orderkey, o_totalprice FROM orders",
     "jdbc_incremental_scan": f"SELECT * FROM orders WHERE {_W}",
+    "jdbc_quantile_scan": """SELECT * REPLACE (CASE WHEN o_orderkey % 10 <> 0 THEN TIMESTAMP '1998-06-01 00:00:00' ELSE o_orderdate END AS o_orderdate) FROM orders""",
+    "jdbc_catalog_scan": """SELECT o_custkey, count(*) AS n, min(o_orderkey) AS least, max(o_orderkey) AS most
+FROM orders WHERE o_custkey >= 100 AND o_totalprice > 1000 GROUP BY o_custkey""",
     "partition_bounds": (f"SELECT min(o_orderdate) AS lower_bound, max(o_orderdate) AS upper_bound "
                          f"FROM orders WHERE {_W}"),
     "movements_count": f"SELECT count(*) AS movements FROM orders WHERE {_W}",
@@ -860,6 +909,8 @@ FROM s LEFT JOIN orders t ON s.o_orderkey = t.o_orderkey GROUP BY 1""",
   l_discount AS discount, l_tax AS tax, l_returnflag AS return_flag, l_linestatus AS line_status,
   l_shipdate AS ship_date FROM lineitem""",
     "stage_fanout_log": _staged("stores") + " UNION ALL " + _staged("store_demographics"),
+    "stage_fanout_incremental": """SELECT s_suppkey AS business_entity_id, CASE WHEN s_suppkey % 3 = 0 THEN 'new ' ELSE '' END || s_name AS name,
+  s_name AS bank_name FROM supplier""",
     "stage_generic": "SELECT " + _ORDERS_SNAKE.replace("AS order_key", "AS id") + " FROM orders",
     "stage_incremental": (f"WITH q AS ({_Q4}) SELECT "
                           + _ORDERS_SNAKE.replace("AS order_key", "AS id") + " FROM q"),
@@ -930,6 +981,8 @@ SELECT schema_name, table_name, CASE table_name WHEN (SELECT arg_min(c_name, c_c
     "decode_typed": """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, c_nationkey, c_mktsegment,
   c_acctbal > 0 AS c_positive FROM customer""",
     "key_duplicates": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "key_duplicates_ranged": """SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
     "null_violations": """SELECT count(*) FILTER (WHERE o_orderpriority = '5-LOW') AS null_o_orderkey,
   CAST(0 AS BIGINT) AS null_o_custkey,

@@ -47,6 +47,8 @@ def _parser() -> argparse.ArgumentParser:
     la.add_argument("--parallel", type=int)
     la.add_argument("--split-by-key", action="store_true",
                     help="read integer-keyed tables in ranges of the key instead of the partition column")
+    la.add_argument("--even-ranges", action="store_true",
+                    help="read ranges of equal numbers of rows instead of equal width")
     la.add_argument("--no-key-check", action="store_true",
                     help="skip the batch key-uniqueness check (the source enforces the key)")
     st = sub.add_parser("stage")
@@ -99,7 +101,7 @@ def main(argv: list[str] | None = None) -> int:
         conn = JdbcConnection(args.url, args.user, password, args.driver)
         land(spark, spark.table(control_table_name(zones)), conn, args.run_date, zones=zones,
              root=root, log_table=log_table_name(zones), parallelism=args.parallel,
-             retain_snapshots=args.retain, split_by_key=args.split_by_key,
+             retain_snapshots=args.retain, split_by_key=args.split_by_key, even_ranges=args.even_ranges,
              partition_by=_layouts(args.partition_by), stable_partitions=args.stable_partitions, range_rows=args.range_rows,
              check_unique=not args.no_key_check)
     elif args.task == "stage":

@@ -6,7 +6,7 @@ from landfall.operators import KeyViolation
 from landfall.plans import (CONTROL_SCHEMA, LogRecord, Place, active_for_land, active_for_stage,
                             active_schemas, append_log, control_frame, control_problems,
                             key_lists, load_into, seed_control, set_active, set_flag)
-from landfall.sources import stage_batch, write_snapshot
+from landfall.sources import Zones, qualified, stage_batch, write_snapshot
 
 from .conftest import rows
 
@@ -228,3 +228,37 @@ def test_a_source_that_grows_a_column_keeps_loading(spark, root, tag, caplog):
     got = load_into(spark, wide, name, ["k"], root=root)
     assert got.ignored == ("more",) and "more" in caplog.text
     assert rows(spark.table(name)) == [(1, "A"), (2, "b")]
+
+
+def _store_control(spark):
+    names = CONTROL_SCHEMA.fieldNames()
+    row = dict.fromkeys(names) | {"schema_name": "Sales", "table_name": "Store", "primary_key": "Id", "active": True, "filter": "Changed"}
+    return spark.createDataFrame([tuple(row[n] for n in names)], CONTROL_SCHEMA)
+
+
+def test_a_window_of_several_targets_is_read_once(spark, root, tag, monkeypatch):
+    """Two routes of one raw table: each load of a window reads the raw table once, and staging the
+    window fails for both routes if the raw table is gone."""
+    from landfall.plans import stage as stage_task
+    import sys
+    module = sys.modules["landfall.plans.stage"]
+    zones = Zones(ctr=f"c{tag}", raw=f"r{tag}", stg=f"s{tag}")
+    raw = qualified(zones.raw, "Sales", "Store")
+    write_snapshot(spark, spark.createDataFrame([(i, f"n{i}", i % 4 == 0) for i in range(20)], "Id int, Name string, Changed boolean"), raw, root)
+    routes = {("Sales", "Store"): [("names", lambda df: df.drop("Changed")), ("loud", lambda df: df.withColumn("Name", F.upper("Name")).drop("Changed"))]}
+    read, real = [], module.read_table
+    monkeypatch.setattr(module, "read_table", lambda *a, **k: read.append(a[1]) or real(*a, **k))
+    first = stage_task(spark, _store_control(spark), routes, "2000-01-01", zones=zones, root=root)
+    assert read.count(raw) == 2 and [r.movements for r in first] == [20, 20]
+    write_snapshot(spark, spark.createDataFrame([(i, f"m{i}", i % 4 == 0) for i in range(24)], "Id int, Name string, Changed boolean"), raw, root)
+    read.clear()
+    plans: list = []
+    real_load = module.load_into
+    monkeypatch.setattr(module, "load_into", lambda s, df, *a, **k: plans.extend(df.inputFiles()) or real_load(s, df, *a, **k))
+    later = stage_task(spark, _store_control(spark), routes, "2000-01-01", zones=zones, root=root)
+    assert read == [raw] and [r.movements for r in later] == [6, 6]
+    assert plans and all("/batches/" in p for p in plans)   # both read the staged window
+    assert rows(spark.table(qualified(zones.stg, "sales", "loud"))) == [(i, f"M{i}" if i % 4 == 0 else f"N{i}") for i in range(21) if i < 20 or i % 4 == 0]
+    spark.sql(f"DROP TABLE {raw}")
+    gone = stage_task(spark, _store_control(spark), routes, "2000-01-01", zones=zones, root=root, raise_on_failure=False)
+    assert len(gone) == 2 and all(r.error for r in gone)
