@@ -31,6 +31,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -122,6 +123,7 @@ class Aligner:
         self.b = SentencePieceProcessor(model_proto=model.SerializeToString())
         self.surface_b = _Surface([bytes([int(p.piece[3:5], 16)]) if p.type == p.BYTE else b"" if p.type == p.CONTROL else p.piece.replace("▁", " ").encode() for p in model.pieces])
         self.n_b = len(model.pieces)
+        self.decimal = _Surface([str(i).encode() for i in range(max(len(pieces), self.n_b))])
         if len(pieces) * self.n_b > 1 << 32:
             raise ValueError("the vocabularies' pairs don't fit 32 bits")
         self.store = _Store(self._learn, np.array([i == 32 or (9 <= i <= 13 and chr(i) not in inner) for i in range(256)]))
@@ -158,7 +160,7 @@ class Aligner:
         ids_a = ids_a.astype(np.int64)
         got = self.b.encode([data[x:y].tobytes().decode() for x, y in zip(begin.tolist(), end.tolist())], num_threads=1)
         len_b = np.array([len(x) for x in got], np.int64)
-        ids_b = np.array([i for x in got for i in x], np.int64)
+        ids_b = np.fromiter(chain.from_iterable(got), np.int64, int(len_b.sum()))
         size = end - begin
         good = np.ones(len(size), bool)
         whole = data[spread(begin, size)]
@@ -169,30 +171,57 @@ class Aligner:
             same = surface.read(ids[np.repeat(good, length)]) == whole[np.repeat(good, size)]
             at = np.repeat(np.flatnonzero(good), size[good])
             good[at[~same]] = False
-        # the good segments back to back: where tokens and segments end
+        # the good segments back to back; which bytes end a token
+        size_good = size[good]
         ids_a, ids_b = ids_a[np.repeat(good, len_a)], ids_b[np.repeat(good, len_b)]
-        ends_a, ends_b, ends = np.cumsum(self.surface_a.size(ids_a)), np.cumsum(self.surface_b.size(ids_b)), np.cumsum(size[good])
-        cuts = np.union1d(ends_a, ends_b)
-        link = (ids_a[np.searchsorted(ends_a, cuts)] * self.n_b + ids_b[np.searchsorted(ends_b, cuts)]).astype(np.uint32)
-        common = np.intersect1d(ends_a, ends_b)
-        names_a, names_b = [str(i) for i in ids_a.tolist()], [str(i) for i in ids_b.tolist()]
-        groups, x, y = [], 0, 0
-        for p, q in zip(np.searchsorted(ends_a, common, side="right").tolist(), np.searchsorted(ends_b, common, side="right").tolist()):
-            groups.append(f";{','.join(names_a[x:p])}|{','.join(names_b[y:q])}")
-            x, y = p, q
-        n_groups = np.diff(np.searchsorted(common, ends, side="right"), prepend=0)
-        n_links = np.diff(np.searchsorted(cuts, ends, side="right"), prepend=0)
-        out, lengths, which, g, k = [], np.full(len(size), _HEAD), 0, 0, 0
-        for i, fine in enumerate(good.tolist()):
-            if not fine:
-                out.append(np.array([0, 0, 0, 1, 0], np.uint32))
-                continue
-            text = "".join(groups[g:g + n_groups[which]]).encode()
-            head = np.array([len_a[i], len_b[i], n_groups[which], 0, len(text)], np.uint32)
-            out += [head, link[k:k + n_links[which]], np.frombuffer(text + b"\0" * (-len(text) % 4), np.uint32)]
-            lengths[i] = _HEAD + n_links[which] + (len(text) + 3) // 4
-            g, k, which = g + n_groups[which], k + n_links[which], which + 1
-        return np.concatenate(out), lengths
+        n_bytes = int(size_good.sum())
+        ends = np.zeros((2, n_bytes), bool)
+        ends[0, np.cumsum(self.surface_a.size(ids_a)) - 1] = True
+        ends[1, np.cumsum(self.surface_b.size(ids_b)) - 1] = True
+        before = np.cumsum(ends, axis=1) - ends   # tokens that end before a byte
+        cuts, common = np.flatnonzero(ends[0] | ends[1]), ends[0] & ends[1]
+        link = (ids_a[before[0, cuts]] * self.n_b + ids_b[before[1, cuts]]).astype(np.uint32)
+        text, text_sizes = self._print(ids_a, ids_b, ends, common)
+        last = np.cumsum(size_good)
+        first = last - size_good
+        inside = lambda flags: np.concatenate([[0], np.cumsum(flags)])[last] - np.concatenate([[0], np.cumsum(flags)])[first]
+        n_groups, n_links = inside(common), inside(ends[0] | ends[1])
+        token_bytes = np.zeros(n_bytes, np.int64)
+        for k in (0, 1):
+            token_bytes[ends[k]] += text_sizes[k]
+        n_text = inside(token_bytes)
+        lengths = np.full(len(size), _HEAD)
+        lengths[good] += n_links + (n_text + 3) // 4
+        start = np.cumsum(lengths) - lengths
+        out = np.zeros(int(lengths.sum()), np.uint32)
+        out[start[~good] + 3] = 1
+        begin = start[good]
+        for k, values in enumerate((len_a[good], len_b[good], n_groups, 0, n_text)):
+            out[begin + k] = values
+        out[spread(begin + _HEAD, n_links)] = link
+        out.view(np.uint8)[spread((begin + _HEAD + n_links) * 4, n_text)] = text
+        return out, lengths
+
+    def _print(self, ids_a: np.ndarray, ids_b: np.ndarray, ends: np.ndarray, common: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+        """All groups as text, and the bytes that each token takes: a token is
+        a mark (what it stands after) and its id."""
+        group = np.cumsum(common) - common   # groups that end before a byte
+        of = [group[e] for e in ends]
+        n = [np.bincount(g, minlength=int(common.sum())) for g in of]
+        # a group's tokens of A, then those of B
+        place_a = np.arange(len(ids_a)) + (np.cumsum(n[1]) - n[1])[of[0]]
+        place_b = np.arange(len(ids_b)) + np.cumsum(n[0])[of[1]]
+        total = len(ids_a) + len(ids_b)
+        ids, marks = np.empty(total, np.int64), np.full(total, ord(","), np.uint8)
+        ids[place_a], ids[place_b] = ids_a, ids_b
+        marks[place_a[np.diff(of[0], prepend=-1) != 0]] = ord(";")
+        marks[place_b[np.diff(of[1], prepend=-1) != 0]] = ord("|")
+        digits = self.decimal.size(ids)
+        at = np.cumsum(digits + 1) - digits - 1
+        text = np.empty(int(digits.sum()) + total, np.uint8)
+        text[at] = marks
+        text[spread(at + 1, digits)] = self.decimal.read(ids)
+        return text, [digits[place_a] + 1, digits[place_b] + 1]
 
 
 def aligner(path_a: str, path_b: str) -> Aligner:
