@@ -2,18 +2,23 @@
 
 Of a text's suffixes only those are retained that begin at content-selected
 positions: in every window of 50 words the run of ten words with the least
-hash (its minimiser), so equal windows retain equal positions whatever stands
-around them. The retained suffixes are grouped by the hash of their first ten
-words, in place of a sort and a comparison of neighbours; one alone in its
-group is dropped. What is left is extended left and right: an anchor's
-*block* is all the windows that it was chosen for, so a match that holds an
-anchor lies in its blocks. Equal blocks match whole; of blocks that share an
-anchor and differ, the windows are compared one by one, by hash. Windows that
+hash (its minimiser, the *anchor*), so equal windows retain equal positions
+whatever stands around them. The retained suffixes are sorted, by their
+anchors' words and then by what the anchor extends to on its left and right:
+its *block*, which is all the windows that it was chosen for, so a match that
+holds an anchor lies in its blocks. Neighbours are compared in one streaming
+pass: a suffix whose anchor no neighbour shares is dropped; those of equal
+blocks match whole. Where blocks at one anchor differ, their matches are
+shorter than the blocks: the suffixes at every window of one block of each kind
+are sorted and compared with their neighbours in the same way. Windows that
 overlap join into the longest passages.
 
-Of a passage's occurrences the first stays (least id, then position); the
-others are its repeats. A hot passage is a hot key of groupings with map-side
-aggregation and of plain joins; no group is gathered.
+Words are compared by hashes: two different blocks, or windows, are taken for
+equal with a probability of 2**-128 (two independent sums of independent word
+hashes). Of a passage's occurrences the first stays (least id, then position);
+the others are its repeats. Sorts are by ranges, and a run of equal rows is
+dealt over tasks, so a hot passage is gathered nowhere. Texts are not moved,
+but for those that windows are asked of and those that are cut.
 
 Defined results: words are separated by ASCII white space and compared as they
 stand; texts under 50 words, null among them, have no passages. Rows of one id
@@ -33,8 +38,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from landfall.llm.common import GOLD, SLICE_BYTES, Runs, TextSlice, Words, fresh, own, read, staged, text_slices, words
+from landfall.llm.common import GOLD, SLICE_BYTES, Runs, TextSlice, Words, _powers, fresh, mix, own, read, span_hash, staged, text_slices, words
+from landfall.llm.runs import sorted_runs
 from landfall.llm.segments import spread
+from landfall.operators.upsert import BITMAP_BITS, broadcast_budget, split_by_bitmap
 
 LEAST_WORDS = 50
 GRAM = 10
@@ -81,94 +88,120 @@ def _spans(s: TextSlice, w: Words, text: np.ndarray, lo: np.ndarray, hi: np.ndar
     return [pa.array(x.astype(np.int32)) for x in (lo - base, hi - base, w.start[lo] - start, w.end[hi - 1] - start)]
 
 
+class _Other:
+    """Hashes of runs of words that are independent of those of ``Runs``."""
+
+    def __init__(self, s: TextSlice, w: Words):
+        up, self.down = _powers(1, len(w.hash) + 1)
+        self.total = np.zeros(len(w.hash) + 1, np.uint64)
+        np.cumsum(span_hash(s.data, w.start, w.end, second=True) * up[:len(w.hash)], out=self.total[1:])
+
+    def of(self, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return mix((self.total[end] - self.total[begin]) * self.down[begin] + (end - begin).astype(np.uint64) * GOLD)
+
+
 def anchors(docs: DataFrame, least: int, gram: int) -> DataFrame:
-    """``doc_id, key, block`` and span of each block: ``key`` is the hash of
-    the anchor's words, ``block`` that of all its windows' words."""
+    """``doc_id, doc_text, key, block, other`` and span of each block: ``key``
+    is the hash of the anchor's words, ``block`` and ``other`` are those of all
+    its windows' words, and where in them the anchor stands."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for s in text_slices(batch.column(1)):
+            for s in text_slices(batch.column(2)):
                 w = words(s)
                 text, anchor, first, last, key = minimisers(w, least, gram)
                 if len(text):
-                    block = Runs(w.hash).of(first, last + least) + (anchor - first).astype(np.uint64) * GOLD
-                    yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, len(s)).take(pa.array(text)), pa.array(key.view(np.int64)), pa.array(block.view(np.int64)),
-                                                      *_spans(s, w, text, first, last + least)], names=["doc_id", "key", "block", "lo", "hi", "begin", "end"])
+                    where = (anchor - first).astype(np.uint64) * GOLD
+                    block, other = Runs(w.hash).of(first, last + least) + where, _Other(s, w).of(first, last + least) + where
+                    docs_of = [batch.column(k).slice(s.start, len(s)).take(pa.array(text)) for k in (0, 1)]
+                    yield pa.RecordBatch.from_arrays([*docs_of, *(pa.array(x.view(np.int64)) for x in (key, block, other)), *_spans(s, w, text, first, last + least)],
+                                                     names=["doc_id", "doc_text", "key", "block", "other", "lo", "hi", "begin", "end"])
 
-    return docs.mapInArrow(run, f"doc_id {kind}, key long, block long, {_SPANS}")
+    return docs.mapInArrow(run, f"doc_id {kind}, doc_text long, key long, block long, other long, {_SPANS}")
 
 
 def _windows(docs: DataFrame, least: int) -> DataFrame:
-    """``doc_id, window, block, copies`` and span of each window of the blocks that the
-    rows of ``doc_id, text, blocks`` list."""
+    """``doc_id, doc_text, window, other, copied`` and span of each window of
+    the blocks that the rows of ``doc_id, doc_text, text, blocks`` list."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            asked = batch.column(2)
-            for s in text_slices(batch.column(1), SLICE_BYTES // 4):
+            asked = batch.column(3)
+            for s in text_slices(batch.column(2), SLICE_BYTES // 4):
                 w = words(s)
-                runs = Runs(w.hash)
+                runs, other = Runs(w.hash), _Other(s, w)
                 mine = asked.slice(s.start, len(s))
                 flat = mine.flatten()
                 text = np.repeat(np.arange(len(s)), np.diff(mine.offsets.to_numpy()))
-                lo, hi, copies = (flat.field(n).to_numpy() for n in ("lo", "hi", "copies"))
+                lo, hi, copied = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("lo", "hi", "several"))
                 count = hi - lo - least + 1
                 start = spread(w.first[text] + lo, count)
-                text, copies = np.repeat(text, count), np.repeat(copies, count)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(s.start, len(s)).take(pa.array(text)), pa.array(runs.of(start, start + least).view(np.int64)), pa.array(copies),
-                                                  *_spans(s, w, text, start, start + least)], names=["doc_id", "window", "copies", "lo", "hi", "begin", "end"])
+                text, copied = np.repeat(text, count), np.repeat(copied, count)
+                docs_of = [batch.column(k).slice(s.start, len(s)).take(pa.array(text)) for k in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*docs_of, *(pa.array(x.of(start, start + least).view(np.int64)) for x in (runs, other)), pa.array(copied.astype(bool)), *_spans(s, w, text, start, start + least)],
+                                                 names=["doc_id", "doc_text", "window", "other", "copied", "lo", "hi", "begin", "end"])
+
+    return docs.mapInArrow(run, f"doc_id {kind}, doc_text long, window long, other long, copied boolean, {_SPANS}")
+
+
+_DOC = ["doc_id", "doc_text"]
+_PLACE = [*_DOC, "lo"]
+
 
-    return docs.mapInArrow(run, f"doc_id {kind}, window long, copies long, {_SPANS}")
+def _asked(docs: DataFrame, wanted: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ``docs`` that may have the ``keys`` of ``wanted``, and the
+    others if they could be told apart: by a bitmap of hashes, where it is
+    small enough to be broadcast. Texts that nothing is asked of don't move."""
+    n = wanted.count()
+    if n * BITMAP_BITS // 8 > broadcast_budget(docs.sparkSession):
+        return docs, None
+    return split_by_bitmap(docs, wanted.select(*keys), keys, n)
 
 
 def occurrences(docs: DataFrame, least: int = LEAST_WORDS, gram: int = GRAM) -> DataFrame:
-    """Spans of documents, one window or more each, whose words occur
-    elsewhere: ``doc_id``, span, ``repeat`` (whether an earlier occurrence
-    stays) and ``of_doc`` (the document of the first occurrence)."""
+    """Spans of documents (rows of ``doc_id, doc_text, text``), one window or
+    more each, whose words occur elsewhere: ``doc_id, doc_text``, span,
+    ``repeat`` (whether an earlier occurrence stays) and ``of_doc`` (the id of
+    the document of the first occurrence)."""
     docs = docs.where("doc_id IS NOT NULL")
-    every = staged(anchors(docs, least, gram), "anchors")
-    keys = staged(every.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key"), "keys")
-    shared = staged(every.join(keys, "key"), "suffixes")
-    first = F.min(F.struct("doc_id", "lo")).alias("first")
-    blocks = staged(shared.groupBy("key", "block").agg(first, F.count(F.lit(1)).alias("copies")), "blocks")
-    apart = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("lo") - F.col("first.lo") >= least)
-    is_first = (F.col("doc_id") == F.col("first.doc_id")) & (F.col("lo") == F.col("first.lo"))
-    placed = staged(shared.join(blocks, ["key", "block"]).withColumn("apart", apart).withColumn("is_first", is_first), "placed")
-    spans = ["doc_id", "lo", "hi", "begin", "end"]
-    whole = placed.where("NOT is_first AND apart").select(*spans, F.lit(True).alias("repeat"), F.col("first.doc_id").alias("of_doc"))
+    suffixes = sorted_runs(staged(anchors(docs, least, gram), "anchors"), ["key"], ["block", "other"], _PLACE)
+    is_first = (F.col("doc_id") == F.col("first_doc_id")) & (F.col("doc_text") == F.col("first_doc_text"))
+    apart = ~is_first | (F.col("lo") - F.col("first_lo") >= least)
+    is_first = is_first & (F.col("lo") == F.col("first_lo"))
+    spans = [*_DOC, "lo", "hi", "begin", "end"]
+    whole = suffixes.where(~is_first & apart).select(*spans, F.lit(True).alias("repeat"), F.col("first_doc_id").alias("of_doc"))
     # one block of each kind stands for its copies, but for those that overlap it; where it is the only kind at its
     # anchor, nothing else is to be compared
-    kinds = staged(blocks.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")), "kinds")
-    heads = placed.where("is_first OR NOT apart").dropDuplicates(["key", "block", "doc_id", "lo"]).join(kinds, "key")
-    heads = staged(heads.select(*spans, "copies", "kinds", "is_first"), "heads")
-    alone = heads.where("is_first AND kinds = 1 AND copies > 1").select(*spans, F.lit(False).alias("repeat"), F.col("doc_id").alias("of_doc"))
-    asked = heads.where("kinds > 1").groupBy("doc_id").agg(F.collect_list(F.struct("lo", "hi", "copies")).alias("blocks"))
-    windows = staged(_windows(docs.select("doc_id", "text").join(asked, "doc_id"), least), "windows")
-    firsts = windows.groupBy("window").agg(first, F.count(F.lit(1)).alias("n"), F.max("copies").alias("most"))
-    firsts = staged(firsts.where("n > 1 OR most > 1").drop("most"), "firsts")
-    met = windows.join(firsts, "window").withColumn("apart", apart).withColumn("is_first", is_first)
-    single = met.where("is_first OR apart").select(*spans, (~F.col("is_first")).alias("repeat"), F.col("first.doc_id").alias("of_doc"))
+    heads = suffixes.where(is_first | ~apart)
+    mixed = staged(suffixes.where("turn").select("key").distinct(), "mixed")
+    alone = heads.where(is_first & F.col("several")).join(mixed, "key", "left_anti").select(*spans, F.lit(False).alias("repeat"), F.col("doc_id").alias("of_doc"))
+    asked = heads.join(mixed, "key", "left_semi").groupBy(*_DOC).agg(F.collect_list(F.struct("lo", "hi", "several")).alias("blocks"))
+    asked = staged(asked, "asked")
+    texts, _ = _asked(docs.select(*_DOC, "text"), asked, _DOC)
+    windows = staged(_windows(texts.join(asked, _DOC).select(*_DOC, "text", "blocks"), least), "windows")
+    met = sorted_runs(windows, ["window", "other"], [], _PLACE, keep="copied")
+    single = met.where(is_first | apart).select(*spans, (~is_first).alias("repeat"), F.col("first_doc_id").alias("of_doc"))
     return whole.unionByName(alone).unionByName(single)
 
 
-def _keyed(doc: Column, text: Column) -> Column:
-    """What stands for a document: its id, and its text's hash, as texts of one id may differ."""
-    return F.struct(doc.alias("id"), F.xxhash64(text).alias("text"))
+def _text_hash(text: Column) -> Column:
+    """What tells texts of one id apart."""
+    return F.coalesce(F.xxhash64(text), F.lit(0).cast("long"))
 
 
 def _found(docs: DataFrame, least: int, gram: int, id_col: str, text_col: str) -> DataFrame:
-    """``passages`` with the key of the document, and that of the first one."""
+    """``passages`` with what tells the document from others of its id."""
     if not 0 < gram <= least:
         raise ValueError("gram must be between 1 and least")
     text = F.col(text_col).cast("string")
-    docs = docs.where(F.col(id_col).isNotNull()).select(_keyed(F.col(id_col), text).alias("doc_id"), text.alias("text"))
+    docs = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("doc_id"), _text_hash(text).alias("doc_text"), text.alias("text"))
     found = occurrences(docs, least, gram)
-    order = Window.partitionBy("doc_id", "repeat").orderBy("lo", "hi")
+    order = Window.partitionBy(*_DOC, "repeat").orderBy("lo", "hi")
     reach = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
     islands = found.withColumn("new", F.when(reach >= F.col("lo"), 0).otherwise(1)).withColumn("island", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return islands.groupBy("doc_id", "repeat", "island").agg(
+    return islands.groupBy(*_DOC, "repeat", "island").agg(
         F.min("begin").alias("begin"), F.max("end").alias("end"), (F.max("hi") - F.min("lo")).alias("n_words"), F.min("of_doc").alias("of_doc"))
 
 
@@ -177,7 +210,7 @@ def passages(docs: DataFrame, *, least: int = LEAST_WORDS, gram: int = GRAM, id_
     UTF-8 text), ``n_words``, ``repeat`` (false: an occurrence that stays) and
     ``of_doc`` (the least document that it or a part of it stands in first)."""
     found = _found(docs, least, gram, id_col, text_col)
-    return found.select(F.col("doc_id.id").alias("doc_id"), "begin", "end", "n_words", "repeat", F.col("of_doc.id").alias("of_doc"))
+    return found.select("doc_id", "begin", "end", "n_words", "repeat", "of_doc")
 
 
 def cut_repeats(docs: DataFrame, *, least: int = LEAST_WORDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -185,18 +218,22 @@ def cut_repeats(docs: DataFrame, *, least: int = LEAST_WORDS, id_col: str = "doc
     first occurrence; all other columns as they were, except that a column
     ``n_chars`` is counted again where text was cut."""
     found = _found(docs, least, GRAM, id_col, text_col).where("repeat")
-    doc, cut, left = (fresh(docs, n) for n in ("_id", "_cuts", "_kept"))
-    cuts = staged(found.groupBy(F.col("doc_id").alias(doc)).agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias(cut)), "cuts")
+    doc, of_text, cut, left = (fresh(docs, n) for n in ("_id", "_text", "_cuts", "_kept"))
+    cuts = found.groupBy(F.col("doc_id").alias(doc), F.col("doc_text").alias(of_text)).agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias(cut))
+    cuts = staged(cuts, "cuts")
     raw = F.col(text_col).cast("string").cast("binary")
     # the bytes before each cut from the end of the one before it, and those after the last
     starts = F.concat(F.array(F.lit(0)), F.col(f"{cut}.end"))
     stops = F.concat(F.col(f"{cut}.begin"), F.array(F.octet_length(raw)))
     kept = F.concat_ws("", F.transform(F.arrays_zip(starts.alias("a"), stops.alias("b")), lambda x: F.substring(raw, x["a"] + 1, x["b"] - x["a"]).cast("string")))
-    joined = docs.join(cuts, _keyed(F.col(id_col), F.col(text_col).cast("string")) == F.col(doc), "left").withColumn(left, F.when(F.col(cut).isNotNull(), kept))
+    named = docs.withColumns({doc: F.col(id_col), of_text: _text_hash(F.col(text_col).cast("string"))})
+    some, others = _asked(named, cuts, [doc, of_text])
+    joined = some.join(cuts, [doc, of_text], "left").withColumn(left, F.when(F.col(cut).isNotNull(), kept))
     out = joined.withColumn(text_col, F.coalesce(left, text_col))
     if "n_chars" in docs.columns and text_col != "n_chars":
         out = out.withColumn("n_chars", F.when(F.col(left).isNotNull(), F.length(left)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(*own(docs))
+    out = out.select(*own(docs))
+    return out if others is None else out.unionAll(others.select(*own(docs)))
 
 
 def op9(spark, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from landfall.llm import exact, near, passages
+from landfall.llm import exact, near, passages, runs
 from landfall.llm.common import text_slices, words
 from landfall.llm.components import components
 from tests.conftest import SF001
@@ -251,3 +251,40 @@ def test_cuts_of_one_text_leave_the_others_of_its_id(spark):
     docs = make_docs(spark, [(1, shared), (2, f"head {shared} tail"), (2, other), (2, None)])
     got = {(r["doc_id"], r["text"]) for r in passages.cut_repeats(docs).collect()}
     assert got == {(1, shared), (2, "head  tail"), (2, other), (2, None)}
+
+
+# ------------------------------------------------------------ runs of sorted rows
+
+@pytest.mark.parametrize("tasks,fine", [(1, ["b"]), (7, ["b"]), (23, ["b"]), (5, [])])
+def test_runs_by_neighbours_against_brute_force(spark, tasks, fine):
+    """Runs that lie within a task, cross its bounds, or fill several tasks."""
+    r = random.Random(tasks)
+    rows = [(r.choice([1, 1, 1, 2, 3, r.randrange(100)]), r.choice([7, 7, 8, r.randrange(5)]), f"d{r.randrange(60):02d}", r.randrange(4), r.random() < 0.1) for _ in range(900)]
+    rows = list({x[:4]: x for x in rows}.values())
+    df = spark.createDataFrame(rows + rows[:50], "a long, b long, doc string, lo int, keep boolean").repartition(6)
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(tasks))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        coarse, place = (["a"], ["doc", "lo"]) if fine else (["a", "b"], ["doc", "lo"])
+        got = {tuple(x[n] for n in ("a", "b", "doc", "lo", "keep", "first_doc", "first_lo", "several", "turn")) for x in runs.sorted_runs(df, coarse, fine, place, keep="keep").collect()}
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    by_coarse, by_fine = defaultdict(list), defaultdict(list)
+    for x in sorted(rows):
+        by_coarse[x[0] if fine else x[:2]].append(x)
+        by_fine[x[:2]].append(x)
+    want = set()
+    for x in rows:
+        mine, run = by_coarse[x[0] if fine else x[:2]], by_fine[x[:2]]
+        if len(mine) > 1 or x[4]:
+            want.add((*x, run[0][2], run[0][3], len(run) > 1, x == run[0] and run[0][1] != mine[0][1]))
+    assert got == want
+
+
+def test_passages_when_nothing_may_be_broadcast(spark, monkeypatch):
+    docs = make_docs(spark, [(i, f"{prose(i, 30)} {prose(1000, 60)} {prose(50 + i, 30)}") for i in range(12)])
+    want = sorted(map(str, passages.passages(docs).collect())), sorted(map(str, passages.cut_repeats(docs).collect()))
+    monkeypatch.setattr(passages, "broadcast_budget", lambda s: 0)
+    assert (sorted(map(str, passages.passages(docs).collect())), sorted(map(str, passages.cut_repeats(docs).collect()))) == want and len(want[0]) == 12
