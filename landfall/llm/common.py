@@ -3,8 +3,10 @@ cluster's shared folder, Arrow text buffers, integer mixing."""
 
 from __future__ import annotations
 
+import threading
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +30,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def scratch(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, deleted when the
-    driver's JVM ends."""
+    driver's JVM ends, if not before."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/landfall-llm/{name}-{uuid.uuid4().hex}"
     jvm = spark._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
@@ -37,13 +39,42 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+_SCOPES = threading.local()
+
+
+@contextmanager
+def scope() -> Iterator[None]:
+    """What is staged inside is deleted at the end, but for tables that
+    outlive it. Nothing that reads the others may be left to run."""
+    held = _SCOPES.held = getattr(_SCOPES, "held", [])
+    held.append([])
+    try:
+        yield
+    finally:
+        discard(*held.pop())
+
+
+def staged(df: DataFrame, name: str, outlives: bool = False) -> DataFrame:
     """``df`` written once to the shared folder and read back: cuts the
     lineage, so that a lost executor never reruns what stands before, and
-    lets several consumers share one pass."""
+    lets several consumers share one pass. ``outlives``: it belongs to the
+    scope around the innermost one."""
     path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    scopes = getattr(_SCOPES, "held", [])
+    if len(scopes) > outlives:
+        scopes[-1 - outlives].append(out)
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete staged tables whose last reader has run."""
+    for t in tables:
+        if path := getattr(t, "staged_at", None):
+            target = t.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def fresh(df: DataFrame, name: str) -> str:

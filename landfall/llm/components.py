@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from landfall.llm.common import staged
+from landfall.llm.common import discard, staged
 
 
 def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
@@ -24,7 +24,8 @@ def components(links: DataFrame, most_rounds: int = 50) -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
         small = small.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionAll(least.select("u", F.col("m").alias("v"))).distinct()
-        edges = staged(small, "edges")
+        before, edges = edges, staged(small, "edges")
+        discard(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == last:
             break

@@ -12,11 +12,20 @@ similarity, at a cost that hardly grows with the number of coordinates.
 Signatures are cut into bands. Copies (equal shingle sets) are one node.
 Candidates are then compared by their whole sets, without all pairs of a
 bucket: first each text with the two leaders (least ids of buckets) that it
-shares most bands with; then, in blocks, texts of a bucket that no leader has
-brought together and whose sets can be alike enough by their sizes and a bound on
-what they share. Links are pairs at or over the threshold; groups are their connected
+shares most bands with. Of what no leader has brought together, a text is left
+only if it can have a partner: two sets alike enough share one of their first
+shingles in any one order, the rarest first here, so that texts which share no
+more than what all have (a site's boilerplate) are alone. The rest are
+compared in blocks of their buckets, where sizes and a bound on what they share
+allow. Links are pairs at or over the threshold; groups are their connected
 components.
 
+A set is compared by 32 bits of each shingle's hash: a pair of sets of a
+thousand shingles has one shared too many with a probability of 2**-12, which
+moves its similarity by 0.0005. Equal sets are one node by two independent
+64-bit sums and their size; different ones are taken for equal with a
+probability of 2**-128.
+
 Defined results: words are separated by ASCII white space and compared as they
 stand; a text of one to four words has one shingle. Null counts as empty; texts
 without words are alike only if equal. Rows of one id count as one document; a
@@ -34,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import GOLD, TextSlice, fresh, kept, mix, read, shingles, span_hash, staged, text_slices, words
+from landfall.llm.common import GOLD, TextSlice, discard, fresh, kept, mix, read, scope, shingles, span_hash, staged, text_slices, words
 from landfall.llm.components import components
 from landfall.llm.segments import spread
 
@@ -47,6 +56,8 @@ LEADERS = 2
 BLOCK = 512
 #: Shingles compared at a time in a block, and flags to mark a text's shingles.
 MARKED = 1 << 20
+#: Counters that tell rare shingles from common ones.
+SLOTS = 1 << 18
 #: Texts whose darts are held at a time.
 AT_ONCE = 256
 
@@ -152,6 +163,7 @@ def signed(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS, counted: bo
                 sum_a = np.where(none, span_hash(s.data, s.offsets[:-1], s.offsets[1:]), _sums(mix(whole ^ _B), bounds))
                 sum_b = np.where(none, span_hash(s.data, s.offsets[:-1], s.offsets[1:], second=True), _sums(mix(whole ^ _C), bounds))
                 short = (whole & np.uint64(0xFFFFFFFF)).astype("<u4")
+                sets = [np.unique(short[a:b]) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
                 byte = (mix(found) & np.uint64(0xFF)).astype(np.uint8)
                 for a in range(0, len(s), 4096):
                     b = min(a + 4096, len(s))
@@ -159,7 +171,7 @@ def signed(docs: DataFrame, *, bands: int = BANDS, rows: int = ROWS, counted: bo
                         batch.column(0).slice(s.start + a, b - a), pa.array(sum_a[a:b].view(np.int64)), pa.array(sum_b[a:b].view(np.int64)), pa.array(np.diff(bounds)[a:b]),
                         pa.array([[] if e else x for e, x in zip(none[a:b], banded[a:b])], pa.list_(pa.int64())),
                         pa.array([b"" if e else x.tobytes() for e, x in zip(none[a:b], byte[a:b])], pa.binary()),
-                        pa.array([np.sort(short[bounds[i]:bounds[i + 1]]).tobytes() for i in range(a, b)], pa.binary())], names=spec.names)
+                        pa.array([sets[i].tobytes() for i in range(a, b)], pa.binary())], names=spec.names)
 
     return docs.mapInArrow(run, spec)
 
@@ -208,6 +220,48 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return pairs.join(right, "b").select("a", "b", "set_a", "set_b").mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
+def first_shingles(shingles: np.ndarray, commonness: np.ndarray, threshold: float) -> tuple[np.ndarray, int]:
+    """The set's shingles in the order of ``commonness`` (by their low bits),
+    as far as a partner of any size must share one; and how many of them a
+    partner must share one of that is at least as large."""
+    n = len(shingles)
+    order = np.lexsort((shingles, commonness[shingles & np.uint32(len(commonness) - 1)]))
+    least = lambda share: max(1, n - int(np.ceil(share * n - 1e-6)) + 1)
+    return shingles[order[:least(threshold)]], min(n, least(2 * threshold / (1 + threshold)))
+
+
+def with_partners(sets: DataFrame, threshold: float) -> DataFrame:
+    """Ids of the ``doc_id, component, shingles`` rows that can have a partner
+    of another component: it is near only if one of the smaller set's first
+    shingles is among the larger one's."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for x in batch.column(0):
+                np.add.at(total, np.frombuffer(x.as_buffer(), "<u4") & np.uint32(SLOTS - 1), 1)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["slot", "n"])
+
+    commonness = np.zeros(SLOTS, np.int64)   # at most SLOTS rows come to the driver
+    for r in sets.select("shingles").mapInArrow(count, "slot int, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect():
+        commonness[r["slot"]] = r["n"]
+
+    def firsts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [first_shingles(np.frombuffer(x.as_buffer(), "<u4"), commonness, threshold) for x in batch.column("shingles")]
+            size = [len(x) for x, _ in found]
+            at = pa.array(np.repeat(np.arange(len(size)), size))
+            leads = np.concatenate([np.arange(len(x)) < k for x, k in found]) if found else np.zeros(0, bool)
+            tokens = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.uint32)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(at), batch.column("component").take(at), pa.array(tokens.astype(np.int64)), pa.array(leads)], names=["doc_id", "component", "token", "leads"])
+
+    tokens = staged(sets.select("doc_id", "component", "shingles").mapInArrow(firsts, "doc_id long, component long, token long, leads boolean"), "tokens")
+    met = tokens.groupBy("token").agg(F.max("leads").alias("leads"), F.min("component").alias("least"), F.max("component").alias("most"))
+    out = staged(tokens.join(met.where("leads AND least < most").select("token"), "token", "left_semi").select("doc_id").distinct(), "partners")
+    discard(tokens)
+    return out
+
+
 def _linked(rows: DataFrame, threshold: float) -> DataFrame:
     """Links ``a, b`` that join different groups within each (``bucket, i,
     j``): pairs are compared by their sets, those first whose signatures agree
@@ -299,20 +353,25 @@ def groups(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS,
     links = staged(verified(stars, sets, threshold).select("a", "b"), "links")
     # what is left: texts of a bucket that don't share a leader, nor a leader's leader
     label = links.groupBy("a").agg(F.min("b").alias("b")).select("a", F.least("a", "b").alias("label"))
-    label = staged(label, "labels")
+    label = label_at = staged(label, "labels")
     above = label.select(F.col("a").alias("label"), F.col("label").alias("above"))
     label = label.join(above, "label", "left").select(F.col("a").alias("doc_id"), F.coalesce("above", "label").alias("label"))
     placed = staged(shared.join(label, "doc_id", "left").select("bucket", "n", "doc_id", F.coalesce("label", "doc_id").alias("component")), "placed")
     mixed = placed.groupBy("bucket").agg(F.min("component").alias("least"), F.max("component").alias("most"))
     mixed = staged(mixed.where("least < most").select("bucket"), "mixed")
+    left = staged(placed.join(mixed, "bucket").drop("n"), "left")
+    # rows of one id may hold different texts: each by itself
+    alone = left.select("doc_id", "component").distinct().join(sets.select("doc_id", "shingles"), "doc_id")
+    left = staged(left.join(with_partners(staged(alone, "residue"), threshold), "doc_id", "left_semi"), "partnered")
     parts = F.ceil(F.col("n") / BLOCK).cast("int")
-    rest = placed.join(mixed, "bucket").withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
+    rest = left.join(left.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "bucket").withColumn("part", F.pmod(F.xxhash64("doc_id"), parts).cast("int"))
     rest = rest.withColumn("other", F.explode(F.sequence(F.lit(0), parts - 1)))
     rest = rest.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "doc_id", "component")
     # rows of one id may hold different texts: those that are in the bucket, and each pair of rows once
     rest = rest.distinct().join(sets.drop("leaders"), "doc_id").where(F.array_contains("bands", F.col("bucket")))
     more = _linked(rest, threshold)
     final = components(links.unionAll(more))
+    discard(sets, shared, links, label_at, placed, mixed)
     joined = members.join(final, F.col("first") == F.col("node"), "left")
     return joined.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "first")).alias("class_id"), F.col("size").alias("n_shingles")) \
         .select("doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"), "n_shingles")
@@ -321,7 +380,8 @@ def groups(docs: DataFrame, *, threshold: float = THRESHOLD, bands: int = BANDS,
 def drop_near(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document of each group, all columns as they were."""
     name = fresh(docs, "_gone")
-    gone = staged(groups(docs, id_col=id_col, text_col=text_col, **options).where("not kept").select(F.col("doc_id").alias(name)).distinct(), "near")
+    with scope():
+        gone = staged(groups(docs, id_col=id_col, text_col=text_col, **options).where("not kept").select(F.col("doc_id").alias(name)).distinct(), "near", outlives=True)
     return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from landfall.llm.common import GOLD, SLICE_BYTES, Runs, TextSlice, Words, _powers, fresh, mix, own, read, span_hash, staged, text_slices, words
+from landfall.llm.common import GOLD, SLICE_BYTES, Runs, TextSlice, Words, _powers, discard, fresh, mix, own, read, scope, span_hash, staged, text_slices, words
 from landfall.llm.runs import sorted_runs
 from landfall.llm.segments import spread
 from landfall.operators.upsert import BITMAP_BITS, broadcast_budget, split_by_bitmap
@@ -166,7 +166,9 @@ def occurrences(docs: DataFrame, least: int = LEAST_WORDS, gram: int = GRAM) ->
     ``repeat`` (whether an earlier occurrence stays) and ``of_doc`` (the id of
     the document of the first occurrence)."""
     docs = docs.where("doc_id IS NOT NULL")
-    suffixes = sorted_runs(staged(anchors(docs, least, gram), "anchors"), ["key"], ["block", "other"], _PLACE)
+    every = staged(anchors(docs, least, gram), "anchors")
+    suffixes = sorted_runs(every, ["key"], ["block", "other"], _PLACE)
+    discard(every)
     is_first = (F.col("doc_id") == F.col("first_doc_id")) & (F.col("doc_text") == F.col("first_doc_text"))
     apart = ~is_first | (F.col("lo") - F.col("first_lo") >= least)
     is_first = is_first & (F.col("lo") == F.col("first_lo"))
@@ -182,6 +184,7 @@ def occurrences(docs: DataFrame, least: int = LEAST_WORDS, gram: int = GRAM) ->
     texts, _ = _asked(docs.select(*_DOC, "text"), asked, _DOC)
     windows = staged(_windows(texts.join(asked, _DOC).select(*_DOC, "text", "blocks"), least), "windows")
     met = sorted_runs(windows, ["window", "other"], [], _PLACE, keep="copied")
+    discard(windows, asked)
     single = met.where(is_first | apart).select(*spans, (~is_first).alias("repeat"), F.col("first_doc_id").alias("of_doc"))
     return whole.unionByName(alone).unionByName(single)
 
@@ -217,10 +220,11 @@ def cut_repeats(docs: DataFrame, *, least: int = LEAST_WORDS, id_col: str = "doc
     """``docs`` with every repeated passage cut out of its text but for the
     first occurrence; all other columns as they were, except that a column
     ``n_chars`` is counted again where text was cut."""
-    found = _found(docs, least, GRAM, id_col, text_col).where("repeat")
     doc, of_text, cut, left = (fresh(docs, n) for n in ("_id", "_text", "_cuts", "_kept"))
-    cuts = found.groupBy(F.col("doc_id").alias(doc), F.col("doc_text").alias(of_text)).agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias(cut))
-    cuts = staged(cuts, "cuts")
+    with scope():
+        found = _found(docs, least, GRAM, id_col, text_col).where("repeat")
+        cuts = found.groupBy(F.col("doc_id").alias(doc), F.col("doc_text").alias(of_text)).agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias(cut))
+        cuts = staged(cuts, "cuts", outlives=True)
     raw = F.col(text_col).cast("string").cast("binary")
     # the bytes before each cut from the end of the one before it, and those after the last
     starts = F.concat(F.array(F.lit(0)), F.col(f"{cut}.end"))

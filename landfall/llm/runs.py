@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import staged
+from landfall.llm.common import discard, staged
 
 
 def _differs(table: pa.Table, names: list[str]) -> np.ndarray:
@@ -107,7 +107,7 @@ def sorted_runs(rows: DataFrame, coarse: list[str], fine: list[str], place: list
         if not (i and whole and key(ends[i - 1]["bottom"]) == key(r["bottom"])):
             first = tuple(r["bottom"][f] for f in firsts)
     if not before:
-        return _result(found, keep)
+        return _result(found, found, keep)
 
     def carry(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -139,9 +139,11 @@ def sorted_runs(rows: DataFrame, coarse: list[str], fine: list[str], place: list
             columns |= {n: pa.array(x) for n, x in flag.items()}
             yield pa.RecordBatch.from_arrays([columns[n] for n in spec.names], names=spec.names)
 
-    return _result(found.mapInArrow(carry, spec), keep)
+    return _result(found, found.mapInArrow(carry, spec), keep)
 
 
-def _result(found: DataFrame, keep: str | None) -> DataFrame:
+def _result(found: DataFrame, rows: DataFrame, keep: str | None) -> DataFrame:
     wanted = F.col("shared") | F.col(keep) if keep else F.col("shared")
-    return staged(found.where(wanted).drop("task", "top", "shared"), "shared")
+    out = staged(rows.where(wanted).drop("task", "top", "shared"), "shared")
+    discard(found)
+    return out
