@@ -39,7 +39,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm import segments
 from landfall.llm.common import GOLD, TextSlice, kept, mix, read, staged, text_slices
 from landfall.llm.prefixes import byte_alphabet
 from landfall.llm.segments import SegmentEncoder, SegmentStore, spread
@@ -51,6 +50,8 @@ TABLE_BYTES = 96 << 20
 _PAIR_BYTES = 14
 #: Vectors summed into one at a time.
 FAN_IN = 16
+#: Numbers that a worker keeps of the segments it has met (4 bytes each).
+STORE_NUMBERS = 16_000_000
 _HEAD = 5   # numbers before a segment's links
 _SPREAD = 2654435761   # odd, near 2**32 by the golden ratio
 
@@ -84,7 +85,7 @@ class _Store(SegmentStore):
     character no piece of B has but at its own start (``cut``)."""
 
     def __init__(self, learn, cut: np.ndarray):
-        super().__init__(learn)
+        super().__init__(learn, most_numbers=STORE_NUMBERS)
         self.cut = cut
 
     def starts(self, s: TextSlice) -> np.ndarray:
@@ -96,13 +97,14 @@ class _Store(SegmentStore):
 
 class Aligner:
     """Segments aligned between a byte-level BPE .json file (A) and a
-    SentencePiece model (B)."""
+    SentencePiece model (B), with their groups as text if ``printing``."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, printing: bool = True):
         from sentencepiece import SentencePieceProcessor
         from sentencepiece import sentencepiece_model_pb2 as pb
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.printing = printing
         self.a = SegmentEncoder(path_a)
         self.a.tokenizer.encode_special_tokens = True
         byte = {c: i for i, c in enumerate(byte_alphabet())}
@@ -128,10 +130,6 @@ class Aligner:
             raise ValueError("the vocabularies' pairs don't fit 32 bits")
         self.store = _Store(self._learn, np.array([i == 32 or (9 <= i <= 13 and chr(i) not in inner) for i in range(256)]))
 
-    def full(self) -> bool:
-        """Whether the store starts anew at the next look-up."""
-        return self.store.count > segments.STORE_SEGMENTS or int(self.store.ends[self.store.count]) > segments.STORE_NUMBERS
-
     def look_up(self, s: TextSlice) -> tuple[np.ndarray, np.ndarray]:
         """The number of each segment, and for each text its first one."""
         numbers, _, first = self.store.look_up(_space_before(s))
@@ -181,15 +179,17 @@ class Aligner:
         before = np.cumsum(ends, axis=1) - ends   # tokens that end before a byte
         cuts, common = np.flatnonzero(ends[0] | ends[1]), ends[0] & ends[1]
         link = (ids_a[before[0, cuts]] * self.n_b + ids_b[before[1, cuts]]).astype(np.uint32)
-        text, text_sizes = self._print(ids_a, ids_b, ends, common)
         last = np.cumsum(size_good)
         first = last - size_good
         inside = lambda flags: np.concatenate([[0], np.cumsum(flags)])[last] - np.concatenate([[0], np.cumsum(flags)])[first]
         n_groups, n_links = inside(common), inside(ends[0] | ends[1])
-        token_bytes = np.zeros(n_bytes, np.int64)
-        for k in (0, 1):
-            token_bytes[ends[k]] += text_sizes[k]
-        n_text = inside(token_bytes)
+        text, n_text = np.zeros(0, np.uint8), np.zeros(len(last), np.int64)
+        if self.printing:
+            text, text_sizes = self._print(ids_a, ids_b, ends, common)
+            token_bytes = np.zeros(n_bytes, np.int64)
+            for k in (0, 1):
+                token_bytes[ends[k]] += text_sizes[k]
+            n_text = inside(token_bytes)
         lengths = np.full(len(size), _HEAD)
         lengths[good] += n_links + (n_text + 3) // 4
         start = np.cumsum(lengths) - lengths
@@ -224,9 +224,9 @@ class Aligner:
         return text, [digits[place_a] + 1, digits[place_b] + 1]
 
 
-def aligner(path_a: str, path_b: str) -> Aligner:
+def aligner(path_a: str, path_b: str, printing: bool = True) -> Aligner:
     """This worker's aligner of two files."""
-    return kept(("aligner", path_a, path_b), lambda: Aligner(path_a, path_b))
+    return kept(("aligner", path_a, path_b, printing), lambda: Aligner(path_a, path_b, printing))
 
 
 def _per_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -238,7 +238,7 @@ def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """``pair, n``: links of the texts of ``doc_id, text`` rows, added up by
     each task (a pair may come several times)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = aligner(path_a, path_b)
+        held = aligner(path_a, path_b, printing=False)
         seen = np.zeros(1 << 16, np.int64)   # how often each segment of the store occurs
 
         def flush() -> Iterator[pa.RecordBatch]:
@@ -252,7 +252,7 @@ def pair_counts(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
         for batch in batches:
             for s in text_slices(batch.column(1)):
-                if held.full():
+                if held.store.full():
                     yield from flush()
                 numbers, first = held.look_up(s)
                 while held.store.count > len(seen):

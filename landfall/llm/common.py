@@ -15,6 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from landfall.operators.upsert import BITMAP_BITS, broadcast_budget, split_by_bitmap
 from landfall.session import ensure_checkpoint_dir
 
 #: Texts are worked on in slices of about so many bytes, which bounds the
@@ -77,6 +78,16 @@ def discard(*tables: DataFrame) -> None:
             target.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def split_asked(docs: DataFrame, wanted: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ``docs`` that may have the ``keys`` of ``wanted``, and the
+    others if they could be told apart: by a bitmap of hashes, where it is
+    small enough to be broadcast. Texts that nothing is asked of don't move."""
+    n = wanted.count()
+    if n * BITMAP_BITS // 8 > broadcast_budget(docs.sparkSession):
+        return docs, None
+    return split_by_bitmap(docs, wanted.select(*keys), keys, n)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, made longer until ``df`` has no such column."""
     taken = {c.lower() for c in df.columns}

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import TextSlice, fresh, own, read, staged, text_slices
+from landfall.llm.common import TextSlice, fresh, own, read, scope, staged, text_slices
 
 #: Chunks are 256 bytes to 16 KB, 2 KB on average beyond the least.
 LEAST, MOST, BITS = 256, 16384, 11
@@ -130,11 +130,12 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 def drop_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the copies, all columns as they were. Rows of one id
     and text alike become one, any of them."""
-    found = staged(exact_dedup(docs, id_col=id_col, text_col=text_col), "exact")
     sha = F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256)
     gone_id, gone_sha = fresh(docs, "_gone_id"), fresh(docs, "_gone_sha")
-    pairs = found.groupBy(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha)).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    pairs = staged(pairs, "pairs")
+    with scope():
+        found = staged(exact_dedup(docs, id_col=id_col, text_col=text_col), "exact")
+        pairs = found.groupBy(F.col("doc_id").alias(gone_id), F.col("text_sha256").alias(gone_sha)).agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+        pairs = staged(pairs, "pairs", outlives=True)
     if not pairs.where("kept AND n > 1").isEmpty():   # an id that repeats with its text: one of its rows stays
         columns = own(docs)
         docs = docs.withColumn(gone_sha, sha).dropDuplicates([id_col, gone_sha]).select(*columns)

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from landfall.llm.common import GOLD, TextSlice, discard, fresh, kept, mix, read, scope, shingles, span_hash, staged, text_slices, words
+from landfall.llm.common import GOLD, TextSlice, discard, fresh, kept, mix, own, read, scope, shingles, span_hash, split_asked, staged, text_slices, words
 from landfall.llm.components import components
 from landfall.llm.segments import spread
 
@@ -382,7 +382,9 @@ def drop_near(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     name = fresh(docs, "_gone")
     with scope():
         gone = staged(groups(docs, id_col=id_col, text_col=text_col, **options).where("not kept").select(F.col("doc_id").alias(name)).distinct(), "near", outlives=True)
-    return docs.join(gone, F.col(id_col) == F.col(name), "left_anti")
+    some, others = split_asked(docs.withColumn(name, F.col(id_col).cast("long")), gone, [name])
+    left = some.join(gone, name, "left_anti").select(*own(docs))
+    return left if others is None else left.unionAll(others.select(*own(docs)))
 
 
 def op7(spark, sf_dir: str) -> DataFrame:

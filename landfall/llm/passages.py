@@ -38,10 +38,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from landfall.llm.common import GOLD, SLICE_BYTES, Runs, TextSlice, Words, _powers, discard, fresh, mix, own, read, scope, span_hash, staged, text_slices, words
+from landfall.llm.common import GOLD, SLICE_BYTES, Runs, TextSlice, Words, _powers, discard, fresh, mix, own, read, scope, span_hash, split_asked, staged, text_slices, words
 from landfall.llm.runs import sorted_runs
 from landfall.llm.segments import spread
-from landfall.operators.upsert import BITMAP_BITS, broadcast_budget, split_by_bitmap
 
 LEAST_WORDS = 50
 GRAM = 10
@@ -150,16 +149,6 @@ _DOC = ["doc_id", "doc_text"]
 _PLACE = [*_DOC, "lo"]
 
 
-def _asked(docs: DataFrame, wanted: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None]:
-    """The rows of ``docs`` that may have the ``keys`` of ``wanted``, and the
-    others if they could be told apart: by a bitmap of hashes, where it is
-    small enough to be broadcast. Texts that nothing is asked of don't move."""
-    n = wanted.count()
-    if n * BITMAP_BITS // 8 > broadcast_budget(docs.sparkSession):
-        return docs, None
-    return split_by_bitmap(docs, wanted.select(*keys), keys, n)
-
-
 def occurrences(docs: DataFrame, least: int = LEAST_WORDS, gram: int = GRAM) -> DataFrame:
     """Spans of documents (rows of ``doc_id, doc_text, text``), one window or
     more each, whose words occur elsewhere: ``doc_id, doc_text``, span,
@@ -181,7 +170,7 @@ def occurrences(docs: DataFrame, least: int = LEAST_WORDS, gram: int = GRAM) ->
     alone = heads.where(is_first & F.col("several")).join(mixed, "key", "left_anti").select(*spans, F.lit(False).alias("repeat"), F.col("doc_id").alias("of_doc"))
     asked = heads.join(mixed, "key", "left_semi").groupBy(*_DOC).agg(F.collect_list(F.struct("lo", "hi", "several")).alias("blocks"))
     asked = staged(asked, "asked")
-    texts, _ = _asked(docs.select(*_DOC, "text"), asked, _DOC)
+    texts, _ = split_asked(docs.select(*_DOC, "text"), asked, _DOC)
     windows = staged(_windows(texts.join(asked, _DOC).select(*_DOC, "text", "blocks"), least), "windows")
     met = sorted_runs(windows, ["window", "other"], [], _PLACE, keep="copied")
     discard(windows, asked)
@@ -231,7 +220,7 @@ def cut_repeats(docs: DataFrame, *, least: int = LEAST_WORDS, id_col: str = "doc
     stops = F.concat(F.col(f"{cut}.begin"), F.array(F.octet_length(raw)))
     kept = F.concat_ws("", F.transform(F.arrays_zip(starts.alias("a"), stops.alias("b")), lambda x: F.substring(raw, x["a"] + 1, x["b"] - x["a"]).cast("string")))
     named = docs.withColumns({doc: F.col(id_col), of_text: _text_hash(F.col(text_col).cast("string"))})
-    some, others = _asked(named, cuts, [doc, of_text])
+    some, others = split_asked(named, cuts, [doc, of_text])
     joined = some.join(cuts, [doc, of_text], "left").withColumn(left, F.when(F.col(cut).isNotNull(), kept))
     out = joined.withColumn(text_col, F.coalesce(left, text_col))
     if "n_chars" in docs.columns and text_col != "n_chars":

@@ -124,8 +124,8 @@ class SegmentStore:
     end of each new segment in them, and returns these arrays back to back
     with the length of each."""
 
-    def __init__(self, learn, white: np.ndarray = _SPACE):
-        self.learn, self.white = learn, white
+    def __init__(self, learn, white: np.ndarray = _SPACE, most_numbers: int | None = None):
+        self.learn, self.white, self.most_numbers = learn, white, most_numbers
         self._reset()
 
     def _reset(self) -> None:
@@ -147,11 +147,15 @@ class SegmentStore:
     def starts(self, s: TextSlice) -> np.ndarray:
         return segment_starts(s, self.white)
 
+    def full(self) -> bool:
+        """Whether the store starts anew at the next look-up."""
+        return self.count > STORE_SEGMENTS * (2 if self.most_numbers else 1) or int(self.ends[self.count]) > (self.most_numbers or STORE_NUMBERS)
+
     def look_up(self, s: TextSlice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each segment of the slice its number, the segments' byte
         positions (one more than there are), and for each text its first
         segment (one more than there are texts)."""
-        if self.count > STORE_SEGMENTS or int(self.ends[self.count]) > STORE_NUMBERS:
+        if self.full():
             self._reset()
         starts = self.starts(s)
         bounds = np.append(starts, len(s.data)).astype(np.int64)

@@ -121,7 +121,7 @@ def test_segments_give_what_the_libraries_give(items):
 
 def test_a_store_that_starts_anew(spark, monkeypatch):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF001}/documents.parquet").limit(30).collect()]
-    monkeypatch.setattr(segments, "STORE_SEGMENTS", 50)
+    monkeypatch.setattr(segments, "STORE_SEGMENTS", 25)
     held = alignment.Aligner(A, B)
     answers = None
     for s in text_slices(pa.array([t for _, t in rows], pa.string()), 4096):

@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from landfall.llm import exact, near, passages, runs
+from landfall.llm import common, exact, near, passages, runs
 from landfall.llm.common import text_slices, words
 from landfall.llm.components import components
 from tests.conftest import SF001
@@ -286,5 +286,5 @@ def test_runs_by_neighbours_against_brute_force(spark, tasks, fine):
 def test_passages_when_nothing_may_be_broadcast(spark, monkeypatch):
     docs = make_docs(spark, [(i, f"{prose(i, 30)} {prose(1000, 60)} {prose(50 + i, 30)}") for i in range(12)])
     want = sorted(map(str, passages.passages(docs).collect())), sorted(map(str, passages.cut_repeats(docs).collect()))
-    monkeypatch.setattr(passages, "broadcast_budget", lambda s: 0)
+    monkeypatch.setattr(common, "broadcast_budget", lambda s: 0)
     assert (sorted(map(str, passages.passages(docs).collect())), sorted(map(str, passages.cut_repeats(docs).collect()))) == want and len(want[0]) == 12
