@@ -2,9 +2,9 @@
 
 A url becomes a set of tokens (scheme, host labels, top domain, path segments
 with numbers masked, extension, query keys, fragment). Spark's FP-growth mines
-the token sets of labelled urls, each with its label as one more token; rules
-from token combinations to the block label that reach the confidence and
-support asked for are kept. They are matched by an inverted index: a rule is
+the token sets of the urls that labels block; rules from token combinations to
+block that reach the confidence, over all labelled urls, and the support asked
+for are kept. They are matched by an inverted index: a rule is
 filed under its rarest token only, a url's tokens look the rules up, and a rule
 holds when the url has all of its tokens. A short list of given (host, path)
 rules goes before the mined ones.
@@ -42,8 +42,6 @@ MIN_CONFIDENCE = 0.8
 RULES = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
          ("allow", "com", "/fr/"), ("block", "com", "/de/"))
 
-_BLOCK = "label=block"
-
 
 def _rest(url: Column) -> Column:
     """What follows the first ``://``; empty if there is none."""
@@ -81,30 +79,36 @@ def mine(labelled: DataFrame, *, min_support: float = MIN_SUPPORT, min_confidenc
     """Rules ``item, antecedent, confidence, support`` from ``url, blocked``
     rows: token combinations that mean block. ``item`` is the rarest token of
     the antecedent, under which the rule is filed. A rule is left out if one
-    token less gives a rule of no less confidence, which fits wherever it does."""
-    rows = staged(labelled.select(tokens(F.col("url")).alias("tokens"), "blocked").where(F.size("tokens") > 0), "urls")
+    token less gives a rule of no less confidence, which fits wherever it does.
+
+    The blocked urls alone are mined, as a rule must hold for ``min_urls`` of
+    them; how many urls hold a combination, blocked or not, is counted by the
+    inverted index over the distinct token sets of all of them."""
+    rows = staged(labelled.select(F.sort_array(tokens(F.col("url"))).alias("tokens"), "blocked").where(F.size("tokens") > 0), "urls")
     spark = rows.sparkSession
-    n = rows.count()
-    if not n:
+    n, bad = rows.agg(F.count(F.lit(1)), F.count_if("blocked")).first()
+    least = max(min_urls, min_support * n)
+    if not n or bad < least:
         return spark.createDataFrame([], "item string, antecedent array<string>, confidence double, support double")
+    items = staged(rows.select(F.explode("tokens").alias("item")).groupBy("item").agg(F.count(F.lit(1)).alias("held")), "items")
     # a token of every url changes no count of a combination and would only multiply the itemsets
-    common = rows.select(F.explode("tokens").alias("item")).groupBy("item").count().where(F.col("count") == n)
-    plain = [r["item"] for r in common.collect()]  # no more than a url has tokens
+    plain = [r["item"] for r in items.where(F.col("held") == n).collect()]  # no more than a url has tokens
     used = F.array_except("tokens", F.array(*map(F.lit, plain)).cast("array<string>"))
-    baskets = rows.select(F.when(F.col("blocked"), F.concat(used, F.array(F.lit(_BLOCK)))).otherwise(used).alias("items"))
-    # half a url less: the learner rounds minSupport * n up, and min_urls / n * n may lie just over min_urls
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, (min_urls - 0.5) / n)), minConfidence=min_confidence).fit(baskets)
-    rules = model.associationRules.where(F.array_contains("consequent", _BLOCK) & (F.size("consequent") == 1))
-    rules = rules.select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support")
-    # alone, such a token has the confidence of the whole table
-    bad = rows.where("blocked").count()
-    whole = [([t], bad / n, bad / n) for t in plain if bad >= max(min_urls, min_support * n) and bad / n >= min_confidence]
-    rules = rules.unionAll(spark.createDataFrame(whole, "antecedent array<string>, confidence double, support double"))
-    rules = _needed(staged(rules, "every-rule"))
-    single = model.freqItemsets.where(F.size("items") == 1).select(F.col("items")[0].alias("item"), "freq") \
-        .unionAll(spark.createDataFrame([(t, n) for t in plain], "item string, freq long"))
-    return rules.withColumn("item", F.explode("antecedent")).join(single, "item") \
-        .groupBy("antecedent", "confidence", "support").agg(F.min_by("item", F.struct("freq", "item")).alias("item"))
+    # half a url less: the learner rounds minSupport up, and least / bad times bad may lie just over least
+    model = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / bad)).fit(rows.where("blocked").select(used.alias("items")))
+    sets = model.freqItemsets.select(F.sort_array("items").alias("antecedent"), F.col("freq").cast("long").alias("freq"))
+    # alone, a token of every url has the confidence of the whole table
+    sets = sets.unionAll(spark.createDataFrame([([t], bad) for t in plain], "antecedent array<string>, freq long"))
+    rarest = F.min_by(F.struct("item", "held"), F.struct("held", "item"))
+    filed = sets.withColumn("item", F.explode("antecedent")).join(items, "item").groupBy("antecedent", "freq").agg(rarest.alias("rarest"))
+    filed = staged(filed.select("antecedent", "freq", "rarest.item", "rarest.held"), "itemsets")
+    whole = staged(rows.groupBy("tokens").agg(F.count(F.lit(1)).alias("urls")), "token-sets")
+    several = filed.where(F.size("antecedent") > 1)
+    met = whole.withColumn("item", F.explode("tokens")).join(several.select("item", "antecedent"), "item").where(F.size(F.array_except("antecedent", "tokens")) == 0)
+    total = met.groupBy("antecedent").agg(F.sum("urls").alias("total"))
+    counted = several.join(total, "antecedent").unionByName(filed.where(F.size("antecedent") == 1).withColumn("total", F.col("held")))
+    rules = counted.select("antecedent", (F.col("freq") / F.col("total")).alias("confidence"), (F.col("freq") / F.lit(n)).alias("support"), "item")
+    return _needed(staged(rules.where(F.col("confidence") >= min_confidence), "every-rule")).select("item", "antecedent", "confidence", "support")
 
 
 def _needed(rules: DataFrame) -> DataFrame:
@@ -143,9 +147,11 @@ def judge(pages: DataFrame, labelled: DataFrame, *, rules: Sequence[tuple[str, s
     page; ``labelled`` has ``url, blocked``."""
     pages = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).cast("string").alias("url"))
     mined = staged(mine(labelled, min_support=min_support, min_confidence=min_confidence), "index")
-    hits = match(pages, mined)
+    # written before pages are joined to it: a join of plain tables is one whose hot urls Spark can split; null urls have no part in it
+    hits = staged(match(pages, mined), "hits")
     rule, verdict = listed(rules)
-    joined = pages.join(hits, "url", "left").withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
+    none = pages.where("url IS NULL").select("url", "page_id", F.lit(None).cast("array<string>").alias("antecedent"), F.lit(None).cast("double").alias("confidence"))
+    joined = pages.where("url IS NOT NULL").join(hits, "url", "left").select(*none.columns).unionAll(none).withColumns({"host": host(F.col("url")), "path": path(F.col("url"))})
     own = F.when(F.col("confidence").isNotNull(), "block").otherwise("allow")
     return joined.select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"),
                          F.array_join("antecedent", " & ").alias("mined_rule"), "confidence")

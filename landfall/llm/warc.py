@@ -2,8 +2,8 @@
 
 ``write_archives`` lets Spark write pages as WARC records, each file one gzip
 stream from end to end (the text sink with the record terminator as its line
-separator). Such a file can only be read from its start. ``normalise`` inflates
-each file's stream once, in bounded steps, writes every record again as a gzip
+separator). Such a file can only be read from its start. ``normalise`` reads
+each file as a stream, whatever its size, inflates it once, in bounded steps, writes every record again as a gzip
 member of its own, and beside each archive a sidecar index of the members'
 offsets. ``read_records`` then opens members by their offsets.
 
@@ -14,7 +14,8 @@ one that all executors reach; tasks open it with ``pyarrow.fs``.
 Defined results: null html is the empty payload; payloads under 100 bytes are
 always responses; a null page id is kept as null and refers to the response of
 its payload if there is one with an id; rows of one payload that repeat the
-smallest id are all responses. Line breaks in urls are dropped from the header.
+smallest id are all responses. Line breaks in urls are dropped from the header;
+page ids stand there percent-encoded and come back as they were.
 No rows give an index without rows. Other columns are ignored.
 """
 
@@ -24,6 +25,7 @@ import json
 import re
 import zlib
 from collections.abc import Iterator
+from urllib.parse import unquote_plus
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -72,9 +74,9 @@ def records(typed: DataFrame) -> Column:
     length = F.octet_length(http) + F.when(revisit, 0).otherwise(F.col("bytes"))
     return F.concat(
         F.lit("WARC/1.1\r\n"), line("WARC-Type", F.when(revisit, "revisit").otherwise("response")), line("WARC-Record-ID", _uuid(F.col("page_id"), F.col("digest"))),
-        line("WARC-Date", F.lit(DATE)), optional("WARC-Target-URI", F.regexp_replace("url", "[\r\n]", "")), optional("X-Page-ID", F.col("page_id")),
+        line("WARC-Date", F.lit(DATE)), optional("WARC-Target-URI", F.regexp_replace("url", "[\r\n]", "")), optional("X-Page-ID", F.url_encode(F.col("page_id").cast("string"))),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("digest"))),
-        F.when(revisit, F.concat(line("WARC-Refers-To", _uuid(F.col("refers_to"), F.col("digest"))), line("X-Refers-To-Page-ID", F.col("refers_to")),
+        F.when(revisit, F.concat(line("WARC-Refers-To", _uuid(F.col("refers_to"), F.col("digest"))), line("X-Refers-To-Page-ID", F.url_encode(F.col("refers_to").cast("string"))),
                                  F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\n"))).otherwise(""),
         F.lit("Content-Type: application/http; msgtype=response\r\n"), line("Content-Length", length), F.lit("\r\n"), http,
         F.when(revisit, "").otherwise(F.col("html")))
@@ -88,12 +90,11 @@ def write_archives(pages: DataFrame, path: str) -> None:
 
 # ------------------------------------------------------------ streams and members
 
-def inflate(content: memoryview) -> Iterator[bytes]:
-    """The bytes of a gzip stream, of one member or several, in steps."""
-    at, d = 0, zlib.decompressobj(31)
-    while at < len(content):
-        chunk = bytes(content[at:at + STEP])
-        at += len(chunk)
+def inflate(file) -> Iterator[bytes]:
+    """The bytes of a gzip stream, of one member or several, read in steps
+    from an open file."""
+    d = zlib.decompressobj(31)
+    while chunk := file.read(STEP):
         while chunk:
             yield d.decompress(chunk, 4 * STEP)
             while d.unconsumed_tail:
@@ -141,7 +142,7 @@ def header(raw: bytes) -> dict[str, str]:
 
 
 def _open(path: str):
-    """File system and plain path of a folder that executors share."""
+    """File system and plain path of a folder or file that executors share."""
     from pyarrow import fs
 
     return fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))
@@ -152,19 +153,21 @@ def normalise(spark, source: str, target: str, level: int = LEVEL) -> DataFrame:
     member for each record, with a sidecar ``.cdxj`` (a JSON line for each).
     Returns the index: ``archive, number, record_id, record_type, offset,
     length``."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path", "content")
+    # Spark lists the files and deals them over tasks; their content isn't read here
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(source).select("path")
 
     def run(batches):
         store, folder = _open(target)
         store.create_dir(folder, recursive=True)
         attempt = TaskContext.get().taskAttemptId()
         for batch in batches:
-            for path, content in zip(batch.column(0), batch.column(1)):
-                name = re.sub(r"(\.warc|\.txt)?\.gz$", ".warc.gz", path.as_py().rsplit("/", 1)[-1])
+            for path in batch.column(0).to_pylist():
+                name = re.sub(r"(\.warc|\.txt)?\.gz$", ".warc.gz", path.rsplit("/", 1)[-1])
                 rows, at = [], 0
                 part = f"{folder}/_{attempt}-{name}"
-                with store.open_output_stream(part, compression=None) as out:
-                    for number, (fields, raw) in enumerate(split_records(inflate(memoryview(content.as_buffer())))):
+                there, plain = _open(path)
+                with there.open_input_stream(plain, compression=None) as archive, store.open_output_stream(part, compression=None) as out:
+                    for number, (fields, raw) in enumerate(split_records(inflate(archive))):
                         packer = zlib.compressobj(level, zlib.DEFLATED, 31)
                         member = packer.compress(raw) + packer.flush()
                         out.write(member)
@@ -214,7 +217,8 @@ def read_records(index: DataFrame, target: str, with_payload: bool = True) -> Da
                 kind = fields["warc-type"]
                 if kind != "revisit" and (hashlib.sha256(payload).hexdigest() != digest or len(payload) != size):
                     raise ValueError(f"{name} at {at['offset']}: the payload isn't that of its digest")
-                rows.append((name, at["number"], fields.get("x-page-id"), fields.get("warc-target-uri"), kind, digest, size, fields.get("x-refers-to-page-id"),
+                page, refers = (x if x is None else unquote_plus(x) for x in (fields.get("x-page-id"), fields.get("x-refers-to-page-id")))
+                rows.append((name, at["number"], page, fields.get("warc-target-uri"), kind, digest, size, refers,
                              payload if with_payload and kind != "revisit" else None))
                 held += len(payload) if with_payload else 0
                 if held > 4 << 20:

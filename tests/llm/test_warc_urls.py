@@ -2,7 +2,10 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
+import itertools
 import json
+import random
 import re
 import zlib
 from pathlib import Path
@@ -59,7 +62,7 @@ def test_no_pages(spark):
 def test_streams_of_several_members_and_broken_ones():
     record = b"WARC/1.1\r\nContent-Length: 5\r\n\r\nhello\r\n\r\n"
     for raw in (gzip.compress(record * 3), gzip.compress(record) + gzip.compress(record * 2)):
-        got = list(warc.split_records(warc.inflate(memoryview(raw))))
+        got = list(warc.split_records(warc.inflate(io.BytesIO(raw))))
         assert [b for _, b in got] == [record] * 3
     for bad in (record[:-6], record[:20], b"nonsense\r\n\r\n"):
         with pytest.raises(ValueError):
@@ -68,6 +71,32 @@ def test_streams_of_several_members_and_broken_ones():
     assert len(list(warc.split_records(small))) == 2
 
 
+def test_archives_larger_than_spark_reads_whole(spark):
+    """Files over the limit of whole-file reads, and streams of many buffers."""
+    r = random.Random(4)
+    noise = ["".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=900_000)) for _ in range(5)]   # hardly compresses
+    pages = spark.createDataFrame(list(enumerate(noise)), "page_id long, html string").selectExpr("page_id", "'u' AS url", "html").coalesce(1)
+    source, target = scratch(spark, "t"), scratch(spark, "t")
+    warc.write_archives(pages, source)
+    assert max(f.stat().st_size for f in local(source).glob("*.gz")) > 2 * warc.STEP
+    old = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+    spark.conf.set("spark.sql.sources.binaryFile.maxLength", "100000")
+    try:
+        got = {x["page_id"]: x["payload"].decode() for x in warc.read_records(warc.normalise(spark, source, target), target).collect()}
+    finally:
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", old)
+    assert got == {str(i): t for i, t in enumerate(noise)}
+
+
+def test_page_ids_of_any_text(spark):
+    ids = ["a\r\nWARC-Type: revisit", " spaced ", "a+b%20c", "é漢", "a|b", "\r\n\r\n", ""]
+    pages = spark.createDataFrame([(i, "u", "same payload " * 20) for i in ids], "page_id string, url string, html string")
+    source, target = scratch(spark, "t"), scratch(spark, "t")
+    warc.write_archives(pages, source)
+    got = warc.read_records(warc.normalise(spark, source, target), target).collect()
+    assert {x["page_id"]: x["refers_to"] for x in got} == {i: None if i == min(ids) else min(ids) for i in ids}
+
+
 # ------------------------------------------------------------ urls
 
 def plain(url):
@@ -112,6 +141,35 @@ def test_mined_rules_against_brute_force(spark):
     assert {r["page_id"]: r["verdict"] == "block" for r in judged.collect()} == want and any(want.values()) and not all(want.values())
 
 
+def test_no_rule_is_missing(spark):
+    """All combinations of tokens of the blocked urls, counted one by one."""
+    r = random.Random(8)
+    rows = [(f"http{'s' if r.random() < 0.5 else ''}://{r.choice('abc')}.{r.choice(['x', 'y'])}.net/{r.choice(['p', 'q', 'r'])}/{r.choice(['', 'd', 'e.html'])}", None) for _ in range(600)]
+    rows = [(u, ("//a." in u and "/p/" in u and r.random() < 0.95) or ("https://b" in u and ".y." in u) or r.random() < 0.05) for u, _ in rows]
+    df = spark.createDataFrame(rows, "url string, blocked boolean")
+    sets = [(frozenset(x["t"]), x["blocked"]) for x in df.select(urls.tokens(F.col("url")).alias("t"), "blocked").collect()]
+    held: dict = {}
+    for t, b in sets:
+        for k in range(1, len(t) + 1):
+            for some in itertools.combinations(sorted(t), k):
+                x = held.setdefault(some, [0, 0])
+                x[0] += b
+                x[1] += 1
+    rules = {a: x[0] / x[1] for a, x in held.items() if x[0] >= urls.MIN_URLS and x[0] / x[1] >= urls.MIN_CONFIDENCE}
+    less = lambda a: [rules[b] for k in range(len(a)) if (b := a[:k] + a[k + 1:]) in rules]
+    want = {a: c for a, c in rules.items() if all(x < c for x in less(a))}
+    got = {tuple(x["antecedent"]): x for x in urls.mine(df).collect()}
+    assert {a: round(x["confidence"], 9) for a, x in got.items()} == {a: round(c, 9) for a, c in want.items()} and any(len(a) > 1 for a in want)
+    assert all(x["item"] in a and round(x["support"] * len(sets)) == held[a][0] for a, x in got.items())
+
+
+def test_null_and_hot_urls(spark):
+    rows = labelled(spark)
+    pages = spark.range(400).select(F.col("id").alias("page_id"), F.when(F.col("id") % 2 == 0, F.lit(None)).otherwise(F.lit("https://spam.site0.net/buy/1.html")).alias("url"))
+    got = urls.judge(pages, rows)
+    assert {(x["page_id"] % 2, x["host"], x["verdict"]) for x in got.collect()} == {(0, "", "allow"), (1, "spam.site0.net", "block")} and got.count() == 400
+
+
 def test_rare_blocked_host_in_many_urls(spark):
     n = 50_000
     rare = F.col("id") % 2000 == 0   # 25 urls of 50,000
