@@ -29,11 +29,12 @@ from landfall.functions import (as_text, decode_typed, render_filter, snake_case
                                 staging_key_col, start_date)
 from landfall.functions.dates import derby_date_literal
 from landfall.operators import (duplicate_keys, duplicate_keys_ranged, key_length_mismatches, merge_action_counts,
-                                null_violations, page, page_info, rename_positional,
+                                null_violations, page, rename_positional,
                                 snake_case_columns, upsert)
 from landfall.plans import (activate, active_for_land, active_for_stage, active_schemas,
                             control_table_name, deactivate, init, land, list_control, list_log,
-                            load_into, log_table_name, seed_control, set_flag, stage, stage_frame)
+                            load_into, log_table_name, seed_control, set_flag, stage, stage_frame,
+                            table_info)
 from landfall.plans.control import CONTROL_SCHEMA, key_lists
 from landfall.sources import (JdbcConnection, JdbcTable, Zones, catalog_table, create_database,
                               qualified, read_table, register_catalog, stage_batch, write_snapshot)
@@ -72,12 +73,16 @@ def _zones() -> Zones:
     return Zones(ctr=f"c{t}", raw=f"r{t}", stg=f"s{t}")
 
 
-def _catalog_orders(spark: SparkSession, d: str) -> str:
-    """The orders file registered as an external catalog table (no copy)."""
+def _catalog_table(spark: SparkSession, d: str, name: str) -> str:
+    """A file registered as an external catalog table (no copy)."""
     db = f"src_{_tag()}"
     create_database(spark, db, _root(spark))
-    spark.catalog.createTable(f"{db}.orders", path=f"{d}/orders.parquet", source="parquet")
-    return f"{db}.orders"
+    spark.catalog.createTable(f"{db}.{name}", path=f"{d}/{name}.parquet", source="parquet")
+    return f"{db}.{name}"
+
+
+def _catalog_orders(spark: SparkSession, d: str) -> str:
+    return _catalog_table(spark, d, "orders")
 
 
 def _window(df: DataFrame, col: str) -> DataFrame:
@@ -719,7 +724,7 @@ def q_page_large(spark, d):
 
 
 def q_page_info(spark, d):
-    return page_info(_read(spark, d, "events"), 2, 25)
+    return table_info(spark, _catalog_table(spark, d, "events"), 2, 25)
 
 
 def q_decode_typed(spark, d):

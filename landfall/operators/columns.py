@@ -82,7 +82,7 @@ def rename_positional(df: DataFrame, previous: Sequence[str] | None,
 def apply(df: DataFrame | None, fn: Transform | None) -> DataFrame:
     """Apply a ``DataFrame -> DataFrame`` function (``None`` = identity)."""
     if df is None:
-        raise ValueError("Data not extracted")
+        raise ValueError("there is no frame to transform")
     if fn is None:
         return df
     return df.transform(fn)

@@ -4,7 +4,7 @@ from .control import (CONTROL_KEY, CONTROL_SCHEMA, LOG_SCHEMA, active_for_land,
                       active_schemas, control_frame, control_problems, create_control_table,
                       create_log_table, key_lists, seed_control, set_active, set_flag)
 from .land import land, land_table
-from .listing import activate, deactivate, list_control, list_log
+from .listing import activate, deactivate, list_control, list_log, table_info
 from .load import LoadResult, load_into
 from .stage import stage, stage_frame, stage_route
 
@@ -14,6 +14,6 @@ __all__ = [
     "CONTROL_KEY", "CONTROL_SCHEMA", "LOG_SCHEMA", "active_for_land", "active_for_stage",
     "active_schemas", "control_frame", "control_problems", "create_control_table",
     "create_log_table", "key_lists", "seed_control", "set_active", "set_flag",
-    "land", "land_table", "activate", "deactivate", "list_control", "list_log",
+    "land", "land_table", "activate", "deactivate", "list_control", "list_log", "table_info",
     "LoadResult", "load_into", "stage", "stage_frame", "stage_route",
 ]

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.paging import page, page_info
-from ..sources.tables import Zones
+from ..sources.tables import Zones, footer_table
 from .bootstrap import control_table_name, log_table_name
 from .control import set_active
 
@@ -17,14 +17,21 @@ LOG_ORDER = ["ingestion_date DESC", "target_catalog_name", "target_schema_name",
              "target_table_name"]
 
 
+def table_info(spark: SparkSession, name: str, page_no: int, page_length: int) -> DataFrame:
+    """One-row page information of a table, its count taken from the Parquet
+    footers (a partitioned table's from its scan)."""
+    df = footer_table(spark, name)
+    return page_info(spark.table(name) if df is None else df, page_no, page_length)
+
+
 def list_control(spark: SparkSession, page_no: int, page_length: int, *,
                  zones: Zones = Zones(),
                  select: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows of the page, one-row page info) for the control table;
     ``select`` narrows the columns."""
-    df = spark.table(control_table_name(zones))
-    return (page(df, CONTROL_ORDER, page_no, page_length, select=select),
-            page_info(df, page_no, page_length))
+    name = control_table_name(zones)
+    return (page(spark.table(name), CONTROL_ORDER, page_no, page_length, select=select),
+            table_info(spark, name, page_no, page_length))
 
 
 def list_log(spark: SparkSession, page_no: int, page_length: int, *,
@@ -32,9 +39,9 @@ def list_log(spark: SparkSession, page_no: int, page_length: int, *,
              select: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(rows of the page, one-row page info) for the log, newest first;
     ``select`` narrows the columns."""
-    df = spark.table(log_table_name(zones))
-    return (page(df, LOG_ORDER, page_no, page_length, select=select),
-            page_info(df, page_no, page_length))
+    name = log_table_name(zones)
+    return (page(spark.table(name), LOG_ORDER, page_no, page_length, select=select),
+            table_info(spark, name, page_no, page_length))
 
 
 def activate(spark: SparkSession, schema_name: str, table_name: str, *,

@@ -86,7 +86,7 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     ``retain_snapshots``: after a merge, delete snapshot folders beyond this
     many (folders the table still uses are kept); ``None`` keeps them all."""
     if batch is None:
-        raise ValueError("Data not extracted")
+        raise ValueError(f"no batch for {target}: its source was not read")
     batch, key_list = normalize_keys(batch, keys)
     exists = table_exists(spark, target)
     cols = partition_columns(spark, target) if exists else list(partition_by or [])

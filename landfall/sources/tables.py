@@ -70,6 +70,29 @@ def read_table(spark: SparkSession, name: str, selected: Sequence[str] | None =
     return scan(spark.table(name).drop(RANGE_COLUMN), selected, predicate)
 
 
+def footer_table(spark: SparkSession, name: str) -> DataFrame | None:
+    """A table as Spark's V2 file source reads it, in a session of its own:
+    ``count``, and ``min`` and ``max`` of numbers, dates and booleans, over all
+    of it are then answered from the Parquet footers, and no row is read. None
+    for a partitioned table, whose partitions lie in several folders."""
+    if partition_columns(spark, name):
+        return None
+    apart = spark.newSession()
+    for key, value in (("spark.sql.sources.useV1SourceList", ""), ("spark.sql.parquet.aggregatePushdown", "true"),
+                       ("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))):
+        apart.conf.set(key, value)
+    return apart.read.schema(spark.table(name).schema).parquet(_table_location(spark, name))
+
+
+def table_bounds(spark: SparkSession, name: str, column: str) -> tuple:
+    """Least and greatest value of a table's column, from the footers where
+    they tell (strings and timestamps are read)."""
+    df = footer_table(spark, name)
+    df = spark.table(name) if df is None else df
+    c = F.col("`" + column.replace("`", "``") + "`")
+    return tuple(df.agg(F.min(c), F.max(c)).first())
+
+
 def create_database(spark: SparkSession, db: str, root: str | None = None) -> None:
     root = root or warehouse_root(spark)
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}` LOCATION '{root}/{db}.db'")

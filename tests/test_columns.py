@@ -55,7 +55,7 @@ def test_rename_positional(df):
 
 def test_apply_and_chain(df):
     assert apply(df, None) is df
-    with pytest.raises(ValueError, match="Data not extracted"):
+    with pytest.raises(ValueError, match="no frame to transform"):
         apply(None, lambda d: d)
     f = chain(None, lambda d: d.where("TaxAmt > 10"), snake_case_columns)
     assert f(df).columns == ["sales_order_id", "order_qty", "tax_amt"]
