@@ -402,7 +402,7 @@ def _land_orders(spark, d, incremental: bool, split_by_key: bool = False, **opti
         after = upsert(orders, _changes(orders), ["o_orderkey"])
         land(spark, _control(spark, [row]), _derby(spark, {"orders": after}), RUN_DATE,
              zones=zones, root=root, split_by_key=split_by_key, **options)
-    return _ntz(spark.table(qualified(zones.raw, "APP", "orders")))
+    return _ntz(read_table(spark, qualified(zones.raw, "APP", "orders")))
 
 
 def q_land_full(spark, d):
@@ -423,6 +423,12 @@ def q_land_partitioned(spark, d):
     return _land_orders(spark, d, incremental=True, partition_by={"orders": ["o_orderstatus"]})
 
 
+def q_land_key_ranges(spark, d):
+    """Full then incremental land into a raw table laid out in ranges of its
+    key, read from the source in ranges of equal numbers of rows."""
+    return _land_orders(spark, d, incremental=True, range_rows=4000, even_ranges=True)
+
+
 def _land_with_log(spark, d, with_missing: bool):
     zones, root = _zones(), _root(spark)
     log_table = qualified(zones.ctr, "loading", "data_ingestion_log")
@@ -493,7 +499,7 @@ def _stage_orders(spark, d, incremental: bool, **options):
         load_into(spark, _changes(orders).withColumnsRenamed(ORDERS_PASCAL), raw, ["OrderKey"],
                   root=root)
         stage(spark, ctl, routes, RUN_DATE, zones=zones, root=root, **options)
-    return spark.table(qualified(zones.stg, "shop", "orders"))
+    return read_table(spark, qualified(zones.stg, "shop", "orders"))
 
 
 def q_stage_fanout_log(spark, d):
@@ -531,6 +537,11 @@ def q_stage_incremental(spark, d):
     return _stage_orders(spark, d, incremental=True)
 
 
+def q_stage_key_ranges(spark, d):
+    """Full then incremental stage into a table laid out in ranges of its key."""
+    return _stage_orders(spark, d, incremental=True, range_rows=4000)
+
+
 def q_stage_partitioned(spark, d):
     """Full then incremental stage into a table laid out by status."""
     return _stage_orders(spark, d, incremental=True, partition_by={"orders": ["order_status"]})
@@ -785,6 +796,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_incremental": q_land_incremental,
     "land_split_by_key": q_land_split_by_key,
     "land_partitioned": q_land_partitioned,
+    "land_key_ranges": q_land_key_ranges,
     "audit_append": q_audit_append,
     "audit_failures": q_audit_failures,
     "snake_case_columns": q_snake_case_columns,
@@ -796,6 +808,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stage_generic": q_stage_generic,
     "stage_incremental": q_stage_incremental,
     "stage_partitioned": q_stage_partitioned,
+    "stage_key_ranges": q_stage_key_ranges,
     "stage_credit_cards": q_stage_credit_cards,
     "stage_order_details": q_stage_order_details,
     "stage_order_headers": q_stage_order_headers,
@@ -902,6 +915,7 @@ FROM s LEFT JOIN orders t ON s.o_orderkey = t.o_orderkey GROUP BY 1""",
     "land_incremental": _Q4,
     "land_split_by_key": _Q4,
     "land_partitioned": _Q4,
+    "land_key_ranges": _Q4,
     "audit_append": _Q13,
     "audit_failures": _Q13 + " UNION ALL " + _landed("missing_table", "CAST(NULL AS BIGINT)", "true"),
     "snake_case_columns": f"SELECT {_ORDERS_SNAKE} FROM orders",
@@ -919,6 +933,8 @@ FROM s LEFT JOIN orders t ON s.o_orderkey = t.o_orderkey GROUP BY 1""",
     "stage_generic": "SELECT " + _ORDERS_SNAKE.replace("AS order_key", "AS id") + " FROM orders",
     "stage_incremental": (f"WITH q AS ({_Q4}) SELECT "
                           + _ORDERS_SNAKE.replace("AS order_key", "AS id") + " FROM q"),
+    "stage_key_ranges": (f"WITH q AS ({_Q4}) SELECT "
+                         + _ORDERS_SNAKE.replace("AS order_key", "AS id") + " FROM q"),
     "stage_partitioned": (f"WITH q AS ({_Q4}) SELECT "
                           + _ORDERS_SNAKE.replace("AS order_key", "AS id") + " FROM q"),
     "stage_credit_cards": """SELECT c_custkey AS id, c_mktsegment AS card_type, c_name AS card_number,

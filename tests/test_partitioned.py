@@ -189,3 +189,15 @@ def test_a_switch_cut_off_half_way_is_healed_by_the_same_batch(spark, root, tag,
     monkeypatch.setattr(type(spark), "sql", plain)
     load_into(spark, batch, t, ["k"], root=root)
     assert rows(spark.table(t), "k", "v", "p") == [(i, "new", "y" if i < 5 else "x") for i in range(10)]
+
+
+def test_several_partition_columns_are_told_apart(spark, root, tag):
+    """Values that would run into each other side by side, and nulls."""
+    t = f"pt_{tag}.m"
+    pairs = [("a", "b-c"), ("a-b", "c"), ("1:a", None), (None, "1:a"), ("-", "x"), (None, None), ("é漢", "2")]
+    first = spark.createDataFrame([(i, "old", a, b) for i, (a, b) in enumerate(pairs)], "k bigint, v string, p string, q string")
+    load_into(spark, first, t, ["k"], root=root, partition_by=["p", "q"])
+    batch = spark.createDataFrame([(0, "new", "a", "b-c"), (2, "new", "1:a", None), (9, "new", None, None)], first.schema)
+    load_into(spark, batch, t, ["k"], root=root)
+    want = {i: ("old", a, b) for i, (a, b) in enumerate(pairs)} | {0: ("new", "a", "b-c"), 2: ("new", "1:a", None), 9: ("new", None, None)}
+    assert {r["k"]: (r["v"], r["p"], r["q"]) for r in spark.table(t).collect()} == want
