@@ -1,5 +1,7 @@
 """Operator 6, SentencePiece encoding and decoding by an Aho-Corasick
-automaton and a single-pass Viterbi.
+automaton and a single-pass Viterbi. Best scores are relaxed for unigram models;
+for BPE models, such as the public one, the same pass keeps the one way that the
+merge rules allow, and these are run where it finds none.
 
 The automaton of all pieces reads a text once; at each position its output
 links give every piece that ends there, and each relaxes the position's best

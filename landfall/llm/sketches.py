@@ -10,8 +10,9 @@ over arrays: no Python runs on the executors.
 
 Defined results: null counts as the empty text; texts without words have the
 empty sketch and resemble each other fully, others not at all. Rows of one id
-are put in order by their text; null is the least id. An empty table gives no
-rows; other columns are ignored.
+are put in order by their text, in one task, as are all rows with a null id
+(ranges divide ids, not the rows of one); null is the least id. An empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

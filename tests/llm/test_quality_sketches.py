@@ -67,6 +67,22 @@ def test_paths_of_trees():
     assert set(quality.tree_paths(printed)) == {(low,), (high,), (c(1, False, 2.0), low), (c(1, True, 2.0), low)}
 
 
+def test_scores_are_those_of_the_fitted_rules(spark):
+    """Statistics and rules of every document once more, text by text, in Python."""
+    docs, labels = spark.read.parquet(f"{SF001}/documents.parquet"), spark.read.parquet(f"{SF001}/labels.parquet")
+    rows = docs.select("doc_id", "text")
+    model = quality.train(quality.with_statistics(rows).drop("text").join(quality.known_labels(labels), "doc_id"))
+    assert model.rules and all(w for w, _ in model.rules)
+    got = {r["doc_id"]: r["score"] for r in quality.op3(spark, SF001).collect()}
+    for r in rows.collect():
+        statistics = quality.statistics(next(iter(text_slices(pa.array([r["text"]])))))[0]
+        total = model.intercept
+        for weight, rule in model.rules:
+            if all(statistics[c.feature] > c.value if c.above else statistics[c.feature] <= c.value for c in rule):
+                total += weight
+        assert got[r["doc_id"]] == pytest.approx(1 / (1 + math.exp(-total)), abs=1e-9)
+
+
 def test_compiled_rules(spark):
     m = quality.RuleModel(-1.0, [(2.0, (quality.Condition(0, True, 1.0), quality.Condition(1, False, 5.0))), (0.5, (quality.Condition(1, True, 5.0),))])
     rows = spark.createDataFrame([([2.0, 3.0],), ([0.0, 9.0],), ([0.0, 0.0],)], "_statistics array<double>")
