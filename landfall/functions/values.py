@@ -23,3 +23,11 @@ def restored(value, kind: str) -> Column:
     if kind == "date":
         return F.date_from_unix_date(F.lit(value).cast("int"))
     return F.lit(value).cast(kind)
+
+
+def restored_array(texts: list[str], kind: str) -> Column:
+    """A constant array of type ``kind`` from texts of what :func:`carried`
+    gave: one expression, however long."""
+    made = {"timestamp": "timestamp_micros(CAST({} AS BIGINT))", "date": "date_from_unix_date(CAST({} AS INT))"}.get(kind, f"CAST({{}} AS {kind})")
+    quoted = ["'" + t.replace("\\", "\\\\").replace("'", "\\'") + "'" for t in texts]
+    return F.expr(f"CAST(array({', '.join(made.format(q) for q in quoted)}) AS array<{kind}>)")

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.values import carried, restored
+from ..functions.values import carried, restored_array
 from ..operators.validate import col
 from . import tables
 
@@ -61,7 +61,7 @@ class KeyRanges:
     def assign(self, df: DataFrame) -> DataFrame:
         """``df`` with the range of each row, found by halving the starts."""
         key, at = col(self.column), "_at_range"
-        starts = F.array(*[restored(s, self.kind) for s in self.starts]).cast(f"array<{self.kind}>")
+        starts = restored_array(list(self.starts), self.kind)
         size = 1
         while size <= len(self.starts):
             size *= 2
@@ -70,7 +70,7 @@ class KeyRanges:
             size //= 2
             past = (F.col(at) + size <= len(self.starts)) & (F.get(starts, F.col(at) + (size - 1)) <= key)
             out = out.withColumn(at, F.col(at) + F.when(past, size).otherwise(0))
-        number = F.get(F.array(*map(F.lit, self.ids)), F.col(at))
+        number = F.get(F.expr(f"array({', '.join(map(str, self.ids))})"), F.col(at))
         return out.withColumn(RANGE_COLUMN, F.when(key.isNull(), NULL_RANGE).otherwise(number).cast("int")).drop(at)
 
 
