@@ -21,7 +21,8 @@ extract, not rows that changed), counted in the same pass that wrote it.
 from __future__ import annotations
 
 import logging
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,11 +31,12 @@ from pyspark.sql import functions as F
 from ..operators.upsert import (align_to_target, extra_columns, fits_broadcast, kept_rows,
                                normalize_keys, variable_key_bytes)
 from ..operators.validate import any_null, assert_unique, col
+from ..session import scratch_path
 from ..sources import key_ranges
-from ..sources.tables import (RANGE_COLUMN, create_partitioned_table, expire_snapshots, max_records,
-                              new_snapshot, partition_columns, partition_filter,
-                              partition_values, rebalanced, register_snapshot, stage_batch,
-                              swap_partitions, table_exists, write_batch_observed,
+from ..sources.tables import (RANGE_COLUMN, create_partitioned_table, delete_path,
+                              expire_snapshots, max_records, new_snapshot, partition_columns,
+                              partition_filter, partition_values, rebalanced, register_snapshot,
+                              swap_partitions, table_exists, write_batch, write_batch_observed,
                               written_partitions)
 
 _log = logging.getLogger("landfall")
@@ -101,15 +103,13 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
         if ignored:
             _log.warning("%s has no columns %s: they are not loaded", target, ignored)
         batch = align_to_target(current, batch)
-    elif range_rows and not partition_by:
+    new_layout = not exists and bool(range_rows) and not partition_by
+    if new_layout:
         if RANGE_COLUMN in {c.lower() for c in batch.columns}:
             raise ValueError(f"a target in key ranges can't have its own column {RANGE_COLUMN}")
-        batch, n = stage_batch(batch)
-        ranges = key_ranges.first_ranges(batch, key_list[0], n, range_rows)
         cols = [RANGE_COLUMN]
-    if ranges:
-        batch = ranges.assign(batch)
-    with new_snapshot(spark, target, root) as path:   # deleted unless the table is pointed at it
+    with (_dealt(spark, batch, key_list[0], range_rows, ranges, new_layout) as (batch, ranges),
+          new_snapshot(spark, target, root) as path):   # deleted unless the table is pointed at it
         arranged = rebalanced(batch, cols) if cols else batch
         # byte sizes of string keys, and empty partition values, are observed in the pass that writes
         metrics = variable_key_bytes(batch.select(*[col(k) for k in key_list])) | _empty_values(batch, cols)
@@ -140,6 +140,23 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     return LoadResult(target, "merged", n, tuple(ignored))
 
 
+@contextmanager
+def _dealt(spark: SparkSession, batch: DataFrame, key: str, range_rows: int | None,
+           ranges: key_ranges.KeyRanges | None, first: bool) -> Iterator[tuple]:
+    """The batch with its rows' key ranges, and these. Those of a new table come
+    from the batch, which is written once for it, and that copy deleted again."""
+    if not first:
+        yield (ranges.assign(batch) if ranges else batch), ranges
+        return
+    copy = scratch_path(spark, "batches")
+    try:
+        batch, n = write_batch(batch, copy)
+        ranges = key_ranges.first_ranges(batch, key, n, range_rows)
+        yield ranges.assign(batch), ranges
+    finally:
+        delete_path(spark, copy)
+
+
 def _empty_values(batch: DataFrame, cols: Sequence[str]) -> dict:
     text = {f.name.lower() for f in batch.schema.fields if f.dataType.simpleString() == "string"}
     return {f"empty_{c}": F.count_if(col(c) == "") for c in cols if c.lower() in text}

@@ -2,12 +2,14 @@
 ranges that it touches, and a range that grows is split."""
 
 import json
+import os
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from landfall.operators import KeyViolation
 from landfall.plans import load_into
 from landfall.sources import key_ranges, read_table
 from landfall.sources.key_ranges import RANGE_COLUMN, KeyRanges
@@ -131,6 +133,18 @@ def test_loads_are_upserts(spark, root, tag, batches):
     assert dict(rows(read_table(spark, t))) == want and read_table(spark, t).count() == len(want)
 
 
+def test_a_load_leaves_no_copy_behind(spark, root, tag):
+    from landfall.session import ensure_checkpoint_dir
+    held = ensure_checkpoint_dir(spark).removeprefix("file:") + "/landfall/batches"
+    before = set(os.listdir(held)) if os.path.isdir(held) else set()
+    _table(spark, root, tag)
+    with pytest.raises(KeyViolation):
+        load_into(spark, spark.createDataFrame([(1, "a"), (1, "b")], SCHEMA), f"kr_{tag}.u", ["k"], root=root, range_rows=5)
+    assert load_into(spark, spark.createDataFrame([], SCHEMA), f"kr_{tag}.v", ["k"], root=root, range_rows=5).mode == "skipped"
+    assert not spark.catalog.tableExists(f"kr_{tag}.u") and not spark.catalog.tableExists(f"kr_{tag}.v")
+    assert (set(os.listdir(held)) if os.path.isdir(held) else set()) == before
+
+
 def test_own_column_of_that_name(spark, root, tag):
     with pytest.raises(ValueError):
         load_into(spark, spark.createDataFrame([(1, 2)], f"k bigint, {RANGE_COLUMN} int"), f"kr_{tag}.t", ["k"], root=root, range_rows=5)
