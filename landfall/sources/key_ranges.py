@@ -173,3 +173,32 @@ def finish_split(spark: SparkSession, name: str, root: str | None = None) -> Non
             tables.swap_partitions(spark, name, [RANGE_COLUMN], set(written), written, path)
     tables.drop_partitions(spark, name, [RANGE_COLUMN], [(str(i),) for i in ranges.leaving])
     store(spark, name, KeyRanges(ranges.column, ranges.kind, ranges.starts, ranges.ids, ranges.rows))
+
+
+def lay_out(spark: SparkSession, name: str, key: str, rows: int, root: str | None = None) -> KeyRanges:
+    """Lay an existing unpartitioned table out in ranges of ``key``, of about
+    ``rows`` rows each: its rows are written once more, as a table beside it
+    that then takes its name. A writer that dies in between leaves one of the
+    two, whole; run it again. The old snapshots are no longer the table's."""
+    beside = f"{name}__ranges"
+    if not tables.table_exists(spark, name) and tables.table_exists(spark, beside):
+        _take_name(spark, beside, name)
+        return ranges_of(spark, name)
+    if tables.partition_columns(spark, name):
+        raise ValueError(f"{name} is partitioned already")
+    spark.sql(f"DROP TABLE IF EXISTS {tables._quote_name(beside)}")
+    df = spark.table(name)
+    ranges = first_ranges(df, key, df.count(), rows)
+    dealt = ranges.assign(df)
+    with tables.new_snapshot(spark, name, root) as path:
+        (tables.rebalanced(dealt, [RANGE_COLUMN]).write.option("maxRecordsPerFile", tables.max_records(spark))
+         .partitionBy(RANGE_COLUMN).parquet(path))
+        tables.create_partitioned_table(spark, beside, path, dealt.schema, [RANGE_COLUMN], root, properties(ranges))
+    spark.sql(f"DROP TABLE {tables._quote_name(name)}")
+    _take_name(spark, beside, name)
+    return ranges
+
+
+def _take_name(spark: SparkSession, beside: str, name: str) -> None:
+    spark.sql(f"ALTER TABLE {tables._quote_name(beside)} RENAME TO {tables._quote_name(name)}")
+    spark.catalog.refreshTable(name)

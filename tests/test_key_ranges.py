@@ -148,3 +148,29 @@ def test_a_load_leaves_no_copy_behind(spark, root, tag):
 def test_own_column_of_that_name(spark, root, tag):
     with pytest.raises(ValueError):
         load_into(spark, spark.createDataFrame([(1, 2)], f"k bigint, {RANGE_COLUMN} int"), f"kr_{tag}.t", ["k"], root=root, range_rows=5)
+
+
+def test_an_existing_table_is_laid_out(spark, root, tag):
+    t = f"kr_{tag}.t"
+    load_into(spark, spark.range(500).select(F.col("id").alias("k"), F.lit("old").alias("v")), t, ["k"], root=root)
+    ranges = key_ranges.lay_out(spark, t, "k", 50, root)
+    assert len(ranges.ids) == 10 and key_ranges.ranges_of(spark, t) == ranges and read_table(spark, t).count() == 500
+    before = {i: _location(spark, t, i) for i in _ids(spark, t)}
+    load_into(spark, spark.createDataFrame([(7, "new"), (900, "new")], SCHEMA), t, ["k"], root=root)
+    assert sum(_location(spark, t, i) != p for i, p in before.items()) == 2
+    got = dict(rows(read_table(spark, t)))
+    assert len(got) == 501 and got[7] == got[900] == "new" and got[8] == "old"
+    with pytest.raises(ValueError):
+        key_ranges.lay_out(spark, t, "k", 50, root)
+
+
+def test_a_layout_that_died_is_finished(spark, root, tag, monkeypatch):
+    t = f"kr_{tag}.t"
+    load_into(spark, spark.range(100).select(F.col("id").alias("k"), F.lit("old").alias("v")), t, ["k"], root=root)
+    with monkeypatch.context() as m:
+        m.setattr(key_ranges, "_take_name", lambda *a: (_ for _ in ()).throw(RuntimeError("died")))
+        with pytest.raises(RuntimeError):
+            key_ranges.lay_out(spark, t, "k", 20, root)
+    assert not spark.catalog.tableExists(t)
+    key_ranges.lay_out(spark, t, "k", 20, root)
+    assert read_table(spark, t).count() == 100 and len(_ids(spark, t)) == 5
