@@ -41,6 +41,8 @@ from ..sources.tables import (RANGE_COLUMN, create_partitioned_table, delete_pat
 
 _log = logging.getLogger("landfall")
 
+CONF_RANGE_ROWS = "landfall.load.rangeRows"
+
 
 @dataclass(frozen=True)
 class LoadResult:
@@ -83,7 +85,8 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
     property). A batch rewrites only the ranges that its keys fall in, and a
     range that outgrows twice that number is split. The first load writes its
     batch twice: the ranges come from the rows. Readers use ``read_table``,
-    which leaves the layout's column out.
+    which leaves the layout's column out. By default the session's
+    ``landfall.load.rangeRows``; if that is unset, there is no such layout.
 
     ``retain_snapshots``: after a merge, delete snapshot folders beyond this
     many (folders the table still uses are kept); ``None`` keeps them all."""
@@ -103,7 +106,8 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
         if ignored:
             _log.warning("%s has no columns %s: they are not loaded", target, ignored)
         batch = align_to_target(current, batch)
-    new_layout = not exists and bool(range_rows) and not partition_by
+    range_rows = int(spark.conf.get(CONF_RANGE_ROWS, "0")) if range_rows is None else range_rows
+    new_layout = not exists and range_rows > 0 and not partition_by
     if new_layout:
         if RANGE_COLUMN in {c.lower() for c in batch.columns}:
             raise ValueError(f"a target in key ranges can't have its own column {RANGE_COLUMN}")

@@ -145,6 +145,18 @@ def test_a_load_leaves_no_copy_behind(spark, root, tag):
     assert (set(os.listdir(held)) if os.path.isdir(held) else set()) == before
 
 
+def test_the_session_may_ask_for_ranges(spark, root, tag):
+    first = spark.range(100).select(F.col("id").alias("k"), F.lit("v").alias("v"))
+    spark.conf.set("landfall.load.rangeRows", "20")
+    try:
+        load_into(spark, first, f"kr_{tag}.a", ["k"], root=root)
+        load_into(spark, first, f"kr_{tag}.b", ["k"], root=root, range_rows=0)
+        load_into(spark, first, f"kr_{tag}.c", ["k"], root=root, partition_by=["v"])
+    finally:
+        spark.conf.unset("landfall.load.rangeRows")
+    assert [key_ranges.ranges_of(spark, f"kr_{tag}.{t}") is not None for t in "abc"] == [True, False, False]
+
+
 def test_own_column_of_that_name(spark, root, tag):
     with pytest.raises(ValueError):
         load_into(spark, spark.createDataFrame([(1, 2)], f"k bigint, {RANGE_COLUMN} int"), f"kr_{tag}.t", ["k"], root=root, range_rows=5)
