@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from landfall.llm.common import staged, text_slices
+from landfall.llm.common import SLICE_BYTES, staged, text_slices
 from landfall.llm.segments import encoder
 
 CAPACITY = 2048
@@ -117,7 +117,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, windows:
         out = _Out(arrow, 0, TaskContext.get().partitionId())
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for s in text_slices(batch.column(1)):
+            for s in text_slices(batch.column(1), SLICE_BYTES // 4):
                 flat, begins = encode(s)
                 begins = begins.tolist()
                 for i in range(len(s)):

@@ -23,6 +23,10 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 STORE_SEGMENTS = 1_000_000
 STORE_NUMBERS = 8_000_000
 
+#: The library is given new segments about so many bytes at a time: what it
+#: holds for a string while it encodes it is over a hundred times as large.
+LEARN_BYTES = 1 << 16
+
 
 def segment_starts(s: TextSlice, white: np.ndarray = _SPACE) -> np.ndarray:
     """Byte positions at which a segment begins: each text's start, and each
@@ -197,6 +201,12 @@ class SegmentEncoder:
         self.store = SegmentStore(self._learn)
 
     def _learn(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        part = np.cumsum(end - begin) // LEARN_BYTES
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(begin)]
+        got = [self._encoded(data, begin[a:b], end[a:b]) for a, b in zip(cuts, cuts[1:])]
+        return np.concatenate([x for x, _ in got]), np.concatenate([x for _, x in got])
+
+    def _encoded(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         # segments that begin with white space and end with another ASCII
         # character stay apart when they stand in one string, which the
         # library takes faster than many

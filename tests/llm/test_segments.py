@@ -100,3 +100,27 @@ def test_hash_store():
     store.add(key, check, np.arange(len(key), dtype=np.int32))
     assert store.find(key, check).tolist() == list(range(len(key)))
     assert (store.find(key, check + np.uint64(1)) == -1).all()
+
+
+def test_new_segments_reach_the_library_in_bounded_pieces():
+    """What the library holds for a string while it encodes it is many times the string."""
+    held, given_to = segments.SegmentEncoder(BPE), []
+
+    class Library:
+        def __init__(self, real):
+            self.real = real
+
+        def encode(self, text, **kw):
+            given_to.append(len(text.encode()))
+            return self.real.encode(text, **kw)
+
+        def encode_batch_fast(self, texts, **kw):
+            given_to.append(sum(len(x.encode()) for x in texts))
+            return self.real.encode_batch_fast(texts, **kw)
+
+    real, held.tokenizer = held.tokenizer, Library(held.tokenizer)
+    text = " ".join(f"w{i * 7919}" + ("é" if i % 5 == 0 else "x") for i in range(40_000))
+    (s,) = text_slices(pa.array([text], pa.string()))
+    ids, first = held.encode(s)
+    assert max(given_to) <= 1 << 17 and sum(given_to) == len(text.encode())
+    assert ids[first[0]:first[1]].tolist() == real.encode(text, add_special_tokens=False).ids
