@@ -34,7 +34,7 @@ from ..operators.validate import any_null, assert_unique, col
 from ..session import scratch_path
 from ..sources import key_ranges
 from ..sources.tables import (RANGE_COLUMN, create_partitioned_table, delete_path,
-                              expire_snapshots, max_records, new_snapshot, partition_columns,
+                              expire_snapshots, few_listing_tasks, max_records, new_snapshot, partition_columns,
                               partition_filter, partition_values, rebalanced, register_snapshot,
                               swap_partitions, table_exists, write_batch, write_batch_observed,
                               written_partitions)
@@ -112,7 +112,7 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
         if RANGE_COLUMN in {c.lower() for c in batch.columns}:
             raise ValueError(f"a target in key ranges can't have its own column {RANGE_COLUMN}")
         cols = [RANGE_COLUMN]
-    with (_dealt(spark, batch, key_list[0], range_rows, ranges, new_layout) as (batch, ranges),
+    with (few_listing_tasks(spark), _dealt(spark, batch, key_list[0], range_rows, ranges, new_layout) as (batch, ranges),
           new_snapshot(spark, target, root) as path):   # deleted unless the table is pointed at it
         arranged = rebalanced(batch, cols) if cols else batch
         # byte sizes of string keys, and empty partition values, are observed in the pass that writes
@@ -138,7 +138,8 @@ def load_into(spark: SparkSession, batch: DataFrame | None, target: str,
             kept.write.option("maxRecordsPerFile", max_records(spark)).mode("append").parquet(path)
             register_snapshot(spark, target, path, root)
     if ranges:
-        key_ranges.split_large(spark, target, [int(v) for (v,) in touched], root)
+        with few_listing_tasks(spark):
+            key_ranges.split_large(spark, target, [int(v) for (v,) in touched], root)
     if retain_snapshots is not None:
         expire_snapshots(spark, target, retain_snapshots)
     return LoadResult(target, "merged", n, tuple(ignored))

@@ -19,9 +19,11 @@ without one are leftovers of writers that died.
 
 from __future__ import annotations
 
+import threading
 import time
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -256,6 +258,32 @@ def stage_batch(df: DataFrame) -> tuple[DataFrame, int]:
 # metadata update; untouched partitions keep their files and are never read).
 
 _DEFAULT_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+#: Partitions repointed at the same time, and tasks that list a table's folders.
+SWAP_CALLS, LISTING_TASKS = 8, 64
+_CONF_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_DEFAULT_LISTING = "10000"
+_LISTING = {"lock": threading.Lock(), "inside": 0, "session": None}
+
+
+@contextmanager
+def few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Inside, Spark lists folders in ``LISTING_TASKS`` tasks at most, where
+    the session doesn't set another number; by default each of a table's
+    thousands of partitions is a task of its own, several times in a load.
+    Loads may run side by side: the last one out restores the session."""
+    with _LISTING["lock"]:
+        if not _LISTING["inside"]:
+            _LISTING["session"] = spark if spark.conf.get(_CONF_LISTING) == _DEFAULT_LISTING else None
+            if _LISTING["session"]:
+                spark.conf.set(_CONF_LISTING, str(LISTING_TASKS))
+        _LISTING["inside"] += 1
+    try:
+        yield
+    finally:
+        with _LISTING["lock"]:
+            _LISTING["inside"] -= 1
+            if not _LISTING["inside"] and _LISTING["session"]:
+                _LISTING["session"].conf.unset(_CONF_LISTING)
 
 
 def partition_columns(spark: SparkSession, name: str) -> list[str]:
@@ -321,7 +349,8 @@ def swap_partitions(spark: SparkSession, name: str, cols: Sequence[str], touched
                     written: dict[tuple, str], path: str) -> None:
     """Point each touched partition at its new folder under ``path``; add new
     partitions; drop touched partitions that are now empty. One catalog call
-    for each repointed partition (see the module's note on that window)."""
+    for each repointed partition (see the module's note on that window),
+    ``SWAP_CALLS`` of them at a time."""
     mark_registered(spark, path)
     q = _quote_name(name)
     drop_partitions(spark, name, cols, touched - set(written))
@@ -329,8 +358,8 @@ def swap_partitions(spark: SparkSession, name: str, cols: Sequence[str], touched
         every = sorted(written, key=repr)
         # new ones are added; for the others this does nothing, and they are repointed
         spark.sql(f"ALTER TABLE {q} ADD IF NOT EXISTS " + " ".join(f"{_spec(cols, v)} LOCATION '{written[v]}'" for v in every))
-        for values in every:
-            spark.sql(f"ALTER TABLE {q} {_spec(cols, values)} SET LOCATION '{written[values]}'")
+        with ThreadPoolExecutor(min(SWAP_CALLS, len(every)), thread_name_prefix="landfall-swap") as pool:
+            list(pool.map(lambda v: spark.sql(f"ALTER TABLE {q} {_spec(cols, v)} SET LOCATION '{written[v]}'"), every))
     spark.catalog.refreshTable(name)
 
 

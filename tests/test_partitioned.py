@@ -1,10 +1,13 @@
 """Partition-scoped upsert: only touched partitions are read and rewritten."""
 
+import threading
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from landfall.operators import upsert
-from landfall.plans import load_into
+from landfall.plans import load, load_into
+from landfall.sources import tables
 
 from .conftest import rows
 
@@ -201,3 +204,36 @@ def test_several_partition_columns_are_told_apart(spark, root, tag):
     load_into(spark, batch, t, ["k"], root=root)
     want = {i: ("old", a, b) for i, (a, b) in enumerate(pairs)} | {0: ("new", "a", "b-c"), 2: ("new", "1:a", None), 9: ("new", None, None)}
     assert {r["k"]: (r["v"], r["p"], r["q"]) for r in spark.table(t).collect()} == want
+
+
+def test_partitions_are_repointed_side_by_side(spark, root, tag, monkeypatch):
+    t = f"pt_{tag}.t"
+    load_into(spark, spark.createDataFrame([(i, "a", f"p{i}") for i in range(4)], SCHEMA), t, ["k"], root=root, partition_by=["p"])
+    meet, run = threading.Barrier(4, timeout=30), type(spark).sql
+
+    def sql(self, text, *args, **kw):
+        if "SET LOCATION" in text:
+            meet.wait()   # one after the other, they would wait for ever
+        return run(self, text, *args, **kw)
+
+    monkeypatch.setattr(type(spark), "sql", sql)
+    load_into(spark, spark.createDataFrame([(i, "b", f"p{i}") for i in range(4)], SCHEMA), t, ["k"], root=root)
+    monkeypatch.undo()
+    assert rows(spark.table(t), "k", "v", "p") == [(i, "b", f"p{i}") for i in range(4)]
+
+
+def test_a_load_lists_folders_in_few_tasks_and_restores_the_session(spark, root, tag, monkeypatch):
+    t, seen, write = f"pt_{tag}.t", [], load.write_batch_observed
+
+    def observed(*args):
+        seen.append(spark.conf.get(tables._CONF_LISTING))
+        return write(*args)
+
+    monkeypatch.setattr(load, "write_batch_observed", observed)
+    df = spark.createDataFrame([(1, "a", "x")], SCHEMA)
+    before = spark.conf.get(tables._CONF_LISTING)
+    load_into(spark, df, t, ["k"], root=root, partition_by=["p"])
+    with tables.few_listing_tasks(spark):
+        load_into(spark, df, t, ["k"], root=root)
+        assert spark.conf.get(tables._CONF_LISTING) == str(tables.LISTING_TASKS)
+    assert seen == [str(tables.LISTING_TASKS)] * 2 and spark.conf.get(tables._CONF_LISTING) == before
