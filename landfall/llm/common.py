@@ -3,6 +3,8 @@ cluster's shared folder, Arrow text buffers, integer mixing."""
 
 from __future__ import annotations
 
+import ctypes
+import os
 import threading
 import uuid
 from collections.abc import Callable, Iterator
@@ -121,6 +123,17 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 _HELD: dict = {"stage": None, "objects": {}}
 
+#: The C library's call that returns free memory to the system, where it has one.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if os.name == "posix" else None
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A worker counts with what it holds,
+    and freed arrays of some MB, or a library's small blocks, else stay with it."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM:
+        _TRIM(0)
+
 
 def _this_stage() -> dict:
     """What this worker keeps from task to task of a stage. A worker lives on
@@ -129,8 +142,9 @@ def _this_stage() -> dict:
     stage = task.stageId() if task else None
     if stage != _HELD["stage"]:
         _HELD["objects"].clear()
+        _POWERS.clear()
         _HELD["stage"] = stage
-        pa.default_memory_pool().release_unused()
+        give_back()
     return _HELD["objects"]
 
 
@@ -188,12 +202,13 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BYTE = [mix(np.arange(1 + 256 * k, 257 + 256 * k, dtype=np.uint64) * GOLD) for k in (0, 1)]
 _BASE = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F]
 _POWERS: dict[tuple[int, int], np.ndarray] = {}
+_POWERS_STEP = SLICE_BYTES // 4
 
 
 def _powers(which: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd base and of its inverse modulo 2**64."""
+    """Powers of an odd base and of its inverse modulo 2**64, kept for a stage."""
     if len(_POWERS.get((which, 1), ())) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = -(-(n - 1) // _POWERS_STEP) * _POWERS_STEP + 1
         for sign in (1, -1):
             a = np.full(size, pow(_BASE[which], sign, 1 << 64), dtype=np.uint64)
             a[0] = 1

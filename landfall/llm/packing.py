@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from landfall.llm.common import SLICE_BYTES, staged, text_slices
+from landfall.llm.common import SLICE_BYTES, give_back, staged, text_slices
 from landfall.llm.segments import encoder
 
 CAPACITY = 2048
@@ -37,6 +37,9 @@ WINDOWS = 64
 FAN_IN = 32
 END_ID = 1
 
+#: Slices after which a task returns freed memory to the system.
+GIVE_BACK = 8
+
 #: A sequence's number: the round, the group in it, and a count in the group.
 _ROUND, _GROUP = 1 << 59, 1 << 36
 
@@ -117,7 +120,7 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, windows:
         out = _Out(arrow, 0, TaskContext.get().partitionId())
         for batch in batches:
             doc_ids = batch.column(0).to_pylist()
-            for s in text_slices(batch.column(1), SLICE_BYTES // 4):
+            for k, s in enumerate(text_slices(batch.column(1), SLICE_BYTES // 4), 1):
                 flat, begins = encode(s)
                 begins = begins.tolist()
                 for i in range(len(s)):
@@ -130,6 +133,8 @@ def pack(docs: DataFrame, tokenizer: str, *, capacity: int = CAPACITY, windows:
                         for window in held.put([piece], len(part)):
                             out.add(window, False)
                 yield from out.flush(5000)
+                if k % GIVE_BACK == 0:
+                    give_back()
         for window in held.rest():
             out.add(window, True)
         yield from out.flush()

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
@@ -7,7 +9,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from landfall.llm import pieces, prefixes, segments
+from landfall.llm import common, pieces, prefixes, segments
 from landfall.llm.common import text_slices
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -124,3 +126,32 @@ def test_new_segments_reach_the_library_in_bounded_pieces():
     ids, first = held.encode(s)
     assert max(given_to) <= 1 << 17 and sum(given_to) == len(text.encode())
     assert ids[first[0]:first[1]].tolist() == real.encode(text, add_special_tokens=False).ids
+
+
+def resident_mb() -> float:
+    with open("/proc/self/statm") as f:
+        return int(f.read().split()[1]) * 4096 / 1e6
+
+
+def test_a_worker_gives_back_what_a_stage_held(monkeypatch):
+    stage = [-1]
+    monkeypatch.setattr(common, "_HELD", {"stage": None, "objects": {}})
+    monkeypatch.setattr(common, "TaskContext", SimpleNamespace(get=lambda: SimpleNamespace(stageId=lambda: stage[0])))
+    # blocks too small to be mapped by themselves; the last one keeps the heap's top in place
+    blocks = common.kept("blocks", lambda: [bytes([i % 255 + 1]) * 100_000 for i in range(1500)])
+    top, full = blocks[-1], resident_mb()
+    del blocks
+    common.span_hash(np.zeros(10, np.uint8), np.array([0]), np.array([10]))
+    assert common._POWERS
+    stage[0] = -2
+    common.kept("other", list)
+    assert len(top) == 100_000 and full - resident_mb() > 100
+    assert not common._POWERS
+
+
+def test_powers_are_as_long_as_the_slices_need():
+    common._POWERS.clear()
+    for n in (1, 2, common.SLICE_BYTES // 4 + 1, common.SLICE_BYTES // 4 + 2, common.SLICE_BYTES + 1):
+        up, down = common._powers(0, n)
+        assert n <= len(up) == len(down) <= n + common.SLICE_BYTES // 4
+        assert np.all(up[:n] * down[:n] == 1)
