@@ -8,8 +8,10 @@ each of its prefixes. A text's count at any place is that of the whole
 segments before it plus the one inside its segment, and questions of
 truncation and budget are answered from these without encoding again.
 
-Whether two tokens stay apart is asked of the library's own model once for each
-pair. Splitting into pieces is the library's too.
+The tokens that end at each byte come from an Aho-Corasick automaton of the
+vocabulary, which reads a piece once. Whether two tokens stay apart is asked of
+the library's own model once for each pair. Splitting into pieces is the
+library's too.
 
 Defined results: null counts as empty, with no tokens; the special string in a
 text is its one token, as the library takes it; a prefix that ends inside it is
@@ -22,6 +24,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -54,30 +57,35 @@ class PrefixCounter:
     """Counts of tokens at every prefix, for a byte-level BPE .json file."""
 
     def __init__(self, path: str):
+        import ahocorasick
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model, self.split = self.tokenizer.model, self.tokenizer.pre_tokenizer
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
-        self.longest = max(map(len, self.vocabulary))
+        self.tokens = ["", *self.tokenizer.get_vocab(with_added_tokens=False)]   # the first: no token
+        self.automaton = ahocorasick.Automaton()
+        for i, token in enumerate(self.tokens[1:], 1):
+            self.automaton.add_word(token, (len(token), i, i * len(self.tokens)))
+        self.automaton.make_automaton()
         self.names = byte_alphabet()
         self.table = {i: c for i, c in enumerate(self.names)}
         self.spaces = {self._mapped(c.encode()) for c in "\t\n\x0b\x0c\r \x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))}
-        self.apart: dict[tuple[str, str], bool] = {}
+        self.apart: dict[int, bool] = {}   # by the left token's number times that of all tokens, plus the right one's
         self.pieces: dict[str, list[int]] = {}
         self.store = SegmentStore(self._learn)
 
     def _mapped(self, raw: bytes) -> str:
         return raw.decode("latin-1").translate(self.table)
 
-    def _stays(self, left: str, right: str) -> bool:
-        found = self.apart.get((left, right))
+    def _stays(self, pair: int) -> bool:
+        found = self.apart.get(pair)
         if found is None:
             if len(self.apart) > MOST_PAIRS:
                 self.apart.clear()
+            left, right = (self.tokens[i] for i in divmod(pair, len(self.tokens)))
             got = [t.value for t in self.model.tokenize(left + right)]
-            found = self.apart[left, right] = got == ([left, right] if left else [right])
+            found = self.apart[pair] = got == ([left, right] if left else [right])
         return found
 
     def piece(self, mapped: str) -> list[int]:
@@ -86,30 +94,22 @@ class PrefixCounter:
         found = self.pieces.get(mapped)
         if found is not None:
             return found
-        vocabulary, longest, stays, apart = self.vocabulary, self.longest, self._stays, self.apart
-        last, counts, start = [""], [0], 0
-        for end in range(1, len(mapped) + 1):
-            # only one way is good, so any order will do: first that the last token goes on
-            token = mapped[start:end]
-            if token in vocabulary:
-                before = last[start]
-                ok = apart.get((before, token))
-                if ok or (ok is None and stays(before, token)):
-                    last.append(token)
-                    counts.append(counts[start] + 1)
-                    continue
-            for begin in range(end - longest if end > longest else 0, end):
-                token = mapped[begin:end]
-                if token in vocabulary:
-                    before = last[begin]
-                    ok = apart.get((before, token))
-                    if ok or (ok is None and stays(before, token)):
-                        last.append(token)
-                        counts.append(counts[begin] + 1)
-                        start = begin
-                        break
-            else:
-                raise ValueError("a byte has no token")
+        stays, apart = self._stays, self.apart
+        last, counts, done = [0], [0], 0   # by prefix: its last token as the left of a pair, its tokens; the bytes they reach
+        for end, (size, token, as_left) in self.automaton.iter(mapped):
+            if end != done:
+                if end < done:
+                    continue   # only one way is good, and it is found
+                break
+            begin = end + 1 - size
+            pair = last[begin] + token
+            ok = apart.get(pair)
+            if ok or (ok is None and stays(pair)):
+                last.append(as_left)
+                counts.append(counts[begin] + 1)
+                done += 1
+        if done < len(mapped):
+            raise ValueError("a byte has no token")
         if len(mapped) <= 64:
             if len(self.pieces) > MOST_PIECES:
                 self.pieces.clear()
@@ -130,7 +130,7 @@ class PrefixCounter:
     def _plain(self, text: str) -> list[int]:
         if m := _PLAIN_WORD.fullmatch(text):
             word, mark = m.groups()
-            counts = self.piece(self._mapped(word.encode()))
+            counts = self.piece(word.replace(" ", self.names[32]) if word.isascii() else self._mapped(word.encode()))
             return counts + [counts[-1] + c for c in self.piece(mark)] if mark else counts
         out: list[int] = []
         total, before = 0, None   # tokens of the pieces so far; the last piece and the tokens before it
@@ -158,7 +158,7 @@ class PrefixCounter:
 
     def _learn(self, data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         found = [self.text(data[a:b].tobytes().decode()) for a, b in zip(begin.tolist(), end.tolist())]
-        return np.fromiter((c for x in found for c in x), np.uint32, int((end - begin).sum())), end - begin
+        return np.fromiter(chain.from_iterable(found), np.uint32, int((end - begin).sum())), end - begin
 
     # -------------------------------------------------------- slices
 

@@ -35,6 +35,21 @@ def test_stored_counts_answer_questions(spark):
     assert [tuple(r) for r in got] == [(1, len(tok.encode("The quick").ids), len("The quick")), (2, 0, 0)]
 
 
+def test_op5_reads_a_piece_once():
+    """Tokens that end at a byte come from one pass, not from trying slices at each."""
+    class Watched(str):
+        slices = 0
+
+        def __getitem__(self, key):
+            Watched.slices += 1
+            return str.__getitem__(self, key)
+
+    tok = Tokenizer.from_file(BPE)
+    word = "unpronounceablenessesxqzv" + "=" * 70
+    assert prefixes.PrefixCounter(BPE).piece(Watched(word)) == [len(tok.model.tokenize(word[:n])) for n in range(1, len(word) + 1)]
+    assert Watched.slices == 0
+
+
 def test_edge_cases(spark, edge, empty):
     tok, sp = Tokenizer.from_file(BPE), sentencepiece.SentencePieceProcessor(model_file=SPM)
     want = sorted((str(i), len((t or "").encode()), len(tok.encode(t or "", add_special_tokens=False).ids)) for i, t in edge_rows())
